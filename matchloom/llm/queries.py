@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .sharding import shard_documents
+from .token_counts import count_tokens
+
+#: Folder of the public tokenizer files; the vocabulary is a parameter and is not part of this repository.
+TOKENIZER = os.environ.get("MATCHLOOM_TOKENIZER", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+def op3_pretoken_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
 def op9_karmarkar_karp_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +24,7 @@ def op9_karmarkar_karp_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_pretoken_counts": op3_pretoken_counts,
     "op9_karmarkar_karp_sharding": op9_karmarkar_karp_sharding,
 }
 ORACLE_SQL: dict[str, str] = {}
