@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .mixing import mix
 from .sharding import shard_documents
 from .token_counts import count_tokens
 
@@ -19,12 +20,17 @@ def op3_pretoken_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op6_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op9_karmarkar_karp_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pretoken_counts": op3_pretoken_counts,
+    "op6_pivotal_mixing": op6_pivotal_mixing,
     "op9_karmarkar_karp_sharding": op9_karmarkar_karp_sharding,
 }
 ORACLE_SQL: dict[str, str] = {}
