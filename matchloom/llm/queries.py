@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .language_id import predict_languages
 from .mixing import mix
 from .sharding import shard_documents
 from .token_counts import count_tokens
@@ -20,6 +21,10 @@ def op3_pretoken_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op4_bitmask_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict_languages(table(spark, sf_dir, "documents"))
+
+
 def op6_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -30,6 +35,7 @@ def op9_karmarkar_karp_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pretoken_counts": op3_pretoken_counts,
+    "op4_bitmask_language_id": op4_bitmask_language_id,
     "op6_pivotal_mixing": op6_pivotal_mixing,
     "op9_karmarkar_karp_sharding": op9_karmarkar_karp_sharding,
 }
