@@ -6,10 +6,12 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 from .language_id import predict_languages
 from .mixing import mix
+from .quality import judge
 from .sharding import shard_documents
 from .token_counts import count_tokens
 
@@ -25,6 +27,10 @@ def op4_bitmask_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_languages(table(spark, sf_dir, "documents"))
 
 
+def op5_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("faults", ",").alias("faults"))
+
+
 def op6_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -36,6 +42,7 @@ def op9_karmarkar_karp_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pretoken_counts": op3_pretoken_counts,
     "op4_bitmask_language_id": op4_bitmask_language_id,
+    "op5_adaptive_quality": op5_adaptive_quality,
     "op6_pivotal_mixing": op6_pivotal_mixing,
     "op9_karmarkar_karp_sharding": op9_karmarkar_karp_sharding,
 }
