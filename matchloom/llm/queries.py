@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .common import table
 from .language_id import predict_languages
 from .mixing import mix
+from .near_duplicates import near_duplicates
 from .quality import judge
 from .sharding import shard_documents
 from .token_counts import count_tokens
@@ -39,11 +40,16 @@ def op9_karmarkar_karp_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pretoken_counts": op3_pretoken_counts,
     "op4_bitmask_language_id": op4_bitmask_language_id,
     "op5_adaptive_quality": op5_adaptive_quality,
     "op6_pivotal_mixing": op6_pivotal_mixing,
     "op9_karmarkar_karp_sharding": op9_karmarkar_karp_sharding,
+    "op10_chosen_path_join": op10_chosen_path_join,
 }
 ORACLE_SQL: dict[str, str] = {}
