@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .decontamination import leaking_pairs
 from .language_id import predict_languages
 from .mixing import mix
 from .near_duplicates import near_duplicates
@@ -20,6 +21,10 @@ from .token_counts import count_tokens
 TOKENIZER = os.environ.get("MATCHLOOM_TOKENIZER", "/opt/tokenizers/piece_bpe_32k.model")
 
 
+def op2_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaking_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_pretoken_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -45,6 +50,7 @@ def op10_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_pigeonhole_decontamination": op2_pigeonhole_decontamination,
     "op3_pretoken_counts": op3_pretoken_counts,
     "op4_bitmask_language_id": op4_bitmask_language_id,
     "op5_adaptive_quality": op5_adaptive_quality,
