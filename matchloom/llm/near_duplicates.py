@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import hash_strings, materialize, mix64, slices, words_of
@@ -278,24 +278,13 @@ def _verifier(similarity: float):
     return verify
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, missed: float = MISSED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: doc_id, class_id, n_links.
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.xxhash64(text_col).alias("node"), F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
 
-    Texts are sets of word 5-grams; two texts are linked if their Jaccard similarity is at least `similarity`. n_links is
-    the number of other rows linked to a row, copies of its own text among them; class_id is the least id of all rows that
-    links reach. Words are runs of other than space and \\x09-\\x0D; case counts.
-
-    1. Equal texts are one node (pre-aggregated, so any number of copies is one row a task).
-    2. Chosen-path runs: nodes that share a path of chosen tokens meet in a bucket; sketches drop pairs far from similar.
-    3. Components of the remaining pairs get their texts once, and all pairs within a component are compared exactly;
-       components over BLOCK nodes are compared block by block, so memory is bounded. No list of pairs is ever made.
-    4. Components of the verified links are the classes.
 
-    A text without words is linked to nothing (class_id is its own id). Null text likewise. Null ids stay null rows.
-    Repeated rows are copies. An empty table gives an empty result. Other columns are ignored.
-    """
+def _known(d: DataFrame, similarity: float, missed: float) -> DataFrame:
+    """(node, doc, copies, links, root) of every text with a word: its least id, links to other texts' rows, and class."""
     runs = n_runs(similarity, missed)
-    d = docs.select(F.xxhash64(text_col).alias("node"), F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     features = _features(d, runs, similarity)
     nodes = materialize(
         features.groupBy("node").agg(F.min("doc").alias("doc"), F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"), F.first("chosen").alias("chosen"), F.first("sketch").alias("sketch")),
@@ -315,7 +304,43 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, missed: flo
     linked = links.groupBy("node").agg(F.sum("links").alias("links"), F.min(F.when(F.col("whole"), F.col("root"))).alias("near_root"))
     linked = linked.join(across.withColumnRenamed("root", "far_root"), "node", "left").select("node", "links", F.coalesce("near_root", "far_root").alias("root"))
     known = nodes.select("node", "doc", "copies").join(linked, "node", "left").select("node", "doc", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "node").alias("root"))
-    known = materialize(known, "known")
+    return materialize(known, "known")
+
+
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, missed: float = MISSED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of docs: doc_id, class_id, n_links.
+
+    Texts are sets of word 5-grams; two texts are linked if their Jaccard similarity is at least `similarity`. n_links is
+    the number of other rows linked to a row, copies of its own text among them; class_id is the least id of all rows that
+    links reach. Words are runs of other than space and \\x09-\\x0D; case counts.
+
+    1. Equal texts are one node (pre-aggregated, so any number of copies is one row a task).
+    2. Chosen-path runs: nodes that share a path of chosen tokens meet in a bucket; sketches drop pairs far from similar.
+    3. Components of the remaining pairs get their texts once, and all pairs within a component are compared exactly;
+       components over BLOCK nodes are compared block by block, so memory is bounded. No list of pairs is ever made.
+    4. Components of the verified links are the classes.
+
+    A text without words is linked to nothing (class_id is its own id). Null text likewise. Null ids stay null rows.
+    Repeated rows are copies. An empty table gives an empty result. Other columns are ignored.
+    """
+    d = _rows(docs, id_col, text_col)
+    known = _known(d, similarity, missed)
     least = known.groupBy("root").agg(F.min("doc").alias("class_id"))
     of = known.join(least, "root").select("node", "class_id", (F.col("links") + F.col("copies") - 1).alias("n_links"))
     return d.select("node", F.col("doc").alias("doc_id")).join(of, "node", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def deduplicate(docs: DataFrame, similarity: float = SIMILARITY, missed: float = MISSED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one row of each class: the one with the least id (null last), once if it comes repeatedly; all columns stay.
+
+    Rows without a word have no class and all stay.
+    """
+    known = _known(_rows(docs, id_col, text_col), similarity, missed)
+    last = F.lit((1 << 63) - 1)
+    first = known.withColumn("_doc", F.coalesce("doc", last)).groupBy("root").agg(F.min(F.struct("_doc", "node")).alias("first"))
+    keep = first.select(F.col("first._doc").alias("_near_doc"), F.col("first.node").alias("_near_node"))
+    keyed = docs.withColumn("_near_node", F.xxhash64(text_col)).withColumn("_near_doc", F.coalesce(F.col(id_col).cast("long"), last))
+    has_word = F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    nth = F.row_number().over(Window.partitionBy("_near_node", "_near_doc").orderBy(F.lit(0)))
+    one = keyed.filter(has_word).join(keep, ["_near_node", "_near_doc"]).withColumn("_near_nth", nth).filter("_near_nth = 1")
+    return one.select(*docs.columns).unionByName(docs.filter(~has_word))
