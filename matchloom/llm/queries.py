@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .decontamination import leaking_pairs
+from .html_text import extract_pages
 from .language_id import predict_languages
 from .mixing import mix
 from .near_duplicates import near_duplicates
@@ -41,6 +42,10 @@ def op6_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_block_rule_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op9_karmarkar_karp_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
@@ -55,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bitmask_language_id": op4_bitmask_language_id,
     "op5_adaptive_quality": op5_adaptive_quality,
     "op6_pivotal_mixing": op6_pivotal_mixing,
+    "op7_block_rule_extraction": op7_block_rule_extraction,
     "op9_karmarkar_karp_sharding": op9_karmarkar_karp_sharding,
     "op10_chosen_path_join": op10_chosen_path_join,
 }
