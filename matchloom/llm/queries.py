@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import chat
 from .common import table
 from .decontamination import leaking_pairs
 from .html_text import extract_pages
@@ -22,6 +23,10 @@ from .token_counts import count_tokens
 TOKENIZER = os.environ.get("MATCHLOOM_TOKENIZER", "/opt/tokenizers/piece_bpe_32k.model")
 
 
+def op1_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.render_perspectives(table(spark, sf_dir, "conversations"))
+
+
 def op2_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaking_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -55,6 +60,7 @@ def op10_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_perspective_rotation": op1_perspective_rotation,
     "op2_pigeonhole_decontamination": op2_pigeonhole_decontamination,
     "op3_pretoken_counts": op3_pretoken_counts,
     "op4_bitmask_language_id": op4_bitmask_language_id,
@@ -64,4 +70,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_karmarkar_karp_sharding": op9_karmarkar_karp_sharding,
     "op10_chosen_path_join": op10_chosen_path_join,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op1_perspective_rotation": chat.SQL}
