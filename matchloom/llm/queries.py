@@ -13,6 +13,7 @@ from .common import table
 from .decontamination import leaking_pairs
 from .html_text import extract_pages
 from .language_id import predict_languages
+from .lm_scoring import score_documents
 from .mixing import mix
 from .near_duplicates import near_duplicates
 from .quality import judge
@@ -51,6 +52,10 @@ def op7_block_rule_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op8_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_karmarkar_karp_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_adaptive_quality": op5_adaptive_quality,
     "op6_pivotal_mixing": op6_pivotal_mixing,
     "op7_block_rule_extraction": op7_block_rule_extraction,
+    "op8_backoff_automaton": op8_backoff_automaton,
     "op9_karmarkar_karp_sharding": op9_karmarkar_karp_sharding,
     "op10_chosen_path_join": op10_chosen_path_join,
 }
