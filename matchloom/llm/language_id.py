@@ -18,6 +18,8 @@ PROFILE_SHARE = 1 / 4000
 TRAIN_DOCS = 20_000
 #: Bloom filter: slots for each profile entry of the largest language, and hash functions.
 SLOTS_PER_ENTRY, HASHES = 8, 3
+#: Text bytes that a worker handles at a time: each takes some 60 bytes of arrays.
+SLICE = 1_500_000
 UNDECIDED = "und"
 
 
@@ -83,10 +85,12 @@ class BitSlicedBloom:
         return out
 
     def predict(self, column: pa.Array) -> tuple[list[str], np.ndarray]:
-        hashes, rows, has_letter = ngrams(column)
-        found = self.hits(hashes, rows, len(column))
-        total = np.maximum(np.bincount(rows, minlength=len(column)), 1)[:, None]
-        share = np.clip((found / total - self.false_rate) / np.maximum(1 - self.false_rate, 1e-9), 0, 1)
+        found, total = np.zeros((len(column), len(self.languages))), np.zeros(len(column))
+        for n in ORDERS:  # one order at a time: memory for one hash of each character
+            hashes, rows, has_letter = ngrams(column, (n,))
+            found += self.hits(hashes, rows, len(column))
+            total += np.bincount(rows, minlength=len(column))
+        share = np.clip((found / np.maximum(total, 1)[:, None] - self.false_rate) / np.maximum(1 - self.false_rate, 1e-9), 0, 1)
         if not self.languages:
             return [UNDECIDED] * len(column), np.zeros(len(column))
         best = share.argmax(axis=1)
@@ -121,7 +125,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
             parts.clear()
 
         rows_held = 0
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             lang_of = np.array([index[x] for x in batch.column("lang").to_pylist()], np.int32)
             for n in ORDERS:
                 h, rows, _ = ngrams(batch.column("text"), (n,))
@@ -129,7 +133,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
                     gram, c = np.unique(h[lang_of[rows] == lang], return_counts=True)
                     parts.append((n, pa.table({"lang": pa.array(np.full(len(gram), lang, np.int32)), "gram": gram.view(np.int64), "n": c})))
                     rows_held += len(gram)
-            if rows_held > 1_000_000:
+            if rows_held > 500_000:
                 yield from flush()
                 rows_held = 0
         yield from flush()
@@ -157,7 +161,7 @@ def identify(docs: DataFrame, model: BitSlicedBloom, id_col: str = "doc_id", tex
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches):
-        for batch in slices(batches, text_col):
+        for batch in slices(batches, text_col, SLICE):
             lang, score = shared.value.predict(batch.column(text_col))
             kept = [batch.column(f.name) for f in columns]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(lang, pa.string()), pa.array(score)], names=[*(f.name for f in columns), "_lang_pred", "_score"])
@@ -173,3 +177,11 @@ def predict_languages(docs: DataFrame) -> DataFrame:
     held_out = split_of("doc_id", 3) == 1
     model = train(docs.filter(~held_out))
     return identify(docs, model).select("doc_id", held_out.alias("held_out"), F.col("_lang_pred").alias("lang_pred"), F.col("_score").alias("score"))
+
+
+def keep_identified(docs: DataFrame, least_score: float = 0.3) -> DataFrame:
+    """The rows of docs whose language is told: not those without a letter, nor those of which under least_score of the
+    n-grams are in the predicted language's profile. All columns stay. The model is learned from docs themselves."""
+    model = train(docs.filter(split_of("doc_id", 3) != 1))
+    told = identify(docs, model, keep=tuple(docs.columns))
+    return told.filter((F.col("_lang_pred") != UNDECIDED) & (F.col("_score") >= least_score)).select(*docs.columns)
