@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 
+#: A unit over this part of a shard's fair share is placed before all others.
+HEAVY = 256
+
+
 def difference(parts: list[list[int]], n_bins: int) -> list[list[int]]:
     """Karmarkar-Karp: place the bins of many partial partitions into n_bins bins.
 
@@ -98,20 +102,35 @@ def shard_documents(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id",
         piece = F.when((F.col("h1") == g.h1) & (F.col("h2") == g.h2), F.pmod(F.xxhash64("doc_id", F.lit("piece")), F.lit(-(-g.bytes // share))).cast("int")).otherwise(piece)
     base = base.withColumn("piece", piece)
 
-    units = base.groupBy("h1", "h2", "piece").agg(F.sum("size").alias("bytes"))
-    n_chunks = max(1, -(-units.count() // chunk_groups))
+    units = materialize(base.groupBy("h1", "h2", "piece").agg(F.sum("size").alias("bytes")), "shard-units")
+    # Units over share / HEAVY, at most n_shards * HEAVY of them, are placed first, by one task; each chunk of others then
+    # starts from those shards' sums, in proportion to its bytes, so that small units make up for uneven large ones.
+    heavy = units.filter(F.col("bytes") > share // HEAVY)
+    light = units.filter(F.col("bytes") <= share // HEAVY)
+    n_light, light_bytes = light.agg(F.count(F.lit(1)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    n_chunks = max(1, -(-n_light // chunk_groups))
     chunk = F.pmod(F.xxhash64("h2", "h1", "piece"), F.lit(n_chunks)).alias("part")
 
-    def first(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["bytes", "h1", "h2", "piece"], ascending=False, kind="stable")
-        final = difference([[int(w)] + [0] * (n_shards - 1) for w in rows["bytes"]], n_shards)
-        return rows.assign(bin=[f[0] for f in final])[["h1", "h2", "piece", "part", "bin", "bytes"]]
+    def place(start: list[int]):
+        def run(rows: pd.DataFrame) -> pd.DataFrame:
+            rows = rows.sort_values(["bytes", "h1", "h2", "piece"], ascending=False, kind="stable")
+            mine = int(rows["bytes"].sum())
+            given = [x * mine // max(1, light_bytes) for x in start]
+            final = difference([given, *([int(w)] + [0] * (n_shards - 1) for w in rows["bytes"])], n_shards)
+            return rows.assign(bin=[f[0] for f in final[1:]])[["h1", "h2", "piece", "part", "bin", "bytes"]]
+
+        return run
 
-    placed = materialize(units.select("*", chunk).groupBy("part").applyInPandas(first, "h1 long, h2 long, piece int, part long, bin int, bytes long"), "shard-units")
+    out = "h1 long, h2 long, piece int, part long, bin int, bytes long"
+    first = materialize(heavy.select("*", F.lit(n_chunks).cast("long").alias("part")).groupBy("part").applyInPandas(place([0] * n_shards), out), "shard-heavy")
+    sums = {r["bin"]: r["bytes"] for r in first.groupBy("bin").agg(F.sum("bytes").alias("bytes")).collect()}
+    start = sorted((sums.get(b, 0) for b in range(n_shards)), reverse=True)
+    rest = materialize(light.select("*", chunk).groupBy("part").applyInPandas(place(start), out), "shard-light")
+    placed = first.unionByName(rest)
 
     level = placed.groupBy("part", "bin").agg(F.sum("bytes").alias("bytes"))
     route = None  # (part, bin) of the first level -> (up, up_bin) of the level reached so far
-    parts = n_chunks
+    parts = n_chunks + 1
     while True:
         step = materialize(_level(level, n_shards, fan_in), "shard-level")
         here = step.select("part", "bin", "up", "up_bin")
