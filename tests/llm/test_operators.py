@@ -1,0 +1,445 @@
+"""Each operator against brute force on small tables with nulls, empty and long texts, repeated rows and clashing columns."""
+
+import math
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import pyarrow as pa
+import pytest
+from matchloom.llm import chat, decontamination, html_text, language_id, lm_scoring, mixing, near_duplicates, quality, sharding, token_counts
+
+MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def words(t):
+    return WORD.findall(t or "")
+
+
+# --- 1: chat formatting
+
+
+def dialogue_rows():
+    return [
+        (1, 0, "system", "be kind"), (1, 1, "ann", "hi <|im_end|> there"), (1, 2, "bob", None), (1, 3, "ann", "é"), (1, 3, "ann", "é"),
+        (2, 0, "system", "alone"), (3, 5, None, "who"), (3, None, " ", "late"), (None, 0, "x", "no id"),
+        *[(9, i, ("a", "b", "c")[i % 3], f"turn {i}") for i in range(700)],
+    ]
+
+
+def test_chat_views_put_together_are_the_dialogue(spark):
+    d = spark.createDataFrame(dialogue_rows(), "conv_id long, turn long, role string, text string").repartition(3)
+    got = defaultdict(list)
+    for r in chat.render_perspectives(d).collect():
+        got[r.conv_id, r.perspective].append(r)
+    assert set(got) == {(1, "ann"), (1, "bob"), (3, "unknown"), (None, "x"), (9, "a"), (9, "b"), (9, "c")}
+    for (conv, me), rs in got.items():
+        rs.sort(key=lambda r: r.seq)
+        assert [r.seq for r in rs] == list(range(len(rs)))
+        text = "".join(r.segment for r in rs)
+        for r in rs:
+            assert text[r.char_start : r.char_end] == r.segment
+            assert (r.role == "assistant") == (r.name == me) == (r.loss == 1)
+            if r.loss:
+                body = text[r.target_start : r.target_end]
+                assert body.endswith("<|im_end|>") and body.count("<|im_end|>") == 1
+        assert text.count("<|im_start|>") == len(rs)
+        if (conv, me) == (1, "bob"):
+            assert text.startswith("<|im_start|>system\nbe kind<|im_end|>\n<|im_start|>user name=ann\nhi < |im_end|> there<|im_end|>\n<|im_start|>assistant\n<|im_end|>\n")
+    assert len(got[9, "a"]) == 700
+    whole = {(r.conv_id, r.perspective): r for r in chat.whole_dialogues(chat.render_perspectives(d)).collect()}
+    assert whole[9, "a"].text == "".join(r.segment for r in got[9, "a"]) and len(whole[9, "a"].targets) == 234
+
+
+def test_chat_of_nothing(spark):
+    assert chat.render_perspectives(spark.createDataFrame([], "conv_id long, turn long, role string, text string, seq string")).count() == 0
+
+
+# --- 2: decontamination
+
+
+def edit_infix(pattern, text):
+    row = [0] * (len(text) + 1)
+    for i, p in enumerate(pattern, 1):
+        new = [i]
+        for j, c in enumerate(text, 1):
+            new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (p != c)))
+        row = new
+    return min(row)
+
+
+def test_myers_is_the_edit_distance():
+    rng = random.Random(3)
+    for _ in range(300):
+        p = "".join(rng.choice("abc ") for _ in range(rng.randint(1, 90)))
+        t = "".join(rng.choice("abc ") for _ in range(rng.randint(0, 120)))
+        assert decontamination.infix_distance(len(p), decontamination.masks(p), t) == edit_infix(p, t)
+
+
+def test_leaks_are_those_of_brute_force(spark, docs, clashing, empty, rows):
+    rng = random.Random(4)
+    passages = [t for _, t, *_ in rows if t and 150 < len(t) < 700][:8]
+    items = [(i, t[20:150]) for i, t in enumerate(passages)] + [(50, passages[0][20:150]), (51, None), (52, "short"), (53, "x" * 60)]
+    edited = []
+    for i, t in items[:8]:
+        c = list(t)
+        for _ in range(i * 2):
+            c[rng.randrange(len(c))] = "#"
+        edited.append((1000 + i, "before it " + "".join(c) + " and after", "en", "src0", 1))
+    d = docs.unionByName(spark.createDataFrame(edited, docs.schema))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = Counter((r.doc_id, r.item_id, r.distance) for r in decontamination.leaking_pairs(d, bench).collect())
+    want = Counter()
+    for doc, t, *_ in [*rows, *edited]:
+        t = decontamination.normal(t)
+        if len(t) > 5000:
+            continue
+        for i, item in items:
+            item = decontamination.normal(item)
+            if len(item) >= decontamination.LEAST_ITEM and (x := edit_infix(item, t)) <= int(decontamination.ERROR_RATE * len(item)):
+                want[doc, i, x] += 1
+    long_ids = {r[0] for r in rows if len(r[1] or "") > 5000}
+    assert Counter({k: v for k, v in got.items() if k[0] not in long_ids}) == want and want
+    leaking = {k[0] for k in got}
+    kept = decontamination.decontaminate(clashing, bench)
+    assert kept.columns == clashing.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r[0]) for r in rows if r[0] not in leaking)
+    assert decontamination.leaking_pairs(empty, bench).count() == 0
+    assert decontamination.leaking_pairs(docs, bench.limit(0)).count() == 0
+
+
+# --- 3: token counts
+
+
+def test_pretokens_sum_to_the_tokenizers_count():
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    count, rng = token_counts.piece_counter(MODEL), random.Random(1)
+    parts = [" ", "  ", "\n", "\t", "a", "the", "▁", "é", "日本", "😀", "<s>", "</s>", "\x00", "　", "ing", "1", ".", "\r\n", "x" * 50]
+    for _ in range(3000):
+        t = "".join(rng.choice(parts) for _ in range(rng.randint(0, 12)))
+        w, _ = token_counts.pretokens_of(pa.array([t]))
+        assert sum(count([v[1:] for v in w.to_pylist()])) == len(sp.encode(t)), repr(t)
+
+
+def test_token_counts(docs, clashing, empty, rows):
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    want = Counter((i, len((t or "").encode()), n := len(sp.encode(t or "")), n > 4096) for i, t, *_ in rows)
+    assert Counter(map(tuple, token_counts.count_tokens(docs, MODEL).collect())) == want
+    assert Counter(map(tuple, token_counts.count_tokens(clashing, MODEL).collect())) == want
+    assert token_counts.count_tokens(empty, MODEL).count() == 0
+
+
+# --- 4: language
+
+
+def test_bloom_answers_with_all_owners():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    h = rng.integers(0, 2**63, 3000).astype(np.uint64)
+    owner = np.arange(3000) % 70  # more languages than bits of one word
+    bloom = language_id.BitSlicedBloom([f"l{i:02}" for i in range(70)], h, owner)
+    found = bloom.hits(h, np.arange(3000), 3000)
+    assert (found[np.arange(3000), owner] == 1).all()
+    other = rng.integers(0, 2**63, 20000).astype(np.uint64)
+    rate = bloom.hits(other, np.zeros(20000, int), 1)[0] / 20000
+    assert np.allclose(rate, bloom.false_rate, atol=0.01)
+
+
+def test_languages(docs, clashing, empty, rows):
+    got = language_id.predict_languages(docs).collect()
+    assert len(got) == len(rows)
+    by_id = {r.doc_id: r for r in got}
+    known = {i: (t, lang) for i, t, lang, *_ in rows if i is not None}
+    for i, (t, lang) in known.items():
+        r = by_id[i]
+        assert r.held_out == (zlib.crc32(str(i).encode()) % 3 == 1) and 0 <= r.score <= 1
+        if not re.search(r"[^\W\d_]", t or ""):
+            assert r.lang_pred == "und" and r.score == 0
+        elif lang and len(t) > 60:
+            assert r.lang_pred == lang
+    assert language_id.predict_languages(empty).count() == 0
+    kept = language_id.keep_identified(clashing)
+    assert kept.columns == clashing.columns
+    ids = {r.doc_id for r in kept.collect()}
+    assert {i for i, (t, lang) in known.items() if lang and len(t or "") > 60} <= ids
+    assert not ids & {i for i, (t, _) in known.items() if not re.search(r"[^\W\d_]", t or "")}
+
+
+def test_unlabelled_corpus_has_no_language(spark):
+    d = spark.createDataFrame([(1, "some words", None)], "doc_id long, text string, lang string")
+    assert [(r.lang_pred, r.score) for r in language_id.predict_languages(d).collect()] == [("und", 0.0)]
+
+
+# --- 5: quality
+
+
+def base_measures(t):
+    t = t or ""
+    w = words(t)
+    grams = Counter(tuple(w[j : j + 5]) for j in range(len(w) - 4))
+    covered = {k for j in range(len(w) - 4) if grams[tuple(w[j : j + 5])] > 1 for k in range(j, j + 5)}
+    lines = [x for x in t.split("\n") if words(x)]
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(covered)
+
+
+def test_quality_measures_and_verdicts(spark, docs, clashing, empty, rows):
+    junk = [(900 + i, ("buy*** now### cheap$$$ " * 3 + f"w{i} ") * 4, "en", "src0", 1) for i in range(2)]
+    junk += [(910, " ".join(f"{chr(97 + i % 26)}{i}###" for i in range(40)), "en", "src0", 1), (911, "a\nb c\nb c\nb c\n" + " ".join(f"x{i}" for i in range(30)), "de", "src1", 1)]
+    d = docs.unionByName(spark.createDataFrame(junk, docs.schema))
+    got = quality.judge(d).collect()
+    want = Counter((i, *base_measures(t)) for i, t, *_ in [*rows, *junk])
+    assert Counter((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in got) == want
+    for r in got:
+        assert r.base_failed == (r.n_words < 10 or 100 * r.n_repeat_words > 20 * r.n_words)
+        assert not (r.kept and r.base_failed)
+    kept = {r.doc_id: r.kept for r in got}
+    assert not kept[910] and "symbol_ratio" in next(r.faults for r in got if r.doc_id == 910)
+    assert all(kept[i] for i, t, *_ in rows if i is not None and i < 60)
+    assert quality.judge(clashing).count() == len(rows)
+    assert quality.judge(empty).count() == 0
+
+
+# --- 6: mixing
+
+
+def targets_by_hand(sizes, weights, share, most):
+    order = sorted((s for s in sizes if s is not None)) + ([None] if None in sizes else [])
+    w = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    rest, free, t = share * sum(sizes.values()), {s for s in order if sizes[s]}, dict.fromkeys(order, 0.0)
+    while rest > 1e-9 and free:
+        total = sum(w[s] for s in free)
+        add, rest = {s: rest * w[s] / total for s in free}, 0
+        for s in list(free):
+            t[s] += add[s]
+            if t[s] >= most * sizes[s] - 1e-9:
+                rest += t[s] - most * sizes[s]
+                t[s] = most * sizes[s]
+                free.discard(s)
+    return t
+
+
+def test_mix(spark, docs, clashing, empty, rows):
+    many = [(5000 + i, " ".join(["w"] * (1 + i * 37 % 211)), "en", f"big{i % 2}", 1) for i in range(2500)]
+    d = docs.unionByName(spark.createDataFrame(many, docs.schema))
+    got = mixing.mix(d).collect()
+    assert Counter((r.doc_id, r["size"]) for r in got) == Counter((i, len(words(t))) for i, t, *_ in [*rows, *many])
+    sizes = defaultdict(int)
+    for _, t, _, s, _ in [*rows, *many]:
+        sizes[s] += len(words(t))
+    want, taken, largest = targets_by_hand(sizes, (5, 2, 1), 1.5, 2.0), defaultdict(int), defaultdict(int)
+    for r in got:
+        assert math.isclose(r.target, want[r.source], rel_tol=1e-9) and r.source_size == sizes[r.source]
+        assert 0 <= r.taken <= 2 * r["size"]
+        rate = r.target / r.source_size
+        assert not r["size"] or r.copies in (math.floor(rate + 1e-9), math.ceil(rate - 1e-9))
+        taken[r.source] += r.taken
+        largest[r.source] = max(largest[r.source], r["size"])
+    for s in sizes:
+        assert abs(taken[s] - want[s]) <= largest[s]
+    assert all(abs(taken[s] - want[s]) <= 0.01 * want[s] for s in ("big0", "big1"))
+    again = mixing.mix(d.repartition(5)).collect()
+    assert Counter(map(tuple, again)) == Counter(map(tuple, got))
+    assert mixing.mix(empty).count() == 0
+    out = mixing.apply_mix(clashing)
+    assert out.columns == clashing.columns
+    alone = Counter()
+    for r in mixing.mix(docs).collect():
+        alone[r.doc_id] += r.copies
+    assert Counter(r.doc_id for r in out.collect()) == +alone
+
+
+def test_pivotal_keeps_expectations(spark):
+    d = spark.createDataFrame([(i, "w " * 10, s) for i in range(40) for s in ("a", "b")], "doc_id long, text string, source string")
+    n = Counter()
+    for seed in range(12):
+        for r in mixing.mix(d, weights=(1, 3), share=0.8, seed=seed).filter("source = 'a'").collect():
+            n[r.doc_id] += r.copies
+    total = sum(n.values())  # rate 0.4 of 40 rows, 12 times
+    assert total == 12 * 16 and max(n.values()) <= 11
+
+
+# --- 7: HTML
+
+
+def test_extract_article():
+    page = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body>
+    <div class="cookie-notice">We use cookies to make the site better for you.</div>
+    <header><h1>Site</h1><nav><ul><li><a href=/>Home</a></li></ul></nav></header>
+    <article><h1>Title &amp; more</h1><p>The first paragraph of the article is here, and it has a lot&nbsp;of   words in it.
+    <p>Short.<script>var x = "<p>not text</p>";</script><div class=ad>Buy this thing now for a price that is low.</div><!-- <p>no</p> -->
+    <p>The <b>last</b> one &eacute; &#x41; is in it as well<br>and goes on.</p><section id="comments"><p>I think that this is the best of all.</p></section></article>
+    <aside><p>The most read of the week is in this list.</p></aside><form>Search the site <input></form><footer>&copy; of the site</footer></body></html>"""
+    assert html_text.extract(page) == "Title & more The first paragraph of the article is here, and it has a lot of words in it. Short. The last one é A is in it as well and goes on."
+
+
+def test_extract_without_article_uses_density_and_neighbours():
+    menu = "".join(f'<li><a href="/{i}">Link number {i}</a></li>' for i in range(8))
+    page = f"""<body><ul>{menu}</ul><div><h2>About it</h2><p>This is the text of the page and it is long enough to be told by the words that are in it, as it has many of them.</p>
+    <p>Yes.</p><p>And this is another one of the paragraphs that are in the page, so that the short one is between two of them for sure.</p></div><ul>{menu}</ul></body>"""
+    text = html_text.extract(page)
+    assert text.startswith("About it This is the text") and " Yes. And this" in text and "Link" not in text
+
+
+@pytest.mark.parametrize("page", [None, "", "   ", "<", "<p", "a < b", "<!-- open", "<script>x", "<a" * 50, "</p></div>", "<p>&#0;&#1114112;&bogus;"])
+def test_extract_of_odd_pages(page):
+    assert isinstance(html_text.extract(page), str)
+
+
+def test_extract_pages_keeps_rows(spark):
+    rows = [(1, "u", "<article><p>One</p></article>"), (1, "u", "<article><p>One</p></article>"), (None, None, None), (2, "v", "<article>" + "<p>word and the rest</p>" * 20000 + "</article>")]
+    d = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, text string")
+    got = html_text.extract_pages(d).collect()
+    assert Counter((r.page_id, r.n_chars) for r in got) == Counter({(1, 3): 2, (None, 0): 1, (2, 20000 * 18 - 1): 1})
+    assert html_text.extract_pages(d.limit(0)).count() == 0
+
+
+# --- 8: language model
+
+
+def reference_scores(rows, order=3):
+    low = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
+    texts = [[*words((t or "").translate(low)), "\n"] for _, t, *_ in rows]
+    held = [i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i, *_ in rows]
+    train = [t for t, h in zip(texts, held, strict=True) if not h]
+    c = Counter(w for t in train for w in t)
+    n, v = sum(c.values()), len(c)
+    states, least = {w for w, k in c.items() if k >= max(2.0, n * lm_scoring.STATE_SHARE)}, max(2.0, n * lm_scoring.ARC_SHARE)
+    counts = {1: {(w,): k for w, k in c.items()}}
+    for k in range(2, order + 1):
+        x = Counter(tuple(t[j - k + 1 : j + 1]) for t in train for j in range(k - 1, len(t)))
+        counts[k] = {g: m for g, m in x.items() if m >= least and all(w in states for w in g) and (k == 2 or g[:-1] in counts[k - 1])}
+    back = defaultdict(float)
+    for k in range(2, order + 1):
+        for g, m in counts[k].items():
+            back[g[:-1]] += (m - lm_scoring.DISCOUNT) / counts[k - 1][g[:-1]]
+
+    def p(h, w):
+        if not h:
+            return (c[w] + 1) / (n + v + 1)
+        lower, k = p(h[1:], w), len(h)
+        if h not in counts[k] or (k == 1 and h[0] not in states):
+            return lower
+        return (counts[k + 1][*h, w] - lm_scoring.DISCOUNT) / counts[k][h] * ((*h, w) in counts[k + 1]) + (1 - back[h]) * lower if (*h, w) in counts[k + 1] else (1 - back[h]) * lower
+
+    out = []
+    for (i, *_), t, h in zip(rows, texts, held, strict=True):
+        base = sum(math.log10((c[w] + 1) / (n + v + 1)) for w in t)
+        score = sum(math.log10(p(tuple(t[max(0, j - order + 1) : j]), w)) for j, w in enumerate(t))
+        out.append((i, h, len(t), sum(c[w] > 0 for w in t), n, base, score))
+    return out
+
+
+def test_lm_scores(spark, docs, clashing, empty, rows):
+    order = lambda r: (str(r[0]), r[2], r[5])
+    want = sorted(reference_scores(rows), key=order)
+    for d in (docs, clashing):
+        got = sorted(map(tuple, lm_scoring.score_documents(d).collect()), key=order)
+        assert len(got) == len(want)
+        for g, w in zip(got, want, strict=True):
+            assert g[:5] == w[:5] and g[5] == pytest.approx(w[5], rel=1e-9) and g[6] == pytest.approx(w[6], rel=1e-9)
+    assert lm_scoring.score_documents(empty).count() == 0
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
+    only = lm_scoring.score_documents(spark.createDataFrame([(held, "no training text")], "doc_id long, text string")).collect()
+    assert [(r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in only] == [(4, 0, 0, 0.0, 0.0)]
+
+
+# --- 9: sharding
+
+
+def test_differencing_beats_first_come():
+    rng = random.Random(2)
+    weights = [int(rng.paretovariate(1.2) * 100) for _ in range(300)]
+    weights = [min(w, sum(weights) // 16) for w in weights]
+    final = sharding.difference([[w, 0, 0, 0] for w in weights], 4)
+    sums = Counter()
+    for w, f in zip(weights, final, strict=True):
+        sums[f[0]] += w
+    assert max(sums.values()) - min(sums.values()) <= 2
+    parts = sharding.difference([[5, 3, 1], [4, 4, 0], [7, 0, 0]], 3)
+    assert all(sorted(p) == [0, 1, 2] for p in parts)
+
+
+def test_shards(spark, docs, clashing, empty, rows):
+    got = sharding.shard_documents(docs, chunk_groups=10, fan_in=3).collect()
+    text = {i: t for i, t, *_ in rows}
+    assert Counter((r.doc_id, r["size"], r.text_crc32) for r in got) == Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t, *_ in rows)
+    slots, where = defaultdict(list), defaultdict(set)
+    for r in got:
+        slots[r.shard].append(r.slot)
+        where[text[r.doc_id]].add(r.shard)
+        assert r.law == "bytes" and r.grown_shard is None and 0 <= r.shard < 16
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values()) and all(len(v) == 1 for v in where.values())
+    assert sharding.shard_documents(clashing).count() == len(rows)
+    assert sharding.shard_documents(empty).count() == 0
+
+
+def test_shard_bytes_are_near_equal_and_a_giant_group_is_split(spark):
+    d = spark.range(4000).selectExpr("id as doc_id", "if(id % 3 = 0, repeat('copy ', 20), concat(repeat('x', cast(id * 7919 % 997 as int)), id)) as text")
+    got = sharding.shard_documents(d, chunk_groups=200).toPandas()
+    sums = got.groupby("shard")["size"].sum()
+    assert len(sums) == 16 and sums.max() - sums.min() <= 0.01 * sums.mean()
+
+
+# --- 10: near duplicates
+
+
+def brute_force_links(rows, similarity=0.8):
+    sets = []
+    for _, t, *_ in rows:
+        w = words(t)
+        sets.append(frozenset(tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))) if w else frozenset())
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    links = [0] * len(rows)
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] and sets[b] and len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]) - 1e-9:
+                links[a] += 1
+                links[b] += 1
+                parent[find(a)] = find(b)
+    classes = defaultdict(list)
+    for k in range(len(rows)):
+        classes[find(k)].append(rows[k][0])
+    least = {root: min((i for i in ids if i is not None), default=None) for root, ids in classes.items()}
+    return Counter((rows[k][0], least[find(k)], links[k]) for k in range(len(rows)))
+
+
+def test_near_duplicates_are_those_of_brute_force(spark, docs, clashing, empty, rows):
+    want = brute_force_links(rows)
+    assert Counter(map(tuple, near_duplicates.near_duplicates(docs).collect())) == want
+    assert near_duplicates.near_duplicates(empty).count() == 0
+    kept = near_duplicates.deduplicate(clashing)
+    assert kept.columns == clashing.columns
+    ids = Counter(r.doc_id for r in kept.collect())
+    no_word = {i for i, t, *_ in rows if not words(t)}
+    assert set(ids) == {c for (_, c, _) in want} | no_word and all(n == 1 for n in ids.values())
+
+
+def test_near_duplicates_in_large_groups(spark, monkeypatch):
+    """A group larger than a bucket and a block, a passage that all share, and exact copies."""
+    monkeypatch.setattr(near_duplicates, "BLOCK", 40)
+    rng = random.Random(8)
+    shared = [f"s{i}" for i in range(30)]
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for i in range(100):  # near copies
+        w = list(base)
+        w[rng.randrange(120)] = f"e{i}"
+        rows.append((i, " ".join(w)))
+    for i in range(150):  # one passage in all, else different
+        rows.append((1000 + i, " ".join(shared + [f"d{i}_{j}" for j in range(60)])))
+    rows += [(2000 + i, rows[0][1]) for i in range(70)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert Counter(map(tuple, near_duplicates.near_duplicates(d).collect())) == brute_force_links(rows)
