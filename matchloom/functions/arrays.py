@@ -24,7 +24,7 @@ def zip_shorter(a: Column, b: Column) -> Column:
 
 def str_list(a: Column) -> Column:
     """Trimmed values without blanks and nulls."""
-    return F.filter(F.transform(a, F.trim), lambda x: x.isNotNull() & (x != ""))
+    return F.filter(F.transform(a, lambda x: F.trim(x)), lambda x: x.isNotNull() & (x != ""))
 
 
 def split_list(c: Column, separator: str = ";") -> Column:

@@ -26,7 +26,7 @@ def write_by_sheet(df: DataFrame, name: str, position: str, path: str) -> DataFr
     names = sheet_names(df, name, position).select(F.col(name).alias("_n"), "sheet")
     out = df.join(names, F.col(name).eqNullSafe(F.col("_n"))).drop("_n")
     out.repartition("sheet", F.pmod(F.xxhash64(position), F.lit(16))).write.mode("overwrite").partitionBy("sheet").parquet(path)
-    return names
+    return names.withColumnRenamed("_n", name)
 
 
 def append_missing(items: DataFrame, keys: list[str], path: str) -> DataFrame:
