@@ -79,3 +79,13 @@ def sheet_names(df: DataFrame, name: str, position: str, longest: int = 31) -> D
     nth = F.row_number().over(Window.partitionBy(F.lower("base")).orderBy("pos")) - 1
     cut = F.expr(f"left(base, {longest} - length(concat('_', cast(nth as string))))")
     return firsts.withColumn("nth", nth).select(name, "pos", F.when(F.col("nth") == 0, F.col("base")).otherwise(F.concat(cut, F.concat(F.lit("_"), F.col("nth").cast("string")))).alias("sheet"))
+
+
+def select_by_name(df: DataFrame, name: str, wanted: str, position: str, n: int) -> DataFrame:
+    """The first n rows whose normalised name is the wanted one; an error if there are none."""
+    from ..functions.text import norm_name
+
+    found = df.filter(norm_name(F.col(name)) == norm_name(F.lit(wanted))).orderBy(position).limit(n)
+    if found.isEmpty():
+        raise ValueError(f"no rows for {wanted!r}")
+    return found

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import structs as X
 from ..functions import text as T
 from ..operators import llm_output as L
+from ..operators import models as M
+from ..operators import retrieval as R
 from ..sources.readers import table
 from .registry import query
 
@@ -101,3 +104,59 @@ def repair_texts(spark: SparkSession, sf: str) -> DataFrame:
     """Broken values are made anew; what the acceptor refuses stays as it was."""
     d = table(spark, sf, "documents").select("doc_id", F.split_part("text", F.lit("\n"), F.lit(1)).alias("t"))
     return L.repair(d, "t", F.col("t").rlike("[*#$%&]{3}"), lambda c: F.trim(F.regexp_replace(c, "[*#$%&]+", " ")), lambda c: F.length(c) >= 20)
+
+
+@query("""SELECT n_nationkey, CASE WHEN n_nationkey % 3 = 2 THEN NULL ELSE n_name END AS grp FROM nation""")
+def group_of_struct(spark: SparkSession, sf: str) -> DataFrame:
+    """`{rank, group}` as JSON, as a Python literal, or with a group that is none."""
+    n, k = table(spark, sf, "nation"), F.col("n_nationkey") % 3
+    raw = F.when(k == 0, F.concat(F.lit('{"rank": 1, "group": "'), "n_name", F.lit('"}'))).when(k == 1, F.concat(F.lit("{'rank': None, 'group': '"), "n_name", F.lit("'}"))).otherwise('{"rank": 5, "group": "nan"}')
+    return n.select("n_nationkey", X.group_of(raw).alias("grp"))
+
+
+@query("""SELECT n_nationkey, CAST(n_nationkey AS VARCHAR) AS id, trim(n_name) AS name, 'r' || n_regionkey AS region, 'a;b' AS keywords FROM nation WHERE n_nationkey % 4 <> 3""")
+def conduct_list_cleanup(spark: SparkSession, sf: str) -> DataFrame:
+    """Nested performer lists: trimmed, without blanks, entries without any information left out."""
+    n = table(spark, sf, "nation")
+    item = F.concat(F.lit('{"company_id": "'), F.col("n_nationkey").cast("string"), F.lit('", "company_name": " '), "n_name", F.lit('", "company_info": {"region": "r'), F.col("n_regionkey").cast("string"), F.lit('", "company_keyword": ["a", " ", "b "]}}'))
+    raw = F.when(F.col("n_nationkey") % 4 == 3, '[{"company_id": "none", "company_info": {"region": ""}}]').otherwise(F.concat(F.lit("["), item, F.lit(", {}]")))
+    return n.select("n_nationkey", F.inline(X.conduct_list(raw, "company"))).select("n_nationkey", "id", "name", "region", F.array_join("keywords", ";").alias("keywords"))
+
+
+@query("""WITH c AS (SELECT l_suppkey, p_partkey, p_name, p_type, p_brand, row_number() OVER (PARTITION BY l_suppkey ORDER BY p_partkey) AS pos FROM (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem) JOIN part ON p_partkey = l_partkey)
+SELECT l_suppkey, '[candidates]' || chr(10) || string_agg(pos || '. ' || p_name || ' | ' || array_to_string((string_split(p_name, ' '))[1:8], ', ') || ' | ' || left(p_type || ' ' || p_brand, 280), chr(10) ORDER BY pos) AS block FROM c WHERE pos <= 20 GROUP BY 1""")
+def candidate_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """The candidate lists of prompts, 20 to a block."""
+    part = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name", F.concat_ws(" ", "p_type", "p_brand").alias("descr"))
+    c = table(spark, sf, "lineitem").select("l_suppkey", "l_partkey").distinct().join(part, "l_partkey")
+    first = R.top_k(c, "l_suppkey", 20, F.col("l_partkey"), rank="pos")
+    return M.candidate_block(first, "l_suppkey", "pos", M.candidate_line(F.col("pos"), F.col("p_name"), F.split("p_name", " "), F.col("descr")), "candidates")
+
+
+@query("""SELECT p_partkey, '[name] ' || p_name || chr(10) || chr(10) || '[type] ' || p_type || CASE WHEN p_size > 25 THEN chr(10) || chr(10) || '[size] large' ELSE '' END AS detail FROM part""")
+def explanation_template(spark: SparkSession, sf: str) -> DataFrame:
+    """Sections with text, put together; empty ones are left out."""
+    p = table(spark, sf, "part")
+    return p.select("p_partkey", M.explanation({"name": F.col("p_name"), "type": F.col("p_type"), "size": F.when(F.col("p_size") > 25, "large").otherwise("")}).alias("detail"))
+
+
+@query(None)
+def encode_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Vectors of all benchmark passages by the encoder boundary, and their nearest other passages."""
+    b = M.encode(table(spark, sf, "benchmark"), "text").select(F.col("item_id").alias("vec_id"), "embedding")
+    return R.cosine_top_k(b, b, 3, query_blocks=4)
+
+
+@query(None)
+def score_blocks_by_model(spark: SparkSession, sf: str) -> DataFrame:
+    """Blocks of candidates as they go to a model function in Python workers; here a model that counts shared words."""
+
+    def model(source: str, texts: list[str]) -> list[tuple[int, str]]:
+        mine = set(source.lower().split())
+        return [(min(100, len(mine & set(t.lower().split()))), "shared words") for t in texts]
+
+    best = R.bm25_scores(table(spark, sf, "benchmark"), table(spark, sf, "documents"), "item_id", "text", "doc_id", "text")
+    best = R.top_k(best, "query", 40, F.desc(F.round("score", 9)), F.col("doc"), rank="pos").select("query", "doc", "pos")
+    b = table(spark, sf, "benchmark").select(F.col("item_id").alias("query"), F.col("text").alias("source"))
+    candidates = best.join(b, "query").join(table(spark, sf, "documents").select(F.col("doc_id").alias("doc"), F.col("text").alias("body")), "doc")
+    return M.score_in_blocks(candidates, "query", "pos", "source", "body", model).select("query", "doc", "pos", "batch", "score", "reason")

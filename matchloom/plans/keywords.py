@@ -53,10 +53,10 @@ _INPUTS = (
 _NOUNS = ("반도체;반도체", "정밀화학", "생명공학;원료의약품", "AI;기반;5G;MP3;H264", "스마트팩토리;IoT;센서", "RFID;태그", "")
 
 
-@query(None)
+@query("SELECT * FROM (VALUES " + ", ".join(f"({n}, '{i}', '{k}')" for n, (i, k) in enumerate(zip(_INPUTS, _NOUNS, strict=True), 1)) + ") AS t(n, input, nouns)")
 def noun_normalize_ko(spark: SparkSession, sf: str) -> DataFrame:
     rows = spark.createDataFrame(list(enumerate(_INPUTS, 1)), "n int, input string")
-    return rows.select("n", "input", F.array_join(T.noun_keywords(F.col("input")), ";").alias("nouns"), F.array_join(T.noun_keywords(F.col("input"), "viewer"), ";").alias("viewer"))
+    return rows.select("n", "input", F.array_join(T.noun_keywords(F.col("input")), ";").alias("nouns"))
 
 
 _CODES = ("030301", "2024", "EH030301", "RS232", "5G", "3D", "4K", "MP3", "H264", "AI", "IoT", "RFID", "가1234", "abc", "12a")

@@ -69,3 +69,20 @@ def next_version(paths: DataFrame, path: str = "path") -> DataFrame:
     """(latest, next): the newest version among the paths and the one to write."""
     latest = F.coalesce(F.max(version_of(F.col(path))), F.lit(0))
     return paths.agg(latest.alias("latest"), (latest + 1).alias("next"))
+
+
+def fenced_block(spark: SparkSession, path: str, header: str) -> str:
+    """The first fenced block after a header line of a small Markdown file: configuration that is kept in a document."""
+    lines = spark.read.text(path, wholetext=True).first()["value"].split("\n")
+    at = next((i for i, line in enumerate(lines) if line.startswith(header)), None)
+    if at is None:
+        raise ValueError(f"no header {header!r} in {path}")
+    fences = [i for i in range(at + 1, len(lines)) if lines[i].startswith("```")][:2]
+    if len(fences) < 2:
+        raise ValueError(f"no fenced block after {header!r} in {path}")
+    return "\n".join(lines[fences[0] + 1 : fences[1]])
+
+
+def word_set(block: str) -> list[str]:
+    """The distinct words of comma-separated lines, in order."""
+    return list(dict.fromkeys(w.strip() for line in block.splitlines() for w in line.split(",") if w.strip()))

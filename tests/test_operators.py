@@ -4,6 +4,7 @@ import pytest
 from matchloom.functions import text as T
 from matchloom.operators import enrichment as E
 from matchloom.operators import llm_output as L
+from matchloom.operators import models as M
 from matchloom.operators import retrieval as R
 from matchloom.operators import selection as S
 from matchloom.sources import readers, writers
@@ -132,3 +133,34 @@ def test_sources_in_order(spark):
     keys = spark.createDataFrame([(1,), (2,), (3,)], "k int")
     a, b = spark.createDataFrame([(1, "a")], "k int, v string"), spark.createDataFrame([(1, "b"), (2, "b")], "k int, v string")
     assert {tuple(r) for r in S.resolve_sources(keys, [("a", a), ("b", b)], "k", "v").collect()} == {(1, "a", "a"), (2, "b", "b"), (3, None, "miss")}
+
+
+def test_model_boundary(spark, tmp_path):
+    d = spark.createDataFrame([("q", "온도 센서 개발", i, t) for i, t in enumerate(["온도 센서", "무관한 글", "fail"], 1)], "query string, source string, pos int, body string")
+    got = {r.pos: (r.score, r.reason) for r in M.score_in_blocks(d, "query", "pos", "source", "body").collect()}
+    assert got[1] == (100, "핵심 기술 부합: 온도, 센서") and got[2] == (0, "직접 관련 근거 약함")
+
+    def model(source, texts):
+        if "fail" in texts:
+            raise ValueError("no answer")
+        return [(7, "ok")] * len(texts)
+
+    asked = M.score_in_blocks(d, "query", "pos", "source", "body", model, size=2)
+    assert {r.pos: (r.score, r.reason) for r in asked.collect()} == {1: (7, "ok"), 2: (7, "ok"), 3: (None, None)}
+    filled = L.with_default_answer(d.select("pos"), asked.filter("score is not null").select("pos", "score", "reason"), ["pos"])
+    assert {r.pos: r.reason for r in filled.collect()}[3] == L.NO_ANSWER
+    vectors = M.encode(d, "body").select("embedding").collect()
+    assert all(abs(sum(x * x for x in v[0]) - 1) < 1e-5 for v in vectors)
+    assert M.object_schema(["a"])["required"] == ["a"]
+
+
+def test_names_and_specifications(spark, tmp_path):
+    d = spark.createDataFrame([(1, "(주)가나"), (2, "가 나"), (3, "다")], "pos int, name string")
+    assert [r.pos for r in S.select_by_name(d, "name", "주식회사 가나", "pos", 5).collect()] == [1, 2]
+    with pytest.raises(ValueError, match="no rows"):
+        S.select_by_name(d, "name", "라", "pos", 5)
+    p = tmp_path / "spec.md"
+    p.write_text("# One\n```\nx\n```\n## Words\ntext\n```text\na, b,\nb, c\n```\n", encoding="utf-8")
+    assert readers.word_set(readers.fenced_block(spark, str(p), "## Words")) == ["a", "b", "c"]
+    with pytest.raises(ValueError, match="no header"):
+        readers.fenced_block(spark, str(p), "## None")
