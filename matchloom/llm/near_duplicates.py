@@ -17,8 +17,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 #: A linked pair is missed by all runs with less than this probability, before links through third texts.
 MISSED = 5e-5
-#: Levels of a path, and shared tokens that are expected to be chosen at the first and at each later level.
-LEVELS, CHOSEN = 3, (1.0, 2.0, 2.0)
+#: Levels of a path.
+LEVELS = 3
 #: Buckets up to this size are compared as they are; larger ones are split by another chosen token.
 SMALL_BUCKET = 48
 #: A child bucket with this share of its parent shows that the parent is one group of copies: it is compared in blocks.
@@ -30,8 +30,8 @@ BINS, LEAST_AGREEMENT = 64, 0.5
 
 
 def n_runs(similarity: float = SIMILARITY, missed: float = MISSED) -> int:
-    """A run finds a pair at the threshold with probability 1 - 1/e or more; enough runs for the target recall."""
-    return math.ceil(math.log(missed) / math.log(math.exp(-CHOSEN[0])))
+    """Runs for the target recall where a pair needs two levels: a run finds it with probability similarity squared then."""
+    return math.ceil(math.log(missed) / math.log(1 - similarity**2))
 
 
 def shingles_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -84,35 +84,33 @@ def agreement(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return ((x == y) & (x != 0)).sum(axis=-1) / np.maximum(used, 1)
 
 
-def chosen_tokens(tokens: np.ndarray, ends: np.ndarray, runs: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """(row, token) of all tokens chosen for a level of a run; the last byte of a token says which."""
-    sizes = np.diff(ends)
-    row = np.repeat(np.arange(len(sizes), dtype=np.int64), sizes)
-    per_row = np.repeat(1.0 / (similarity * np.maximum(sizes, 1)), sizes)
-    rows, chosen = [], []
-    for level in range(LEVELS):
-        limit = (np.minimum(per_row * CHOSEN[level], 1 - 2**-40) * 2.0**64).astype(np.uint64)
-        for run in range(runs):
-            tag = level * 64 + run
-            salt = mix64(np.array([2 * tag, 2 * tag + 1], np.uint64), 7)
-            with np.errstate(over="ignore"):
-                hit = ((tokens ^ salt[0]) * (salt[1] | np.uint64(1))) <= limit
-            rows.append(row[hit])
-            chosen.append((tokens[hit] & ~np.uint64(255)) | np.uint64(tag))
-    return np.concatenate(rows), np.concatenate(chosen)
+def chosen_tokens(tokens: np.ndarray, ends: np.ndarray, runs: int) -> np.ndarray:
+    """rows x (LEVELS * runs): the token that a text chooses for each level of each run, as a hash.
+
+    Each choice samples one token of the set, the one with the least salted hash, so two texts choose the same one with
+    probability of their similarity. Rows without a token have zeros.
+    """
+    out = np.zeros((len(ends) - 1, LEVELS * runs), np.uint64)
+    some = np.flatnonzero(np.diff(ends))
+    if len(some):
+        salts = mix64(np.arange(2 * LEVELS * runs, dtype=np.uint64), 7)
+        with np.errstate(over="ignore"):
+            for k in range(LEVELS * runs):
+                # An odd factor keeps hashes distinct, so the least value tells the token.
+                out[some, k] = np.minimum.reduceat((tokens ^ salts[2 * k]) * (salts[2 * k + 1] | np.uint64(1)), ends[some])
+    return out
 
 
 FEATURES = "node long, doc long, size int, chosen array<bigint>, sketch binary"
 
 
-def _features(docs: DataFrame, runs: int, similarity: float) -> DataFrame:
+def _features(docs: DataFrame, runs: int) -> DataFrame:
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             tokens, ends = shingles_of(batch.column("text"))
-            row, chosen = chosen_tokens(tokens, ends, runs, similarity)
-            order = np.argsort(row, kind="stable")
-            offsets = np.searchsorted(row[order], np.arange(batch.num_rows + 1)).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(chosen[order].view(np.int64)))
+            chosen = chosen_tokens(tokens, ends, runs)
+            offsets = np.arange(batch.num_rows + 1, dtype=np.int32) * chosen.shape[1]
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(chosen.reshape(-1).view(np.int64)))
             sketch = pa.FixedSizeBinaryArray.from_buffers(pa.binary(BINS), batch.num_rows, [None, pa.py_buffer(sketches_of(tokens, ends))]).cast(pa.binary())
             out = pa.RecordBatch.from_arrays([batch.column("node"), batch.column("doc"), pa.array(np.diff(ends).astype(np.int32)), lists, sketch], names=["node", "doc", "size", "chosen", "sketch"])
             yield out.filter(pa.array(np.diff(ends) > 0))
@@ -192,8 +190,7 @@ def candidate_edges(nodes: DataFrame, runs: int) -> DataFrame:
     compared if it is small or dense, and split by the next level's tokens otherwise; after the last level, large buckets
     are compared in blocks.
     """
-    tagged = lambda level: F.expr(f"filter(chosen, c -> (c & 255) div 64 = {level})")
-    rows = nodes.select("node", F.explode(tagged(0)).alias("path")).withColumn("run", F.expr("cast(path & 63 as int)"))
+    rows = nodes.select("node", F.posexplode(F.slice("chosen", 1, runs)).alias("run", "token")).select("node", "run", F.xxhash64("run", "token").alias("path"))
     small, large = [], []
     for level in range(LEVELS):
         rows = materialize(rows, "paths")
@@ -204,8 +201,9 @@ def candidate_edges(nodes: DataFrame, runs: int) -> DataFrame:
         if level == LEVELS - 1 or over.isEmpty():
             large.append(over.select("path", "node", "n"))
             break
-        deeper = over.join(nodes.select("node", tagged(level + 1).alias("next")), "node").select("node", "run", "n", F.col("path").alias("parent"), F.explode(F.expr("filter(next, c -> (c & 63) = run)")).alias("token"))
-        deeper = materialize(deeper.withColumn("path", F.xxhash64("parent", "token")), "paths")
+        token = F.element_at("next", F.col("run") + 1)
+        deeper = over.join(nodes.select("node", F.slice("chosen", 1 + (level + 1) * runs, runs).alias("next")), "node").select("node", "run", "n", F.col("path").alias("parent"), F.xxhash64("path", token).alias("path"))
+        deeper = materialize(deeper, "paths")
         dense = deeper.groupBy("parent", "path").agg(F.count(F.lit(1)).alias("m"), F.max("n").alias("n")).filter(F.col("m") >= DENSE * F.col("n")).select(F.col("parent").alias("path")).distinct()
         dense = materialize(dense, "dense")
         large.append(over.join(dense, "path", "left_semi").select("path", "node", "n"))
@@ -285,7 +283,7 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _known(d: DataFrame, similarity: float, missed: float) -> DataFrame:
     """(node, doc, copies, links, root) of every text with a word: its least id, links to other texts' rows, and class."""
     runs = n_runs(similarity, missed)
-    features = _features(d, runs, similarity)
+    features = _features(d, runs)
     nodes = materialize(
         features.groupBy("node").agg(F.min("doc").alias("doc"), F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"), F.first("chosen").alias("chosen"), F.first("sketch").alias("sketch")),
         "nodes",
@@ -296,10 +294,11 @@ def _known(d: DataFrame, similarity: float, missed: float) -> DataFrame:
     n_small = parts.filter(F.col("n") <= BLOCK).count()
     packs = max(1, -(-n_small // (BLOCK // 2)))
     key = lambda c: F.coalesce(c, F.lit(-1))
-    texts = d.withColumn("_doc", key(F.col("doc"))).join(parts.select("node", key(F.col("doc")).alias("_doc"), "copies", "comp", "n"), ["node", "_doc"])
-    one_task = texts.filter(F.col("n") <= BLOCK).select("node", "comp", "copies", "text", F.pmod(F.xxhash64("comp"), F.lit(packs)).alias("task"), *[F.lit(0).alias(c) for c in ("block", "one", "other")], F.lit(True).alias("whole"))
-    split = _in_blocks(texts.filter(F.col("n") > BLOCK), "comp", "n").select("node", "comp", "copies", "text", F.xxhash64("comp", "one", "other").alias("task"), "block", "one", "other", F.lit(False).alias("whole"))
-    links = materialize(one_task.unionByName(split).groupBy("task", "whole", "one", "other").applyInArrow(_verifier(similarity), "node long, links long, root long, whole boolean"), "links")
+    texts = d.withColumn("_doc", key(F.col("doc"))).join(parts.select("node", key(F.col("doc")).alias("_doc"), "copies", "comp", "n").hint("merge"), ["node", "_doc"])
+    # One join of texts for components of every size: whole components are packed into tasks, large ones dealt by blocks.
+    whole = F.col("n") <= BLOCK
+    dealt = _in_blocks(texts, "comp", "n").select("node", "comp", "copies", "text", F.when(whole, F.pmod(F.xxhash64("comp"), F.lit(packs))).otherwise(F.xxhash64("comp", "one", "other")).alias("task"), "block", "one", "other", whole.alias("whole"))
+    links = materialize(dealt.groupBy("task", "whole", "one", "other").applyInArrow(_verifier(similarity), "node long, links long, root long, whole boolean"), "links")
     across = connected_components(links.filter("not whole").select(F.col("node").alias("u"), F.col("root").alias("v")), "classes")
     linked = links.groupBy("node").agg(F.sum("links").alias("links"), F.min(F.when(F.col("whole"), F.col("root"))).alias("near_root"))
     linked = linked.join(across.withColumnRenamed("root", "far_root"), "node", "left").select("node", "links", F.coalesce("near_root", "far_root").alias("root"))
