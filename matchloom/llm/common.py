@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that a Python worker handles at a time; bounds its memory whatever the batch size is.
-SLICE_BYTES = 6_000_000
+SLICE_BYTES = 4_000_000
 #: A word is a maximal run of characters other than these (space and \x09-\x0D).
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 

@@ -24,7 +24,7 @@ SMALL_BUCKET = 48
 #: A child bucket with this share of its parent shows that the parent is one group of copies: it is compared in blocks.
 DENSE = 0.5
 #: Rows of a block when a large bucket or component is compared block by block.
-BLOCK = 1024
+BLOCK = 512
 #: One-permutation sketch: bins of 8 bits. Pairs that agree in fewer than this share of bins (six deviations off) are dropped.
 BINS, LEAST_AGREEMENT = 64, 0.5
 
@@ -164,16 +164,30 @@ def _stars(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
 
 
 def _block_edges(t: pa.Table) -> pa.Table:
-    """Compare two blocks of one large bucket by sketches."""
+    """Compare two blocks of one large bucket by sketches; edges from nodes to the least of their part."""
     node, sketch, block = t["node"].to_numpy(), _matrix(t["sketch"]), t["block"].to_numpy()
-    one, other = block == t["one"][0].as_py(), block == t["other"][0].as_py()
-    left, right = [], []
+    order = np.argsort(node, kind="stable")  # then the least index is the least node
+    node, sketch, block = node[order], sketch[order], block[order]
+    one, other = block == t["one"][0].as_py(), np.flatnonzero(block == t["other"][0].as_py())
+    near = np.zeros((len(node), len(node)), bool)
     for i in np.flatnonzero(one):
-        near = other & (agreement(sketch[i], sketch) >= LEAST_AGREEMENT)
-        left.append(np.full(int(near.sum()), node[i]))
-        right.append(node[near])
-    a, b = np.concatenate(left), np.concatenate(right)
-    return pa.Table.from_batches(list(_stars(a[a != b], b[a != b])), schema=EDGES)
+        near[i, other] = agreement(sketch[i], sketch[other]) >= LEAST_AGREEMENT
+    roots = node[_matrix_roots(near | near.T)]
+    differ = roots != node
+    return pa.Table.from_arrays([pa.array(node[differ]), pa.array(roots[differ])], schema=EDGES)
+
+
+def _matrix_roots(near: np.ndarray) -> np.ndarray:
+    """For each row of a symmetric matrix of links, the least row of its component; memory of a few rows at a time."""
+    label = np.arange(len(near), dtype=np.int32)
+    while True:
+        new = label.copy()
+        for s in range(0, len(near), 128):
+            new[s : s + 128] = np.minimum(label[s : s + 128], np.where(near[s : s + 128], label, len(near)).min(axis=1, initial=len(near)))
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
 
 
 def _in_blocks(rows: DataFrame, group: str, n: str) -> DataFrame:
@@ -261,15 +275,13 @@ def _verifier(similarity: float):
         out = []
         order = np.argsort(comp, kind="stable")
         for rows in np.split(order, np.flatnonzero(np.diff(comp[order])) + 1):
+            rows = rows[np.argsort(node[rows], kind="stable")]  # then the least index is the least node
             near = _similar(tokens, ends, rows, similarity)
             if one != other:
-                near &= (block[rows][:, None] != block[rows][None, :])
-            links = (near * copies[rows][None, :]).sum(axis=1).astype(np.int64)
-            a, b = np.nonzero(np.triu(near))
-            nodes, roots = local_roots(node[rows][a], node[rows][b]) if len(a) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-            root = dict(zip(nodes.tolist(), roots.tolist(), strict=True))
+                near &= block[rows][:, None] != block[rows][None, :]
+            links = np.array([copies[rows][row].sum() for row in near], np.int64)
             has = links > 0
-            out.append((node[rows][has], links[has], np.array([root[x] for x in node[rows][has].tolist()], np.int64)))
+            out.append((node[rows][has], links[has], node[rows][_matrix_roots(near)][has]))
         columns = [np.concatenate([o[i] for o in out]) for i in range(3)]
         return pa.Table.from_arrays([*map(pa.array, columns), pa.array(np.full(len(columns[0]), whole))], schema=LINKS)
 
