@@ -80,7 +80,7 @@ def squeeze(c: Column) -> Column:
 
 def fix_spacing(c: Column) -> Column:
     """A space after a sentence's period where it lacks; decimals and versions stay."""
-    return F.regexp_replace(F.coalesce(c, F.lit("")), r"([가-힣%)\]』」’”])\.(?=[^\s.,;:)\]}%’”」』])", "$1. ")
+    return F.regexp_replace(F.coalesce(c, F.lit("")), W.SENTENCE_GAP, "$1. ")
 
 
 def html_escape(c: Column) -> Column:
@@ -127,8 +127,7 @@ def country_name(c: Column) -> Column:
 
 def period_years(c: Column) -> Column:
     """Start and end year of a description, or its first year; array of one or two, null without a year."""
-    span = r"(\d{4})년\s*\d{1,2}월\s*\d{1,2}일에 시작.*?(\d{4})년\s*\d{1,2}월\s*\d{1,2}일에 종료"
-    start, end, first = F.regexp_extract(c, span, 1), F.regexp_extract(c, span, 2), F.regexp_extract(c, r"(\d{4})년", 1)
+    start, end, first = F.regexp_extract(c, W.PERIOD, 1), F.regexp_extract(c, W.PERIOD, 2), F.regexp_extract(c, W.FIRST_YEAR, 1)
     return F.when(start != "", F.array_distinct(F.array(start, end))).when(first != "", F.array(first))
 
 
@@ -138,25 +137,16 @@ def period_cell(c: Column) -> Column:
 
 def subject_class(c: Column) -> Column:
     """The field a description says it belongs to: the first valid of several phrasings."""
-    name = r"([가-힣][가-힣·.\s]{1,18}?)"
-    phrases = (
-        r"[,，]\s*([가-힣][가-힣·.\s]*?)\s*분야에\s*(?:속|해당)",
-        rf"수행(?:하며|했으며|하는 이 과제는|한 이 과제는)?\s*{name}\s*분야에\s*(?:속|해당)",
-        rf"이 과제는\s*{name}\s*분야에\s*(?:속|해당)",
-        rf"에서는?\s*{name}\s*분야(?:의|에서)",
-        rf"[는은]\s*{name}\s*분야(?:에서|의|에\s*속|에\s*해당)",
-        rf"{name}\s*분야에\s*(?:속|해당)",
-    )
     found = []
-    for p in phrases:
+    for p in W.SUBJECT_PHRASES:
         v = F.trim(F.rtrim(F.trim(F.regexp_extract(c, p, 1)), F.lit(".")))
         v = F.trim(F.btrim(F.regexp_replace(v, r"\s*\.\s*", "·"), F.lit("·")))
-        found.append(F.when(F.length(v).between(2, 25) & ~v.rlike("과제|수행|연구비"), v))
+        found.append(F.when(F.length(v).between(2, 25) & ~v.rlike(W.NO_SUBJECT), v))
     return F.coalesce(*found)
 
 
 def strip_source_tag(c: Column) -> Column:
-    return F.regexp_replace(c, r"\s*\(출처[:：][^)]*\)\s*$", "")
+    return F.regexp_replace(c, W.SOURCE_TAG, "")
 
 
 def strip_think(c: Column) -> Column:

@@ -30,3 +30,18 @@ ABSENCE = (
     r"(제공되지\s*않|정보[가는은]\s*없|해당\s*(내용|정보|사례)\S*\s*생략|생략(합니다|한다|됩니다|됨|하)|분석할\s*수\s*없|작성할\s*수\s*없|활용되지\s*않|"
     r"수행\s*기업[이가]?\s*(존재하지\s*않|없)|존재하지\s*않|확인되지\s*않|conduct_list_company)"
 )
+# Patterns by which descriptions, texts and answers are read, in order of preference.
+SUBJECT_PHRASES = (
+    r"[,，]\s*([가-힣][가-힣·.\s]*?)\s*분야에\s*(?:속|해당)",
+    r"수행(?:하며|했으며|하는 이 과제는|한 이 과제는)?\s*([가-힣][가-힣·.\s]{1,18}?)\s*분야에\s*(?:속|해당)",
+    r"이 과제는\s*([가-힣][가-힣·.\s]{1,18}?)\s*분야에\s*(?:속|해당)",
+    r"에서는?\s*([가-힣][가-힣·.\s]{1,18}?)\s*분야(?:의|에서)",
+    r"[는은]\s*([가-힣][가-힣·.\s]{1,18}?)\s*분야(?:에서|의|에\s*속|에\s*해당)",
+    r"([가-힣][가-힣·.\s]{1,18}?)\s*분야에\s*(?:속|해당)",
+)
+NO_SUBJECT = "과제|수행|연구비|총연구"
+PERIOD = r"(\d{4})년\s*\d{1,2}월\s*\d{1,2}일에 시작.*?(\d{4})년\s*\d{1,2}월\s*\d{1,2}일에 종료"
+FIRST_YEAR = r"(\d{4})년"
+SENTENCE_GAP = r"([가-힣%)\]』」’”])\.(?=[^\s.,;:)\]\}%’”」』])"
+SOURCE_TAG = r"\s*\(출처[:：][^)]*\)\s*$"
+SCORE_ITEM = r'\{\s*"id"\s*:\s*(\d+)\s*,\s*"score"\s*:\s*(\d+)\s*,\s*"reason"\s*:\s*"([^"]*)"'
