@@ -173,8 +173,12 @@ def identify(docs: DataFrame, model: BitSlicedBloom, id_col: str = "doc_id", tex
 
 
 def predict_languages(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, lang_pred, score for `documents`: learned from rows outside the held-out third that have a lang."""
-    held_out = split_of("doc_id", 3) == 1
+    """doc_id, held_out, lang_pred, score for `documents`: learned from rows outside the held-out third that have a lang.
+
+    Null text and text without a letter are `und` with score 0, and so is every text if there is no labelled row. Null ids
+    and repeated rows give a row each; a null id is not held out. Other columns are ignored; an empty table gives none.
+    """
+    held_out = F.coalesce(split_of("doc_id", 3) == 1, F.lit(False))
     model = train(docs.filter(~held_out))
     return identify(docs, model).select("doc_id", held_out.alias("held_out"), F.col("_lang_pred").alias("lang_pred"), F.col("_score").alias("score"))
 
@@ -182,6 +186,6 @@ def predict_languages(docs: DataFrame) -> DataFrame:
 def keep_identified(docs: DataFrame, least_score: float = 0.3) -> DataFrame:
     """The rows of docs whose language is told: not those without a letter, nor those of which under least_score of the
     n-grams are in the predicted language's profile. All columns stay. The model is learned from docs themselves."""
-    model = train(docs.filter(split_of("doc_id", 3) != 1))
+    model = train(docs.filter(F.coalesce(split_of("doc_id", 3) != 1, F.lit(True))))
     told = identify(docs, model, keep=tuple(docs.columns))
     return told.filter((F.col("_lang_pred") != UNDECIDED) & (F.col("_score") >= least_score)).select(*docs.columns)
