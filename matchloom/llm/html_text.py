@@ -26,9 +26,13 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 IMPLIED_END = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 #: Words of class, id or role that name furniture, and words that name the article.
 FURNITURE_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:nav(?:bar|igation)?|menu\w*|breadcrumbs?|header|masthead|topbar|footer|foot|side-?bar|aside|widget\w*|ad|ads|advert\w*|adsense|adbox|banner\w*|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice\w*|alert|popup|modal|overlay|newsletter|subscri\w*|sign-?up|login|comments?|comment-?\w+|replies|reply|respond|disqus|discussion|reactions?|share|sharing|social\w*|related\w*|recommend\w*|more-?(?:stories|posts|articles)|trending|popular|tags?|tag-?cloud|pagination|pager|toolbar|search\w*|copyright|legal|disclaimer|skip-?link|complementary|contentinfo|search|alertdialog|form)(?:$|[\s_-])",
+    r"(?:^|[\s_-])(?:\w*nav(?:bar|igation)?|\w*menu\w*|breadcrumbs?|\w*foot(?:er)?|side-?bar\w*|aside|widget\w*|ad\d*|ads|advert\w*|adsense|ad-?(?:box|slot|unit)|banner\w*|sponsor\w*|promo\w*|cookie\w*|consent|gdpr|notice\w*|alert|popup\w*|modal\w*|overlay|newsletter\w*|subscri\w*|sign-?up|login|comment(?:s|list|area)?|replies|reply|respond|disqus|discussion|reactions?|share\w*|sharing|social\w*|related\w*|recommend\w*|more-?(?:stories|posts|articles)|trending|popular|tags?|tag-?cloud|pagination|pager|toolbar|search\w*|copyright|legal|disclaimer|skip-?link|complementary|contentinfo|alertdialog|form)(?:$|[\s_-])",
     re.I,
 )
+#: Names of a head: furniture of a page, but the title of an article inside one.
+HEAD_NAMES = re.compile(r"(?:^|[\s_-])(?:\w*header|masthead|topbar)(?:$|[\s_-])", re.I)
+#: Parts of names that tell what a wrapper has beside its text.
+WRAPPER_NAMES = re.compile(r"(?:^|(?<=\s))(?:has|with|no|is)-\S+", re.I)
 ARTICLE_NAMES = re.compile(r"(?:^|[\s_-])(?:article\w*|post-?(?:body|content|text)?|entry-?(?:content|body|text)?|main-?(?:content|text)?|content-?(?:body|main)?|story\w*|body-?text)(?:$|[\s_-])", re.I)
 #: Function words of the languages of the pages; a text is known by how many of them it has.
 STOP_WORDS = set(
@@ -49,6 +53,8 @@ _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*
 _WORD = re.compile(r"\w+")
 
 TEXT, NONE, UNSURE = 1, 0, -1
+#: Why a part is furniture: a name of it, or its element.
+BY_NAME, BY_ELEMENT = 1, 2
 
 
 class Block:
@@ -63,10 +69,11 @@ class Block:
 def blocks_of(page: str) -> list[Block]:
     """The blocks of a page in order. home is the number of the article element that a block is in, 0 outside all."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool, int]] = []  # name, skipped, furniture, home
+    stack: list[tuple[str, bool, int, int]] = []  # name, skipped, furniture, home
+    mains: set[int] = set()  # homes that are no article elements
     parts: list[tuple[str, bool]] = []
-    skipped = furniture = False
-    home = homes = links = 0
+    skipped = False
+    furniture = home = homes = links = 0
     heading = False
 
     def close() -> None:
@@ -74,7 +81,7 @@ def blocks_of(page: str) -> list[Block]:
         if parts:
             text = " ".join("".join(p for p, _ in parts).split())
             if text:
-                out.append(Block(text, sum(len(p.strip()) for p, linked in parts if linked), home, furniture, heading))
+                out.append(Block(text, sum(len(p.strip()) for p, linked in parts if linked), home, furniture > 0, heading))
             parts.clear()
         heading = False
 
@@ -130,21 +137,37 @@ def blocks_of(page: str) -> list[Block]:
                     if stack[i][0] in limits:
                         break
             found = {k.lower(): (v or "").strip("\"'") for k, v in _ATTRIBUTE.findall(m[3])} if m[3] else {}
-            names = " ".join(found.get(k, "") for k in ("class", "id", "role"))
+            names = WRAPPER_NAMES.sub("", " ".join(found.get(k, "") for k in ("class", "id", "role")))
             hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
-            up_skipped, up_furniture, up_home = stack[-1][1:] if stack else (False, False, 0)
+            up_skipped, up_furniture, up_home = stack[-1][1:] if stack else (False, 0, 0)
             structural = name not in ("html", "body", "main", "article")
             is_article = name in ("article", "main") or (name in ("div", "section", "td") and bool(ARTICLE_NAMES.search(names)))
             # The header of an article holds its title; of a page, furniture.
-            own = structural and ((name in FURNITURE and not (name == "header" and up_home)) or (bool(names.strip()) and bool(FURNITURE_NAMES.search(names))))
-            if is_article and not own and not up_furniture:
-                homes += not up_home
-                up_home = up_home or homes
-            stack.append((name, up_skipped or name in SKIPPED or hidden, up_furniture or own, up_home))
-        skipped, furniture, home = stack[-1][1:] if stack else (False, False, 0)
+            named = bool(names.strip()) and bool(FURNITURE_NAMES.search(names) or (not up_home and HEAD_NAMES.search(names)))
+            own = structural and ((name in FURNITURE and not (name == "header" and up_home)) or named)
+            if name == "article" and named:
+                own = True  # comments and teasers come as articles too
+            if name == "main" and up_furniture == BY_NAME:
+                up_furniture = 0  # a wrapper that is named after a part of it
+            if is_article and not own and not up_furniture and (not up_home or (name == "article" and up_home in mains)):
+                homes += 1
+                up_home = homes
+                if name != "article":
+                    mains.add(homes)
+            stack.append((name, up_skipped or name in SKIPPED or hidden, max(up_furniture, (BY_NAME if named and name not in FURNITURE else BY_ELEMENT) if own else 0), up_home))
+        skipped, furniture, home = stack[-1][1:] if stack else (False, 0, 0)
         if not closing and name in ("h1", "h2", "h3", "h4", "h5", "h6"):
             heading = True
     close()
+    # An article element within a main part is the text, unless it holds less than the rest of that part.
+    inner = sum(len(b.text) for b in out if b.home and b.home not in mains and not b.furniture)
+    outer = sum(len(b.text) for b in out if b.home in mains and not b.furniture)
+    if inner and 2 * inner >= outer:
+        for b in out:
+            b.furniture = b.furniture or b.home in mains
+    elif inner:
+        for b in out:
+            b.home = min(b.home, 1)
     return out
 
 
