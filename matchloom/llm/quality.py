@@ -16,6 +16,8 @@ WINDOW, LEAST_WORDS, MOST_REPEATED_PERCENT = 5, 10, 20
 FENCE = 3.0
 #: The least interquartile range that a fence counts with: where nearly all documents agree, small deviations are no fault.
 LEAST_RANGE = {"symbol_ratio": 0.02, "mean_word": 1.2, "dup_line_ratio": 0.1, "repeat_ratio": 0.06}
+#: Quartiles are rounded to this grid: sketches have random choices in them, and reruns should meet the same fences.
+GRID = {"symbol_ratio": 0.01, "mean_word": 0.1, "dup_line_ratio": 0.02, "repeat_ratio": 0.01}
 #: Measures with a lower fence too.
 TWO_SIDED = ("mean_word",)
 #: Groups with fewer documents take the fences of their language, and languages with fewer those of all documents.
@@ -74,7 +76,7 @@ def fences(measured: DataFrame, names: list[str]) -> DataFrame:
     out = ["lang", "source", "n"]
     for name in names:
         sketch = F.when(F.col("n") >= LEAST_GROUP, F.col(name)).when(F.col("up_n") >= LEAST_GROUP, F.col(f"up_{name}")).otherwise(F.col(f"all_{name}"))
-        q = [F.kll_sketch_get_quantile_double(sketch, F.lit(x)) for x in (0.25, 0.75)]
+        q = [F.round(F.kll_sketch_get_quantile_double(sketch, F.lit(x)) / GRID[name]) * GRID[name] for x in (0.25, 0.75)]
         width = F.greatest(q[1] - q[0], F.lit(LEAST_RANGE[name])) * FENCE
         out += [(q[0] - width if name in TWO_SIDED else F.lit(float("-inf"))).alias(f"low_{name}"), (q[1] + width).alias(f"high_{name}")]
     return both.select(*out)
