@@ -1,7 +1,7 @@
 """Every query against its SQL in DuckDB over the smallest tables."""
 
 import glob
-import math
+import numbers
 import os
 from collections import Counter
 
@@ -23,9 +23,9 @@ def duck():
 
 
 def cell(v):
-    if v is None or (isinstance(v, float) and math.isnan(v)) or str(v) in ("NaT", "<NA>", "nan"):
+    if v is None or str(v) in ("NaT", "<NA>", "nan"):
         return None
-    return round(float(v), 6) if isinstance(v, float) or type(v).__name__ == "float64" else str(v)
+    return round(float(v), 6) if isinstance(v, numbers.Number) and not isinstance(v, bool) else str(v)
 
 
 def bag(df):
