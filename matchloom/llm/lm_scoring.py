@@ -13,39 +13,42 @@ from .lexicon import count_entries, hot_from
 
 #: Highest order of the model's n-grams.
 ORDER = 3
-#: A word is part of longer n-grams if it makes up this share of the training tokens: 20,000 words at most.
-STATE_SHARE = 1 / 20_000
-#: An n-gram of two or more words is a state or arc from this share on: so at most 500,000 of each order. Rarer ones back off.
-ARC_SHARE = 1 / 500_000
+#: An n-gram of two or more words is part of the model from so many occurrences on, at every size.
+LEAST_COUNT = 2
+#: Words and n-grams with these shares of all training tokens are sent to every worker as an automaton (four million of an order at most); the rest of the model is joined.
+STATE_SHARE = ARC_SHARE = 1 / 4_000_000
 #: Absolute discount.
 DISCOUNT = 0.75
 #: The end of a text as a lexicon entry; no word has white space.
 END = "\n"
-#: Distinct n-grams that a worker gathers before it hands their counts on.
-GATHERED = 1_500_000
+#: Tokens whose n-grams a worker gathers before it hands their counts on.
+GATHERED = 2_000_000
+#: Bits of a filter that tells which n-grams may be in a table. A full one only sends more rows to the join.
+FILTER_BITS = 1 << 27
 
 
 class Automaton:
     """States are word histories; an arc reads a word with a weight (log10 of its smoothed probability), and a state
     without an arc for the word takes its failure arc to the history less its first word, for the state's backoff weight.
 
-    State 0 is the empty history, with an arc for each frequent word; the weights of other words are added by a join.
-    States 1..n_states are single words; each arc of a state below the highest order leads to a state of its own.
+    State 0 is the empty history, with an arc for each frequent word; states 1..n_states are single words; each arc of a
+    state below the highest order leads to a state of its own. Weights are those of the whole model, of which the automaton
+    holds the frequent part. What rarer n-grams change is a sum over them (see `train_automaton`), added by a join.
     """
 
-    def __init__(self, words: pa.Array, counts: np.ndarray, total: int, distinct: int, n_docs: int):
-        """words and counts: the frequent lexicon, most frequent first, END among them; total, distinct: of all."""
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, backoff: np.ndarray, total: int, distinct: int, n_docs: int):
+        """keys, counts, backoff: hashes, counts and backoff weights of the frequent lexicon, END among it; total, distinct: of all."""
         self.total, self.distinct, self.n_docs = total, distinct, n_docs
-        self.known = HashMap64(hash_strings(words))
+        self.known = self.level = HashMap64(keys)
         self.base = np.log10((counts + 1) / (total + distinct + 1))
-        self.n_states = int((counts >= max(2.0, total * STATE_SHARE)).sum())
-        self.end = next((i for i, w in enumerate(words.to_pylist()) if w == END), -1)
-        self.history = counts[: self.n_states].astype(np.float64)
+        self.n_states = len(keys)
+        self.end = int(self.known.find(END_HASH)[0])
         self.keys = np.zeros(0, np.int64)
         self.weight, self.next = np.zeros(0), np.zeros(0, np.int64)
-        self.fail, self.backoff = np.zeros(1 + self.n_states, np.int64), np.zeros(1 + self.n_states)
-        self.first = [1, 1 + self.n_states]  # first state of each order, and of the order to come
-        self.context = np.concatenate([[0.0], self.history])
+        self.fail, self.backoff = np.zeros(1 + self.n_states, np.int64), np.concatenate([[0.0], backoff])
+        self.word = np.arange(self.n_states)  # last word of each n-gram of the highest order so far, and the state it leads to
+        self.state = np.where(self.word == self.end, 0, self.word + 1)
+        self.rare: np.ndarray | None = None  # filter of the n-grams outside
 
     def steps(self, tokens: np.ndarray, starts: np.ndarray, state_at: np.ndarray | None = None) -> np.ndarray:
         """log10 probability of each text: one left-to-right traversal of all texts side by side, each with its own state.
@@ -60,14 +63,11 @@ class Automaton:
         for t, n in enumerate(active.tolist()):
             word = tokens[begin[:n] + t]
             now, add = state[:n], np.zeros(n)
-            then = np.where((word >= 0) & (word < self.n_states) & (word != self.end), word + 1, 0)
+            then = np.where((word >= 0) & (word != self.end), word + 1, 0)
             open_ = (now > 0) & (word >= 0)
             root = ~open_
             if not root.all():
                 at = np.flatnonzero(open_)
-                add[at[word[at] >= self.n_states]] += self._down(now[at[word[at] >= self.n_states]])
-                root[at[word[at] >= self.n_states]] = True
-                at = at[word[at] < self.n_states]
                 cur = now[at]
                 while len(at):
                     key = cur * self.n_states + word[at]
@@ -101,191 +101,258 @@ class Automaton:
             state = self.fail[state]
         return out
 
-    def ends(self, tokens: np.ndarray, starts: np.ndarray, order: int) -> np.ndarray:
-        """At each position, the state whose history is the `order` words up to there, or 0."""
-        word = (tokens >= 0) & (tokens < self.n_states) & (tokens != self.end)
-        state = np.where(word, tokens + 1, 0)
-        for _ in range(1, order):
-            before = np.concatenate([[0], state[:-1]])
-            before[starts[:-1][starts[:-1] < len(tokens)]] = 0
-            key = np.where((before > 0) & word, before * self.n_states + tokens, -1)
-            where = np.minimum(np.searchsorted(self.keys, key), max(0, len(self.keys) - 1))
-            state = np.where((self.keys[where] == key), self.next[where], 0) if len(self.keys) else np.zeros(len(tokens), np.int64)
-        return state
-
-    def grow(self, keys: np.ndarray, counts: np.ndarray, last: bool) -> None:
-        """Add the arcs of one more order: keys are state * n_states + word, of states of the highest order so far."""
-        order = np.argsort(keys)
-        keys, counts = keys[order], counts[order].astype(np.float64)
-        state, word = np.divmod(keys, self.n_states) if len(keys) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        share = (counts - DISCOUNT) / self.context[state]
-        self.backoff[self.first[-2] :] = np.log10(np.maximum(1.0 - np.bincount(state, share, len(self.backoff))[self.first[-2] :], 1e-300))
-        lower, cur, open_ = np.zeros(len(keys)), self.fail[state], np.ones(len(keys), bool)
-        down = np.zeros(len(keys), np.int64)  # the state that the shorter history and the word lead to
-        while open_.any():
-            root = open_ & (cur == 0)
-            lower[root] += self.base[word[root]]
-            down[root] = np.where(word[root] == self.end, 0, word[root] + 1)
-            open_ &= ~root
-            key = np.where(open_, cur * self.n_states + word, -1)
-            where = np.minimum(np.searchsorted(self.keys, key), max(0, len(self.keys) - 1))
-            hit = open_ & (self.keys[where] == key) if len(self.keys) else np.zeros(len(keys), bool)
-            lower[hit] += self.weight[where[hit]] if len(self.keys) else 0
-            down[hit] = self.next[where[hit]] if len(self.keys) else 0
-            open_ &= ~hit
-            lower[open_] += self.backoff[cur[open_]]
-            cur = np.where(open_, self.fail[cur], cur)
-        weight = np.log10(share + 10 ** (lower + self.backoff[state]))
-        new = np.cumsum(word != self.end) - 1 + self.first[-1]
-        leads = down if last else np.where(word == self.end, 0, new)
+    def grow(self, keys: np.ndarray, a: np.ndarray, b: np.ndarray, weight: np.ndarray, backoff: np.ndarray, last: bool) -> None:
+        """Add the arcs of one more order: hashes of the n-grams, of their first and of their last words less one."""
+        before, after = self.level.find(a), self.level.find(b)
+        word, down = self.word[after], self.state[after]
+        merged = np.concatenate([self.keys, self.state[before] * self.n_states + word])
+        leads = down
         if not last:
             grown = word != self.end
+            leads = np.where(grown, np.cumsum(grown) - 1 + len(self.fail), 0)
             self.fail = np.concatenate([self.fail, down[grown]])
-            self.backoff = np.concatenate([self.backoff, np.zeros(int(grown.sum()))])
-            self.context = np.concatenate([self.context, counts[grown]])
-            self.first.append(len(self.fail))
-        merged = np.concatenate([self.keys, keys])
+            self.backoff = np.concatenate([self.backoff, backoff[grown]])
+            self.level, self.word, self.state = HashMap64(keys), word, leads
         order = np.argsort(merged)
         self.keys = merged[order]
         self.weight = np.concatenate([self.weight, weight])[order]
         self.next = np.concatenate([self.next, leads])[order]
 
 
-def coded(column: pa.Array, known: HashMap64, end: int) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
-    """Word numbers of each text with its end (-1: not frequent), bounds, and the distinct words and their codes."""
+END_HASH = hash_strings(pa.array([END]))
+
+
+def pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Spark's xxhash64(a, b) of two uint64 arrays: the key of an n-gram from those of its first and its last n - 1 words."""
+    p1, p2, p3, p4, p5 = map(np.uint64, (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+    def turn(x, n):
+        return (x << np.uint64(n)) | (x >> np.uint64(64 - n))
+
+    h = np.full(len(a), 42, np.uint64)
+    with np.errstate(over="ignore"):
+        for x in (a, b):
+            h = h + p5 + np.uint64(8)
+            h ^= turn(x * p2, 31) * p1
+            h = turn(h, 27) * p1 + p4
+            h ^= h >> np.uint64(33)
+            h *= p2
+            h ^= h >> np.uint64(29)
+            h *= p3
+            h ^= h >> np.uint64(32)
+    return h
+
+
+def may_have(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = keys & np.uint64(FILTER_BITS - 1)
+    return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+
+def filter_of(keys: DataFrame) -> np.ndarray:
+    """Bits of the keys `g`: no key of the table is denied, whatever its size."""
+    at = F.col("g").bitwiseAND(F.lit(FILTER_BITS - 1))
+    words = keys.groupBy(F.shiftright(at, 6).cast("int").alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(g & 63 AS int)))").alias("bits")).toArrow()
+    bits = np.zeros(FILTER_BITS // 64, np.uint64)
+    bits[words["at"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+    return bits
+
+
+def coded(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of each text with its end, and bounds."""
     words, bounds = words_of(column, lower=True)
     d = words.dictionary_encode()
-    codes = d.indices.to_numpy()
-    at = known.find(hash_strings(d.dictionary))
     rows = len(column)
     starts = bounds + np.arange(rows + 1)
-    tokens = np.full(int(starts[-1]), end, np.int64)
-    tokens[np.arange(len(codes)) + np.repeat(np.arange(rows), np.diff(bounds))] = at[codes]
-    return tokens, starts, d.dictionary, codes
+    hashes = np.full(int(starts[-1]), END_HASH[0], np.uint64)
+    hashes[np.arange(len(words)) + np.repeat(np.arange(rows), np.diff(bounds))] = hash_strings(d.dictionary)[d.indices.to_numpy()]
+    return hashes, starts
+
 
+def orders_of(hashes: np.ndarray, starts: np.ndarray, order: int):
+    """For n = 2 .. order: (a, b, position of the last word) of each n-gram within a text."""
+    keys, at = hashes, np.arange(len(hashes))
+    left = at - np.repeat(starts[:-1], np.diff(starts))  # words before, in the text
+    for n in range(2, order + 1):
+        use = left[at] >= n - 1
+        b = np.flatnonzero(use)
+        a, at, b = keys[b - 1], at[b], keys[b]
+        yield a, b, at
+        keys = pair_key(a, b) if n < order else keys
 
-def _count_arcs(train: DataFrame, shared, order: int) -> DataFrame:
-    """(key, n): how often each state of `order` words is followed by each word that may be part of n-grams."""
+
+def _count_ngrams(train: DataFrame, n: int, shorter) -> DataFrame:
+    """(g, a, b, n) of the n-grams with LEAST_COUNT occurrences. shorter: broadcast filter of those of one word less, or None."""
 
     def count(batches):
-        model = shared.value
-        held: list[pa.Table] = []
-        rows = 0
+        held, rows = [], 0
 
-        def merged() -> pa.Table:
-            t = pa.concat_tables(held).group_by("key", use_threads=False).aggregate([("n", "sum")])
-            return pa.table({"key": t["key"], "n": t["n_sum"]})
+        def counted():
+            a, b = (np.concatenate(x) for x in zip(*held))
+            _, at, n = np.unique(pair_key(a, b), return_index=True, return_counts=True)
+            yield from pa.table({"a": a[at].view(np.int64), "b": b[at].view(np.int64), "n": n}).to_batches(max_chunksize=50_000)
 
         for batch in slices(batches, "text"):
-            tokens, starts, _, _ = coded(batch.column("text"), model.known, model.end)
-            state = model.ends(tokens, starts, order)
-            before = np.concatenate([[0], state[:-1]])
-            before[starts[:-1][starts[:-1] < len(tokens)]] = 0
-            use = (before > 0) & (tokens >= 0) & (tokens < model.n_states)
-            key, n = np.unique(before[use] * model.n_states + tokens[use], return_counts=True)
-            held.append(pa.table({"key": key, "n": n}))
-            rows += len(key)
-            if rows > 2 * GATHERED:
-                held = [merged()]
-                rows = held[0].num_rows
-                if rows > GATHERED:
-                    yield from held[0].to_batches(max_chunksize=50_000)
-                    held, rows = [], 0
-        if held:
-            yield from merged().to_batches(max_chunksize=50_000)
-
-    return train.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+            for a, b, _ in orders_of(*coded(batch.column("text")), n):
+                pass
+            if shorter is not None:
+                use = may_have(shorter.value, a) & may_have(shorter.value, b)
+                a, b = a[use], b[use]
+            held.append((a, b))
+            rows += len(a)
+            if rows > GATHERED:
+                yield from counted()
+                held, rows = [], 0
+        if rows:
+            yield from counted()
+
+    found = train.mapInArrow(count, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    return _kept(found.filter(F.col("n") >= LEAST_COUNT).select(F.xxhash64("a", "b").alias("g"), "a", "b", "n"), f"ngrams{n}")
+
+
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """Materialized; the shuffle files of steps that are over are let go, as together they are several times the input."""
+    out = materialize(df, name)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
+def _look_up(rows: DataFrame, key: str, found: DataFrame, least: float, **columns: str) -> DataFrame:
+    """rows with columns of `found` at g = key. Frequent entries are broadcast, and their rows dealt out by their own key."""
+    names = {k: F.col(v).alias(f"hot_{k}") for k, v in columns.items()}
+    hot = found.filter(F.col("n") >= least).select(F.col("g").alias(key), *names.values())
+    cold = found.filter(F.col("n") < least).select(F.col("g").alias("at"), *(F.col(v).alias(f"cold_{k}") for k, v in columns.items()))
+    r = rows.join(F.broadcast(hot), key, "left").withColumn("at", F.when(F.col(f"hot_{next(iter(columns))}").isNull(), F.col(key)).otherwise(F.col("g")))
+    return r.join(cold, "at", "left").select(*rows.columns, *(F.coalesce(f"hot_{k}", f"cold_{k}").alias(k) for k in columns))
 
 
 def train_automaton(train: DataFrame, text_col: str = "text", order: int = ORDER) -> tuple[Automaton, DataFrame]:
-    """The automaton and the whole lexicon (entry, n) of the training texts, from counts over all of them.
+    """The automaton of the frequent part, and (g, c, v) of the rest: count (of words) and what an occurrence adds to a score.
 
-    The lexicon grows with the corpus and stays a table. What the automaton holds is bounded: the words above HOT_SHARE,
-    and the n-grams above ARC_SHARE, of all training tokens.
+    All words and all n-grams with LEAST_COUNT occurrences are the model; its tables grow with the corpus and stay tables.
+    The log probability at a place telescopes into a sum over the n-grams that end there or one word before: a word's
+    unigram weight, its backoff weight as a history (always read further, but for END), and for each longer n-gram of the
+    model its weight less that of the way round it by backoff, with its own backoff weight. As an n-gram is at most as
+    frequent as its parts, the frequent part is closed, and what rarer n-grams add does not depend on it.
     """
     t = train.select(F.col(text_col).alias("text"))
+    spark = train.sparkSession
 
     def entries(batch):
         for part in slices([batch], "text"):
             yield words_of(part.column("text"), lower=True)[0]
 
-    lexicon = materialize(count_entries(t, "text", entries), "lexicon")
+    def hashed(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(hash_strings(b.column("entry")).view(np.int64)), b.column("n")], ["g", "n"])
+
     n_docs = t.count()
-    tokens, distinct = lexicon.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    total, distinct = tokens + n_docs, distinct + (n_docs > 0)
-    hot = lexicon.filter(F.col("n") >= hot_from(total)).toArrow()
-    hot = pa.concat_tables([hot.cast(pa.schema([("entry", pa.string()), ("n", pa.int64())])), pa.table({"entry": pa.array([END], pa.string()), "n": pa.array([n_docs], pa.int64())})])
-    hot = hot.sort_by([("n", "descending"), ("entry", "ascending")])
-    model = Automaton(hot["entry"].combine_chunks(), hot["n"].to_numpy(), total, distinct, n_docs)
-    for n in range(1, order):
-        shared = train.sparkSession.sparkContext.broadcast(model)
-        arcs = _count_arcs(t, shared, n).filter(F.col("n") >= F.lit(max(2.0, total * ARC_SHARE))).toArrow()
-        model.grow(arcs["key"].to_numpy(), arcs["n"].to_numpy(), last=n == order - 1)
-    return model, lexicon
-
-
-def score_texts(docs: DataFrame, model: Automaton, lexicon: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    end = spark.createDataFrame([(int(END_HASH.view(np.int64)[0]), n_docs)], "g long, n long")
+    words = _kept(count_entries(t, "text", entries).mapInArrow(hashed, "g long, n long").unionByName(end), "lexicon")
+    total, distinct = words.agg(F.sum("n"), F.count_if(F.col("n") > 0)).first()
+    least = hot_from(total, ARC_SHARE)
+    levels = [words.withColumn("w", F.log10((F.col("n") + 1) / F.lit(float(total + distinct + 1)))).withColumn("delta", F.lit(0.0))]
+    shorter = None
+    for n in range(2, order + 1):
+        grams = _count_ngrams(t, n, shorter)
+        if n < order:
+            shorter = spark.sparkContext.broadcast(filter_of(grams))
+        held = grams.groupBy("a").agg(F.sum(F.col("n") - DISCOUNT).alias("held"))
+        back = F.when(F.col("held") > 0, F.log10(1 - F.col("held") / F.col("n"))).otherwise(0.0)
+        prior = levels[-1]
+        prior = levels[-1] = _kept(prior.join(held.withColumnRenamed("a", "g"), "g", "left").select(*prior.columns, back.alias("back")), f"histories{n}")
+        found = _look_up(_look_up(grams, "a", prior, least, c="n", back="back"), "b", prior, least, lower="w")
+        around = F.col("back") + F.col("lower")
+        weight = F.log10((F.col("n") - DISCOUNT) / F.col("c") + F.pow(F.lit(10.0), around))
+        levels.append(_kept(found.select("g", "a", "b", "n", weight.alias("w"), (weight - around).alias("delta")), f"weights{n}"))
+    levels[-1] = levels[-1].withColumn("back", F.lit(0.0))
+
+    is_hot = (F.col("n") >= least) | (F.col("g") == F.lit(int(END_HASH.view(np.int64)[0])))
+    hot = [x.filter(is_hot).orderBy(F.desc("n"), "g").toArrow() for x in levels]
+    array = lambda t, c: t[c].to_numpy().view(np.uint64) if c in "gab" else t[c].to_numpy()
+    model = Automaton(array(hot[0], "g"), array(hot[0], "n"), array(hot[0], "back"), total, distinct, n_docs)
+    for n, arcs in enumerate(hot[1:], 2):
+        model.grow(*(array(arcs, c) for c in ("g", "a", "b", "w", "back")), last=n == order)
+    rest = [x.filter(~is_hot).select("g", (F.col("n") if not i else F.lit(None).cast("long")).alias("c"), (F.col("delta") + F.col("back")).alias("v")) for i, x in enumerate(levels)]
+    longer = rest[1].limit(0) if order > 1 else None
+    for x in rest[1:]:
+        longer = longer.unionByName(x)
+    model.order, model.rare = order, filter_of(longer)
+    return model, rest[0].unionByName(longer)
+
+
+def score_texts(docs: DataFrame, model: Automaton, rest: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of every whole text.
 
-    A worker runs the automaton over its texts and adds the weights of frequent words at once; the other words go as
-    (text, word, frequency) to a join with the lexicon, and their weights are added to the sums.
+    A worker runs the automaton over its texts; words and n-grams that are not in it go as (text, key, frequency) to a join
+    with the rest of the model, and what they add is added to the sums. N-grams that its filter denies are in no table.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    none = -float(np.log10(model.total + model.distinct + 1))  # weight of an unknown word
 
     def run(batches):
         model = shared.value
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            row, ids, parts = batch.column("row"), batch.column("doc_id"), []
-            done = 0
-            for part in slices([batch], "text"):
-                tokens, starts, words, codes = coded(part.column("text"), model.known, model.end)
-                doc = np.repeat(np.arange(part.num_rows), np.diff(starts))
-                word_doc = doc[tokens != model.end] if model.end >= 0 else np.repeat(np.arange(part.num_rows), np.diff(starts) - 1)
-                hot = tokens >= 0
-                base = np.bincount(doc[hot], model.base[tokens[hot]], part.num_rows)
-                found = np.bincount(doc[hot], minlength=part.num_rows) - (model.n_docs == 0)  # without training texts the end is unknown too
-                rare = model.known.find(hash_strings(words))[codes] < 0
-                key, freq = np.unique(word_doc[rare] * max(1, len(words)) + codes[rare], return_counts=True)
-                rare_doc, rare_word = np.divmod(key, max(1, len(words)))
-                of = pa.array(rare_doc + done)
-                if len(key):
-                    none = pa.nulls(len(key), pa.int64())
-                    yield pa.RecordBatch.from_arrays([row.take(of), ids.take(of), words.take(pa.array(rare_word)).cast(pa.string()), pa.array(freq), none, none, pa.nulls(len(key), pa.float64()), pa.nulls(len(key), pa.float64())], schema=PARTS)
-                parts.append((tokens.astype(np.int32), np.diff(starts), base, found))
-                done += part.num_rows
-            tokens, lengths, base, found = (np.concatenate([p[i] for p in parts]) for i in range(4))
-            score = model.steps(tokens, np.concatenate([[0], np.cumsum(lengths)]))
-            alone = pc.binary_join_element_wise(END, row.cast(pa.string()), "")
-            yield pa.RecordBatch.from_arrays([row, ids, alone, pa.nulls(len(row), pa.int64()), pa.array(lengths), pa.array(found), pa.array(base), pa.array(score)], schema=PARTS)
+        for part in slices(batches, "text"):
+            row, ids, size = part.column("row"), part.column("doc_id"), part.num_rows
+            hashes, starts = coded(part.column("text"))
+            lengths = np.diff(starts)
+            tokens = model.known.find(hashes)
+            doc = np.repeat(np.arange(size), lengths)
+            hot = tokens >= 0
+            base = np.bincount(doc[hot], model.base[tokens[hot]], size) + none * np.bincount(doc[~hot], minlength=size)
+            found = np.bincount(doc[hot], minlength=size) - (model.n_docs == 0)  # without training texts the end is unknown too
+            score = model.steps(tokens, starts) + none * np.bincount(doc[~hot], minlength=size)
+            of, keys = [doc[~hot]], [hashes[~hot]]
+            for a, b, at in orders_of(hashes, starts, model.order):
+                key = pair_key(a, b)
+                use = may_have(model.rare, key)
+                of.append(doc[at[use]])
+                keys.append(key[use])
+            of, keys = np.concatenate(of), np.concatenate(keys)
+            order = np.lexsort((keys, of))
+            of, keys = of[order], keys[order]
+            first = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (keys[1:] != keys[:-1])])) if len(of) else np.zeros(0, np.int64)
+            freq = np.diff(np.append(first, len(of)))
+            for i in range(0, len(first), 50_000):
+                at = pa.array(of[first[i : i + 50_000]])
+                k = len(at)
+                yield pa.RecordBatch.from_arrays([row.take(at), ids.take(at), pa.array(keys[first[i : i + 50_000]].view(np.int64)), pa.array(freq[i : i + 50_000]), pa.nulls(k, pa.int64()), pa.nulls(k, pa.float64()), pa.nulls(k, pa.float64())], schema=PARTS)
+            yield pa.RecordBatch.from_arrays([row, ids, row, pa.array(lengths), pa.array(found), pa.array(base), pa.array(score)], schema=PARTS)
 
     d = docs.select(F.xxhash64(id_col, text_col).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = d.mapInArrow(run, "row long, doc_id long, entry string, freq long, n_tokens long, known long, base double, score double")
-    rare = lexicon.filter(F.col("n") < hot_from(model.total)).select("entry", F.col("n").alias("c"))
-    weight = F.col("freq") * F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(float(model.total + model.distinct + 1)))
-    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    rows = d.mapInArrow(run, "row long, doc_id long, g long, freq long, known long, base double, score double")
+    alone = F.col("known").isNotNull()
+    total = lambda c: F.coalesce(F.sum(F.when(~alone, F.col("freq") * c)), F.lit(0))
     sums = (
-        rows.join(rare, "entry", "left")
+        rows.join(rest.hint("shuffle_hash"), "g", "left")
         .groupBy("row", "doc_id")
-        .agg(F.count("n_tokens").alias("copies"), F.max("n_tokens").alias("n_tokens"), F.max("known").alias("known"), F.max("base").alias("base"), F.max("score").alias("score"), total(F.when(F.col("c") > 0, F.col("freq"))).alias("rare_known"), total(weight).alias("rare"))
+        .agg(
+            F.count("known").alias("copies"),
+            F.max(F.when(alone, F.col("freq"))).alias("n_tokens"),
+            F.max("known").alias("known"),
+            F.max("base").alias("base"),
+            F.max("score").alias("score"),
+            F.coalesce(F.sum(F.when(~alone & F.col("c").isNotNull(), F.col("freq"))), F.lit(0)).alias("rare_known"),
+            total(F.log10(F.col("c") + 1)).alias("rare"),
+            total(F.col("v")).alias("longer"),
+        )
         .withColumn("copy", F.explode(F.expr("sequence(1, copies)")))
     )
-    rare_sum = F.col("rare") / F.col("copies")
-    return sums.select("doc_id", "n_tokens", (F.col("known") + F.expr("rare_known div copies")).alias("n_known"), F.lit(model.total).cast("long").alias("train_tokens"), (F.col("base") + rare_sum).alias("base_score"), (F.col("score") + rare_sum).alias("score"))
+    rare, longer = F.col("rare") / F.col("copies"), F.col("longer") / F.col("copies")
+    return sums.select("doc_id", "n_tokens", (F.col("known") + F.expr("rare_known div copies")).alias("n_known"), F.lit(model.total).cast("long").alias("train_tokens"), (F.col("base") + rare).alias("base_score"), (F.col("score") + rare + longer).alias("score"))
 
 
-PARTS = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("entry", pa.string()), ("freq", pa.int64()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
+PARTS = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("g", pa.int64()), ("freq", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
 
 
 def score_documents(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for `documents`.
 
     Tokens are the words of a text (A-Z in lower case) and its end. The model is an interpolated n-gram model with
-    absolute discounting over the add-one unigram of the base score, learned from all texts outside the held-out part.
+    absolute discounting over the add-one unigram of the base score, learned from all texts outside the held-out part: all
+    words, and all n-grams found LEAST_COUNT times.
     Null text has its end alone. Null ids and repeated rows each give a row: sums are by id and text, given back as often
     as they came. Without training texts every token is unknown. Other columns are ignored; an empty table gives none.
     """
     held_out = split_of("doc_id", 7) == 2
-    model, lexicon = train_automaton(docs.filter(F.coalesce(~held_out, F.lit(True))), order=order)
-    return score_texts(docs, model, lexicon).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    model, rest = train_automaton(docs.filter(F.coalesce(~held_out, F.lit(True))), order=order)
+    return score_texts(docs, model, rest).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from matchloom.llm import chat, decontamination, html_text, language_id, lm_scoring, mixing, near_duplicates, quality, sharding, token_counts
@@ -350,6 +351,29 @@ def test_lm_scores(spark, docs, clashing, empty, rows):
     assert [(r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in only] == [(4, 0, 0, 0.0, 0.0)]
 
 
+@pytest.mark.parametrize("share", [1 / 4_000_000, 1 / 400])
+def test_lm_model_holds_all_ngrams_found_twice(spark, share, monkeypatch):
+    """Repeats among very many tokens are learned at every size, and no score depends on what is broadcast."""
+    rnd = random.Random(5)
+    rows = [(i, " ".join(f"w{rnd.randrange(900)}" for _ in range(60))) for i in range(60)]
+    rows += [(i + 60, t + " rare pair Here") for i, t in rows[:30]] + [(200, None), (201, "rare pair"), (201, "rare pair"), (202, "Rare")]
+    monkeypatch.setattr(lm_scoring, "STATE_SHARE", 0)
+    monkeypatch.setattr(lm_scoring, "ARC_SHARE", 0)
+    want = sorted(reference_scores(rows), key=str)
+    monkeypatch.setattr(lm_scoring, "STATE_SHARE", share)
+    monkeypatch.setattr(lm_scoring, "ARC_SHARE", share)
+    got = sorted(map(tuple, lm_scoring.score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert len(got) == len(want)
+    for g, w in zip(sorted(got), sorted(want), strict=True):
+        assert g[:5] == w[:5] and g[5:] == pytest.approx(w[5:], rel=1e-9)
+
+
+def test_lm_keys_are_those_of_spark(spark):
+    a, b = [1, -5, 2**62, 0], [-1, 7, 3, 0]
+    want = [r[0] for r in spark.createDataFrame(list(zip(a, b, strict=True)), "a long, b long").selectExpr("xxhash64(a, b)").collect()]
+    assert lm_scoring.pair_key(np.array(a).view(np.uint64), np.array(b).view(np.uint64)).view(np.int64).tolist() == want
+
+
 # --- 9: sharding
 
 
