@@ -12,10 +12,11 @@ from .mixing import join_sums
 
 #: Words in a window that may repeat, and the fixed rules of the base filter.
 WINDOW, LEAST_WORDS, MOST_REPEATED_PERCENT = 5, 10, 20
-#: A fence is so many interquartile ranges outside the quartiles.
-FENCE = 3.0
-#: The least interquartile range that a fence counts with: where nearly all documents agree, small deviations are no fault.
-LEAST_RANGE = {"symbol_ratio": 0.02, "mean_word": 1.2, "dup_line_ratio": 0.1, "repeat_ratio": 0.06}
+#: A fence is so many ranges outside the quartiles. A range is the interquartile one, or that between the first and last
+#: tenth over TENTHS (what it is of the interquartile range for normal values), if that is more.
+FENCE, TENTHS = 3.0, 1.9
+#: The least range that a fence counts with, small against measured ones: it decides where nine tenths of a group agree.
+LEAST_RANGE = {"symbol_ratio": 0.01, "mean_word": 0.1, "dup_line_ratio": 0.02, "repeat_ratio": 0.01}
 #: Quartiles are rounded to this grid: sketches have random choices in them, and reruns should meet the same fences.
 GRID = {"symbol_ratio": 0.01, "mean_word": 0.1, "dup_line_ratio": 0.02, "repeat_ratio": 0.01}
 #: Measures with a lower fence too.
@@ -76,8 +77,8 @@ def fences(measured: DataFrame, names: list[str]) -> DataFrame:
     out = ["lang", "source", "n"]
     for name in names:
         sketch = F.when(F.col("n") >= LEAST_GROUP, F.col(name)).when(F.col("up_n") >= LEAST_GROUP, F.col(f"up_{name}")).otherwise(F.col(f"all_{name}"))
-        q = [F.round(F.kll_sketch_get_quantile_double(sketch, F.lit(x)) / GRID[name]) * GRID[name] for x in (0.25, 0.75)]
-        width = F.greatest(q[1] - q[0], F.lit(LEAST_RANGE[name])) * FENCE
+        q = [F.round(F.kll_sketch_get_quantile_double(sketch, F.lit(x)) / GRID[name]) * GRID[name] for x in (0.25, 0.75, 0.1, 0.9)]
+        width = F.greatest(q[1] - q[0], (q[3] - q[2]) / TENTHS, F.lit(LEAST_RANGE[name])) * FENCE
         out += [(q[0] - width if name in TWO_SIDED else F.lit(float("-inf"))).alias(f"low_{name}"), (q[1] + width).alias(f"high_{name}")]
     return both.select(*out)
 

@@ -467,3 +467,16 @@ def test_near_duplicates_in_large_groups(spark, monkeypatch):
     rows += [(2000 + i, rows[0][1]) for i in range(70)]
     d = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     assert Counter(map(tuple, near_duplicates.near_duplicates(d).collect())) == brute_force_links(rows)
+
+
+def test_fences_follow_the_spread_of_each_language(spark):
+    """Languages whose word lengths spread little or much get narrow or wide fences."""
+    words_of = {"aa": ["abcde", "fghij"], "bb": ["ab", "abcdefgh", "abcdefghijklmno"]}
+    rnd = random.Random(3)
+    rows = [(i, " ".join(rnd.choice(words_of[lang]) + rnd.choice("xyz") * rnd.randrange(2) for _ in range(12)), lang, "s") for i, lang in enumerate(["aa", "bb"] * 200)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    m = quality.measures(d).selectExpr("lang", "source", "word_chars / n_words as mean_word", "n_dup_lines / n_lines as dup_line_ratio")
+    got = {r.lang: r for r in quality.fences(m, ["mean_word", "dup_line_ratio"]).collect()}
+    width = {k: r.high_mean_word - r.low_mean_word for k, r in got.items()}
+    assert width["aa"] < 3 and width["bb"] > 2 * width["aa"]
+    assert all(r.high_dup_line_ratio < 0.1 for r in got.values())
