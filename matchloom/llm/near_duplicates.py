@@ -30,8 +30,8 @@ BINS, LEAST_AGREEMENT = 64, 0.5
 
 
 def n_runs(similarity: float = SIMILARITY, missed: float = MISSED) -> int:
-    """Runs for the target recall where a pair needs two levels: a run finds it with probability similarity squared then."""
-    return math.ceil(math.log(missed) / math.log(1 - similarity**2))
+    """Runs for the target recall where a pair needs all levels: a run finds it with probability similarity**LEVELS then."""
+    return math.ceil(math.log(missed) / math.log(1 - similarity**LEVELS))
 
 
 def shingles_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -480,3 +480,7 @@ def test_fences_follow_the_spread_of_each_language(spark):
     width = {k: r.high_mean_word - r.low_mean_word for k, r in got.items()}
     assert width["aa"] < 3 and width["bb"] > 2 * width["aa"]
     assert all(r.high_dup_line_ratio < 0.1 for r in got.values())
+
+
+def test_runs_find_pairs_that_need_all_levels():
+    assert (1 - near_duplicates.SIMILARITY**near_duplicates.LEVELS) ** near_duplicates.n_runs() <= near_duplicates.MISSED
