@@ -11,7 +11,7 @@ from .common import slices
 
 #: Errors allowed in an item, as a share of its characters (after normalising).
 ERROR_RATE = 0.08
-#: Items of fewer characters are too short to show a leak and match nothing.
+#: Items of fewer characters are too short for edits: they are found as they are, between word borders.
 LEAST_ITEM = 20
 #: Characters of items that one pass takes to the workers; a larger benchmark takes more passes.
 ITEM_BLOCK = 4_000_000
@@ -59,6 +59,11 @@ def infix_distance(m: int, peq: dict[str, int], text: str) -> int:
     return best
 
 
+def _bordered(text: str, start: int, end: int) -> bool:
+    """No word goes on across either end of text[start:end]."""
+    return not (start and text[start - 1].isalnum() and text[start].isalnum()) and not (end < len(text) and text[end - 1].isalnum() and text[end].isalnum())
+
+
 class Matcher:
     """Finds items in texts: an automaton of all pieces, then verification around each hit."""
 
@@ -67,9 +72,10 @@ class Matcher:
 
         ids: dict[str, list[int]] = {}
         for item_id, text in items:
-            if len(text) >= least:
+            if text:
                 ids.setdefault(text, []).append(item_id)
-        self.items = [(text, sorted(x), int(rate * len(text)), masks(text)) for text, x in sorted(ids.items())]
+        self.items = [(text, sorted(x), int(rate * len(text)) if len(text) >= least else 0, masks(text)) for text, x in sorted(ids.items())]
+        self.least = least
         found: dict[str, list[tuple[int, int]]] = {}
         for i, (text, _, errors, _) in enumerate(self.items):
             for s, e in pieces(text, errors):
@@ -92,6 +98,9 @@ class Matcher:
         for i, at in starts.items():
             item, ids, errors, peq = self.items[i]
             best, windows = errors + 1, []
+            if len(item) < self.least:
+                best = 0 if any(_bordered(text, s, s + len(item)) for s in at) else 1
+                at = ()
             for s in sorted(at):  # windows that overlap are one
                 lo, hi = s - errors, s + len(item) + errors
                 if windows and lo <= windows[-1][1] - len(item):
@@ -112,6 +121,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE,
     """docs with one more column: the benchmark items (id and edit distance) that each whole text holds.
 
     An item is held if some part of the text is within rate * length edits of it, both in lower case with single spaces.
+    Items under LEAST_ITEM characters are held only where they stand without edits and between word borders.
     Items of equal text are all reported. The benchmark is a stated query set: it is taken to the workers in blocks of at
     most ITEM_BLOCK characters, one pass over docs for each, and docs are not shuffled. Null or empty texts and items hold
     nothing; an empty benchmark leaks nothing; repeated rows are answered alike; all columns of docs stay.

@@ -484,3 +484,9 @@ def test_fences_follow_the_spread_of_each_language(spark):
 
 def test_runs_find_pairs_that_need_all_levels():
     assert (1 - near_duplicates.SIMILARITY**near_duplicates.LEVELS) ** near_duplicates.n_runs() <= near_duplicates.MISSED
+
+
+def test_short_items_are_found_between_word_borders():
+    m = decontamination.Matcher([(1, "who is it?"), (2, "ann"), (3, "")])
+    assert m.leaks("Tell me: WHO  is it? Ann.") == [{"item_id": 1, "distance": 0}, {"item_id": 2, "distance": 0}]
+    assert m.leaks("annual plans of Joann, and who is in?") == []
