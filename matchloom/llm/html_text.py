@@ -51,6 +51,8 @@ MANY_STOPS, FEW_STOPS, MOST_LINKED = 0.2, 0.08, 0.5
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 _WORD = re.compile(r"\w+")
+#: Letters of scripts that are written without spaces; two count as a word.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\U00020000-\U0003ffff]")
 
 TEXT, NONE, UNSURE = 1, 0, -1
 #: Why a part is furniture: a name of it, or its element.
@@ -171,17 +173,26 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
-def first_pass(block: Block, in_article: bool) -> int:
-    """TEXT, NONE or UNSURE for a block by itself. in_article: the page has an article, and this block is in it."""
+def stop_share(block: Block) -> float:
+    words = _WORD.findall(block.text.lower())
+    return sum(w in STOP_WORDS for w in words) / max(1, len(words))
+
+
+def first_pass(block: Block, in_article: bool, known: bool = True) -> int:
+    """TEXT, NONE or UNSURE for a block by itself. in_article: the page has an article, and this block is in it; known: some
+    block of the page has stop words. Without, the page is in a language that STOP_WORDS lack: length and links decide."""
     if block.furniture:
         return NONE
     words = _WORD.findall(block.text.lower())
     linked = block.linked / max(1, len(block.text))
     if linked > MOST_LINKED:
         return NONE if not in_article or len(words) < SHORT_WORDS else UNSURE
+    if not known and not in_article:
+        length = len(words) + len(_UNSPACED.findall(block.text)) // 2
+        return TEXT if not block.heading and length >= LONG_WORDS and linked < MOST_LINKED / 2 else UNSURE
     if block.heading or len(words) < SHORT_WORDS:
         return UNSURE
-    stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
+    stops = stop_share(block)
     if stops >= MANY_STOPS and (len(words) >= LONG_WORDS or linked < MOST_LINKED / 2):
         return TEXT
     if stops < FEW_STOPS and not in_article:
@@ -223,8 +234,9 @@ def extract(page: str | None) -> str:
         if b.home and not b.furniture:
             homes[b.home] = homes.get(b.home, 0) + len(b.text)
     article = bool(homes)
+    known = any(not b.furniture and stop_share(b) >= FEW_STOPS for b in blocks)
     for b in blocks:
-        b.label = first_pass(b, b.home > 0)
+        b.label = first_pass(b, b.home > 0, known)
         if article and not b.home:
             b.label = NONE  # the page says which part is the article
     # Second pass: ambiguous blocks take the label of the nearest decided blocks, of their own article if they are in one.

@@ -490,3 +490,10 @@ def test_short_items_are_found_between_word_borders():
     m = decontamination.Matcher([(1, "who is it?"), (2, "ann"), (3, "")])
     assert m.leaks("Tell me: WHO  is it? Ann.") == [{"item_id": 1, "distance": 0}, {"item_id": 2, "distance": 0}]
     assert m.leaks("annual plans of Joann, and who is in?") == []
+
+
+@pytest.mark.parametrize("text", ["Вчера вечером жители города собрались возле старой мельницы чтобы послушать рассказ мастера который много лет чинил колёса плотины лодки мосты дороги заборы крыши окна двери печи колодцы", "昨天傍晚城里的居民聚集在古老的磨坊旁边聆听一位工匠讲述他多年来修理水车堤坝船只桥梁道路屋顶门窗火炉水井的故事大家都觉得非常有趣并且久久不愿离去"])
+def test_pages_in_languages_without_known_stop_words(text):
+    links = "".join(f'<li><a href="/{i}">ссылка номер {i} 链接</a></li>' for i in range(30))
+    page = f"<body><ul>{links}</ul><div><p>{text}</p><p>{text[:20]}</p><p>{text}!</p></div><ul>{links}</ul></body>"
+    assert html_text.extract(page) == f"{text} {text[:20]} {text}!"
