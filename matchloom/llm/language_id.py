@@ -185,7 +185,10 @@ def predict_languages(docs: DataFrame) -> DataFrame:
 
 def keep_identified(docs: DataFrame, least_score: float = 0.3) -> DataFrame:
     """The rows of docs whose language is told: not those without a letter, nor those of which under least_score of the
-    n-grams are in the predicted language's profile. All columns stay. The model is learned from docs themselves."""
+    n-grams are in the predicted language's profile. All columns stay. The model is learned from docs themselves; where
+    they teach no language (no labels, or none outside the held-out third), every text with a letter is kept."""
     model = train(docs.filter(F.coalesce(split_of("doc_id", 3) != 1, F.lit(True))))
+    if not any(plane.any() for plane in model.planes):
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     told = identify(docs, model, keep=tuple(docs.columns))
     return told.filter((F.col("_lang_pred") != UNDECIDED) & (F.col("_score") >= least_score)).select(*docs.columns)

@@ -497,3 +497,8 @@ def test_pages_in_languages_without_known_stop_words(text):
     links = "".join(f'<li><a href="/{i}">ссылка номер {i} 链接</a></li>' for i in range(30))
     page = f"<body><ul>{links}</ul><div><p>{text}</p><p>{text[:20]}</p><p>{text}!</p></div><ul>{links}</ul></body>"
     assert html_text.extract(page) == f"{text} {text[:20]} {text}!"
+
+
+def test_unlabelled_corpus_is_kept(spark):
+    d = spark.createDataFrame([(i, t, None) for i, t in enumerate(["some words", "ещё слова", "12 + 3", None, ""])], "doc_id long, text string, lang string")
+    assert sorted(r.doc_id for r in language_id.keep_identified(d).collect()) == [0, 1]
