@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -48,7 +49,13 @@ SHORT_WORDS, LONG_WORDS = 8, 25
 #: Share of stop words from which a long block is text, and below which it is none; share of words in links that is too much.
 MANY_STOPS, FEW_STOPS, MOST_LINKED = 0.2, 0.08, 0.5
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
+#: Names of a class or id over this length name nothing.
+LONGEST_NAME = 200
+
+_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+_SPECIAL = re.compile(r"[\"'>]")
+#: Numbers of characters that no character has.
+_FAR_REFERENCE = re.compile(r"&#0*(?:[1-9][0-9]{8,}|[xX]0*[1-9a-fA-F][0-9a-fA-F]{8,});?")
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 _WORD = re.compile(r"\w+")
 #: Letters of scripts that are written without spaces; two count as a word.
@@ -68,10 +75,108 @@ class Block:
         self.text, self.linked, self.home, self.furniture, self.heading, self.label = text, linked, home, furniture, heading, UNSURE
 
 
+class Tags:
+    """Start and end tags of a page from left to right; comments, declarations and lone `<` are none.
+
+    A tag ends at the first `>` outside quotes. From a tag whose quotes are never closed on, it ends at the next `>`. No
+    part of the page is searched twice: where nothing more is to be found is remembered.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.quoted, self.last = page, True, {c: page.rfind(c) for c in "\"'>"}
+
+    def end_of(self, at: int) -> int:
+        """Position of the `>` of a tag whose name ends at `at`; there is one."""
+        page, start = self.page, at
+        while self.quoted:
+            special = _SPECIAL.search(page, at).start()
+            c = page[special]
+            if c == ">":
+                return special
+            if self.last[c] == special or self.last[">"] < (close := page.index(c, special + 1)):
+                self.quoted = False
+            else:
+                at = close + 1
+        return page.index(">", start)
+
+    def __iter__(self):
+        """(where it begins, where it ends, name in lower case, whether it closes, attributes, whether it is empty); name None: to be left out."""
+        page, at = self.page, 0
+        while (start := page.find("<", at)) >= 0:
+            after = page[start + 1 : start + 2]
+            if page.startswith("<!--", start) or page.startswith("<![CDATA[", start):
+                mark = "-->" if page[start + 2] == "-" else "]]>"
+                end = page.find(mark, start + 4)
+                end = len(page) if end < 0 else end + 3
+                yield start, end, None, False, "", False
+            elif start > self.last[">"]:
+                at = page.find("<!--", start + 1)
+                if at < 0:
+                    return
+                continue
+            elif after in ("!", "?"):
+                end = page.index(">", start) + 1
+                yield start, end, None, False, "", False
+            elif m := _NAME.match(page, start):
+                close = self.end_of(m.end())
+                end = close + 1
+                skip = yield start, end, m[1].lower(), page[start + 1] == "/", page[m.end() : close], page[close - 1] == "/"
+                if skip is not None:
+                    end = skip
+                    yield None
+            else:
+                at = start + 1
+                continue
+            at = end
+
+
+class Stack:
+    """Open elements, with where the last one of each name and of each kind is, so that no search walks the stack."""
+
+    def __init__(self):
+        self.items: list[tuple[str, bool, int, int]] = []  # name, skipped, furniture, home
+        self.of: dict[str, list[int]] = {}
+
+    def push(self, name: str, *state) -> None:
+        for kind in self._kinds(name):
+            self.of.setdefault(kind, []).append(len(self.items))
+        self.items.append((name, *state))
+
+    @staticmethod
+    def _kinds(name: str) -> tuple[str, ...]:
+        return (name, *(("*block",) if name in BLOCKS else ()), *(("*border",) if name in ("table", "body", "html") else ()))
+
+    def last(self, *names: str) -> int:
+        return max((self.of[n][-1] for n in names if self.of.get(n)), default=-1)
+
+    def cut(self, at: int) -> None:
+        """Close the element at this place and all within it."""
+        while len(self.items) > at:
+            for kind in self._kinds(self.items.pop()[0]):
+                self.of[kind].pop()
+
+    def state(self) -> tuple[bool, int, int]:
+        return self.items[-1][1:] if self.items else (False, 0, 0)
+
+
+@lru_cache(10_000)
+def named(names: str) -> tuple[bool, bool, bool]:
+    """Whether class, id or role name furniture, a head, an article."""
+    names = WRAPPER_NAMES.sub("", " ".join(n for n in names.split() if len(n) <= LONGEST_NAME))
+    return bool(names.strip() and FURNITURE_NAMES.search(names)), bool(HEAD_NAMES.search(names)), bool(ARTICLE_NAMES.search(names))
+
+
+def decoded(raw: str) -> str:
+    return html.unescape(_FAR_REFERENCE.sub("\ufffd", raw) if "&#" in raw else raw)
+
+
 def blocks_of(page: str) -> list[Block]:
-    """The blocks of a page in order. home is the number of the article element that a block is in, 0 outside all."""
+    """The blocks of a page in order. home is the number of the article element that a block is in, 0 outside all.
+
+    Time is linear in the page, however it is broken.
+    """
     out: list[Block] = []
-    stack: list[tuple[str, bool, int, int]] = []  # name, skipped, furniture, home
+    stack = Stack()
     mains: set[int] = set()  # homes that are no article elements
     parts: list[tuple[str, bool]] = []
     skipped = False
@@ -89,65 +194,52 @@ def blocks_of(page: str) -> list[Block]:
 
     def add(raw: str) -> None:
         if raw and not skipped:
-            parts.append((html.unescape(raw), links > 0))
-
-    at, end = 0, len(page)
-    while at < end:
-        m = _TOKEN.search(page, at)
-        if m is None:
-            add(page[at:])
-            break
-        add(page[at : m.start()])
-        at = m.end()
-        name = m[2]
+            parts.append((decoded(raw), links > 0))
+
+    at = 0
+    tags = iter(Tags(page))
+    for start, end, name, closing, attributes, empty in tags:
+        add(page[at:start])
+        at = end
         if name is None:
             continue
-        name, closing = name.lower(), bool(m[1])
         if name in BLOCKS or name in SKIPPED:
             close()
         if closing:
             if name == "a":
                 links = max(0, links - 1)
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
-                    break
-                if stack[i][0] in ("table", "body", "html") and name not in ("table", "body", "html"):
-                    break
+            i = stack.last(name)
+            if i >= 0 and (name in ("table", "body", "html") or i > stack.last("*border")):
+                stack.cut(i)
         else:
             if name == "a":
                 links = 1  # links do not nest
-            if name in RAW and not m[0].endswith("/>"):
+            if name in RAW and not empty:
                 stop = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
-                at = stop.end() if stop else end
+                at = stop.end() if stop else len(page)
+                tags.send(at)
                 continue
-            if name in VOID or m[0].endswith("/>"):
+            if name in VOID or empty:
                 continue
             if name in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "div", "table", "section", "article", "blockquote", "footer", "header", "nav", "aside", "form"):
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == "p":
-                        del stack[i:]
-                        break
-                    if stack[i][0] in BLOCKS:
-                        break
+                i = stack.last("*block")
+                if i >= 0 and stack.items[i][0] == "p":
+                    stack.cut(i)
             if name in IMPLIED_END:
                 ends, limits = IMPLIED_END[name]
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] in ends:
-                        del stack[i:]
-                        break
-                    if stack[i][0] in limits:
-                        break
-            found = {k.lower(): (v or "").strip("\"'") for k, v in _ATTRIBUTE.findall(m[3])} if m[3] else {}
-            names = WRAPPER_NAMES.sub("", " ".join(found.get(k, "") for k in ("class", "id", "role")))
+                i = stack.last(*ends)
+                if i > stack.last(*(limits - ends)):
+                    stack.cut(i)
+            found = {k.lower(): (v or "").strip("\"'") for k, v in _ATTRIBUTE.findall(attributes)} if attributes else {}
+            by_name, by_head, by_article = named(" ".join(found.get(k, "") for k in ("class", "id", "role")))
             hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
-            up_skipped, up_furniture, up_home = stack[-1][1:] if stack else (False, 0, 0)
+            up_skipped, up_furniture, up_home = stack.state()
             structural = name not in ("html", "body", "main", "article")
-            is_article = name in ("article", "main") or (name in ("div", "section", "td") and bool(ARTICLE_NAMES.search(names)))
+            is_article = name in ("article", "main") or (name in ("div", "section", "td") and by_article)
             # The header of an article holds its title; of a page, furniture.
-            named = bool(names.strip()) and bool(FURNITURE_NAMES.search(names) or (not up_home and HEAD_NAMES.search(names)))
-            own = structural and ((name in FURNITURE and not (name == "header" and up_home)) or named)
-            if name == "article" and named:
+            by_name = by_name or (not up_home and by_head)
+            own = structural and ((name in FURNITURE and not (name == "header" and up_home)) or by_name)
+            if name == "article" and by_name:
                 own = True  # comments and teasers come as articles too
             if name == "main" and up_furniture == BY_NAME:
                 up_furniture = 0  # a wrapper that is named after a part of it
@@ -156,10 +248,11 @@ def blocks_of(page: str) -> list[Block]:
                 up_home = homes
                 if name != "article":
                     mains.add(homes)
-            stack.append((name, up_skipped or name in SKIPPED or hidden, max(up_furniture, (BY_NAME if named and name not in FURNITURE else BY_ELEMENT) if own else 0), up_home))
-        skipped, furniture, home = stack[-1][1:] if stack else (False, 0, 0)
+            stack.push(name, up_skipped or name in SKIPPED or hidden, max(up_furniture, (BY_NAME if by_name and name not in FURNITURE else BY_ELEMENT) if own else 0), up_home)
+        skipped, furniture, home = stack.state()
         if not closing and name in ("h1", "h2", "h3", "h4", "h5", "h6"):
             heading = True
+    add(page[at:])
     close()
     # An article element within a main part is the text, unless it holds less than the rest of that part.
     inner = sum(len(b.text) for b in out if b.home and b.home not in mains and not b.furniture)
@@ -212,14 +305,14 @@ def _decided(blocks: list[Block], order: range) -> list[int | None]:
     return out
 
 
-def inherited(block: Block, i: int, before: int | None, after: int | None, blocks: list[Block]) -> int:
-    """The label of an ambiguous block from its nearest decided neighbours."""
+def inherited(block: Block, i: int, before: int | None, after: int | None, blocks: list[Block], none: int) -> int:
+    """The label of an ambiguous block from its nearest decided neighbours; none: the label where there is no such neighbour."""
     near = [j for j in (before, after) if j is not None]
     labels = [blocks[j].label for j in near]
     if block.home:
         return TEXT if not near or TEXT in labels else NONE
     if not near:
-        return NONE if any(b.label != UNSURE for b in blocks) else TEXT
+        return none
     if block.heading and after is not None:
         return blocks[after].label
     least = min(abs(j - i) for j in near)
@@ -241,7 +334,8 @@ def extract(page: str | None) -> str:
             b.label = NONE  # the page says which part is the article
     # Second pass: ambiguous blocks take the label of the nearest decided blocks, of their own article if they are in one.
     before, after = _decided(blocks, range(len(blocks))), _decided(blocks, range(len(blocks) - 1, -1, -1))
-    labels = [b.label if b.label != UNSURE else inherited(b, i, before[i], after[i], blocks) for i, b in enumerate(blocks)]
+    none = NONE if any(b.label != UNSURE for b in blocks) else TEXT
+    labels = [b.label if b.label != UNSURE else inherited(b, i, before[i], after[i], blocks, none) for i, b in enumerate(blocks)]
     return " ".join(b.text for b, label in zip(blocks, labels, strict=True) if label == TEXT)
 
 
@@ -252,8 +346,10 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     headers, footers, sidebars, notices, adverts, forms and comments are out; with an article element, what is outside it
     is out). Pass 2 gives ambiguous blocks the label of their nearest decided neighbour, in their own article if it has one.
     Character references are decoded, white space within a block is one space, blocks are joined by one space.
-    Null or empty HTML gives empty text; malformed HTML is read as browsers do, as far as blocks go. Rows are kept one to
-    one, repeated ones too; other columns are ignored.
+    Null or empty HTML gives empty text; malformed HTML is read as browsers do, as far as blocks go, and a page of any length
+    and brokenness takes time linear in it and the memory of one page. Blocks at equal distance from a text and a
+    non-text neighbour are none. Rows are kept one to one, repeated ones and null ids too; other columns are ignored,
+    whatever their names; an empty table gives none.
     """
 
     def run(batches):
