@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -24,10 +25,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a local one only where that is unset (single-machine tests)."""
+    """The folder of spark.checkpoint.dir; where that is unset, a local one if all runs in one process, and an error else."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_dirs:
         _own_dirs[app] = "file://" + tempfile.mkdtemp(prefix="matchloom-")
@@ -38,7 +41,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df once to the shared folder and read it back: later steps neither recompute it nor depend on executors that held it."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def release(spark: SparkSession, *written: DataFrame) -> None:
+    """Delete materialized tables that nothing reads any more, and let the shuffle files of steps that are over go."""
+    context = spark.sparkContext
+    for df in written:
+        path = context._jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    context._jvm.System.gc()
 
 
 def split_of(id_col: str, modulus: int) -> "F.Column":

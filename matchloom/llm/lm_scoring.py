@@ -2,357 +2,321 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import HashMap64, hash_strings, materialize, slices, split_of, words_of
-from .lexicon import count_entries, hot_from
+from .common import hash_strings, materialize, release, slices, split_of, words_of
 
 #: Highest order of the model's n-grams.
 ORDER = 3
-#: An n-gram of two or more words is part of the model from so many occurrences on, at every size.
-LEAST_COUNT = 2
-#: Words and n-grams with these shares of all training tokens are sent to every worker as an automaton (four million of an order at most); the rest of the model is joined.
-STATE_SHARE = ARC_SHARE = 1 / 4_000_000
-#: Absolute discount.
-DISCOUNT = 0.75
-#: The end of a text as a lexicon entry; no word has white space.
+#: Weight of the next shorter n-gram in the estimate of one of two, three, ... words: so many occurrences of the history.
+PRIOR = (1000.0, 20.0)
+#: The end of a text as a word; no word has white space.
 END = "\n"
-#: Tokens whose n-grams a worker gathers before it hands their counts on.
-GATHERED = 2_000_000
-#: Bits of a filter that tells which n-grams may be in a table. A full one only sends more rows to the join.
-FILTER_BITS = 1 << 27
-
-
-class Automaton:
-    """States are word histories; an arc reads a word with a weight (log10 of its smoothed probability), and a state
-    without an arc for the word takes its failure arc to the history less its first word, for the state's backoff weight.
+#: Text bytes of a block, the unit that is counted and scored at once; longer texts are cut into pieces.
+BLOCK_BYTES = 8_000_000
+#: Text bytes of which words are found at once.
+SLICE_BYTES = 2_000_000
+#: Bits of an n-gram's hash: of n distinct n-grams, n * n / 2**57 pairs share one (a tenth of a pair in 10**8).
+KEY_BITS = 56
+#: n-grams that one bucket of the count holds, about, and text bytes for each distinct n-gram of a block, about.
+BUCKET_ENTRIES, BYTES_AN_ENTRY = 2_000_000, 4
 
-    State 0 is the empty history, with an arc for each frequent word; states 1..n_states are single words; each arc of a
-    state below the highest order leads to a state of its own. Weights are those of the whole model, of which the automaton
-    holds the frequent part. What rarer n-grams change is a sum over them (see `train_automaton`), added by a join.
+END_HASH = hash_strings(pa.array([END]))
+PACKED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("context", pa.int64()), ("ended", pa.bool_()), ("text", pa.large_string())])
+
+
+# --- blocks: some megabytes of texts as one compressed value
+
+
+def cut(text: str, limit: int, context: int) -> list[tuple[int, bool, str]]:
+    """(words of context, whether it ends the text, piece): pieces of about `limit` bytes, each led by the last words before."""
+    if len(text) <= limit // 4 or len(data := text.encode()) <= limit:
+        return [(0, True, text)]
+    out, start, lead = [], 0, []
+    while True:
+        end = min(start + limit, len(data))
+        while end < len(data) and data[end] not in b" \t\n\r\x0b\x0c":
+            end += 1
+        piece = b" ".join([*lead, data[start:end]])
+        out.append((len(lead), end == len(data), piece.decode()))
+        if end == len(data):
+            return out
+        start, lead = end, piece.rsplit(None, context)[-context:] if context else []
+        lead = [w for w in lead if w.strip()]
+
+
+def _pack(context: int, limit: int):
+    def pack(batches):
+        held: list[tuple] = []
+        size = 0
+
+        def block():
+            columns = [pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), PACKED, strict=True)]
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, PACKED, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_batch(pa.RecordBatch.from_arrays(columns, schema=PACKED))
+            return pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().int >> 65]), pa.array([size], pa.int64()), pa.array([sink.getvalue().to_pybytes()])], names=["block", "bytes", "docs"])
+
+        for batch in slices(batches, "text", limit):
+            for row, doc_id, held_out, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for lead, ended, piece in cut(text or "", limit, context):
+                    held.append((row, doc_id, held_out, lead, ended, piece))
+                    size += len(piece) + 8
+                    if size >= limit:
+                        yield block()
+                        held, size = [], 0
+        if held:
+            yield block()
+
+    return pack
+
+
+def _texts_of(docs: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(pa.py_buffer(docs)).read_next_batch()
+
+
+def coded(texts: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of each piece, with the end where it ends its text, and bounds."""
+    hashes, lengths = [], []
+    for part in slices([texts], "text", SLICE_BYTES):
+        words, bounds = words_of(part.column("text"), lower=True)
+        d = words.dictionary_encode()
+        ended = part.column("ended").to_numpy(zero_copy_only=False)
+        starts = bounds + np.concatenate([[0], np.cumsum(ended)])
+        h = np.full(int(starts[-1]), END_HASH[0], np.uint64)
+        h[np.arange(len(words)) + np.repeat(starts[:-1] - bounds[:-1], np.diff(bounds))] = hash_strings(d.dictionary)[d.indices.to_numpy()]
+        hashes.append(h)
+        lengths.append(np.diff(starts))
+    return np.concatenate(hashes), np.concatenate([[0], np.cumsum(np.concatenate(lengths))])
+
+
+class Grams:
+    """The distinct n-grams of a block, by sorted hashes of KEY_BITS bits (odd for words, even for longer ones), and where they are.
+
+    at[n - 1][j] is the number of the n-gram that ends at token j, -1 where the text has fewer words before j.
     """
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, backoff: np.ndarray, total: int, distinct: int, n_docs: int):
-        """keys, counts, backoff: hashes, counts and backoff weights of the frequent lexicon, END among it; total, distinct: of all."""
-        self.total, self.distinct, self.n_docs = total, distinct, n_docs
-        self.known = self.level = HashMap64(keys)
-        self.base = np.log10((counts + 1) / (total + distinct + 1))
-        self.n_states = len(keys)
-        self.end = int(self.known.find(END_HASH)[0])
-        self.keys = np.zeros(0, np.int64)
-        self.weight, self.next = np.zeros(0), np.zeros(0, np.int64)
-        self.fail, self.backoff = np.zeros(1 + self.n_states, np.int64), np.concatenate([[0.0], backoff])
-        self.word = np.arange(self.n_states)  # last word of each n-gram of the highest order so far, and the state it leads to
-        self.state = np.where(self.word == self.end, 0, self.word + 1)
-        self.rare: np.ndarray | None = None  # filter of the n-grams outside
-
-    def steps(self, tokens: np.ndarray, starts: np.ndarray, state_at: np.ndarray | None = None) -> np.ndarray:
-        """log10 probability of each text: one left-to-right traversal of all texts side by side, each with its own state.
-
-        tokens: word numbers, -1 for words to be joined later; starts: bounds of the texts.
-        """
-        lengths = np.diff(starts)
-        order = np.argsort(-lengths, kind="stable")
-        begin, rest = starts[:-1][order], lengths[order]
-        state, score = np.zeros(len(order), np.int64), np.zeros(len(order))
-        active = np.searchsorted(-rest, -np.arange(1, (int(rest[0]) if len(rest) else 0) + 1), side="right")
-        for t, n in enumerate(active.tolist()):
-            word = tokens[begin[:n] + t]
-            now, add = state[:n], np.zeros(n)
-            then = np.where((word >= 0) & (word != self.end), word + 1, 0)
-            open_ = (now > 0) & (word >= 0)
-            root = ~open_
-            if not root.all():
-                at = np.flatnonzero(open_)
-                cur = now[at]
-                while len(at):
-                    key = cur * self.n_states + word[at]
-                    where = np.minimum(np.searchsorted(self.keys, key), max(0, len(self.keys) - 1))
-                    hit = self.keys[where] == key if len(self.keys) else np.zeros(len(at), bool)
-                    add[at[hit]] += self.weight[where[hit]]
-                    then[at[hit]] = self.next[where[hit]]
-                    at, cur = at[~hit], cur[~hit]
-                    add[at] += self.backoff[cur]
-                    cur = self.fail[cur]
-                    at_root = cur == 0
-                    root[at[at_root]] = True
-                    at, cur = at[~at_root], cur[~at_root]
-            failed = (now > 0) & (word < 0)
-            if failed.any():
-                add[failed] += self._down(now[failed])
-            read = root & (word >= 0)
-            add[read] += self.base[word[read]]
-            score[:n] += add
-            state[:n] = then
-            state[:n][word == self.end] = 0
-        out = np.zeros(len(order))
-        out[order] = score
+    def __init__(self, texts: pa.RecordBatch, order: int):
+        hashes, self.starts = coded(texts)
+        lengths = np.diff(self.starts)
+        self.text = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+        before = np.arange(len(hashes), dtype=np.int32) - np.repeat(self.starts[:-1].astype(np.int32), lengths)
+        #: Tokens that are counted and scored: all but a piece's words of context.
+        self.own = before >= np.repeat(texts.column("context").to_numpy(), lengths)
+        shift = np.uint64(64 - KEY_BITS)
+        n_places = [int((before >= n).sum()) for n in range(order)]
+        merged, end = np.empty(sum(n_places), np.uint64), len(hashes)
+        merged[:end] = (hashes >> shift) | np.uint64(1)
+        last = hashes
+        for n in range(1, order):
+            longer = np.zeros(len(hashes), np.uint64)
+            with np.errstate(over="ignore"):
+                longer[1:] = _mixed(last[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:] + np.uint64(n))
+            merged[end : end + n_places[n]] = (longer[before >= n] >> shift) & ~np.uint64(1)
+            end, last = end + n_places[n], longer
+        del hashes, last
+        by_key = np.argsort(merged)
+        merged = merged[by_key]
+        first = np.concatenate([[True], merged[1:] != merged[:-1]])
+        self.keys = merged[first]
+        del merged
+        number = np.empty(len(by_key), np.int32)
+        number[by_key] = np.cumsum(first, dtype=np.int32) - 1
+        del by_key, first
+        self.at, begin = [], 0
+        for n in range(order):
+            at = np.full(len(before), -1, np.int32)
+            at[before >= n] = number[begin : begin + n_places[n]]
+            self.at.append(at)
+            begin += n_places[n]
+
+    def counts(self, learned: np.ndarray) -> np.ndarray:
+        """Occurrences of each n-gram at the own tokens of the texts to learn from."""
+        use = self.own & learned[self.text]
+        out = np.zeros(len(self.keys), np.int64)
+        for at in self.at:
+            out += np.bincount(at[use & (at >= 0)], minlength=len(out))
         return out
 
-    def _down(self, state: np.ndarray) -> np.ndarray:
-        """Sum of the backoff weights on the way to the empty history."""
-        out = np.zeros(len(state))
-        while (state > 0).any():
-            out += np.where(state > 0, self.backoff[state], 0.0)
-            state = self.fail[state]
-        return out
 
-    def grow(self, keys: np.ndarray, a: np.ndarray, b: np.ndarray, weight: np.ndarray, backoff: np.ndarray, last: bool) -> None:
-        """Add the arcs of one more order: hashes of the n-grams, of their first and of their last words less one."""
-        before, after = self.level.find(a), self.level.find(b)
-        word, down = self.word[after], self.state[after]
-        merged = np.concatenate([self.keys, self.state[before] * self.n_states + word])
-        leads = down
-        if not last:
-            grown = word != self.end
-            leads = np.where(grown, np.cumsum(grown) - 1 + len(self.fail), 0)
-            self.fail = np.concatenate([self.fail, down[grown]])
-            self.backoff = np.concatenate([self.backoff, backoff[grown]])
-            self.level, self.word, self.state = HashMap64(keys), word, leads
-        order = np.argsort(merged)
-        self.keys = merged[order]
-        self.weight = np.concatenate([self.weight, weight])[order]
-        self.next = np.concatenate([self.next, leads])[order]
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(32)
+    return x
 
 
-END_HASH = hash_strings(pa.array([END]))
-
+# --- counts: packed lists of n-grams go to buckets of their keys, and the corpus's counts come back in the same order
 
-def pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Spark's xxhash64(a, b) of two uint64 arrays: the key of an n-gram from those of its first and its last n - 1 words."""
-    p1, p2, p3, p4, p5 = map(np.uint64, (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
 
-    def turn(x, n):
-        return (x << np.uint64(n)) | (x >> np.uint64(64 - n))
+def packed(values: np.ndarray) -> bytes:
+    """Unsigned numbers byte plane by byte plane, compressed: small ones and sorted hashes' steps take few bytes."""
+    planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    return len(values).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(planes.tobytes(), asbytes=True)
 
-    h = np.full(len(a), 42, np.uint64)
-    with np.errstate(over="ignore"):
-        for x in (a, b):
-            h = h + p5 + np.uint64(8)
-            h ^= turn(x * p2, 31) * p1
-            h = turn(h, 27) * p1 + p4
-            h ^= h >> np.uint64(33)
-            h *= p2
-            h ^= h >> np.uint64(29)
-            h *= p3
-            h ^= h >> np.uint64(32)
-    return h
 
+def unpacked(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.Codec("zstd").decompress(data[8:], 8 * n, asbytes=True) if n else b"", np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, n).T).reshape(-1).view("<u8")
 
-def may_have(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    at = keys & np.uint64(FILTER_BITS - 1)
-    return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
+def _bounds(keys: np.ndarray, n_buckets: int) -> np.ndarray:
+    """Where each bucket starts in sorted keys: buckets are equal ranges of all keys."""
+    edges = np.array([i * (1 << KEY_BITS) // n_buckets for i in range(1, n_buckets)], np.uint64)
+    return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
 
-def filter_of(keys: DataFrame) -> np.ndarray:
-    """Bits of the keys `g`: no key of the table is denied, whatever its size."""
-    at = F.col("g").bitwiseAND(F.lit(FILTER_BITS - 1))
-    words = keys.groupBy(F.shiftright(at, 6).cast("int").alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(g & 63 AS int)))").alias("bits")).toArrow()
-    bits = np.zeros(FILTER_BITS // 64, np.uint64)
-    bits[words["at"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
-    return bits
 
-
-def coded(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes of each text with its end, and bounds."""
-    words, bounds = words_of(column, lower=True)
-    d = words.dictionary_encode()
-    rows = len(column)
-    starts = bounds + np.arange(rows + 1)
-    hashes = np.full(int(starts[-1]), END_HASH[0], np.uint64)
-    hashes[np.arange(len(words)) + np.repeat(np.arange(rows), np.diff(bounds))] = hash_strings(d.dictionary)[d.indices.to_numpy()]
-    return hashes, starts
-
-
-def orders_of(hashes: np.ndarray, starts: np.ndarray, order: int):
-    """For n = 2 .. order: (a, b, position of the last word) of each n-gram within a text."""
-    keys, at = hashes, np.arange(len(hashes))
-    left = at - np.repeat(starts[:-1], np.diff(starts))  # words before, in the text
-    for n in range(2, order + 1):
-        use = left[at] >= n - 1
-        b = np.flatnonzero(use)
-        a, at, b = keys[b - 1], at[b], keys[b]
-        yield a, b, at
-        keys = pair_key(a, b) if n < order else keys
+def _count(order: int, n_buckets: int):
+    def count(batches):
+        for batch in batches:
+            for block, docs in zip(batch.column("block").to_pylist(), batch.column("docs"), strict=True):
+                texts = _texts_of(docs.as_py())
+                grams = Grams(texts, order)
+                counts = grams.counts(~texts.column("held_out").to_numpy(zero_copy_only=False))
+                bounds = _bounds(grams.keys, n_buckets)
+                rows = []
+                for bucket, (lo, hi) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+                    if hi > lo:
+                        rows.append((block, bucket, packed(np.diff(grams.keys[lo:hi], prepend=np.uint64(0))), packed(counts[lo:hi])))
+                for i in range(0, len(rows), 500):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i : i + 500], strict=True), (pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["block", "bucket", "keys", "counts"])
+
+    return count
+
+
+def _total(t: pa.Table) -> pa.Table:
+    """One bucket: for each block's list, what each of its n-grams has in all blocks; and the bucket's words and tokens, once."""
+    lists = [np.cumsum(unpacked(x.as_py()), dtype=np.uint64) for x in t["keys"]]
+    keys, counts = np.concatenate(lists), np.concatenate([unpacked(x.as_py()) for x in t["counts"]])
+    order = np.argsort(keys)
+    sorted_ = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
+    sums = np.add.reduceat(counts[order], first)
+    word = sums[(sorted_[first] & np.uint64(1)).astype(bool)]
+    total = np.empty(len(keys), np.uint64)
+    total[order] = np.repeat(sums, np.diff(np.append(first, len(keys))))
+    ends = np.cumsum([len(x) for x in lists])
+    back = [packed(x) for x in np.split(total, ends[:-1])]
+    once = [None] * (len(back) - 1)
+    return pa.table({"block": t["block"], "bucket": t["bucket"], "counts": pa.array(back, pa.binary()), "words": pa.array([int((word > 0).sum()), *once], pa.int64()), "tokens": pa.array([int(word.sum()), *once], pa.int64())})
+
+
+# --- the automaton
 
 
-def _count_ngrams(train: DataFrame, n: int, shorter) -> DataFrame:
-    """(g, a, b, n) of the n-grams with LEAST_COUNT occurrences. shorter: broadcast filter of those of one word less, or None."""
+class Automaton:
+    """States are word histories; an arc reads a word with a weight (log10 of its smoothed probability), and a state
+    without an arc for the word takes its failure arc to the history less its first word, for the state's backoff weight.
 
-    def count(batches):
-        held, rows = [], 0
-
-        def counted():
-            a, b = (np.concatenate(x) for x in zip(*held))
-            _, at, n = np.unique(pair_key(a, b), return_index=True, return_counts=True)
-            yield from pa.table({"a": a[at].view(np.int64), "b": b[at].view(np.int64), "n": n}).to_batches(max_chunksize=50_000)
-
-        for batch in slices(batches, "text"):
-            for a, b, _ in orders_of(*coded(batch.column("text")), n):
-                pass
-            if shorter is not None:
-                use = may_have(shorter.value, a) & may_have(shorter.value, b)
-                a, b = a[use], b[use]
-            held.append((a, b))
-            rows += len(a)
-            if rows > GATHERED:
-                yield from counted()
-                held, rows = [], 0
-        if rows:
-            yield from counted()
-
-    found = train.mapInArrow(count, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
-    return _kept(found.filter(F.col("n") >= LEAST_COUNT).select(F.xxhash64("a", "b").alias("g"), "a", "b", "n"), f"ngrams{n}")
-
-
-def _kept(df: DataFrame, name: str) -> DataFrame:
-    """Materialized; the shuffle files of steps that are over are let go, as together they are several times the input."""
-    out = materialize(df, name)
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return out
-
-
-def _look_up(rows: DataFrame, key: str, found: DataFrame, least: float, **columns: str) -> DataFrame:
-    """rows with columns of `found` at g = key. Frequent entries are broadcast, and their rows dealt out by their own key."""
-    names = {k: F.col(v).alias(f"hot_{k}") for k, v in columns.items()}
-    hot = found.filter(F.col("n") >= least).select(F.col("g").alias(key), *names.values())
-    cold = found.filter(F.col("n") < least).select(F.col("g").alias("at"), *(F.col(v).alias(f"cold_{k}") for k, v in columns.items()))
-    r = rows.join(F.broadcast(hot), key, "left").withColumn("at", F.when(F.col(f"hot_{next(iter(columns))}").isNull(), F.col(key)).otherwise(F.col("g")))
-    return r.join(cold, "at", "left").select(*rows.columns, *(F.coalesce(f"hot_{k}", f"cold_{k}").alias(k) for k in columns))
-
-
-def train_automaton(train: DataFrame, text_col: str = "text", order: int = ORDER) -> tuple[Automaton, DataFrame]:
-    """The automaton of the frequent part, and (g, c, v) of the rest: count (of words) and what an occurrence adds to a score.
-
-    All words and all n-grams with LEAST_COUNT occurrences are the model; its tables grow with the corpus and stay tables.
-    The log probability at a place telescopes into a sum over the n-grams that end there or one word before: a word's
-    unigram weight, its backoff weight as a history (always read further, but for END), and for each longer n-gram of the
-    model its weight less that of the way round it by backoff, with its own backoff weight. As an n-gram is at most as
-    frequent as its parts, the frequent part is closed, and what rarer n-grams add does not depend on it.
+    State 0 is the empty history, with an arc for every word; any n-gram of up to order - 1 words that training texts hold
+    is a state, any longer or equal one an arc. An automaton has the part of the model that one block of texts can reach.
+    Weights: p(w | h) = (c(hw) + prior * p(w | h less its first word)) / (c(h) + prior), which sums to 1 over all words, the
+    end and one unknown word, as every n-gram is counted; so an arc has that weight, and a failure prior / (c(h) + prior).
     """
-    t = train.select(F.col(text_col).alias("text"))
-    spark = train.sparkSession
-
-    def entries(batch):
-        for part in slices([batch], "text"):
-            yield words_of(part.column("text"), lower=True)[0]
-
-    def hashed(batches):
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(hash_strings(b.column("entry")).view(np.int64)), b.column("n")], ["g", "n"])
-
-    n_docs = t.count()
-    end = spark.createDataFrame([(int(END_HASH.view(np.int64)[0]), n_docs)], "g long, n long")
-    words = _kept(count_entries(t, "text", entries).mapInArrow(hashed, "g long, n long").unionByName(end), "lexicon")
-    total, distinct = words.agg(F.sum("n"), F.count_if(F.col("n") > 0)).first()
-    least = hot_from(total, ARC_SHARE)
-    levels = [words.withColumn("w", F.log10((F.col("n") + 1) / F.lit(float(total + distinct + 1)))).withColumn("delta", F.lit(0.0))]
-    shorter = None
-    for n in range(2, order + 1):
-        grams = _count_ngrams(t, n, shorter)
-        if n < order:
-            shorter = spark.sparkContext.broadcast(filter_of(grams))
-        held = grams.groupBy("a").agg(F.sum(F.col("n") - DISCOUNT).alias("held"))
-        back = F.when(F.col("held") > 0, F.log10(1 - F.col("held") / F.col("n"))).otherwise(0.0)
-        prior = levels[-1]
-        prior = levels[-1] = _kept(prior.join(held.withColumnRenamed("a", "g"), "g", "left").select(*prior.columns, back.alias("back")), f"histories{n}")
-        found = _look_up(_look_up(grams, "a", prior, least, c="n", back="back"), "b", prior, least, lower="w")
-        around = F.col("back") + F.col("lower")
-        weight = F.log10((F.col("n") - DISCOUNT) / F.col("c") + F.pow(F.lit(10.0), around))
-        levels.append(_kept(found.select("g", "a", "b", "n", weight.alias("w"), (weight - around).alias("delta")), f"weights{n}"))
-    levels[-1] = levels[-1].withColumn("back", F.lit(0.0))
-
-    is_hot = (F.col("n") >= least) | (F.col("g") == F.lit(int(END_HASH.view(np.int64)[0])))
-    hot = [x.filter(is_hot).orderBy(F.desc("n"), "g").toArrow() for x in levels]
-    array = lambda t, c: t[c].to_numpy().view(np.uint64) if c in "gab" else t[c].to_numpy()
-    model = Automaton(array(hot[0], "g"), array(hot[0], "n"), array(hot[0], "back"), total, distinct, n_docs)
-    for n, arcs in enumerate(hot[1:], 2):
-        model.grow(*(array(arcs, c) for c in ("g", "a", "b", "w", "back")), last=n == order)
-    rest = [x.filter(~is_hot).select("g", (F.col("n") if not i else F.lit(None).cast("long")).alias("c"), (F.col("delta") + F.col("back")).alias("v")) for i, x in enumerate(levels)]
-    longer = rest[1].limit(0) if order > 1 else None
-    for x in rest[1:]:
-        longer = longer.unionByName(x)
-    model.order, model.rare = order, filter_of(longer)
-    return model, rest[0].unionByName(longer)
-
-
-def score_texts(docs: DataFrame, model: Automaton, rest: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score, score of every whole text.
-
-    A worker runs the automaton over its texts; words and n-grams that are not in it go as (text, key, frequency) to a join
-    with the rest of the model, and what they add is added to the sums. N-grams that its filter denies are in no table.
+
+    def __init__(self, grams: Grams, counts: np.ndarray, tokens: int, words: int, prior: tuple[float, ...] = PRIOR):
+        self.grams, n = grams, len(grams.keys)
+        self.count = np.append(counts.astype(np.float64), 0.0)  # the last entry stands for "no such n-gram"
+        #: Probability and log10 weight of the arc of each n-gram, and weight of the failure arc of each as a state.
+        self.p, self.weight, self.backoff = np.zeros(n + 1), np.zeros(n + 1), np.zeros(n + 1)
+        lower = None
+        for k, at in enumerate(grams.at):
+            here = np.flatnonzero(at >= 0)
+            gram = at[here]
+            if k == 0:
+                self.p[gram] = (self.count[gram] + 1) / (tokens + words + 1)
+            else:
+                history = grams.at[k - 1][here - 1]
+                self.p[gram] = (self.count[gram] + prior[k - 1] * self.p[lower[here]]) / (self.count[history] + prior[k - 1])
+            if k < len(prior):
+                self.backoff[gram] = np.log10(prior[k] / (self.count[gram] + prior[k]))
+            lower = at
+        self.weight[:n] = np.log10(self.p[:n])
+
+    def run(self) -> np.ndarray:
+        """log10 probability that the traversal adds at each token.
+
+        The state after a token is its longest n-gram that is a state, whatever the state before, so all tokens go from
+        their states at once: time is linear in them, however long a text is. From its state a token follows failure arcs
+        until a state has an arc for its word; the empty history has one for every word.
+        """
+        at, n = self.grams.at, len(self.grams.keys)
+        add = np.zeros(len(at[0]))
+        open_ = np.ones(len(add), bool)
+        for k in range(len(at) - 1, 0, -1):
+            # histories of k words: state if training texts hold it
+            state = np.full(len(add), n)
+            state[1:] = np.where(at[k][1:] >= 0, at[k - 1][:-1], n)
+            in_state = open_ & (self.count[state] > 0)
+            arc = in_state & (self.count[at[k]] > 0)
+            add[arc] += self.weight[at[k][arc]]
+            failed = in_state & ~arc
+            add[failed] += self.backoff[state[failed]]
+            open_ &= ~arc
+        add[open_] += self.weight[at[0][open_]]
+        return add
+
+
+SCORED = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+
+
+def _score(tokens: int, words: int, order: int, prior: tuple[float, ...]):
+    def score(blocks: pa.Table, replies: pa.Table) -> pa.Table:
+        texts = _texts_of(blocks["docs"][0].as_py())
+        grams = Grams(texts, order)
+        replies = replies.sort_by("bucket")
+        counts = np.concatenate([unpacked(x.as_py()) for x in replies["counts"]]) if replies.num_rows else np.zeros(0, np.uint64)
+        model = Automaton(grams, counts, tokens, words, prior)
+        own, size = grams.own, texts.num_rows
+        of = grams.text[own]
+        word = grams.at[0][own]
+        sums = [np.bincount(of, x, size) for x in (model.weight[word], model.run()[own])]
+        known = np.bincount(of[model.count[word] > 0], minlength=size)
+        return pa.table([*(texts.column(c) for c in ("row", "doc_id", "held_out")), pa.array(np.bincount(of, minlength=size)), pa.array(known), *map(pa.array, sums)], names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+
+    return score
+
+
+def score_texts(docs: DataFrame, held_out, order: int = ORDER, prior: tuple[float, ...] = PRIOR, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every whole text; see `score_documents`.
+
+    held_out: a boolean column, true for rows that the model does not learn from.
+
+    1. Texts are packed into blocks. A block's distinct n-grams go, as sorted and packed hashes with their counts, to
+       buckets of equal ranges of hashes; as each block sends an n-gram once, no bucket is hot.
+    2. A bucket adds the counts up and answers every block with the corpus's counts of its n-grams, in the same order.
+    3. Each block builds the part of the automaton that its texts can reach and runs it over them.
+
+    So the model is all n-grams of all training texts, at every size, and nothing of it is broadcast or gathered.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    none = -float(np.log10(model.total + model.distinct + 1))  # weight of an unknown word
-
-    def run(batches):
-        model = shared.value
-        for part in slices(batches, "text"):
-            row, ids, size = part.column("row"), part.column("doc_id"), part.num_rows
-            hashes, starts = coded(part.column("text"))
-            lengths = np.diff(starts)
-            tokens = model.known.find(hashes)
-            doc = np.repeat(np.arange(size), lengths)
-            hot = tokens >= 0
-            base = np.bincount(doc[hot], model.base[tokens[hot]], size) + none * np.bincount(doc[~hot], minlength=size)
-            found = np.bincount(doc[hot], minlength=size) - (model.n_docs == 0)  # without training texts the end is unknown too
-            score = model.steps(tokens, starts) + none * np.bincount(doc[~hot], minlength=size)
-            of, keys = [doc[~hot]], [hashes[~hot]]
-            for a, b, at in orders_of(hashes, starts, model.order):
-                key = pair_key(a, b)
-                use = may_have(model.rare, key)
-                of.append(doc[at[use]])
-                keys.append(key[use])
-            of, keys = np.concatenate(of), np.concatenate(keys)
-            order = np.lexsort((keys, of))
-            of, keys = of[order], keys[order]
-            first = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (keys[1:] != keys[:-1])])) if len(of) else np.zeros(0, np.int64)
-            freq = np.diff(np.append(first, len(of)))
-            for i in range(0, len(first), 50_000):
-                at = pa.array(of[first[i : i + 50_000]])
-                k = len(at)
-                yield pa.RecordBatch.from_arrays([row.take(at), ids.take(at), pa.array(keys[first[i : i + 50_000]].view(np.int64)), pa.array(freq[i : i + 50_000]), pa.nulls(k, pa.int64()), pa.nulls(k, pa.float64()), pa.nulls(k, pa.float64())], schema=PARTS)
-            yield pa.RecordBatch.from_arrays([row, ids, row, pa.array(lengths), pa.array(found), pa.array(base), pa.array(score)], schema=PARTS)
-
-    d = docs.select(F.xxhash64(id_col, text_col).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = d.mapInArrow(run, "row long, doc_id long, g long, freq long, known long, base double, score double")
-    alone = F.col("known").isNotNull()
-    total = lambda c: F.coalesce(F.sum(F.when(~alone, F.col("freq") * c)), F.lit(0))
-    sums = (
-        rows.join(rest.hint("shuffle_hash"), "g", "left")
-        .groupBy("row", "doc_id")
-        .agg(
-            F.count("known").alias("copies"),
-            F.max(F.when(alone, F.col("freq"))).alias("n_tokens"),
-            F.max("known").alias("known"),
-            F.max("base").alias("base"),
-            F.max("score").alias("score"),
-            F.coalesce(F.sum(F.when(~alone & F.col("c").isNotNull(), F.col("freq"))), F.lit(0)).alias("rare_known"),
-            total(F.log10(F.col("c") + 1)).alias("rare"),
-            total(F.col("v")).alias("longer"),
-        )
-        .withColumn("copy", F.explode(F.expr("sequence(1, copies)")))
-    )
-    rare, longer = F.col("rare") / F.col("copies"), F.col("longer") / F.col("copies")
-    return sums.select("doc_id", "n_tokens", (F.col("known") + F.expr("rare_known div copies")).alias("n_known"), F.lit(model.total).cast("long").alias("train_tokens"), (F.col("base") + rare).alias("base_score"), (F.col("score") + rare + longer).alias("score"))
-
-
-PARTS = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("g", pa.int64()), ("freq", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
+    d = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text_col).cast("string").alias("text"))
+    blocks = materialize(d.mapInArrow(_pack(order - 1, block_bytes), "block long, bytes long, docs binary"), "lm-blocks")
+    total = blocks.agg(F.sum("bytes")).first()[0] or 0
+    n_buckets = max(1, -(-total // (BYTES_AN_ENTRY * BUCKET_ENTRIES)))
+    lists = blocks.mapInArrow(_count(order, n_buckets), "block long, bucket int, keys binary, counts binary")
+    replies = materialize(lists.groupBy("bucket").applyInArrow(_total, "block long, bucket int, counts binary, words long, tokens long"), "lm-counts")
+    words, tokens = (x or 0 for x in replies.agg(F.sum("words"), F.sum("tokens")).first())
+    release(docs.sparkSession)
+    mine = replies.select("block", "bucket", "counts").groupBy("block")
+    pieces = blocks.select("block", "docs").groupBy("block").cogroup(mine).applyInArrow(_score(tokens, words, order, prior), SCORED)
+    sums = pieces.groupBy("row").agg(*[F.first(c).alias(c) for c in ("doc_id", "held_out")], *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
+    return sums.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def score_documents(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for `documents`.
 
-    Tokens are the words of a text (A-Z in lower case) and its end. The model is an interpolated n-gram model with
-    absolute discounting over the add-one unigram of the base score, learned from all texts outside the held-out part: all
-    words, and all n-grams found LEAST_COUNT times.
-    Null text has its end alone. Null ids and repeated rows each give a row: sums are by id and text, given back as often
-    as they came. Without training texts every token is unknown. Other columns are ignored; an empty table gives none.
+    Tokens are the words of a text (A-Z in lower case) and its end. The model interpolates n-grams of up to `order` words
+    (Dirichlet priors, `PRIOR`) down to the add-one unigram of the base score, learned from all n-grams of all texts
+    outside the held-out part. Null text has its end alone. Null ids (not held out) and repeated rows each give a row and
+    count each time. Texts of any length are cut into pieces that know the words before them, so a long one is several
+    blocks' work; the sums are those of the whole. Without training texts every token is unknown, with score 0. Other
+    columns are ignored, whatever their names; an empty table gives none.
     """
-    held_out = split_of("doc_id", 7) == 2
-    model, rest = train_automaton(docs.filter(F.coalesce(~held_out, F.lit(True))), order=order)
-    return score_texts(docs, model, rest).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return score_texts(docs, split_of("doc_id", 7) == 2, order)

@@ -305,73 +305,91 @@ def test_extract_pages_keeps_rows(spark):
 
 
 def reference_scores(rows, order=3):
+    """Every text token by token through an automaton in dicts: states, arcs and failure arcs of all training n-grams."""
     low = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
     texts = [[*words((t or "").translate(low)), "\n"] for _, t, *_ in rows]
     held = [i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i, *_ in rows]
-    train = [t for t, h in zip(texts, held, strict=True) if not h]
-    c = Counter(w for t in train for w in t)
-    n, v = sum(c.values()), len(c)
-    states, least = {w for w, k in c.items() if k >= max(2.0, n * lm_scoring.STATE_SHARE)}, max(2.0, n * lm_scoring.ARC_SHARE)
-    counts = {1: {(w,): k for w, k in c.items()}}
-    for k in range(2, order + 1):
-        x = Counter(tuple(t[j - k + 1 : j + 1]) for t in train for j in range(k - 1, len(t)))
-        counts[k] = {g: m for g, m in x.items() if m >= least and all(w in states for w in g) and (k == 2 or g[:-1] in counts[k - 1])}
-    back = defaultdict(float)
-    for k in range(2, order + 1):
-        for g, m in counts[k].items():
-            back[g[:-1]] += (m - lm_scoring.DISCOUNT) / counts[k - 1][g[:-1]]
-
-    def p(h, w):
-        if not h:
-            return (c[w] + 1) / (n + v + 1)
-        lower, k = p(h[1:], w), len(h)
-        if h not in counts[k] or (k == 1 and h[0] not in states):
-            return lower
-        return (counts[k + 1][*h, w] - lm_scoring.DISCOUNT) / counts[k][h] * ((*h, w) in counts[k + 1]) + (1 - back[h]) * lower if (*h, w) in counts[k + 1] else (1 - back[h]) * lower
+    c = Counter(tuple(t[j - k : j + 1]) for t, h in zip(texts, held, strict=True) if not h for j in range(len(t)) for k in range(min(j + 1, order)))
+    n, v = sum(x for g, x in c.items() if len(g) == 1), sum(len(g) == 1 for g in c)
+    prior = lm_scoring.PRIOR
+
+    def p(g):
+        return (c[g] + 1) / (n + v + 1) if len(g) == 1 else (c[g] + prior[len(g) - 2] * p(g[1:])) / (c[g[:-1]] + prior[len(g) - 2])
 
     out = []
     for (i, *_), t, h in zip(rows, texts, held, strict=True):
-        base = sum(math.log10((c[w] + 1) / (n + v + 1)) for w in t)
-        score = sum(math.log10(p(tuple(t[max(0, j - order + 1) : j]), w)) for j, w in enumerate(t))
-        out.append((i, h, len(t), sum(c[w] > 0 for w in t), n, base, score))
+        state, score = (), 0.0
+        for w in t:
+            while state and not c[*state, w]:
+                score += math.log10(prior[len(state) - 1] / (c[state] + prior[len(state) - 1]))
+                state = state[1:]
+            score += math.log10(p((*state, w)))
+            state = (*state, w)[1 - order :]
+            while state and not c[state]:
+                state = state[1:]
+        base = sum(math.log10((c[w,] + 1) / (n + v + 1)) for w in t)
+        out.append((i, h, len(t), sum(c[w,] > 0 for w in t), n, base, score))
     return out
 
 
-def test_lm_scores(spark, docs, clashing, empty, rows):
+def same_scores(got, want):
     order = lambda r: (str(r[0]), r[2], r[5])
-    want = sorted(reference_scores(rows), key=order)
+    got, want = sorted(map(tuple, got), key=order), sorted(want, key=order)
+    assert len(got) == len(want)
+    for g, w in zip(got, want, strict=True):
+        assert g[:5] == w[:5] and g[5] == pytest.approx(w[5], rel=1e-9) and g[6] == pytest.approx(w[6], rel=1e-9)
+
+
+def test_lm_scores(spark, docs, clashing, empty, rows):
+    want = reference_scores(rows)
     for d in (docs, clashing):
-        got = sorted(map(tuple, lm_scoring.score_documents(d).collect()), key=order)
-        assert len(got) == len(want)
-        for g, w in zip(got, want, strict=True):
-            assert g[:5] == w[:5] and g[5] == pytest.approx(w[5], rel=1e-9) and g[6] == pytest.approx(w[6], rel=1e-9)
+        same_scores(lm_scoring.score_documents(d).collect(), want)
     assert lm_scoring.score_documents(empty).count() == 0
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
     only = lm_scoring.score_documents(spark.createDataFrame([(held, "no training text")], "doc_id long, text string")).collect()
     assert [(r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in only] == [(4, 0, 0, 0.0, 0.0)]
 
 
-@pytest.mark.parametrize("share", [1 / 4_000_000, 1 / 400])
-def test_lm_model_holds_all_ngrams_found_twice(spark, share, monkeypatch):
-    """Repeats among very many tokens are learned at every size, and no score depends on what is broadcast."""
-    rnd = random.Random(5)
-    rows = [(i, " ".join(f"w{rnd.randrange(900)}" for _ in range(60))) for i in range(60)]
-    rows += [(i + 60, t + " rare pair Here") for i, t in rows[:30]] + [(200, None), (201, "rare pair"), (201, "rare pair"), (202, "Rare")]
-    monkeypatch.setattr(lm_scoring, "STATE_SHARE", 0)
-    monkeypatch.setattr(lm_scoring, "ARC_SHARE", 0)
-    want = sorted(reference_scores(rows), key=str)
-    monkeypatch.setattr(lm_scoring, "STATE_SHARE", share)
-    monkeypatch.setattr(lm_scoring, "ARC_SHARE", share)
-    got = sorted(map(tuple, lm_scoring.score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
-    assert len(got) == len(want)
-    for g, w in zip(sorted(got), sorted(want), strict=True):
-        assert g[:5] == w[:5] and g[5:] == pytest.approx(w[5:], rel=1e-9)
+def test_lm_scores_do_not_depend_on_blocks(spark, docs, rows, monkeypatch):
+    """Texts cut into many pieces, many blocks and many buckets give the same sums."""
+    monkeypatch.setattr(lm_scoring, "BUCKET_ENTRIES", 500)
+    from pyspark.sql import functions as F
 
+    got = lm_scoring.score_texts(docs, lm_scoring.split_of("doc_id", 7) == 2, block_bytes=3000)
+    assert got.columns == ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    same_scores(got.collect(), reference_scores(rows))
+    assert got.agg(F.max("n_tokens")).first()[0] > 15_000
 
-def test_lm_keys_are_those_of_spark(spark):
-    a, b = [1, -5, 2**62, 0], [-1, 7, 3, 0]
-    want = [r[0] for r in spark.createDataFrame(list(zip(a, b, strict=True)), "a long, b long").selectExpr("xxhash64(a, b)").collect()]
-    assert lm_scoring.pair_key(np.array(a).view(np.uint64), np.array(b).view(np.uint64)).view(np.int64).tolist() == want
+
+@pytest.mark.parametrize("history", ["a b", "c d", "zz b", "b zz", "zz yy", "a", ""])
+def test_lm_probabilities_sum_to_one(history):
+    """Over all words, the end and one unknown word, after known and unknown histories."""
+    train, k = ["a b c a b d", "b c d"], len(history.split())
+    texts = train + [history, *(f"{history} {w}" for w in ("a", "b", "c", "d", "unknown"))]
+    n = len(texts)
+    batch = pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((range(n), range(n), [False] * n, [0] * n, [True] * n, texts), lm_scoring.PACKED, strict=True)], schema=lm_scoring.PACKED)
+    grams = lm_scoring.Grams(batch, 3)
+    counts = grams.counts(np.arange(n) < 2)
+    add = lm_scoring.Automaton(grams, counts, 11, 5).run()
+    assert sum(10 ** add[grams.starts[i] + k] for i in range(2, n)) == pytest.approx(1)
+
+
+@pytest.mark.parametrize("limit", [5, 17, 1000])
+def test_lm_pieces_are_the_text(limit):
+    text = "one two  three\nfour ünï five " + "x" * 40 + " six seven   "
+    got = lm_scoring.cut(text, limit, 2)
+    assert [w for lead, _, t in got for w in words(t)[lead:]] == words(text)
+    assert [e for _, e, _ in got] == [False] * (len(got) - 1) + [True]
+    before = []
+    for lead, _, t in got:
+        assert words(t)[:lead] == before[len(before) - lead :] and lead == min(2, len(before))
+        before += words(t)[lead:]
+
+
+def test_lm_packing():
+    rng = np.random.default_rng(1)
+    for x in (np.zeros(0, np.uint64), np.sort(rng.integers(0, 2**63, 999).astype(np.uint64)), np.array([2**64 - 1], np.uint64)):
+        assert (np.cumsum(lm_scoring.unpacked(lm_scoring.packed(np.diff(x, prepend=np.uint64(0)))), dtype=np.uint64) == x).all()
 
 
 # --- 9: sharding
