@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat
+from . import chat, quality
 from .common import table
 from .decontamination import leaking_pairs
 from .html_text import extract_pages
@@ -16,7 +16,6 @@ from .language_id import predict_languages
 from .lm_scoring import score_documents
 from .mixing import mix
 from .near_duplicates import near_duplicates
-from .quality import judge
 from .sharding import shard_documents
 from .token_counts import count_tokens
 
@@ -41,7 +40,7 @@ def op4_bitmask_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("faults", ",").alias("faults"))
+    return quality.judge(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("faults", ",").alias("faults"))
 
 
 def op6_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,4 +75,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_karmarkar_karp_sharding": op9_karmarkar_karp_sharding,
     "op10_chosen_path_join": op10_chosen_path_join,
 }
-ORACLE_SQL: dict[str, str] = {"op1_perspective_rotation": chat.SQL}
+ORACLE_SQL: dict[str, str] = {"op1_perspective_rotation": chat.SQL, "op5_adaptive_quality": quality.SQL}
