@@ -5,11 +5,11 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that a Python worker handles at a time; bounds its memory whatever the batch size is.
@@ -55,6 +55,31 @@ def release(spark: SparkSession, *written: DataFrame) -> None:
     context._jvm.System.gc()
 
 
+def as_rows(docs: DataFrame, **columns: Column) -> DataFrame:
+    """All columns of docs as one struct `row`, and columns to work with beside it: no name of docs can clash with them."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[v.alias(k) for k, v in columns.items()])
+
+
+def from_rows(d: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of docs out of `row`."""
+    return d.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+
+
+def filtered(docs: DataFrame, text_col: str, keep: Callable[[], Callable[[pa.RecordBatch], np.ndarray]], limit: int | None = None) -> DataFrame:
+    """The rows of docs that a function of their texts keeps, with all columns.
+
+    keep() is called once in each task; what it gives gets batches with a column `text` and answers with a mask.
+    """
+    d = as_rows(docs, text=F.col(f"`{text_col}`"))
+
+    def run(batches):
+        mask = keep()
+        for batch in slices(batches, "text", limit):
+            yield batch.select(["row"]).filter(pa.array(mask(batch)))
+
+    return from_rows(d.mapInArrow(run, d.select("row").schema), docs)
+
+
 def split_of(id_col: str, modulus: int) -> "F.Column":
     """crc32 of the id written as text, modulo: the fixed train / held-out split."""
     return F.crc32(F.encode(F.col(id_col).cast("string"), "UTF-8")) % F.lit(modulus)

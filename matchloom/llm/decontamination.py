@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from .common import slices
+from .common import filtered, materialize, release, slices
 
 #: Errors allowed in an item, as a share of its characters (after normalising).
 ERROR_RATE = 0.08
@@ -16,8 +16,6 @@ LEAST_ITEM = 20
 #: Characters of items that one pass takes to the workers; a larger benchmark takes more passes.
 ITEM_BLOCK = 4_000_000
 
-LEAKS = "array<struct<item_id:bigint,distance:int>>"
-
 
 def normal(text: str | None) -> str:
     """Lower case, with each run of white space as one space."""
@@ -117,45 +115,63 @@ class Matcher:
         return sorted(out, key=lambda x: x["item_id"])
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, text_col: str = "text", leaks_col: str = "leaks", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """docs with one more column: the benchmark items (id and edit distance) that each whole text holds.
-
-    An item is held if some part of the text is within rate * length edits of it, both in lower case with single spaces.
-    Items under LEAST_ITEM characters are held only where they stand without edits and between word borders.
-    Items of equal text are all reported. The benchmark is a stated query set: it is taken to the workers in blocks of at
-    most ITEM_BLOCK characters, one pass over docs for each, and docs are not shuffled. Null or empty texts and items hold
-    nothing; an empty benchmark leaks nothing; repeated rows are answered alike; all columns of docs stay.
-    """
-    text = F.coalesce(F.col(item_text_col), F.lit(""))
+def _blocks(docs: DataFrame, benchmark: DataFrame, rate: float, item_col: str, text_col: str):
+    """Matchers of the benchmark, as functions that a task calls, block by block; a block is fetched when it is asked for."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), text.alias("text"))
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n_blocks = max(1, -(-total // ITEM_BLOCK))
-    out = docs.withColumn(leaks_col, F.array().cast(LEAKS))
     for block in range(n_blocks):
         mine = items.filter(F.pmod(F.xxhash64("text"), F.lit(n_blocks)) == block).toArrow().to_pylist()
         shared = docs.sparkSession.sparkContext.broadcast([(r["item_id"], normal(r["text"])) for r in mine])
-        out = out.mapInArrow(_search(shared, rate, text_col, leaks_col), StructType(out.schema.fields))
-    return out
+        yield block == n_blocks - 1, lambda shared=shared: Matcher(shared.value, rate)
 
 
-def _search(shared, rate: float, text_col: str, leaks_col: str):
-    def search(batches):
-        matcher = Matcher(shared.value, rate)
-        for batch in slices(batches, text_col):
-            at = batch.schema.get_field_index(leaks_col)
-            before = batch.column(at).to_pylist()
-            found = [b + matcher.leaks(t) for b, t in zip(before, batch.column(text_col).to_pylist(), strict=True)]
-            yield batch.set_column(at, batch.schema.field(at), pa.array(found, batch.schema.field(at).type))
+def leaking_pairs(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """doc_id, item_id, distance: one row for each row of docs and benchmark item found in its whole text.
 
-    return search
+    An item is held if some part of the text is within rate * length edits of it, both in lower case with single spaces.
+    Items under LEAST_ITEM characters are held only where they stand without edits and between word borders.
+    Items of equal text are all reported. The benchmark is a stated query set: it is taken to the workers in blocks of at
+    most ITEM_BLOCK characters, each a pass of its own over docs, and docs are not shuffled. Null or empty texts and items
+    hold nothing; an empty benchmark leaks nothing; null ids and repeated rows are answered like others; of a text of any
+    length the windows around hits are compared, so time goes with its length and hits. Other columns are ignored.
+    """
+    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    out = None
+    for last, matcher in _blocks(docs, benchmark, rate, item_col, item_text_col):
+
+        def search(batches, matcher=matcher):
+            m = matcher()
+            for batch in slices(batches, "text"):
+                found = [(i, x["item_id"], x["distance"]) for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True) for x in m.leaks(t)]
+                yield pa.RecordBatch.from_pylist([dict(zip(PAIRS.names, x, strict=True)) for x in found], PAIRS)
+
+        pairs = d.mapInArrow(search, "doc_id long, item_id long, distance int")
+        pairs = pairs if last else materialize(pairs, "leaks")
+        out = pairs if out is None else out.unionByName(pairs)
+    return out
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
-    """The rows of docs that hold no benchmark item; all columns stay."""
-    return find_leaks(docs, benchmark, rate, leaks_col="_leaks").filter(F.size("_leaks") == 0).drop("_leaks")
+PAIRS = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("distance", pa.int32())])
 
 
-def leaking_pairs(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, id_col: str = "doc_id") -> DataFrame:
-    """doc_id, item_id, distance: one row for each document and benchmark item found in it."""
-    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), "text")
-    return find_leaks(d, benchmark, rate).select("doc_id", F.inline("leaks"))
+def decontaminate(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, text_col: str = "text") -> DataFrame:
+    """The rows of docs that hold no benchmark item, as `leaking_pairs` finds them; all columns stay, whatever their names.
+
+    Rows with null or empty text, and all rows where the benchmark is empty, stay. Rows with null ids and repeated rows go
+    or stay by their texts. An empty table stays empty. Each block of the benchmark works on what the one before it kept.
+    """
+    out, written = docs, []
+    for last, matcher in _blocks(docs, benchmark, rate, "item_id", "text"):
+
+        def clean(matcher=matcher):
+            m = matcher()
+            return lambda batch: np.array([not m.leaks(t) for t in batch.column("text").to_pylist()], bool)
+
+        out = filtered(out, text_col, clean)
+        if not last:
+            out = materialize(out, "decontaminated")
+            release(docs.sparkSession, *written)
+            written = [out]
+    return out
