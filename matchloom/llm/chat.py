@@ -10,6 +10,8 @@ CHUNK_TURNS = 256
 #: Speakers with this name give instructions and take no part.
 SYSTEM = "system"
 UNKNOWN = "unknown"
+#: White space and line ends in a speaker's name.
+SPACES = r"[\x20\x09-\x0D\x{85}\x{A0}\x{2028}\x{2029}]+"
 #: Marks of the template; the start of a mark inside a text is broken up, so a text cannot forge one.
 START, END = "<|im_start|>", "<|im_end|>"
 
@@ -24,10 +26,12 @@ def render_perspectives(turns: DataFrame, conv_col: str = "conv_id", turn_col: s
     nor one task's work; `whole_dialogues` joins them where dialogues are known to be short.
 
     Others speak as named users; `system` turns are system turns in each view, and a dialogue without participants gives
-    no view. Null or blank speakers are `unknown`, null texts empty. Turns are ordered by turn (null last), speaker and
+    no view. Null or blank speakers are `unknown`, runs of white space in a name one space, null texts empty. Turns of any
+    length are one row; an empty table gives none. Turns are ordered by turn (null last), speaker and
     text; repeated rows are repeated turns. A null conv_id is a dialogue like others. Other columns are ignored.
     """
-    speaker = F.coalesce(F.nullif(F.trim(speaker_col), F.lit("")), F.lit(UNKNOWN))
+    # white space of any kind in a name is one space: a line break would end the header line
+    speaker = F.coalesce(F.nullif(F.trim(F.regexp_replace(speaker_col, SPACES, " ")), F.lit("")), F.lit(UNKNOWN))
     body = F.replace(F.coalesce(F.col(text_col), F.lit("")), F.lit("<|"), F.lit("< |"))
     t = turns.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).cast("long").alias("turn"), speaker.alias("name"), body.alias("body"))
     views = t.filter(F.col("name") != SYSTEM).select(F.col("conv_id").alias("_conv"), F.col("name").alias("perspective")).distinct()
@@ -82,7 +86,7 @@ def whole_dialogues(views: DataFrame) -> DataFrame:
 
 SQL = f"""
 WITH t AS (
-  SELECT conv_id, turn, coalesce(nullif(trim(role), ''), '{UNKNOWN}') AS name, replace(coalesce(text, ''), '<|', '< |') AS body
+  SELECT conv_id, turn, coalesce(nullif(trim(regexp_replace(role, '{SPACES}', ' ', 'g')), ''), '{UNKNOWN}') AS name, replace(coalesce(text, ''), '<|', '< |') AS body
   FROM conversations),
 v AS (SELECT DISTINCT conv_id, name AS perspective FROM t WHERE name <> '{SYSTEM}'),
 d AS (

@@ -7,8 +7,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
-from .common import WORD_BREAK, materialize
+from .common import WORD_BREAK, as_rows, from_rows, materialize
 
 #: Rows of one fold, on average; a fold is the work of one task at a time.
 FOLD = 256
@@ -55,16 +56,20 @@ def _uniform(*cols: str) -> str:
     return f"(shiftrightunsigned(xxhash64({', '.join(cols)}), 11) * {2.0**-53!r}D)"
 
 
+#: What tells rows apart and how often equal ones come: carried along, never looked at.
+REF = "struct<doc_id:bigint,h1:bigint,h2:bigint,repeats:bigint>"
+
+
 def _fold(salt: str) -> Column:
-    """Fold an array of (size, key, doc_id, whole, p) by the pivotal rule into decided rows and at most one undecided.
+    """Fold an array of (size, key, ref, whole, p) by the pivotal rule into decided rows and at most one undecided.
 
     salt: SQL of what the random numbers depend on besides the two rows.
     """
-    item = "struct<size:bigint,key:bigint,doc_id:bigint,whole:int,p:double>"
-    done = "array<struct<size:bigint,doc_id:bigint,copies:int>>"
-    decide = lambda x, up: f"named_struct('size', {x}.size, 'doc_id', {x}.doc_id, 'copies', {x}.whole + {up})"
-    move = lambda x, p: f"if({p} > {EPS!r}D and {p} < {1 - EPS!r}D, named_struct('size', {x}.size, 'key', {x}.key, 'doc_id', {x}.doc_id, 'whole', {x}.whole, 'p', {p}), cast(null as {item}))"
-    over = lambda x, p: f"if({p} <= {EPS!r}D or {p} >= {1 - EPS!r}D, array({decide(x, f'cast(round({p}) as int)')}), cast(array() as {done}))"
+    item = f"struct<size:bigint,key:bigint,ref:{REF},whole:bigint,p:double>"
+    done = f"array<struct<size:bigint,ref:{REF},copies:bigint>>"
+    decide = lambda x, up: f"named_struct('size', {x}.size, 'ref', {x}.ref, 'copies', {x}.whole + cast({up} as bigint))"
+    move = lambda x, p: f"if({p} > {EPS!r}D and {p} < {1 - EPS!r}D, named_struct('size', {x}.size, 'key', {x}.key, 'ref', {x}.ref, 'whole', {x}.whole, 'p', {p}), cast(null as {item}))"
+    over = lambda x, p: f"if({p} <= {EPS!r}D or {p} >= {1 - EPS!r}D, array({decide(x, f'round({p})')}), cast(array() as {done}))"
 
     def settle(stays: str, gone: str, up: int, p: str) -> str:
         return f"named_struct('left', {move(stays, p)}, 'done', concat(a.done, array({decide(gone, up)}), {over(stays, p)}))"
@@ -86,27 +91,20 @@ def _missing(targets: DataFrame, decided: DataFrame) -> DataFrame:
     return both.groupBy("source").agg(F.sum("words").alias("missing"))
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, size, source, source_size, target, copies, taken: how often each row goes into the mix.
-
-    Sources, by code point and null last, take the weights in turn. A source's copy rate is target / source_size; every
-    row gets its whole part, and the fractional parts are rounded by the pivotal method: two rows at a time, one hands
-    its probability to the other at random until one of them is 0 or 1. Rows are folded in chunks of about FOLD rows of
-    one source and size class; what is left of each chunk (one row at most) goes up a tree: FOLD chunks to one, then the
-    classes of a source with FEW rows at most each (a few hundred rows), whose last row is drawn; of TRIALS such draws the one nearest to the
-    source's target counts. The copies of a size class stay within one of their expectation, and the words taken near the
-    target. A source of any share is dealt over many chunks.
-
-    Random numbers are hashes of the rows met, so reruns agree. Null text has size 0; a row of size 0 takes nothing. Null
-    ids, null sources and repeated rows are rows like others. Other columns are ignored; an empty table gives none.
-    """
-    d = materialize(
-        docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"), F.xxhash64(id_col, text_col, F.lit(seed)).alias("key")).withColumn(
-            "class", F.when(F.col("size") > 0, F.floor(F.log2("size") * CLASSES).cast("int"))
-        ),
-        "mix-sizes",
+def _decided(docs: DataFrame, identity: list[Column], weights, share, most, seed, few, trials, id_col, text_col, source_col) -> tuple[DataFrame, DataFrame]:
+    """(source, size, ref, copies) of each group of rows that `identity` does not tell apart, and the targets of sources."""
+    d = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(source_col).alias("source"),
+        n_words(F.col(text_col)).alias("size"),
+        F.xxhash64(F.col(id_col), F.col(text_col), F.lit(seed)).alias("key"),
+        F.xxhash64(*identity).alias("h1"),
+        F.xxhash64(F.lit("second"), *identity).alias("h2"),
     )
-    classes = materialize(d.groupBy("source", "class").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")), "mix-classes")
+    # Equal rows are one item: pivots among them would end with the same number of them taken, and one left in between.
+    d = d.groupBy(*d.columns).agg(F.count(F.lit(1)).alias("repeats"))
+    d = materialize(d.withColumn("class", F.when(F.col("size") > 0, F.floor(F.log2("size") * CLASSES).cast("int"))), "mix-sizes")
+    classes = materialize(d.groupBy("source", "class").agg(F.sum(F.col("size") * F.col("repeats")).alias("size"), F.count(F.lit(1)).alias("n")), "mix-classes")
     targets = materialize(source_targets(classes.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most), "mix-targets")
     chunks = F.ceil(F.col("n") / FOLD)
     deepest = classes.agg(F.max(chunks)).first()[0] or 1
@@ -115,41 +113,79 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
     plan = join_sums(classes.select("source", "class", "n", chunks.alias("chunks")), targets.select("source", rate.alias("rate")), ["source"])
     rows = join_sums(d, plan, ["source", "class"])
     whole = F.floor(F.col("rate") + EPS)
-    rows = rows.withColumn("whole", whole.cast("int")).withColumn("p", F.greatest(F.col("rate") - whole, F.lit(0.0)))
+    rows = rows.withColumn("whole", whole.cast("long")).withColumn("p", F.greatest(F.col("rate") - whole, F.lit(0.0)) * F.col("repeats"))
+    rows = rows.withColumn("up", F.floor(F.col("p") + EPS)).withColumn("whole", F.col("whole") * F.col("repeats") + F.col("up")).withColumn("p", F.greatest(F.col("p") - F.col("up"), F.lit(0.0)))
+    rows = rows.withColumn("ref", F.struct("doc_id", "h1", "h2", "repeats"))
     sure = (F.col("p") <= EPS) | (F.col("size") == 0)
-    decided = [rows.filter(sure).select("source", "size", "doc_id", F.when(F.col("size") == 0, 0).otherwise(F.col("whole")).alias("copies"))]
+    decided = [rows.filter(sure).select("source", "size", "ref", F.when(F.col("size") == 0, 0).otherwise(F.col("whole")).cast("long").alias("copies"))]
 
-    items = rows.filter(~sure).select("source", "class", F.pmod(F.xxhash64("key", F.lit("chunk")), "chunks").alias("chunk"), "n", F.struct("size", "key", "doc_id", "whole", "p").alias("item"))
-    few = items.filter(F.col("n") <= FEW).select("source", "item")
-    items = items.filter(F.col("n") > FEW)
+    items = rows.filter(~sure).select("source", "class", F.pmod(F.xxhash64("key", "h1", F.lit("chunk")), "chunks").alias("chunk"), "n", F.struct("size", "key", "ref", "whole", "p").alias("item"))
+    # Largest first: what is left over in the end is of the smallest rows.
+    in_order = F.sort_array(F.collect_list("item"), asc=False).alias("items")
+    few_items = items.filter(F.col("n") <= few).select("source", "item")
+    items = items.filter(F.col("n") > few)
     for level in itertools.count():
-        folded = materialize(items.groupBy("source", "class", "chunk").agg(F.sort_array(F.collect_list("item")).alias("items")).select("source", "class", "chunk", _fold(f"{seed}, {level}").alias("r")).select("source", "class", "chunk", "r.*"), "mix-fold")
-        decided.append(folded.select("source", F.inline("done")).select("source", "size", "doc_id", "copies"))
+        folded = materialize(items.groupBy("source", "class", "chunk").agg(in_order).select("source", "class", "chunk", _fold(f"{seed}, {level}").alias("r")).select("source", "class", "chunk", "r.*"), "mix-fold")
+        decided.append(folded.select("source", F.inline("done")).select("source", "size", "ref", "copies"))
         left = folded.filter("left is not null").select("source", "class", F.expr(f"chunk div {FOLD}").alias("chunk"), F.col("left").alias("item"))
         if deepest <= 1:
             break
         deepest, items = -(-deepest // FOLD), left
     so_far = reduce(DataFrame.unionByName, decided)
     missing = _missing(targets, so_far)
-    roots = left.select("source", "item").unionByName(few).groupBy("source").agg(F.sort_array(F.collect_list("item")).alias("items"))
-    roots = roots.select("source", "items", F.explode(F.sequence(F.lit(1), F.lit(TRIALS))).alias("trial")).select("source", "trial", _fold(f"{seed}, -trial").alias("r"))
-    drawn = F.expr(f"if(r.left is null, r.done, concat(r.done, array(named_struct('size', r.left.size, 'doc_id', r.left.doc_id, 'copies', r.left.whole + cast({_uniform('r.left.key', str(seed), '-trial')} < r.left.p as int)))))")
+    roots = left.select("source", "item").unionByName(few_items).groupBy("source").agg(in_order)
+    roots = roots.select("source", "items", F.explode(F.sequence(F.lit(1), F.lit(trials))).alias("trial")).select("source", "trial", _fold(f"{seed}, -trial").alias("r"))
+    drawn = F.expr(f"if(r.left is null, r.done, concat(r.done, array(named_struct('size', r.left.size, 'ref', r.left.ref, 'copies', r.left.whole + cast({_uniform('r.left.key', str(seed), '-trial')} < r.left.p as bigint)))))")
     roots = join_sums(roots.select("source", "trial", drawn.alias("done")), missing, ["source"])
     off = F.abs(F.aggregate("done", F.lit(0).cast("double"), lambda a, x: a + x["copies"] * x["size"]) - F.col("missing"))
     best = roots.groupBy("source").agg(F.min_by("done", F.struct(off, "trial")).alias("done"))
-    decided.append(best.select("source", F.inline("done")).select("source", "size", "doc_id", "copies"))
-    out = reduce(DataFrame.unionByName, decided)
+    decided.append(best.select("source", F.inline("done")).select("source", "size", "ref", "copies"))
+    return reduce(DataFrame.unionByName, decided), targets
+
+
+def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 17, few: int = FEW, trials: int = TRIALS, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """doc_id, size, source, source_size, target, copies, taken: how often each row goes into the mix.
+
+    Sources, by code point and null last, take the weights in turn. A source's copy rate is target / source_size; every
+    row gets its whole part, and the fractional parts are rounded by the pivotal method: two rows at a time, one hands
+    its probability to the other at random until one of them is 0 or 1. Rows are folded in chunks of about FOLD rows of
+    one source and size class; what is left of each chunk (one row at most) goes up a tree: FOLD chunks to one, then the
+    classes of a source, with those of `few` rows at most as they are (a few hundred rows), whose last row is drawn. Of
+    `trials` such draws at the root the one nearest to the source's target counts, so there nearness to the target goes
+    before the rows' own probabilities; trials=1 keeps them exactly. The copies of a size class stay within one of their
+    expectation, and the words taken near the target. A source of any share is dealt over many chunks.
+
+    Random numbers are hashes of the rows met, so reruns agree. Null text has size 0; a row of size 0 takes nothing. Null
+    ids and null sources are rows like others. Equal rows are counted before anything is gathered, and each is given back,
+    as many of them taken once more as their rates add up to. Texts of any length are one row's work. Other columns are
+    ignored, whatever their names; an empty table gives none.
+    """
+    identity = [F.col(c) for c in (id_col, text_col, source_col)]
+    out, targets = _decided(docs, identity, weights, share, most, seed, few, trials, id_col, text_col, source_col)
+    nth = F.explode(F.sequence(F.lit(1).cast("long"), F.col("ref.repeats"))).alias("nth")
+    out = out.select("source", "size", F.col("ref.doc_id").alias("doc_id"), F.col("ref.repeats").alias("repeats"), F.col("copies").alias("all"), nth)
+    copies = F.expr("all div repeats + cast(nth <= all % repeats as int)").cast("int")
+    out = out.select("source", "size", "doc_id", copies.alias("copies"))
     return join_sums(out, targets, ["source"]).select("doc_id", "size", "source", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
-def apply_mix(docs: DataFrame, **parameters) -> DataFrame:
-    """The rows of docs, each as often as the mix takes it; all columns stay."""
-    id_col, text_col, source_col = (parameters.get(f"{k}_col", v) for k, v in (("id", "doc_id"), ("text", "text"), ("source", "source")))
-    copies = materialize(mix(docs, **parameters), "mix-copies")
-    size = n_words(F.col(text_col))
-    keys = ["_mix_id", "_mix_source", "_mix_size"]
-    taken = copies.groupBy(F.coalesce("doc_id", F.lit(-1)).alias(keys[0]), F.coalesce("source", F.lit("")).alias(keys[1]), F.col("size").alias(keys[2])).agg(F.sort_array(F.collect_list("copies")).alias("_mix_copies"))
-    d = docs.select("*", F.coalesce(F.col(id_col).cast("long"), F.lit(-1)).alias(keys[0]), F.coalesce(F.col(source_col), F.lit("")).alias(keys[1]), size.alias(keys[2]))
-    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64(text_col)))
-    d = d.join(taken.filter(F.exists("_mix_copies", lambda c: c > 0)), keys).withColumn("_mix_n", F.element_at("_mix_copies", nth)).filter("_mix_n > 0")
-    return d.select(*[F.col(c) for c in docs.columns], F.explode(F.expr("sequence(1, _mix_n)")).alias("_mix_i")).drop("_mix_i")
+def _hashable(docs: DataFrame, name: str) -> Column:
+    column = F.col(f"`{name}`")
+    return F.map_entries(column) if isinstance(docs.schema[name].dataType, MapType) else column
+
+
+def apply_mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 17, few: int = FEW, trials: int = TRIALS, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows of docs, each as often as the mix takes it (see `mix`); all columns stay, whatever their names.
+
+    Rows are told apart by all their columns. Equal rows are interchangeable, so one stands for all of them and comes as
+    often as they do together. Rows without a word go; null ids and sources are rows like others; an empty table stays empty.
+    """
+    identity = [_hashable(docs, c) for c in docs.columns]
+    decided, _ = _decided(docs, identity, weights, share, most, seed, few, trials, id_col, text_col, source_col)
+    copies = materialize(decided.filter("copies > 0").select("ref.h1", "ref.h2", "ref.repeats", "copies"), "mix-copies")
+    rows = as_rows(docs, h1=F.xxhash64(*identity), h2=F.xxhash64(F.lit("second"), *identity))
+    out = rows.join(copies.filter("repeats = 1"), ["h1", "h2"]).select("row", "copies")
+    repeated = copies.filter("repeats > 1")
+    if not repeated.isEmpty():
+        out = out.unionByName(rows.join(repeated, ["h1", "h2"]).groupBy("h1", "h2").agg(F.first("row").alias("row"), F.first("copies").alias("copies")).select("row", "copies"))
+    return from_rows(out.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))), docs)

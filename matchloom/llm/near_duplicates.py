@@ -7,10 +7,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_strings, materialize, mix64, slices, words_of
+from .common import as_rows, from_rows, hash_strings, materialize, mix64, slices, words_of
 from .graph import connected_components, local_roots
 
 SHINGLE = 5
@@ -342,16 +342,18 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, missed: flo
 
 
 def deduplicate(docs: DataFrame, similarity: float = SIMILARITY, missed: float = MISSED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each class: the one with the least id (null last), once if it comes repeatedly; all columns stay.
+    """docs with one row of each class (see `near_duplicates`): the one with the least id (null last), then the least text
+    hash, once if it comes repeatedly; all columns stay, whatever their names.
 
-    Rows without a word have no class and all stay.
+    Rows without a word (null and empty texts among them) have no class and all stay; an empty table stays empty; texts of
+    any length are taken whole.
     """
     known = _known(_rows(docs, id_col, text_col), similarity, missed)
     last = F.lit((1 << 63) - 1)
     first = known.withColumn("_doc", F.coalesce("doc", last)).groupBy("root").agg(F.min(F.struct("_doc", "node")).alias("first"))
-    keep = first.select(F.col("first._doc").alias("_near_doc"), F.col("first.node").alias("_near_node"))
-    keyed = docs.withColumn("_near_node", F.xxhash64(text_col)).withColumn("_near_doc", F.coalesce(F.col(id_col).cast("long"), last))
-    has_word = F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    nth = F.row_number().over(Window.partitionBy("_near_node", "_near_doc").orderBy(F.lit(0)))
-    one = keyed.filter(has_word).join(keep, ["_near_node", "_near_doc"]).withColumn("_near_nth", nth).filter("_near_nth = 1")
-    return one.select(*docs.columns).unionByName(docs.filter(~has_word))
+    keep = first.select(F.col("first._doc").alias("id"), F.col("first.node").alias("node"))
+    text = F.col(f"`{text_col}`")
+    rows = as_rows(docs, node=F.xxhash64(text), id=F.coalesce(F.col(f"`{id_col}`").cast("long"), last), has_word=F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
+    # equal rows of one id and text are brought down to one before they meet
+    one = rows.filter("has_word").join(keep, ["node", "id"]).groupBy("node", "id").agg(F.first("row").alias("row"))
+    return from_rows(one.select("row").unionByName(rows.filter("not has_word").select("row")), docs)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterable
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-
 #: A unit over this part of a shard's fair share is placed before all others.
 HEAVY = 256
 
@@ -72,17 +71,20 @@ def _level(units: DataFrame, n_bins: int, fan_in: int) -> DataFrame:
     return up.groupBy("up").applyInPandas(combine, "part long, bin int, up long, up_bin int, bytes long")
 
 
-def shard_documents(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id", text_col: str = "text", chunk_groups: int = 4096, fan_in: int = 1024, slot_block: int = 20_000) -> DataFrame:
+def shard_documents(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id", text_col: str = "text", split_giants: bool = True, chunk_groups: int = 4096, fan_in: int = 1024, slot_block: int = 20_000) -> DataFrame:
     """Place every row into one of n_shards shards of near-equal bytes; rows of equal text stay together.
 
     Size is the UTF-8 bytes of the text plus 1 (null text: 1). Groups are hashed into chunks of about chunk_groups; each
     chunk is differenced by one task into n_shards partial bins, and the bins of fan_in chunks at a time are differenced
     again up to the root, so no task sees more than a bounded number of groups. A group larger than a fair share (there
-    are fewer than n_shards of them) would defeat the balance: it is split by id into pieces of at most that share.
-    slot numbers the rows of a shard from 0 without gaps, by prefix sums over blocks of rows.
+    are fewer than n_shards of them) would defeat the balance: with split_giants it is split by id into pieces of at most
+    that share, and its rows say so (`split`); without, it stays whole and fills a shard alone.
+    slot numbers the rows of a shard from 0 without gaps, by prefix sums over blocks of rows, in the order of a hash, then
+    of id and text, so reruns agree.
 
     Null text is a group of its own and differs from empty text. Null ids and repeated rows are kept, each with a slot.
-    An empty table gives an empty result. Other columns are ignored, whatever their names.
+    A text of any length is one unit of its size. An empty table gives an empty result. Other columns are ignored, whatever
+    their names.
     """
     size = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + 1
     base = materialize(
@@ -96,7 +98,7 @@ def shard_documents(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id",
         "shard-base",
     )
     share = max(1, (base.agg(F.sum("size")).first()[0] or 0) // n_shards)
-    large = base.groupBy("h1", "h2").agg(F.sum("size").alias("bytes")).filter(F.col("bytes") > share).collect()  # fewer than n_shards rows
+    large = base.groupBy("h1", "h2").agg(F.sum("size").alias("bytes")).filter((F.col("bytes") > share) & F.lit(split_giants)).collect()  # fewer than n_shards rows
     piece = F.lit(0)
     for g in large:
         piece = F.when((F.col("h1") == g.h1) & (F.col("h2") == g.h2), F.pmod(F.xxhash64("doc_id", F.lit("piece")), F.lit(-(-g.bytes // share))).cast("int")).otherwise(piece)
@@ -145,13 +147,14 @@ def shard_documents(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id",
 
     where = placed.join(route, ["part", "bin"]).select("h1", "h2", "piece", F.col("up_bin").alias("shard"))
     n_blocks = max(1, -(-base.count() // (slot_block * n_shards)))
-    block = F.pmod(F.xxhash64("doc_id", F.lit("slot")), F.lit(n_blocks)).alias("block")
-    rows = materialize(base.join(where, ["h1", "h2", "piece"]).select("doc_id", "size", "text_crc32", "shard", block), "shard-rows")
+    block = F.pmod(F.xxhash64("doc_id", "h1", F.lit("slot")), F.lit(n_blocks)).alias("block")
+    giant = reduce(lambda x, y: x | y, [(F.col("h1") == g.h1) & (F.col("h2") == g.h2) for g in large], F.lit(False))
+    rows = materialize(base.join(where, ["h1", "h2", "piece"]).select("doc_id", "size", "text_crc32", "shard", block, "h1", "h2", giant.alias("split")), "shard-rows")
     before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = rows.groupBy("shard", "block").agg(F.count(F.lit(1)).alias("n")).select("shard", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    within = F.row_number().over(Window.partitionBy("shard", "block").orderBy("doc_id"))
+    within = F.row_number().over(Window.partitionBy("shard", "block").orderBy("doc_id", "h1", "h2"))
     return (
         rows.withColumn("within", within)
         .join(offsets, ["shard", "block"])
-        .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("offset") + F.col("within") - 1).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+        .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("offset") + F.col("within") - 1).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "split")
     )

@@ -4,7 +4,10 @@ import pytest
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that operators use inside, to clash with.
-EXTRA = ["size", "row", "node", "score", "entry", "n", "kept", "key", "class", "leaks", "held_out"]
+EXTRA = [
+    "size", "row", "node", "score", "entry", "n", "kept", "key", "class", "leaks", "held_out", "_score", "_lang_pred", "lang_pred", "_leaks", "_mix_id", "_mix_n", "_near_doc", "_near_node", "_doc", "id", "h1", "h2",
+    "copies", "repeats", "has_word", "doc", "item_id", "distance", "links", "root", "block", "bytes", "docs", "shard", "slot", "piece", "part", "bin", "bucket", "words", "with.dot",
+]
 
 WORDS = {
     "en": "the of and to in is that water house green river stone market walking morning".split(),
