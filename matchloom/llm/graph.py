@@ -9,22 +9,33 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 
+#: Parts of a node's neighbours.
+SALTS = 64
+
+
+def _with_least(edges: DataFrame) -> DataFrame:
+    """edges with the least neighbour m of u."""
+    e = edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
+    parts = e.groupBy("u", "salt").agg(F.min("v").alias("m"))
+    least = parts.groupBy("u").agg(F.min("m").alias("m"))
+    return e.join(parts.select("u", "salt").join(least, "u"), ["u", "salt"])
+
+
 def connected_components(edges: DataFrame, name: str = "components", most_rounds: int = 60) -> DataFrame:
     """(node, root) of every node in `edges` (u, v): root is the least node of its component.
 
     Rounds of large-star and small-star rewriting; a round shuffles the edges a few times, and their number never grows.
-    Minima are pre-aggregated and joined back, so a node with many neighbours is split like any skewed join key.
+    A node with many neighbours is never one key: its least neighbour is found and brought back by SALTS parts of it.
     Each round is written to the shared folder, so a lost executor costs one round.
     """
     e = materialize(edges.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), name)
     seen = None
     for _ in range(most_rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
+        large = _with_least(both).filter("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).filter("u != v").distinct()
         large = materialize(large, name)
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+        small = _with_least(large)
+        small = small.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(large.groupBy("u").agg(F.min("v").alias("v")))
         e = materialize(small.filter("u != v").distinct(), name)
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:

@@ -15,10 +15,14 @@ from .graph import connected_components, local_roots
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: A linked pair is missed by all runs with less than this probability, before links through third texts.
-MISSED = 5e-5
-#: Levels of a path.
-LEVELS = 3
+#: Tokens that a set samples for each of its buckets, on average over its tokens: a path has so many children.
+BRANCHING = 1 / SIMILARITY
+#: Runs of one round, and levels of a path.
+RUNS, LEVELS = 8, 3
+#: Rounds whose sampled tokens are found in one pass over the texts.
+FEATURE_ROUNDS = 2
+#: Rounds are repeated until one finds no more than this share of all joins so far: what the rounds before it missed.
+MISSED = 1e-3
 #: Buckets up to this size are compared as they are; larger ones are split by another chosen token.
 SMALL_BUCKET = 48
 #: A child bucket with this share of its parent shows that the parent is one group of copies: it is compared in blocks.
@@ -26,12 +30,7 @@ DENSE = 0.5
 #: Rows of a block when a large bucket or component is compared block by block.
 BLOCK = 512
 #: One-permutation sketch: bins of 8 bits. Pairs that agree in fewer than this share of bins (six deviations off) are dropped.
-BINS, LEAST_AGREEMENT = 64, 0.5
-
-
-def n_runs(similarity: float = SIMILARITY, missed: float = MISSED) -> int:
-    """Runs for the target recall where a pair needs all levels: a run finds it with probability similarity**LEVELS then."""
-    return math.ceil(math.log(missed) / math.log(1 - similarity**LEVELS))
+BINS, LEAST_AGREEMENT = 128, 0.58
 
 
 def shingles_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -84,35 +83,38 @@ def agreement(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return ((x == y) & (x != 0)).sum(axis=-1) / np.maximum(used, 1)
 
 
-def chosen_tokens(tokens: np.ndarray, ends: np.ndarray, runs: int) -> np.ndarray:
-    """rows x (LEVELS * runs): the token that a text chooses for each level of each run, as a hash.
+def chosen_tokens(tokens: np.ndarray, ends: np.ndarray, first: int, runs: int) -> pa.Array:
+    """For each row a list for each level of each run: the tokens of the set that are sampled there, as 32-bit hashes.
 
-    Each choice samples one token of the set, the one with the least salted hash, so two texts choose the same one with
-    probability of their similarity. Rows without a token have zeros.
+    A token is sampled by a hash of run, level and itself below BRANCHING / (size of the set), so texts that share it sample
+    it together (but for their sizes), and a set samples BRANCHING tokens on average: none, one or several.
     """
-    out = np.zeros((len(ends) - 1, LEVELS * runs), np.uint64)
-    some = np.flatnonzero(np.diff(ends))
-    if len(some):
-        salts = mix64(np.arange(2 * LEVELS * runs, dtype=np.uint64), 7)
-        with np.errstate(over="ignore"):
-            for k in range(LEVELS * runs):
-                # An odd factor keeps hashes distinct, so the least value tells the token.
-                out[some, k] = np.minimum.reduceat((tokens ^ salts[2 * k]) * (salts[2 * k + 1] | np.uint64(1)), ends[some])
-    return out
+    rows, lists = len(ends) - 1, LEVELS * runs
+    sizes = np.diff(ends)
+    row = np.repeat(np.arange(rows), sizes)
+    below = np.minimum(BRANCHING / np.maximum(sizes, 1), 1.0)
+    below = (below * float(1 << 62)).astype(np.uint64)[row]
+    salts = mix64(np.arange(2 * LEVELS * first, 2 * LEVELS * (first + runs), dtype=np.uint64), 7)
+    hits = []
+    with np.errstate(over="ignore"):
+        for k in range(lists):
+            hits.append(np.flatnonzero((((tokens ^ salts[2 * k]) * (salts[2 * k + 1] | np.uint64(1))) >> np.uint64(2)) < below))
+    which = np.concatenate([row[h] * lists + k for k, h in enumerate(hits)]) if lists else np.zeros(0, np.int64)
+    order = np.argsort(which, kind="stable")
+    found = (tokens[np.concatenate(hits)][order] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    inner = np.concatenate([[0], np.cumsum(np.bincount(which, minlength=rows * lists))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * lists), pa.ListArray.from_arrays(pa.array(inner), pa.array(found)))
 
 
-FEATURES = "node long, doc long, size int, chosen array<bigint>, sketch binary"
+FEATURES = "node long, doc long, size int, chosen array<array<int>>, sketch binary"
 
 
-def _features(docs: DataFrame, runs: int) -> DataFrame:
+def _features(docs: DataFrame, first: int, runs: int) -> DataFrame:
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             tokens, ends = shingles_of(batch.column("text"))
-            chosen = chosen_tokens(tokens, ends, runs)
-            offsets = np.arange(batch.num_rows + 1, dtype=np.int32) * chosen.shape[1]
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(chosen.reshape(-1).view(np.int64)))
             sketch = pa.FixedSizeBinaryArray.from_buffers(pa.binary(BINS), batch.num_rows, [None, pa.py_buffer(sketches_of(tokens, ends))]).cast(pa.binary())
-            out = pa.RecordBatch.from_arrays([batch.column("node"), batch.column("doc"), pa.array(np.diff(ends).astype(np.int32)), lists, sketch], names=["node", "doc", "size", "chosen", "sketch"])
+            out = pa.RecordBatch.from_arrays([batch.column("node"), batch.column("doc"), pa.array(np.diff(ends).astype(np.int32)), chosen_tokens(tokens, ends, first, runs), sketch], names=["node", "doc", "size", "chosen", "sketch"])
             yield out.filter(pa.array(np.diff(ends) > 0))
 
     return docs.mapInArrow(features, FEATURES)
@@ -197,14 +199,15 @@ def _in_blocks(rows: DataFrame, group: str, n: str) -> DataFrame:
     return d.withColumn("one", F.least("block", "with")).withColumn("other", F.greatest("block", "with"))
 
 
-def candidate_edges(nodes: DataFrame, runs: int) -> DataFrame:
-    """Edges (u, v) that join all nodes with a similar partner in some bucket of the chosen paths.
+def candidate_edges(nodes: DataFrame, first: int, runs: int) -> DataFrame:
+    """Edges (u, v) that join all nodes with a similar partner in some bucket of the chosen paths of some runs.
 
-    nodes: node, chosen, sketch. Level by level, a bucket is one path of chosen tokens: it is left if it has one member,
-    compared if it is small or dense, and split by the next level's tokens otherwise; after the last level, large buckets
-    are compared in blocks.
+    nodes: node, chosen, sketch. Level by level, a bucket is one path of sampled tokens, with all sets that sampled it. It is
+    left if it has one member, compared if it is small or dense, and else split: each member goes into one bucket for each
+    token that it samples at the next level. After the last level, large buckets are compared in blocks.
     """
-    rows = nodes.select("node", F.posexplode(F.slice("chosen", 1, runs)).alias("run", "token")).select("node", "run", F.xxhash64("run", "token").alias("path"))
+    sampled = lambda level: F.explode(F.expr(f"element_at(chosen, cast((run - {first}) * {LEVELS} + {level + 1} as int))")).alias("token")
+    rows = nodes.select("node", "chosen", F.explode(F.expr(f"sequence({first}, {first + runs - 1})")).alias("run")).select("node", "run", sampled(0)).select("node", "run", F.xxhash64("run", "token").alias("path"))
     small, large = [], []
     for level in range(LEVELS):
         rows = materialize(rows, "paths")
@@ -215,9 +218,8 @@ def candidate_edges(nodes: DataFrame, runs: int) -> DataFrame:
         if level == LEVELS - 1 or over.isEmpty():
             large.append(over.select("path", "node", "n"))
             break
-        token = F.element_at("next", F.col("run") + 1)
-        deeper = over.join(nodes.select("node", F.slice("chosen", 1 + (level + 1) * runs, runs).alias("next")), "node").select("node", "run", "n", F.col("path").alias("parent"), F.xxhash64("path", token).alias("path"))
-        deeper = materialize(deeper, "paths")
+        deeper = over.join(nodes.select("node", "chosen"), "node").select("node", "run", "n", F.col("path").alias("parent"), sampled(level + 1))
+        deeper = materialize(deeper.select("node", "run", "n", "parent", F.xxhash64("parent", "token").alias("path")), "paths")
         dense = deeper.groupBy("parent", "path").agg(F.count(F.lit(1)).alias("m"), F.max("n").alias("n")).filter(F.col("m") >= DENSE * F.col("n")).select(F.col("parent").alias("path")).distinct()
         dense = materialize(dense, "dense")
         large.append(over.join(dense, "path", "left_semi").select("path", "node", "n"))
@@ -292,15 +294,41 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.xxhash64(text_col).alias("node"), F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
 
 
+def _candidates(d: DataFrame, nodes: DataFrame, missed: float) -> DataFrame:
+    """(node, root) of nodes that some path joined, by rounds of runs until a round finds hardly a new join.
+
+    A round's edges are first brought to the components so far, so a later round is about what the earlier ones missed:
+    its share of new joins is their measured loss, and its own are kept too.
+    """
+    parts, first, rounds, known = None, 0, 0, 0
+    while True:
+        edges = candidate_edges(nodes, first, RUNS)
+        if parts is not None:
+            to = lambda c: parts.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
+            edges = edges.distinct().join(to("u"), "u", "left").join(to("v"), "v", "left").select(F.coalesce("u_root", "u").alias("u"), F.coalesce("v_root", "v").alias("v")).filter("u != v").distinct()
+        edges = materialize(edges, "edges")
+        new = connected_components(edges, "candidates")
+        joins = new.filter("node != root").count()
+        if parts is None:
+            parts = new
+        elif joins:
+            moved = parts.join(new.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+            parts = materialize(moved.unionByName(new.join(parts.select("node"), "node", "left_anti")), "joined")
+        known, rounds, first = known + joins, rounds + 1, first + RUNS
+        if rounds > 1 and joins <= missed * known:
+            return parts
+        if first % (FEATURE_ROUNDS * RUNS) == 0:
+            nodes = materialize(_features(d, first, FEATURE_ROUNDS * RUNS).groupBy("node").agg(F.first("chosen").alias("chosen"), F.first("sketch").alias("sketch")), "nodes")
+
+
 def _known(d: DataFrame, similarity: float, missed: float) -> DataFrame:
     """(node, doc, copies, links, root) of every text with a word: its least id, links to other texts' rows, and class."""
-    runs = n_runs(similarity, missed)
-    features = _features(d, runs)
+    features = _features(d, 0, FEATURE_ROUNDS * RUNS)
     nodes = materialize(
         features.groupBy("node").agg(F.min("doc").alias("doc"), F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"), F.first("chosen").alias("chosen"), F.first("sketch").alias("sketch")),
         "nodes",
     )
-    parts = connected_components(candidate_edges(nodes, runs), "candidates")
+    parts = _candidates(d, nodes, missed)
     sizes = parts.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
     parts = materialize(parts.join(sizes, "root").join(nodes.select("node", "doc", "copies"), "node").select("node", "doc", "copies", F.col("root").alias("comp"), "n"), "parts")
     n_small = parts.filter(F.col("n") <= BLOCK).count()
@@ -326,13 +354,16 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, missed: flo
     links reach. Words are runs of other than space and \\x09-\\x0D; case counts.
 
     1. Equal texts are one node (pre-aggregated, so any number of copies is one row a task).
-    2. Chosen-path runs: nodes that share a path of chosen tokens meet in a bucket; sketches drop pairs far from similar.
+    2. Chosen-path runs: a set goes into a bucket for each token that it samples; buckets are split again by tokens sampled
+       at the next level until they are small, and then compared, where sketches drop pairs far from similar. Rounds of
+       runs are repeated until one finds at most `missed` of all joins anew.
     3. Components of the remaining pairs get their texts once, and all pairs within a component are compared exactly;
        components over BLOCK nodes are compared block by block, so memory is bounded. No list of pairs is ever made.
     4. Components of the verified links are the classes.
 
     A text without words is linked to nothing (class_id is its own id). Null text likewise. Null ids stay null rows.
-    Repeated rows are copies. An empty table gives an empty result. Other columns are ignored.
+    Repeated rows are copies. Texts of any length are taken whole, one at a time. An empty table gives an empty result. Other
+    columns are ignored, whatever their names.
     """
     d = _rows(docs, id_col, text_col)
     known = _known(d, similarity, missed)

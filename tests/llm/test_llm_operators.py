@@ -542,8 +542,26 @@ def test_near_duplicates_in_large_groups(spark, monkeypatch):
     assert Counter(map(tuple, near_duplicates.near_duplicates(d).collect())) == brute_force_links(rows)
 
 
-def test_runs_find_pairs_that_need_all_levels():
-    assert (1 - near_duplicates.SIMILARITY**near_duplicates.LEVELS) ** near_duplicates.n_runs() <= near_duplicates.MISSED
+def test_sampled_tokens_branch():
+    """A set samples BRANCHING tokens on average, sets that are alike the same ones, and other runs others."""
+    rng = np.random.default_rng(3)
+    same = np.sort(near_duplicates.mix64(rng.integers(0, 2**62, 400).astype(np.uint64)))
+    other = np.sort(near_duplicates.mix64(rng.integers(0, 2**62, 400).astype(np.uint64)))
+    got = near_duplicates.chosen_tokens(np.concatenate([same, same, other]), np.array([0, 400, 800, 1200]), 0, 100).to_pylist()
+    assert got[0] == got[1] and {len(x) for x in got[0]} >= {0, 1, 2}
+    assert abs(np.mean([len(x) for x in got[0] + got[2]]) - near_duplicates.BRANCHING) < 0.2
+    later = near_duplicates.chosen_tokens(same, np.array([0, 400]), 50, 50).to_pylist()[0]
+    assert later == got[0][50 * near_duplicates.LEVELS :]
+
+
+def test_rounds_go_on_until_hardly_a_join_is_new(spark, docs, rows, monkeypatch):
+    """With one run a round a single round loses links; rounds are repeated, with tokens of more passes, until none is new."""
+    monkeypatch.setattr(near_duplicates, "RUNS", 1)
+    asked = []
+    edges = near_duplicates.candidate_edges
+    monkeypatch.setattr(near_duplicates, "candidate_edges", lambda nodes, first, runs: asked.append(first) or edges(nodes, first, runs))
+    near_duplicates.near_duplicates(docs, missed=0.0).count()
+    assert asked == list(range(len(asked))) and len(asked) >= 2
 
 
 def test_short_items_are_found_between_word_borders():
