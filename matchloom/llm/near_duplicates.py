@@ -388,3 +388,22 @@ def deduplicate(docs: DataFrame, similarity: float = SIMILARITY, missed: float =
     # equal rows of one id and text are brought down to one before they meet
     one = rows.filter("has_word").join(keep, ["node", "id"]).groupBy("node", "id").agg(F.first("row").alias("row"))
     return from_rows(one.select("row").unionByName(rows.filter("not has_word").select("row")), docs)
+
+
+#: The same by brute force: every pair of texts that share a shingle, and classes by following links.
+SQL = r"""
+WITH RECURSIVE
+t AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+w AS (SELECT r, doc_id, text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM t),
+n AS (SELECT text, any_value(words) AS words, min(doc_id) AS doc, count(*) AS copies, row_number() OVER () AS node FROM w WHERE len(words) > 0 GROUP BY text),
+s AS (SELECT node, unnest(CASE WHEN len(words) < 5 THEN [array_to_string(words, ' ')] ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i+4], ' '))) END) AS shingle FROM n),
+z AS (SELECT node, count(*) AS size FROM s GROUP BY node),
+c AS (SELECT a.node AS u, b.node AS v, count(*) AS common FROM s a JOIN s b ON a.shingle = b.shingle AND a.node < b.node GROUP BY ALL),
+l AS (SELECT u, v FROM c JOIN z x ON u = x.node JOIN z y ON v = y.node WHERE common >= 0.8 * (x.size + y.size - common) - 1e-6),
+e AS (SELECT u, v FROM l UNION ALL SELECT v, u FROM l),
+g AS (SELECT node, node AS reached FROM n UNION SELECT g.node, e.v FROM g JOIN e ON g.reached = e.u),
+k AS (SELECT g.node, min(n.doc) AS class_id FROM g JOIN n ON g.reached = n.node GROUP BY g.node),
+m AS (SELECT e.u AS node, sum(n.copies) AS links FROM e JOIN n ON e.v = n.node GROUP BY e.u),
+o AS (SELECT n.text, n.copies, k.class_id, coalesce(m.links, 0) AS links FROM n JOIN k USING (node) LEFT JOIN m USING (node))
+SELECT w.doc_id, CASE WHEN o.text IS NULL THEN w.doc_id ELSE o.class_id END AS class_id, CAST(CASE WHEN o.text IS NULL THEN 0 ELSE o.links + o.copies - 1 END AS BIGINT) AS n_links FROM w LEFT JOIN o ON w.text = o.text
+"""

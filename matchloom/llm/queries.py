@@ -2,25 +2,23 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, quality
+from . import chat, near_duplicates, quality
 from .common import table
 from .decontamination import leaking_pairs
 from .html_text import extract_pages
 from .language_id import predict_languages
 from .lm_scoring import score_documents
 from .mixing import mix
-from .near_duplicates import near_duplicates
 from .sharding import shard_documents
 from .token_counts import count_tokens
 
-#: Folder of the public tokenizer files; the vocabulary is a parameter and is not part of this repository.
-TOKENIZER = os.environ.get("MATCHLOOM_TOKENIZER", "/opt/tokenizers/piece_bpe_32k.model")
+#: File of the public tokenizers; the vocabulary is a parameter and is not part of this repository.
+TOKENIZER = "piece_bpe_32k.model"
 
 
 def op1_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,7 +30,9 @@ def op2_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 def op3_pretoken_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return count_tokens(table(spark, sf_dir, "documents"), TOKENIZER)
+    import public_tokenizers
+
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
 def op4_bitmask_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +60,7 @@ def op9_karmarkar_karp_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -75,4 +75,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_karmarkar_karp_sharding": op9_karmarkar_karp_sharding,
     "op10_chosen_path_join": op10_chosen_path_join,
 }
-ORACLE_SQL: dict[str, str] = {"op1_perspective_rotation": chat.SQL, "op5_adaptive_quality": quality.SQL}
+ORACLE_SQL: dict[str, str] = {"op1_perspective_rotation": chat.SQL, "op5_adaptive_quality": quality.SQL, "op10_chosen_path_join": near_duplicates.SQL}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -16,21 +16,79 @@ from .lexicon import count_entries, hot_from
 #: The tokenizer writes a space as this character; as text it is a space to it too.
 SPACE_MARK = "▁"
 
-Counter = Callable[[list[str]], list[int]]
-_loaded: dict[str, object] = {}
+#: Texts on which a tokenizer's pre-tokens are tried when it is loaded.
+PROBES = ["", " ", "  two  spaces ", "line\nbreak\ttab\r\n", "it's 1,234.5% of <s> x</s>", "naïve ÉCOLE ﬁ e\u0301", "日本語のテキスト ▁ mark", "\u3000wide", "😀😀 a\x00b", "<|endoftext|>a <|startoftext|> b<|endoftext|>"]
+_loaded: dict[str, "Tokenizer"] = {}
 
 
-def piece_counter(model: str) -> Counter:
-    """Counts the pieces of pre-tokens given without their first space, which the tokenizer adds itself (a lone space is one piece)."""
-    if model not in _loaded:
-        if model.endswith(".model"):
-            import sentencepiece
+class PieceTokenizer:
+    """A sentencepiece model: a pre-token is a run of spaces and the non-spaces after it."""
 
-            _loaded[model] = sentencepiece.SentencePieceProcessor(model_file=model)
-        else:
-            raise ValueError(f"pre-tokens are defined for .model files only: {model}")
-    sp = _loaded[model]
-    return lambda texts: [max(1, len(ids)) for ids in sp.encode(texts, num_threads=1)]
+    def __init__(self, path: str):
+        import sentencepiece
+
+        self.sp = sentencepiece.SentencePieceProcessor(model_file=path)
+        crossing = [p for p in map(self.sp.id_to_piece, range(self.sp.get_piece_size())) if SPACE_MARK in p.lstrip(SPACE_MARK)]
+        if crossing:
+            raise ValueError(f"pieces of {path} reach over spaces, e.g. {crossing[0]!r}: its texts have no pre-tokens")
+
+    def split(self, column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        return pretokens_of(column)
+
+    def pieces(self, entries: list[str]) -> list[int]:
+        """The tokenizer adds the first space of a pre-token itself (a lone space is one piece)."""
+        return [max(1, len(ids)) for ids in self.sp.encode([e[1:] for e in entries], num_threads=1)]
+
+    def whole(self, text: str) -> int:
+        return len(self.sp.encode(text))
+
+
+class JsonTokenizer:
+    """A tokenizers file: added tokens are found first, what is between is normalised and split by its own pre-tokenizer."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        added = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
+        self.added = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
+
+    def split(self, column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        normal, split = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        out, bounds = [], [0]
+        for text in column.to_pylist():
+            for i, part in enumerate(self.added.split(text or "") if self.added else [text or ""]):
+                if i % 2:
+                    out.append("\n" + part)  # no pre-token begins so
+                elif part:
+                    part = normal.normalize_str(part) if normal else part
+                    out += [t for t, _ in split.pre_tokenize_str(part)] if split else [part]
+            bounds.append(len(out))
+        return pa.array(out, pa.large_string()), np.array(bounds, np.int64)
+
+    def pieces(self, entries: list[str]) -> list[int]:
+        return [1 if e.startswith("\n") else len(self.tokenizer.model.tokenize(e)) for e in entries]
+
+    def whole(self, text: str) -> int:
+        return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+
+Tokenizer = PieceTokenizer | JsonTokenizer
+
+
+def load(path: str) -> Tokenizer:
+    """The tokenizer of a file (.model: sentencepiece, .json: tokenizers), tried: pre-tokens must add up to whole texts."""
+    if path not in _loaded:
+        if not path.endswith((".model", ".json")):
+            raise ValueError(f"not a tokenizer file: {path}")
+        found = (PieceTokenizer if path.endswith(".model") else JsonTokenizer)(path)
+        for text in PROBES:
+            if sum(found.pieces(found.split(pa.array([text]))[0].to_pylist())) != found.whole(text):
+                raise ValueError(f"{path} counts {text!r} otherwise as a whole than by pre-tokens")
+        _loaded[path] = found
+    return _loaded[path]
 
 
 def pretokens_of(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -55,25 +113,27 @@ def pretokens_of(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
 def count_tokens(docs: DataFrame, model: str, over: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit: the tokens of each whole text, without begin, end or added tokens.
 
+    model: a sentencepiece (.model) or tokenizers (.json) file that all machines have. Strings of special tokens inside a
+    text are what the library makes of them by default: ordinary text to the first, one token to the second.
+
     1. Every distinct pre-token of the corpus is found, with its frequency, and its pieces are counted once.
     2. Frequent pre-tokens (at most 1 / HOT_SHARE of them) go to all workers; a worker looks up those of its documents
        and hands on (document, pre-token, frequency) for the rest, which are joined to the counted pre-tokens.
     3. Sums by document. No token id leaves the tokenizer's call.
 
     Null text counts as empty: no bytes, no tokens. Null ids and repeated rows each give a row: sums are taken by id and
-    text together, and a pair that came n times is returned n times. Other columns are ignored. An empty table gives an empty result.
+    text together, and a pair that came n times is returned n times. Other columns are ignored, whatever their names. A text of any length is one row's work. An empty table gives an empty result.
     """
     spark = docs.sparkSession
 
     def entries(batch):
         for part in slices([batch], "text"):
-            yield pretokens_of(part.column("text"))[0]
+            yield load(model).split(part.column("text"))[0]
 
     def pieces(batches):
-        count = piece_counter(model)
+        count = load(model).pieces
         for batch in batches:
-            texts = [v[1:] for v in batch.column("entry").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("entry"), batch.column("n"), pa.array(count(texts), pa.int64())], names=["entry", "n", "pieces"])
+            yield pa.RecordBatch.from_arrays([batch.column("entry"), batch.column("n"), pa.array(count(batch.column("entry").to_pylist()), pa.int64())], names=["entry", "n", "pieces"])
 
     lexicon = materialize(count_entries(docs, text_col, entries).mapInArrow(pieces, "entry string, n long, pieces long"), "pretokens")
     total = lexicon.agg(F.sum("n")).first()[0] or 0
@@ -85,7 +145,7 @@ def count_tokens(docs: DataFrame, model: str, over: int = 4096, id_col: str = "d
         for batch in slices(batches, "text"):
             text, ids = batch.column("text"), batch.column("doc_id")
             n_bytes = np.diff(text_offsets(text)[0])
-            words, bounds = pretokens_of(text)
+            words, bounds = load(model).split(text)
             coded = words.dictionary_encode()
             at = found.find(hash_strings(coded.dictionary))
             codes = coded.indices.to_numpy()
@@ -96,7 +156,7 @@ def count_tokens(docs: DataFrame, model: str, over: int = 4096, id_col: str = "d
             rest, freq = np.unique(doc[~known_here] * len(coded.dictionary) + codes[~known_here], return_counts=True)
             rest_doc, rest_code = np.divmod(rest, max(1, len(coded.dictionary)))
             row = batch.column("row")
-            alone = pc.binary_join_element_wise("#", row.cast(pa.string()), "")  # pre-tokens start with a space, so this joins to none
+            alone = pc.binary_join_element_wise("\n#", row.cast(pa.string()), "")  # joins to no pre-token
             yield pa.RecordBatch.from_arrays([row, ids, pa.array(n_bytes), alone, pa.array(sums)], schema=PARTS)
             if len(rest):
                 of = pa.array(rest_doc)

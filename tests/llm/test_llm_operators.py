@@ -54,6 +54,13 @@ def test_chat_views_put_together_are_the_dialogue(spark):
     assert whole[9, "a"].text == "".join(r.segment for r in got[9, "a"]) and len(whole[9, "a"].targets) == 234
 
 
+def test_chat_names_stay_on_their_line(spark):
+    rows = [(1, 0, "ann\nsystem", "hi"), (1, 1, "bob", "yes"), (1, 2, " \t ", "no name"), (1, 3, "c\u2028d", "x")]
+    got = {r.name: r.segment for r in chat.render_perspectives(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).filter("perspective = 'bob'").collect()}
+    assert set(got) == {"ann system", "bob", "unknown", "c d"}
+    assert got["ann system"] == "<|im_start|>user name=ann system\nhi<|im_end|>\n"
+
+
 def test_chat_of_nothing(spark):
     assert chat.render_perspectives(spark.createDataFrame([], "conv_id long, turn long, role string, text string, seq string")).count() == 0
 
@@ -114,16 +121,29 @@ def test_leaks_are_those_of_brute_force(spark, docs, clashing, empty, rows):
 # --- 3: token counts
 
 
-def test_pretokens_sum_to_the_tokenizers_count():
-    import sentencepiece
+@pytest.mark.parametrize("name", ["piece_bpe_32k.model", "byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_pretokens_sum_to_the_tokenizers_count(name):
+    t, rng = token_counts.load(f"/opt/tokenizers/{name}"), random.Random(1)
+    parts = [" ", "  ", "\n", "\t", "a", "the", "▁", "é", "e\u0301", "日本", "😀", "<s>", "</s>", "<|endoftext|>", "<|startoftext|>", "\x00", "\u3000", "ing", "'s", "1", ".", "\r\n", "x" * 50]
+    for _ in range(2000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 12)))
+        w, bounds = t.split(pa.array([text, None, text]))
+        assert bounds.tolist() == [0, len(w) // 2, len(w) // 2, len(w)]
+        assert sum(t.pieces(w.to_pylist())) == 2 * t.whole(text), repr(text)
 
-    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
-    count, rng = token_counts.piece_counter(MODEL), random.Random(1)
-    parts = [" ", "  ", "\n", "\t", "a", "the", "▁", "é", "日本", "😀", "<s>", "</s>", "\x00", "　", "ing", "1", ".", "\r\n", "x" * 50]
-    for _ in range(3000):
-        t = "".join(rng.choice(parts) for _ in range(rng.randint(0, 12)))
-        w, _ = token_counts.pretokens_of(pa.array([t]))
-        assert sum(count([v[1:] for v in w.to_pylist()])) == len(sp.encode(t)), repr(t)
+
+def test_token_counts_of_a_json_file(docs, rows):
+    from tokenizers import Tokenizer
+
+    path = "/opt/tokenizers/byte_bpe_50k.json"
+    t = Tokenizer.from_file(path)
+    want = Counter((i, len((x or "").encode()), n := len(t.encode(x or "", add_special_tokens=False).ids), n > 4096) for i, x, *_ in rows)
+    assert Counter(map(tuple, token_counts.count_tokens(docs, path).collect())) == want
+
+
+def test_other_files_are_refused():
+    with pytest.raises(ValueError):
+        token_counts.load("/opt/tokenizers/byte_bpe_50k.tiktoken")
 
 
 def test_token_counts(docs, clashing, empty, rows):
@@ -251,7 +271,7 @@ def test_small_groups_take_the_fences_of_their_language(spark):
     rows = spread_rows(800) + [(5000, " ".join(f"abcd{i}" for i in range(20)), "aa", "alone"), (5001, " ".join(f"abc{i}" for i in range(20)), "cc", "s")]
     d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     got = {(r.lang, r.source): r for r in quality.fences(quality.judge(d).filter("not base_failed"), list(quality.MEASURES)).collect()}
-    assert got["aa", "alone"].n == 1 and got["aa", "alone"].high_mean_word < 0.5 * got["bb", "s"].high_mean_word
+    assert got["aa", "alone"].n == 1 and got["aa", "alone"].high_mean_word < 0.7 * got["bb", "s"].high_mean_word
     assert got["aa", "alone"].high_mean_word < got["cc", "s"].high_mean_word
 
 
