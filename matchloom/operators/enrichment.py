@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions import vectors as V
 from ..functions import words as W
 from .retrieval import top_k
 from .selection import first_by
@@ -26,9 +25,9 @@ def overlap_rank(items: DataFrame, reference: DataFrame, key: str, item: str, re
     return top_k(items.join(reference, key).withColumn("shared", shared), key, n, F.desc("shared"), F.col(position))
 
 
-def similar_items(items: DataFrame, key: str, reference: Column, vector: Column, dedup: str, least: float = 0.5, n: int = 3) -> DataFrame:
-    """Of each key the n items nearest to its reference vector: cosine of at least `least`, one of each dedup value."""
-    scored = items.withColumn("cos", F.round(V.cosine(reference, vector), 6)).filter(F.col("cos") >= least)
+def similar_items(items: DataFrame, key: str, cosine: Column, dedup: str, least: float = 0.5, n: int = 3) -> DataFrame:
+    """Of each key the n items nearest to its reference: cosine of at least `least`, one of each dedup value."""
+    scored = items.withColumn("cos", cosine).filter(F.col("cos") >= least)
     one = first_by(scored, [key, dedup], F.desc("cos"), F.col("item"))
     return top_k(one, key, n, F.desc("cos"), F.col("item"))
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,6 +15,10 @@ from ..functions import vectors as V
 #: Saturation and length normalisation of the lexical score.
 K1, B = 1.5, 0.75
 LEAST_DF, MOST_TERMS = 2, 400_000
+#: Candidates of each arm of a hybrid query, and those that are re-ranked and scored.
+MOST_LEXICAL, MOST_DENSE, MOST_RERANKED = 1500, 1500, 200
+#: Rows of a block of queries that is broadcast: (query, term), and vectors.
+BLOCK_ROWS, VECTOR_ROWS = 200_000, 20_000
 
 
 def top_k(df: DataFrame, key: str, k: int, *order: Column, rank: str = "rank") -> DataFrame:
@@ -21,65 +27,105 @@ def top_k(df: DataFrame, key: str, k: int, *order: Column, rank: str = "rank") -
     return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= k)
 
 
-def postings(docs: DataFrame, id_col: str, text_col: str, least_df: int = LEAST_DF, most_terms: int = MOST_TERMS) -> DataFrame:
-    """(doc, term, tf, df, dl): the terms kept (in least_df documents or more, the most frequent most_terms of them).
+@dataclass(frozen=True)
+class Index:
+    """postings: (doc, term, tf, df, dl), all of a document's in one partition; terms: (term, df, cf) kept; stats: one row
+    (n_docs, avgdl)."""
 
-    dl counts a document's kept terms. The term frequencies are shuffled once by term; joining back the document
-    frequencies reuses that partitioning.
+    postings: DataFrame
+    terms: DataFrame
+    stats: DataFrame
+
+
+def build_index(docs: DataFrame, id_col: str, text_col: str, least_df: int = LEAST_DF, most_terms: int = MOST_TERMS) -> Index:
+    """The terms kept are those in least_df documents or more, the most frequent most_terms of them.
+
+    Token lists are dealt out by document once; term frequencies, document lengths (of kept terms) and all scores by
+    document are then found where they are. Only counts by term are shuffled besides, and the terms kept, a bounded
+    number, are broadcast. The arms of one query share this work: it is the same exchange in their plans.
+    Corpus statistics are those of `docs` as given: filter before, and they are the filtered corpus's.
     """
-    tf = docs.select(F.col(id_col).alias("doc"), F.explode(T.tokens(F.col(text_col))).alias("term")).groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf"))
-    terms = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf")).filter(F.col("df") >= least_df).orderBy(F.desc("cf"), "term").limit(most_terms).drop("cf")
-    kept = tf.join(terms, "term")
-    return kept.withColumn("dl", F.sum("tf").over(Window.partitionBy("doc")))
+    lists = docs.select(F.col(id_col).alias("doc"), T.tokens(F.col(text_col)).alias("tokens")).repartition("doc")
+    tf = lists.select("doc", F.explode("tokens").alias("term")).groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf"))
+    terms = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf")).filter(F.col("df") >= least_df).orderBy(F.desc("cf"), "term").limit(most_terms)
+    kept = tf.join(F.broadcast(terms.select("term", "df")), "term")
+    length = terms.agg(F.sum("cf").alias("total"))
+    stats = docs.agg(F.count(F.lit(1)).alias("n_docs")).crossJoin(length)
+    avgdl = F.coalesce(F.nullif(F.col("total") / F.col("n_docs"), F.lit(0.0)), F.lit(1.0))
+    return Index(kept.withColumn("dl", F.sum("tf").over(Window.partitionBy("doc"))), terms, stats.select("n_docs", avgdl.alias("avgdl")))
+
+
+def in_blocks(queries: DataFrame, key: str, most_rows: int = BLOCK_ROWS) -> list[DataFrame]:
+    """A stated query set in parts that are each small enough to broadcast: its rows are counted first."""
+    n = max(1, -(-queries.count() // most_rows))
+    return [queries if n == 1 else queries.filter(F.pmod(F.xxhash64(key), F.lit(n)) == i) for i in range(n)]
 
 
-def bm25_scores(queries: DataFrame, docs: DataFrame, q_id: str, q_text: str, d_id: str, d_text: str, **limits: int) -> DataFrame:
+def _each(blocks: list[DataFrame], score: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [score(b) for b in blocks])
+
+
+def bm25_scores(queries: DataFrame, index: Index, q_id: str, q_text: str) -> DataFrame:
     """(query, doc, score) of all documents that share a kept term with a query.
 
-    Corpus statistics are those of `docs` as given: filter before, and they are the filtered corpus's.
+    The queries' terms meet the postings first, so weights are computed for matching ones alone; sums are by document,
+    where the postings are, so no pair is shuffled and no frequent term is a hot key. A top k after this moves k rows a
+    query out of each partition.
     """
-    index = postings(docs, d_id, d_text, **limits)
-    n = docs.agg(F.count(F.lit(1)).alias("n_docs"))
-    length = index.agg(F.sum("tf").alias("total"))
-    stats = n.crossJoin(length).select("n_docs", F.coalesce(F.nullif(F.col("total") / F.col("n_docs"), F.lit(0.0)), F.lit(1.0)).alias("avgdl"))
     terms = queries.select(F.col(q_id).alias("query"), F.explode(F.array_distinct(T.tokens(F.col(q_text)))).alias("term"))
     idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weight = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
-    # One row of statistics: the only cross joins here are with it.
-    weighted = index.crossJoin(F.broadcast(stats)).select("doc", "term", weight.alias("w"))
-    return terms.join(weighted, "term").groupBy("query", "doc").agg(F.sum("w").alias("score"))
+
+    def score(mine: DataFrame) -> DataFrame:
+        # One row of statistics: the only cross joins here are with it.
+        hits = index.postings.join(F.broadcast(mine), "term").crossJoin(F.broadcast(index.stats))
+        return hits.select("query", "doc", weight.alias("w")).groupBy("query", "doc").agg(F.sum("w").alias("score"))
+
+    return _each(in_blocks(terms, "query"), score)
 
 
-def tfidf_cosine(queries: DataFrame, docs: DataFrame, q_id: str, q_text: str, d_id: str, d_text: str) -> DataFrame:
+def tfidf_cosine(queries: DataFrame, index: Index, q_id: str, q_text: str) -> DataFrame:
     """(query, doc, score): cosine of tf-idf vectors over the terms kept, a dense arm that needs no encoder."""
-    index = postings(docs, d_id, d_text)
-    n = docs.agg(F.count(F.lit(1)).alias("n_docs"))
     idf = F.log((1.0 + F.col("n_docs")) / (1 + F.col("df"))) + 1
-    doc = index.crossJoin(F.broadcast(n)).select("doc", "term", idf.alias("idf"), (F.col("tf") * idf).alias("w"))
+    one = F.broadcast(index.stats.select("n_docs"))
+    doc = index.postings.crossJoin(one).select("doc", "term", (F.col("tf") * idf).alias("w"))
     doc = doc.withColumn("norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc"))))
     terms = queries.select(F.col(q_id).alias("query"), F.explode(T.tokens(F.col(q_text))).alias("term")).groupBy("query", "term").agg(F.count(F.lit(1)).alias("qtf"))
-    idfs = doc.select("term", "idf").distinct()
-    q = terms.join(idfs, "term").select("query", "term", (F.col("qtf") * F.col("idf")).alias("qw"))
+    q = terms.join(index.terms.select("term", "df"), "term").crossJoin(one).select("query", "term", (F.col("qtf") * idf).alias("qw"))
     q = q.withColumn("qnorm", F.sqrt(F.sum(F.col("qw") * F.col("qw")).over(Window.partitionBy("query"))))
-    joined = q.join(doc.select("doc", "term", "w", "norm"), "term")
-    return joined.groupBy("query", "doc").agg((F.sum(F.col("qw") * F.col("w")) / F.max(F.col("qnorm") * F.col("norm"))).alias("score"))
+    score = (F.sum(F.col("qw") * F.col("w")) / F.max(F.col("qnorm") * F.col("norm"))).alias("score")
+    return _each(in_blocks(q, "query"), lambda mine: doc.join(F.broadcast(mine), "term").groupBy("query", "doc").agg(score))
 
 
-def cosine_top_k(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding", query_blocks: int = 1) -> DataFrame:
-    """(query, doc, score, rank): exact nearest vectors of a stated query set, which is taken to all rows block by block.
+def dice_pairs(queries: DataFrame, docs: DataFrame, q_id: str, q_text: str, d_id: str, d_text: str) -> DataFrame:
+    """(query, doc, dice): Dice coefficient of distinct tokens for all pairs that share one, counted where the document is."""
+    q = queries.select(F.col(q_id).alias("query"), F.array_distinct(T.tokens(F.col(q_text))).alias("a"))
+    d = docs.select(F.col(d_id).alias("doc"), F.array_distinct(T.tokens(F.col(d_text))).alias("b")).repartition("doc")
+    qi = q.select("query", F.size("a").alias("la"), F.explode("a").alias("t"))
+    di = d.select("doc", F.size("b").alias("lb"), F.explode("b").alias("t"))
+    n = F.count(F.lit(1))
+    return _each(in_blocks(qi, "query"), lambda mine: di.join(F.broadcast(mine), "t").groupBy("query", "doc").agg((2.0 * n / (F.max("la") + F.max("lb"))).alias("dice")))
 
-    A block of queries is a small broadcast table; each partition keeps its k best of each query before the shuffle.
+
+def cosine_scores(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", keep: tuple[str, ...] = (), on: Column | None = None) -> DataFrame:
+    """(query, doc, cos, keep ...): cosine of a stated query set with all other rows, a counted block of queries at a time.
+
+    on: a further condition on columns of both, those of the queries with the prefix q_.
+    """
+    base = vectors.select(F.col(id_col).alias("doc"), V.l2_normalize(F.col(vector_col)).alias("d"), *keep)
+    q = queries.select(F.col(id_col).alias("query"), V.l2_normalize(F.col(vector_col)).alias("q"), *[F.col(c).alias(f"q_{c}") for c in queries.columns if c not in (id_col, vector_col)])
+    other = F.col("query") != F.col("doc")
+    cos = F.round(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), V.dot(F.col("q"), F.col("d")))), 6).alias("cos")
+    return _each(in_blocks(q, "query", VECTOR_ROWS), lambda mine: base.join(F.broadcast(mine), other if on is None else on & other).select("query", "doc", cos, *keep))
+
+
+def cosine_top_k(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    """(query, doc, score, rank): exact nearest vectors of a stated query set.
+
+    Each partition keeps its k best of each query before the shuffle.
     """
-    base = vectors.select(F.col(id_col).alias("doc"), V.l2_normalize(F.col(vector_col)).alias("d"))
-    q = queries.select(F.col(id_col).alias("query"), V.l2_normalize(F.col(vector_col)).alias("q"))
-    out = None
-    for block in range(query_blocks):
-        mine = q if query_blocks == 1 else q.filter(F.pmod(F.xxhash64("query"), F.lit(query_blocks)) == block)
-        score = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), V.dot(F.col("q"), F.col("d"))))
-        scored = base.join(F.broadcast(mine), F.col("query") != F.col("doc")).select("query", "doc", F.round(score, 6).alias("score"))
-        best = top_k(scored, "query", k, F.desc("score"), F.col("doc"))
-        out = best if out is None else out.unionByName(best)
-    return out
+    scored = cosine_scores(vectors, queries.select(id_col, vector_col), id_col, vector_col).withColumnRenamed("cos", "score")
+    return top_k(scored, "query", k, F.desc("score"), F.col("doc"))
 
 
 def union_candidates(*arms: DataFrame) -> DataFrame:
@@ -102,17 +148,25 @@ def dice_score(a: Column, b: Column) -> Column:
 Scorer = Callable[[Column, Column], Column]
 
 
-def rerank(candidates: DataFrame, k: int, q_text: str, d_text: str, scorer: Scorer = dice, q_chars: int = 300, d_chars: int = 800) -> DataFrame:
-    """The k best candidates of each query by a scorer of (query text, document text), with position pos.
+def rerank_tokens(text: Column, chars: int) -> Column:
+    """Distinct tokens of the first `chars` characters, as hashes: what the default re-ranker compares. For once a text,
+    before texts are joined to pairs. The cut is that of a cross-encoder's input."""
+    return F.transform(F.array_distinct(T.simple_tokens(F.lower(F.left(text, F.lit(chars))))), lambda t: F.xxhash64(t))
+
+
+def rerank(candidates: DataFrame, k: int, query: Column, document: Column, scorer: Scorer = dice) -> DataFrame:
+    """The k best candidates of each query by a scorer of (query, document), with position pos.
 
-    The texts are cut for the scorer as a cross-encoder's input would be. The default scorer is the Dice coefficient of
-    tokens; a model goes in as a pandas UDF of two text columns.
+    The default scorer is the Dice coefficient of rerank_tokens; a model goes in as a pandas UDF of two text columns.
     """
-    a, b = T.simple_tokens(F.lower(F.left(F.col(q_text), F.lit(q_chars)))), T.simple_tokens(F.lower(F.left(F.col(d_text), F.lit(d_chars))))
-    scored = candidates.withColumn("rerank", F.round(scorer(a, b), 9))
+    scored = candidates.withColumn("rerank", F.round(scorer(query, document), 9))
     return top_k(scored, "query", k, F.desc("rerank"), F.col("doc"), rank="pos")
 
 
+#: Characters of a query and of a document that a re-ranker is given.
+QUERY_CHARS, DOCUMENT_CHARS = 300, 800
+
+
 def blended(cosine: Column, promise: Column) -> Column:
     """0.6 cosine + 0.4 promise (0..100), both within [0, 1]."""
     unit = lambda c: F.greatest(F.lit(0.0), F.least(F.lit(1.0), c))

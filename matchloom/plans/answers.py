@@ -144,7 +144,7 @@ def explanation_template(spark: SparkSession, sf: str) -> DataFrame:
 def encode_texts(spark: SparkSession, sf: str) -> DataFrame:
     """Vectors of all benchmark passages by the encoder boundary, and their nearest other passages."""
     b = M.encode(table(spark, sf, "benchmark"), "text").select(F.col("item_id").alias("vec_id"), "embedding")
-    return R.cosine_top_k(b, b, 3, query_blocks=4)
+    return R.cosine_top_k(b, b, 3)
 
 
 @query(None)
@@ -155,7 +155,7 @@ def score_blocks_by_model(spark: SparkSession, sf: str) -> DataFrame:
         mine = set(source.lower().split())
         return [(min(100, len(mine & set(t.lower().split()))), "shared words") for t in texts]
 
-    best = R.bm25_scores(table(spark, sf, "benchmark"), table(spark, sf, "documents"), "item_id", "text", "doc_id", "text")
+    best = R.bm25_scores(table(spark, sf, "benchmark"), R.build_index(table(spark, sf, "documents"), "doc_id", "text"), "item_id", "text")
     best = R.top_k(best, "query", 40, F.desc(F.round("score", 9)), F.col("doc"), rank="pos").select("query", "doc", "pos")
     b = table(spark, sf, "benchmark").select(F.col("item_id").alias("query"), F.col("text").alias("source"))
     candidates = best.join(b, "query").join(table(spark, sf, "documents").select(F.col("doc_id").alias("doc"), F.col("text").alias("body")), "doc")

@@ -2,6 +2,7 @@
 
 import pytest
 from matchloom.functions import text as T
+from matchloom.functions import vectors as V
 from matchloom.operators import enrichment as E
 from matchloom.operators import llm_output as L
 from matchloom.operators import models as M
@@ -34,10 +35,11 @@ def demands(spark):
 
 def test_each_demand_finds_its_project(projects, demands):
     texts = projects.withColumn("doc_text", F.concat_ws(" ", "title", "descr"))
-    lexical = R.bm25_scores(demands, texts, "no", "body", "pid", "doc_text", least_df=1)
-    pool = R.union_candidates(R.top_k(lexical, "query", 3, F.desc("score"), F.col("doc")), R.tfidf_cosine(demands, texts, "no", "body", "pid", "doc_text"))
+    index = R.build_index(texts, "pid", "doc_text", least_df=1)
+    lexical = R.bm25_scores(demands, index, "no", "body")
+    pool = R.union_candidates(R.top_k(lexical, "query", 3, F.desc("score"), F.col("doc")), R.tfidf_cosine(demands, R.build_index(texts, "pid", "doc_text"), "no", "body"))
     pairs = pool.join(demands.withColumnRenamed("no", "query"), "query").join(texts.withColumnRenamed("pid", "doc"), "doc")
-    ranked = R.rerank(pairs, 5, "body", "doc_text").withColumn("score", R.dice_score(T.noun_keywords(F.col("body")), T.noun_keywords(F.col("doc_text"))))
+    ranked = R.rerank(pairs, 5, R.rerank_tokens(F.col("body"), R.QUERY_CHARS), R.rerank_tokens(F.col("doc_text"), R.DOCUMENT_CHARS)).withColumn("score", R.dice_score(T.noun_keywords(F.col("body")), T.noun_keywords(F.col("doc_text"))))
     best = S.title_dedup_top_n(ranked, "query", "title", 5, F.desc("score"), F.desc("rerank"), F.col("pos")).collect()
     assert {r["query"]: r.doc for r in best if r["rank"] == 1} == {"D1": "P1", "D2": "P2", "D3": "P3", "D4": "P4"}
     for q in {r["query"] for r in best}:
@@ -49,15 +51,15 @@ def test_each_demand_finds_its_project(projects, demands):
 
 def test_filtered_corpus_has_its_own_statistics(projects, demands):
     texts = projects.withColumn("t", F.concat_ws(" ", "title", "descr"))
-    some = R.bm25_scores(demands, texts.filter("pid in ('P1', 'P5')"), "no", "body", "pid", "t", least_df=1).collect()
-    every = {(r["query"], r.doc): r.score for r in R.bm25_scores(demands, texts, "no", "body", "pid", "t", least_df=1).collect()}
+    scores = lambda docs: R.bm25_scores(demands, R.build_index(docs, "pid", "t", least_df=1), "no", "body").collect()
+    some, every = scores(texts.filter("pid in ('P1', 'P5')")), {(r["query"], r.doc): r.score for r in scores(texts)}
     assert some and all(r.score != every[r["query"], r.doc] for r in some)
 
 
 def test_similar_items_need_half_and_one_of_each_key(spark):
     rows = [(1, i, [1.0, x], k) for i, (x, k) in enumerate([(0.0, "a"), (0.1, "a"), (0.2, "b"), (0.3, "c"), (0.4, "d"), (9.0, "e")])]
     d = spark.createDataFrame(rows, "key int, item int, v array<float>, k string").withColumn("ref", F.array(F.lit(1.0), F.lit(0.0)))
-    assert [r.item for r in E.similar_items(d, "key", F.col("ref"), F.col("v"), "k").orderBy("rank").collect()] == [0, 2, 3]
+    assert [r.item for r in E.similar_items(d, "key", V.cosine(F.col("ref"), F.col("v")), "k").orderBy("rank").collect()] == [0, 2, 3]
 
 
 def test_patents_merge(spark):
