@@ -24,6 +24,11 @@ def cell(c: Column) -> Column:
     return F.coalesce(F.trim(c.cast("string")), F.lit(""))
 
 
+def strip(c: Column) -> Column:
+    """Without white space of any kind at either end."""
+    return F.regexp_replace(F.coalesce(c, F.lit("")), r"^\s+|\s+$", "")
+
+
 def safe_cell(c: Column) -> Column:
     """As cell, with the words nan, none and null (any case) as empty."""
     t = cell(c)
@@ -73,6 +78,19 @@ def norm_name(c: Column) -> Column:
     return F.lower(F.regexp_replace(F.regexp_replace(F.coalesce(c, F.lit("")), _any(W.LEGAL_FORMS), ""), r"\s+", ""))
 
 
+def short_name(c: Column) -> Column:
+    """A company name without spaces and the commonest legal forms, case kept."""
+    out = cell(c)
+    for form in W.COMMON_LEGAL_FORMS:
+        out = F.replace(out, F.lit(form), F.lit(""))
+    return out
+
+
+def clean_tail(t: Column) -> Column:
+    """A Korean token without a particle at its end, one syllable or two; two syllables at least stay."""
+    return F.when(t.rlike("[가-힣]"), F.regexp_replace(t, f"^(.{{2,}}?)({_any(W.TAIL_PARTICLES)})$", "$1")).otherwise(t)
+
+
 def squeeze(c: Column) -> Column:
     """Without any white space."""
     return F.regexp_replace(F.coalesce(c, F.lit("")), r"\s+", "")
@@ -135,6 +153,22 @@ def period_cell(c: Column) -> Column:
     return F.array_join(F.transform(period_years(c), lambda y: F.concat(y, F.lit("년"))), " ~ ")
 
 
+def year_lines(c: Column) -> Column:
+    """The years of a description as lines of a narrow cell: `start ~` and `end`, one year, or empty."""
+    y = period_years(c)
+    return F.when(y.isNull(), "").when(F.size(y) == 1, F.get(y, F.lit(0))).otherwise(F.concat(F.get(y, F.lit(0)), F.lit(" ~\n"), F.get(y, F.lit(1))))
+
+
+def is_present(c: Column) -> Column:
+    """A value that is there: not null, not blank and none of the words nan and None."""
+    return F.coalesce(~cell(c).isin("", "nan", "None"), F.lit(False))
+
+
+def number_of(c: Column) -> Column:
+    """A text key as a number to sort by, null where it is none."""
+    return F.trim(c).try_cast("long")
+
+
 def subject_class(c: Column) -> Column:
     """The field a description says it belongs to: the first valid of several phrasings."""
     found = []

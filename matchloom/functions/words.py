@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-# Word lists that keyword results depend on, in their given order.
+# Word lists that keyword results depend on, in their given order, and names of places, forms and absences.
 STOP_WORDS = tuple(
     """기타 제조업 제품 사업 회사 업체 관련 서비스 제조 판매 생산 개발 기술 산업 업무 운영 관리 지원 제공 이용 사용 활용 처리 수행
     분야 부문 종류 형태 방식 방법 과정 절차 대상 범위 내용 항목 종목 품목 물품 물자 시설 설비 장비 기기 기계 장치 도구 용품
@@ -21,6 +21,10 @@ VERB_ENDINGS = tuple("하여 하는 되어 되는 한 해 된 되 함 됨".split
 BOILERPLATE = tuple("특징 상기 것을 것 포함하는 그것".split())
 #: Legal forms of companies, as they stand in names.
 LEGAL_FORMS = ("(주)", "(株)", "㈜", "주식회사", "(유)", "유한회사", "(재)", "재단법인", "(사)", "사단법인", "농업회사법인", "(농)")
+#: Those taken off where case is kept, in their order; spaces go first.
+COMMON_LEGAL_FORMS = (" ", "(주)", "㈜", "주식회사")
+#: Particles taken off the end of a token, the first that fits.
+TAIL_PARTICLES = tuple("으로 는 은 와 과 이 가 을 를 의 도 로".split())
 COUNTRIES = {"KR": "한국", "US": "미국", "CN": "중국", "JP": "일본", "EP": "유럽", "XU": "유럽", "XI": "PCT", "WO": "PCT"}
 REGION_GROUPS = {"수도권": ("서울", "경기", "인천"), "충청권": ("충남", "충북", "대전", "세종"), "호남권": ("전북", "전남", "광주"), "영남권": ("경남", "경북", "대구", "부산"), "강원권": ("강원",)}
 #: A region that is similar to none but itself.

@@ -42,6 +42,11 @@ def ledger(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
     return one.select(F.expr(f"stack({len(checks)}, {pairs}) as (check, n_bad)")).withColumn("passed", F.col("n_bad") == 0)
 
 
+def rows_or_none(keys: DataFrame, rows: DataFrame, key: str, none: dict[str, str]) -> DataFrame:
+    """The rows of each key, and for a key without any one row of the given texts."""
+    return keys.join(rows, key, "left").select(key, *[F.coalesce(F.col(c), F.lit(text)).alias(c) for c, text in none.items()])
+
+
 def reconcile(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
     """(side, columns ..., n): rows that one side has more often than the other, by bag comparison."""
     both = left.select(*columns, F.lit(1).alias("d")).unionByName(right.select(*columns, F.lit(-1).alias("d")))

@@ -20,9 +20,10 @@ def title_dedup_top_n(df: DataFrame, key: str, title: str, n: int, *order: Colum
     return best.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
-def longest_per_key(df: DataFrame, key: str, value: str, position: str) -> DataFrame:
-    """(key, value): the longest value of each key, the first of equally long ones."""
-    return df.groupBy(key).agg(F.max_by(value, F.struct(F.length(value), -F.col(position))).alias(value))
+def longest_per_key(df: DataFrame, key: str, value: str, position: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(key, value, carry ...): the longest value of each key, the first of equally long ones, with its row's other columns."""
+    best = F.max_by(F.struct(value, *carry), F.struct(F.length(value), -F.col(position)))
+    return df.groupBy(key).agg(best.alias("_best")).select(key, "_best.*")
 
 
 def resolve_targets(df: DataFrame, value: str, position: str, include: list[str] | None = None, exclude: tuple[str, ...] = ()) -> DataFrame:
@@ -61,6 +62,11 @@ def conform(df: DataFrame, order: list[str], promote: dict[str, str] | None = No
     return df.select(*[c for c in order if c in df.columns])
 
 
+def ensure_column(df: DataFrame, name: str, source: str) -> DataFrame:
+    """df with a column, taken from another one where it lacks it; as it is where it has it or the other is missing too."""
+    return df if name in df.columns or source not in df.columns else df.withColumn(name, F.col(source))
+
+
 def forward_fill(df: DataFrame, position: str, value: str, keys: list[str] = ()) -> Column:
     """The last value up to a row."""
     w = Window.partitionBy(*keys).orderBy(position).rowsBetween(Window.unboundedPreceding, 0)

@@ -12,6 +12,7 @@ from ..operators import models as M
 from ..operators import retrieval as R
 from ..sources.readers import table
 from .registry import query
+from .retrieval import _ALL_DOCS, _index_sql
 
 _SCORE_ANSWERS = (
     '{"results": [{"id": 1, "score": 87.5, "reason": " good "}, {"id": 2, "score": 130, "reason": "over"}, {"id": 3, "score": -4, "reason": ""}]}',
@@ -19,10 +20,12 @@ _SCORE_ANSWERS = (
     '{"results": [{"id": 1, "score": 88, "reason": "ok"}, {"id": 2, "sco',
     '{"results": [{"id": 1, "score": 5, "reason": "first"}, {"id": 1, "score": 6, "reason": "last"}]}',
     "no answer",
+    ' [{"reason": "any order", "score": 61.5, "id": 4}, {"id": 5, "score": 200, "reason": "bare"}] ',
+    '[{"id": 6, "score": 7, "reason": "cut"}, {"id": 8, "sc',
 )
 
 
-@query("""SELECT * FROM (VALUES (1, 1, 88, 'good'), (1, 2, 100, 'over'), (1, 3, 0, ''), (2, 7, 42, 'ok'), (3, 1, 88, 'ok'), (4, 1, 6, 'last')) AS t(n, id, score, reason)""")
+@query("""SELECT * FROM (VALUES (1, 1, 88, 'good'), (1, 2, 100, 'over'), (1, 3, 0, ''), (2, 7, 42, 'ok'), (3, 1, 88, 'ok'), (4, 1, 6, 'last'), (6, 4, 62, 'any order'), (6, 5, 100, 'bare'), (7, 6, 7, 'cut')) AS t(n, id, score, reason)""")
 def parse_scores(spark: SparkSession, sf: str) -> DataFrame:
     d = spark.createDataFrame(list(enumerate(_SCORE_ANSWERS, 1)), "n int, answer string")
     return d.select("n", F.inline(L.parse_scores(F.col("answer"))))
@@ -98,14 +101,6 @@ def missing_score_default(spark: SparkSession, sf: str) -> DataFrame:
     return L.with_default_answer(table(spark, sf, "documents").select("doc_id"), answers, ["doc_id"])
 
 
-@query(r"""WITH d AS (SELECT doc_id, split_part(text, chr(10), 1) AS t FROM documents), n AS (SELECT *, regexp_matches(t, '[*#$%&]{3}') AS bad, trim(regexp_replace(t, '[*#$%&]+', ' ', 'g')) AS new FROM d)
-SELECT doc_id, CASE WHEN bad AND length(new) >= 20 THEN new ELSE t END AS t, bad AND length(new) >= 20 AS repaired FROM n""")
-def repair_texts(spark: SparkSession, sf: str) -> DataFrame:
-    """Broken values are made anew; what the acceptor refuses stays as it was."""
-    d = table(spark, sf, "documents").select("doc_id", F.split_part("text", F.lit("\n"), F.lit(1)).alias("t"))
-    return L.repair(d, "t", F.col("t").rlike("[*#$%&]{3}"), lambda c: F.trim(F.regexp_replace(c, "[*#$%&]+", " ")), lambda c: F.length(c) >= 20)
-
-
 @query("""SELECT n_nationkey, CASE WHEN n_nationkey % 3 = 2 THEN NULL ELSE n_name END AS grp FROM nation""")
 def group_of_struct(spark: SparkSession, sf: str) -> DataFrame:
     """`{rank, group}` as JSON, as a Python literal, or with a group that is none."""
@@ -140,20 +135,30 @@ def explanation_template(spark: SparkSession, sf: str) -> DataFrame:
     return p.select("p_partkey", M.explanation({"name": F.col("p_name"), "type": F.col("p_type"), "size": F.when(F.col("p_size") > 25, "large").otherwise("")}).alias("detail"))
 
 
-@query(None)
+@query("""WITH t AS (SELECT item_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '([가-힣a-zA-Z0-9]{2,})')) AS w FROM benchmark),
+h AS (SELECT item_id, CAST('0x' || left(md5(w), 8) AS BIGINT) AS h FROM t), b AS (SELECT item_id, h % 64 AS i, sum(CASE WHEN h >= 2147483648 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END) AS x FROM h GROUP BY 1, 2),
+l AS (SELECT item_id, sqrt(sum(x * x)) AS l FROM b GROUP BY 1), f AS (SELECT item_id, i, CAST(x / l AS FLOAT)::DOUBLE AS x FROM b JOIN l USING (item_id) WHERE l > 0),
+n AS (SELECT item_id, sqrt(sum(x * x)) AS l FROM f GROUP BY 1), u AS (SELECT item_id, i, x / l AS x FROM f JOIN n USING (item_id)),
+d AS (SELECT a.item_id AS query, b.item_id AS doc, sum(a.x * b.x) AS s FROM u a JOIN u b USING (i) GROUP BY 1, 2),
+c AS (SELECT q.item_id AS query, e.item_id AS doc, round(greatest(-1.0::DOUBLE, least(1.0::DOUBLE, coalesce(d.s, 0))), 6) AS score FROM benchmark q JOIN benchmark e ON q.item_id <> e.item_id LEFT JOIN d ON d.query = q.item_id AND d.doc = e.item_id)
+SELECT query, doc, score, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, doc) AS rank FROM c) WHERE rank <= 3""")
 def encode_texts(spark: SparkSession, sf: str) -> DataFrame:
     """Vectors of all benchmark passages by the encoder boundary, and their nearest other passages."""
     b = M.encode(table(spark, sf, "benchmark"), "text").select(F.col("item_id").alias("vec_id"), "embedding")
     return R.cosine_top_k(b, b, 3)
 
 
-@query(None)
+@query(f"""WITH {_index_sql(_ALL_DOCS)}, k AS (SELECT * FROM (SELECT query, doc, row_number() OVER (PARTITION BY query ORDER BY round(score, 9) DESC, doc) AS pos FROM bm) WHERE pos <= 40)
+SELECT query, doc, CAST(pos AS INTEGER) AS pos, CAST((pos - 1) // 20 AS INTEGER) AS batch, CAST(least(100, len(list_intersect(regexp_extract_all(lower(b.text), '[a-z]+'), regexp_extract_all(lower(d.text), '[a-z]+')))) AS INTEGER) AS score, 'shared words' AS reason
+FROM k JOIN benchmark b ON item_id = query JOIN documents d ON doc_id = doc""")
 def score_blocks_by_model(spark: SparkSession, sf: str) -> DataFrame:
     """Blocks of candidates as they go to a model function in Python workers; here a model that counts shared words."""
 
     def model(source: str, texts: list[str]) -> list[tuple[int, str]]:
-        mine = set(source.lower().split())
-        return [(min(100, len(mine & set(t.lower().split()))), "shared words") for t in texts]
+        import re
+
+        words = lambda t: set(re.findall("[a-z]+", t.lower()))
+        return [(min(100, len(words(source) & words(t))), "shared words") for t in texts]
 
     best = R.bm25_scores(table(spark, sf, "benchmark"), R.build_index(table(spark, sf, "documents"), "doc_id", "text"), "item_id", "text")
     best = R.top_k(best, "query", 40, F.desc(F.round("score", 9)), F.col("doc"), rank="pos").select("query", "doc", "pos")

@@ -114,3 +114,87 @@ def think_strip(spark: SparkSession, sf: str) -> DataFrame:
     """A model's answer without its thoughts: the first line, without quotes."""
     raw = F.concat(F.lit("<think>"), "role", F.lit("\nx</think>\n\""), F.replace("text", F.lit('"'), F.lit("")), F.lit('"'))
     return table(spark, sf, "conversations").select("conv_id", "turn", T.first_line(T.strip_think(raw)).alias("line"))
+
+
+@query("""SELECT s_suppkey, replace(replace(replace(replace(trim(n), ' ', ''), '(주)', ''), '㈜', ''), '주식회사', '') AS short FROM (SELECT s_suppkey, (['(주) ', '주식회사', ' ㈜', '(유)'])[CAST(s_suppkey % 4 AS INTEGER) + 1] || s_name || ' Co' AS n FROM supplier)""")
+def name_short(spark: SparkSession, sf: str) -> DataFrame:
+    """Names without spaces and the commonest legal forms, case and others kept."""
+    forms = F.array(*map(F.lit, ("(주) ", "주식회사", " ㈜", "(유)")))
+    return table(spark, sf, "supplier").select("s_suppkey", T.short_name(F.concat(F.element_at(forms, (F.col("s_suppkey") % 4 + 1).cast("int")), "s_name", F.lit(" Co"))).alias("short"))
+
+
+_TAILS = ["", "으로", "는", "은", "와", "과", "이", "가", "을", "를", "의", "도", "로", "에서"]
+
+
+@query(f"""WITH t AS (SELECT o_orderkey, (['구조', '음극재', '회로', '것', 'cell'])[CAST(o_orderkey // 14 % 5 AS INTEGER) + 1] || ({_TAILS})[CAST(o_orderkey % 14 AS INTEGER) + 1] AS token FROM orders)
+SELECT o_orderkey, token, CASE WHEN regexp_matches(token, '[가-힣]') THEN regexp_replace(token, '^(.{{2,}}?)(으로|는|은|와|과|이|가|을|를|의|도|로)$', '\\1') ELSE token END AS stem FROM t""".replace("\\\\", "\\"))
+def clean_tail(spark: SparkSession, sf: str) -> DataFrame:
+    """Tokens without the particle at their end, where two syllables stay."""
+    k = F.col("o_orderkey")
+    word = F.element_at(F.array(*map(F.lit, ("구조", "음극재", "회로", "것", "cell"))), (F.floor(k / 14) % 5 + 1).cast("int"))
+    d = table(spark, sf, "orders").select(k, F.concat(word, F.element_at(F.array(*map(F.lit, _TAILS)), (k % 14 + 1).cast("int"))).alias("token"))
+    return d.withColumn("stem", T.clean_tail(F.col("token")))
+
+
+@query("""SELECT c_custkey, '대전에서;이용한;반도체;' || replace(c_mktsegment, ' ', ';') || CASE WHEN c_custkey % 2 = 0 THEN ';5G' ELSE '' END AS viewer, '대전;반도체;' || replace(c_mktsegment, ' ', ';') || CASE WHEN c_custkey % 2 = 0 THEN ';5G' ELSE '' END AS whole FROM customer""")
+def noun_profiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Free input by both profiles: the viewer's keeps particles and verb forms."""
+    text = F.concat(F.lit("대전에서 이용한 반도체 도매업, "), "c_mktsegment", F.when(F.col("c_custkey") % 2 == 0, " / 5G 업체").otherwise(" EH030301"))
+    d = table(spark, sf, "customer").select("c_custkey", text.alias("t"))
+    return d.select("c_custkey", F.array_join(T.noun_keywords(F.col("t"), "viewer"), ";").alias("viewer"), F.array_join(T.noun_keywords(F.col("t")), ";").alias("whole"))
+
+
+@query("""WITH y AS (SELECT o_orderkey, CAST(year(o_orderdate) AS VARCHAR) AS a, CAST(year(o_orderdate) + o_orderkey % 3 AS VARCHAR) AS b FROM orders)
+SELECT o_orderkey, CASE CAST(o_orderkey % 4 AS INTEGER) WHEN 3 THEN '' WHEN 2 THEN a ELSE CASE WHEN a = b THEN a ELSE a || ' ~' || chr(10) || b END END AS lines, CASE CAST(o_orderkey % 4 AS INTEGER) WHEN 3 THEN NULL WHEN 2 THEN a || '년' ELSE CASE WHEN a = b THEN a || '년' ELSE a || '년 ~ ' || b || '년' END END AS cell FROM y""")
+def year_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Years of descriptions, in one line and in two."""
+    k, a = F.col("o_orderkey"), F.year("o_orderdate")
+    both = F.concat(F.lit("이 과제는 "), a.cast("string"), F.lit("년 3월 5일에 시작하여 "), (a + k % 3).cast("string"), F.lit("년 12월 31일에 종료된다."))
+    text = F.when(k % 4 == 3, "기간 미정").when(k % 4 == 2, F.concat(a.cast("string"), F.lit("년 과제"))).otherwise(both)
+    return table(spark, sf, "orders").select(k, T.year_lines(text).alias("lines"), T.period_cell(text).alias("cell"))
+
+
+@query("""WITH p AS (SELECT o_orderkey, CAST(round(o_totalprice * 1000) AS BIGINT) AS won FROM orders)
+SELECT o_orderkey, CASE WHEN won >= 100000000 THEN printf('%.1f', won / 100000000.0::DOUBLE) || '억원' WHEN won >= 10000 THEN format('{:,}', CAST(round_even(won / 10000.0::DOUBLE, 0) AS BIGINT)) || '만원' ELSE format('{:,}', won) || '원' END AS money FROM p""")
+def money_cells(spark: SparkSession, sf: str) -> DataFrame:
+    won = F.round(F.col("o_totalprice") * 1000).cast("long").cast("string")
+    return table(spark, sf, "orders").select("o_orderkey", T.money_cell(won).alias("money"))
+
+
+@query("""SELECT c_custkey, name FROM (SELECT c_custkey, CASE CAST(c_custkey % 6 AS INTEGER) WHEN 0 THEN 'nan' WHEN 1 THEN 'None' WHEN 2 THEN '  ' WHEN 3 THEN NULL ELSE c_name END AS name FROM customer) WHERE name IS NOT NULL AND trim(name) NOT IN ('', 'nan', 'None')""")
+def present_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that have a value: not null, blank, or a word for none."""
+    k = F.col("c_custkey") % 6
+    d = table(spark, sf, "customer").select("c_custkey", F.when(k == 0, "nan").when(k == 1, "None").when(k == 2, "  ").when(k > 3, F.col("c_name")).alias("name"))
+    return d.filter(T.is_present(F.col("name")))
+
+
+@query("""SELECT n_nationkey, c_custkey, CAST(row_number() OVER (PARTITION BY n_nationkey ORDER BY number NULLS LAST, c_custkey) AS INTEGER) AS rank FROM (SELECT c_nationkey AS n_nationkey, c_custkey, CASE WHEN c_custkey % 10 = 9 THEN NULL ELSE c_custkey % 97 END AS number FROM customer)""")
+def numeric_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Numbers that are text are sorted as numbers, others last."""
+    k = F.col("c_custkey")
+    text = F.when(k % 10 == 9, "n/a").otherwise(F.concat(F.lit(" "), (k % 97).cast("string")))
+    w = Window.partitionBy("n_nationkey").orderBy(T.number_of(F.col("no")).asc_nulls_last(), "c_custkey")
+    return table(spark, sf, "customer").select(F.col("c_nationkey").alias("n_nationkey"), k, text.alias("no")).select("n_nationkey", "c_custkey", F.row_number().over(w).alias("rank"))
+
+
+@query("""SELECT p_partkey, p_name AS project_name, p_brand AS brand FROM part""")
+def derived_name(spark: SparkSession, sf: str) -> DataFrame:
+    """A name that a table lacks comes from the column that has it; one that it has stays."""
+    from ..operators.selection import ensure_column
+
+    p = table(spark, sf, "part").select("p_partkey", F.col("p_name").alias("과제명"), F.col("p_brand").alias("brand"))
+    return ensure_column(ensure_column(p, "project_name", "과제명"), "brand", "과제명").select("p_partkey", "project_name", "brand")
+
+
+@query("""SELECT n_nationkey, CASE CAST(n_nationkey % 4 AS INTEGER) WHEN 0 THEN n_name || ',x' ELSE '' END AS strict, CASE CAST(n_nationkey % 4 AS INTEGER) WHEN 0 THEN n_name || ',x' WHEN 1 THEN n_name || '; y;' ELSE '' END AS lenient, CASE WHEN n_nationkey % 4 = 1 THEN n_name || ',y' ELSE '' END AS parts FROM nation""")
+def lenient_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """Lists that arrive as text: what is none counts as nothing or as one value, and lists by separator."""
+    from ..functions import arrays as A
+
+    k, n = F.col("n_nationkey") % 4, F.col("n_name")
+    raw = F.when(k == 0, F.concat(F.lit('["'), n, F.lit('", " x ", ""]'))).when(k == 1, F.concat(n, F.lit("; y;"))).when(k == 2, "")
+    d = table(spark, sf, "nation").select("n_nationkey", raw.alias("raw"))
+    joined = lambda a: F.array_join(a, ",")
+    parts = F.when(F.col("n_nationkey") % 4 == 1, joined(A.split_list(F.col("raw")))).otherwise("")
+    return d.select("n_nationkey", joined(A.parse_list(F.col("raw"))).alias("strict"), joined(A.parse_list(F.col("raw"), whole_if_bad=True)).alias("lenient"), parts.alias("parts"))

@@ -32,15 +32,16 @@ def name_normalize_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""WITH s AS (SELECT s_suppkey, {_SUPPLIER_NAME} AS name, n_name FROM supplier JOIN nation ON n_nationkey = s_nationkey),
-d AS (SELECT {_NORM.format(c="n_name || ' ' || left(name, 1)")} AS key, name AS descr, s_suppkey AS pos FROM s),
+d AS (SELECT {_NORM.format(c="n_name || ' ' || left(name, 1)")} AS key, name AS descr, CAST(s_suppkey % 2 AS INTEGER) AS desc_ok, CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE 'issue ' || (s_suppkey % 3) END AS desc_issue, s_suppkey AS pos FROM s),
 r AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY length(descr) DESC, pos) AS nth FROM d WHERE key <> '')
-SELECT key, descr FROM r WHERE nth = 1""")
+SELECT key, descr, desc_ok, desc_issue FROM r WHERE nth = 1""")
 def best_desc_per_name(spark: SparkSession, sf: str) -> DataFrame:
-    """The longest description of each normalised name, the first of equally long ones."""
+    """The longest description of each normalised name, the first of equally long ones, with its flag and issue."""
     n = table(spark, sf, "nation")
     s = _named_suppliers(spark, sf).join(n, F.col("s_nationkey") == F.col("n_nationkey"))
-    d = s.select(T.norm_name(F.concat("n_name", F.lit(" "), F.left("name", F.lit(1)))).alias("key"), F.col("name").alias("descr"), F.col("s_suppkey").alias("pos"))
-    return S.longest_per_key(d.filter("key <> ''"), "key", "descr", "pos")
+    d = s.select(T.norm_name(F.concat("n_name", F.lit(" "), F.left("name", F.lit(1)))).alias("key"), F.col("name").alias("descr"), (F.col("s_suppkey") % 2).cast("int").alias("desc_ok"), F.when(F.col("s_suppkey") % 3 == 0, "nan").otherwise(F.concat(F.lit("issue "), (F.col("s_suppkey") % 3).cast("string"))).alias("desc_issue"), F.col("s_suppkey").alias("pos"))
+    best = S.longest_per_key(d.filter("key <> ''"), "key", "descr", "pos", ("desc_ok", "desc_issue"))
+    return best.withColumn("desc_issue", T.safe_cell(F.col("desc_issue")))
 
 
 @query("""SELECT l_orderkey, l_linenumber, coalesce(s_name, '') AS s_name, coalesce(n_name, '') AS n_name FROM lineitem
@@ -64,17 +65,6 @@ def id_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("o_orderkey", T.norm_id(F.col("c_custkey")).alias("id"), "c_name")
 
 
-@query("""WITH p AS (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem)
-SELECT a.l_orderkey, a.l_suppkey AS company, b.l_suppkey AS other, s_name AS other_name FROM p a JOIN p b ON a.l_orderkey = b.l_orderkey AND a.l_suppkey <> b.l_suppkey
-JOIN supplier ON s_suppkey = b.l_suppkey WHERE s_acctbal > 0""")
-def conduct_company(spark: SparkSession, sf: str) -> DataFrame:
-    """Other companies that performed the same project, with something known of them."""
-    p = table(spark, sf, "lineitem").select("l_orderkey", F.col("l_suppkey").alias("company")).distinct()
-    other = p.select("l_orderkey", F.col("company").alias("other"))
-    s = table(spark, sf, "supplier").filter("s_acctbal > 0").select(F.col("s_suppkey").alias("other"), F.col("s_name").alias("other_name"))
-    return p.join(other, "l_orderkey").filter("company <> other").join(s, "other").select("l_orderkey", "company", "other", "other_name")
-
-
 _TOK = "list_distinct(regexp_extract_all({c}, '([가-힣a-zA-Z0-9]{{2,}})'))"
 
 

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions import words as W
+from ..operators import checks as C
+from ..operators import models as M
 from ..operators import report as G
 from ..operators.retrieval import top_k
 from ..sources.readers import table
@@ -68,3 +71,67 @@ def cardinality_check(spark: SparkSession, sf: str) -> DataFrame:
     """Groups that do not have exactly five rows, by their size."""
     g = table(spark, sf, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.bool_or(F.col("o_orderstatus") == "F").alias("any_done"), F.bool_and(F.col("o_totalprice") > 0).alias("all_priced"))
     return g.filter("n <> 5").groupBy("n").agg(F.count(F.lit(1)).alias("groups"), F.count_if("any_done").alias("with_done"), F.bool_and("all_priced").alias("priced"))
+
+
+@query("""SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN 'B,C' WHEN turn % 3 = 1 THEN 'C' ELSE '' END AS missing FROM conversations""")
+def section_check(spark: SparkSession, sf: str) -> DataFrame:
+    """The sections that texts lack."""
+    plain = F.translate("text", "[]", "")
+    detail = F.concat_ws("\n\n", F.concat(F.lit("[A] "), plain), F.when(F.col("turn") % 3 != 0, "[B] b"), F.when(F.col("turn") % 3 == 2, "[C] c"))
+    return table(spark, sf, "conversations").select("conv_id", "turn", F.array_join(C.missing_sections(detail, ("A", "B", "C")), ",").alias("missing"))
+
+
+@query("""WITH i AS (SELECT l_orderkey, l_linenumber FROM lineitem), o AS (SELECT o_orderkey, o_orderstatus IN ('O', 'F') AS subject, year(o_orderdate) >= 1995 AS recent FROM orders WHERE o_orderkey % 11 <> 0),
+b AS (SELECT CASE WHEN coalesce(subject, false) THEN '' ELSE 'subject,' END || CASE WHEN coalesce(recent, false) THEN '' ELSE 'recent,' END AS broken FROM i LEFT JOIN o ON o_orderkey = l_orderkey) SELECT rtrim(broken, ',') AS broken, count(*) AS n FROM b GROUP BY 1""")
+def compliance_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Results whose source rows break the filter they were found by, counted by rule."""
+    o = table(spark, sf, "orders").filter("o_orderkey % 11 <> 0")
+    rules = {"subject": F.col("o_orderstatus").isin("O", "F"), "recent": F.year("o_orderdate") >= 1995}
+    d = C.complies(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"), "l_orderkey", o, "o_orderkey", rules)
+    return d.groupBy(F.array_join("broken", ",").alias("broken")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""WITH p AS (SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 13 = 0 THEN ' ' ELSE 'R' || o_orderkey END AS reg_no, (['한국', 'US', 'PCT', '미국'])[CAST(o_orderkey % 4 AS INTEGER) + 1] AS country FROM orders)
+SELECT * FROM (SELECT unnest(['number_if_registered', 'country_named']) AS "check", unnest([count(*) FILTER (o_orderstatus = 'F' AND trim(reg_no) = ''), count(*) FILTER (country IN ('KR', 'US', 'CN', 'JP', 'EP', 'WO', 'XI', 'XU'))]) AS n_bad,
+unnest([count(*) FILTER (o_orderstatus = 'F' AND trim(reg_no) = '') = 0, count(*) FILTER (country IN ('KR', 'US', 'CN', 'JP', 'EP', 'WO', 'XI', 'XU')) = 0]) AS passed FROM p)""")
+def conditional_required(spark: SparkSession, sf: str) -> DataFrame:
+    """A registered patent has its number, and no country is left as a code."""
+    k = F.col("o_orderkey")
+    p = table(spark, sf, "orders").select("o_orderstatus", F.when(k % 13 == 0, " ").otherwise(F.concat(F.lit("R"), k.cast("string"))).alias("reg_no"), F.element_at(F.array(*map(F.lit, ("한국", "US", "PCT", "미국"))), (k % 4 + 1).cast("int")).alias("country"))
+    return G.ledger(p, {"number_if_registered": C.required_if(F.col("o_orderstatus") == "F", F.col("reg_no")), "country_named": ~F.col("country").rlike("^(" + "|".join(W.COUNTRIES) + ")$")})
+
+
+_TOP = "SELECT o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rank, o_orderkey, o_orderpriority, o_orderdate, o_orderstatus FROM orders"
+
+
+@query(f"""WITH a AS (SELECT o_custkey, CAST(rank AS INTEGER) AS rank, replace(o_orderpriority, ' ', '') || o_orderkey AS v FROM ({_TOP}) WHERE rank <= 5), b AS (SELECT o_custkey, rank, CASE WHEN rank = 2 AND o_custkey % 5 = 0 THEN 'other' ELSE v END AS v FROM a WHERE NOT (rank = 5 AND o_custkey % 7 = 0))
+SELECT coalesce(a.o_custkey, b.o_custkey) AS o_custkey, coalesce(a.rank, b.rank) AS rank, a.v AS "left", b.v AS "right" FROM a FULL JOIN b ON a.o_custkey = b.o_custkey AND a.rank = b.rank WHERE a.v IS DISTINCT FROM b.v""")
+def ordered_equality(spark: SparkSession, sf: str) -> DataFrame:
+    """Places where a report's lists and their source differ, white space aside."""
+    top = top_k(table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderpriority", "o_totalprice"), "o_custkey", 5, F.desc("o_totalprice"), F.col("o_orderkey"))
+    a = top.select("o_custkey", "rank", F.concat("o_orderpriority", F.lit(" "), F.col("o_orderkey").cast("string")).alias("v"))
+    b = a.filter("not (rank = 5 and o_custkey % 7 = 0)").withColumn("v", F.when((F.col("rank") == 2) & (F.col("o_custkey") % 5 == 0), "other").otherwise(F.col("v")))
+    return C.order_differences(a, b, ["o_custkey"], "rank", "v")
+
+
+@query(f"""SELECT o_custkey AS no, CAST(rank AS VARCHAR) AS rank, 'order ' || o_orderkey AS title, o_orderpriority AS org, CAST(year(o_orderdate) AS VARCHAR) AS years, CASE WHEN o_orderstatus = 'F' THEN 'done' ELSE '-' END AS reason FROM ({_TOP}) WHERE rank <= 5""")
+def top_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The lines of a report's table of the five best: rank, title, organisation, years, reason."""
+    o = top_k(table(spark, sf, "orders"), "o_custkey", 5, F.desc("o_totalprice"), F.col("o_orderkey"))
+    years = T.year_lines(F.concat(F.year("o_orderdate").cast("string"), F.lit("년 과제")))
+    return o.select(F.col("o_custkey").alias("no"), F.col("rank").cast("string").alias("rank"), F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("title"), F.col("o_orderpriority").alias("org"), years.alias("years"), T.dash(F.when(F.col("o_orderstatus") == "F", "done")).alias("reason"))
+
+
+@query("""WITH p AS (SELECT o_custkey, o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P' AND o_orderkey % 4 = 0)
+SELECT c_custkey, coalesce(CASE o_orderstatus WHEN 'F' THEN '등록' WHEN 'O' THEN '출원' END, '특허 실적 없음') AS status, coalesce('patent ' || o_orderkey, '-') AS title FROM customer LEFT JOIN p ON o_custkey = c_custkey""")
+def patent_section(spark: SparkSession, sf: str) -> DataFrame:
+    """The patents of each project, or one line that says there are none."""
+    p = table(spark, sf, "orders").filter("o_orderstatus <> 'P' and o_orderkey % 4 = 0").select(F.col("o_custkey").alias("c_custkey"), F.when(F.col("o_orderstatus") == "F", "등록").otherwise("출원").alias("status"), F.concat(F.lit("patent "), F.col("o_orderkey").cast("string")).alias("title"))
+    return G.rows_or_none(table(spark, sf, "customer").select("c_custkey"), p, "c_custkey", {"status": "특허 실적 없음", "title": "-"})
+
+
+@query("""SELECT doc_id, md5('[문서]' || chr(10) || coalesce(text, '') || chr(10) || chr(10) || '[기업]' || chr(10) || coalesce(source, '') || chr(10) || chr(10) || '[수요]' || chr(10) || '- 언어: ' || coalesce(trim(lang), '') || chr(10) || '- 길이: ' || n_chars) AS prompt_md5 FROM documents""")
+def prompt_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """Blocks of a prompt: a whole document, a source, and named fields."""
+    blocks = [M.text_block("문서", F.col("text")), M.text_block("기업", F.col("source")), M.field_block("수요", {"언어": F.col("lang"), "길이": F.col("n_chars")})]
+    return table(spark, sf, "documents").select("doc_id", F.md5(F.concat_ws("\n\n", *blocks)).alias("prompt_md5"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,7 +15,11 @@ from .registry import query
 
 
 def _folder(spark: SparkSession, name: str) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="matchloom-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="matchloom-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -41,10 +46,10 @@ def stream_resume_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""SELECT time_bucket(INTERVAL '1 hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2""")
 def stream_hourly_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Tumbling hourly counts of a stream; the watermark is wide enough for all late events of the table."""
+    """Tumbling hourly counts of a stream, with a day for late events; its state is dropped after that."""
     out, checkpoint = _folder(spark, "hours-out"), _folder(spark, "hours-checkpoint")
     events = _events(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
-    counts = windowed_counts(events, "ts", "event_type", "1 hour", "36500 days")
+    counts = windowed_counts(events, "ts", "event_type", "1 hour", "1 day")
 
     def save(rows: DataFrame, batch: int) -> None:
         rows.write.mode("overwrite").parquet(f"{out}/batch={batch}")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import csv
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -22,20 +24,28 @@ def exists(spark: SparkSession, path: str) -> bool:
 def sheet(spark: SparkSession, path: str, header_row: int = 0, schema: StructType | str | None = None, separator: str = ",") -> DataFrame:
     """A sheet saved as CSV whose column names stand in row `header_row` (from 0), below title rows.
 
-    The names are read from the head of the file; the rows above and the header itself are left out by their line index,
-    so the file is read in parallel only when header_row is 0.
+    Each file of the path has its own title rows. Their ends are found by file and byte offset, so bodies are read in
+    parallel and nothing is sorted but the heads. All files must have the header of the first.
     """
     if header_row == 0:
         reader = spark.read.option("header", True).option("sep", separator).option("multiLine", False)
         return (reader.schema(schema) if schema else reader).csv(path)
-    lines = spark.read.text(path, wholetext=False).select("value", F.monotonically_increasing_id().alias("line"))
-    head = lines.orderBy("line").limit(header_row + 1).collect()[-1]
-    body = lines.filter(F.col("line") > head["line"]).select("value")
-    names = spark.createDataFrame([(head["value"],)], "value string").select(F.from_csv("value", F.lit(", ".join(f"c{i} string" for i in range(head["value"].count(separator) + 1))), {"sep": separator}).alias("r")).first()["r"]
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line"))
+    nth = F.row_number().over(Window.partitionBy("file").orderBy("start", "line"))
+    heads = lines.withColumn("nth", nth).filter(F.col("nth") <= header_row + 1)
+    ends = heads.filter(F.col("nth") == header_row + 1).select("file", F.col("line").alias("end"), "value")
+    header = ends.orderBy("file").first()["value"].removeprefix("\ufeff")
+    body = lines.join(F.broadcast(ends.select("file", "end")), "file").filter(F.col("line") > F.col("end")).select("value")  # a row for each file
+    names = next(csv.reader([header], delimiter=separator))
     fields = ", ".join(f"`{n or f'column_{i}'}` string" for i, n in enumerate(names))
     return body.select(F.from_csv("value", F.lit(fields), {"sep": separator}).alias("r")).select("r.*")
 
 
+def partition_path(root: str, **keys: str) -> str:
+    """The folder of one partition of a table."""
+    return "/".join([root.rstrip("/"), *[f"{k}={v}" for k, v in keys.items()]])
+
+
 def keyed_json(spark: SparkSession, path: str, value_schema: str, key: str = "key") -> DataFrame:
     """A JSON object `{key: {...}}` as rows (key, fields ...)."""
     text = spark.read.text(path, wholetext=True)

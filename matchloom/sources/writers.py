@@ -9,10 +9,44 @@ from ..operators.selection import sheet_names, todo
 from .readers import exists
 
 
+#: Tells a spreadsheet that a file is UTF-8.
+BOM = "\ufeff"
+
+
 def append_csv(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("header", True).csv(path)
 
 
+def single_csv(df: DataFrame, path: str, header: bool = True) -> None:
+    """One CSV file for a spreadsheet: a BOM, one header line, then the rows; later calls append rows without a header.
+
+    For results of a size that a person reads: the parts are written by all executors and put together in the store.
+    """
+    spark = df.sparkSession
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop, spark.sparkContext._jsc.hadoopConfiguration()
+    target = hadoop.fs.Path(path)
+    store = target.getFileSystem(conf)
+    parts, fresh = hadoop.fs.Path(f"{path}.parts"), not store.exists(target)
+    df.write.mode("overwrite").option("header", False).csv(f"{path}.parts")
+    joined = hadoop.fs.Path(f"{path}.joined")
+    out = store.create(joined, True)
+    try:
+        if fresh:
+            names = ",".join('"' + c.replace('"', '""') + '"' if any(x in c for x in ',"\n') else c for c in df.columns)
+            out.write(bytearray((BOM + (names + "\n" if header else "")).encode()))
+        sources = [] if fresh else [target]
+        sources += sorted((f.getPath() for f in store.listStatus(parts) if f.getPath().getName().startswith("part-")), key=lambda p: p.getName())
+        for source in sources:
+            stream = store.open(source)
+            hadoop.io.IOUtils.copyBytes(stream, out, conf, False)
+            stream.close()
+    finally:
+        out.close()
+    store.delete(target, False)
+    store.rename(joined, target)
+    store.delete(parts, True)
+
+
 def write_new(df: DataFrame, path: str, write: bool = False) -> bool:
     """Write only if asked to, never over an earlier result; a dry run plans and writes nothing."""
     if write:
@@ -20,6 +54,26 @@ def write_new(df: DataFrame, path: str, write: bool = False) -> bool:
     return write
 
 
+def replace_with_backup(df: DataFrame, path: str, write: bool = False) -> str | None:
+    """Put a result in an earlier one's place and keep that as `<path>.bak-vN`; returns where, or None. Nothing without write."""
+    spark = df.sparkSession
+    if not write:
+        return None
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(path)
+    store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    df.write.mode("overwrite").parquet(f"{path}.new")  # whole before anything is moved; it may read the old one
+    backup = None
+    if store.exists(target):
+        n = 1
+        while store.exists(hadoop.Path(f"{path}.bak-v{n}")):
+            n += 1
+        backup = f"{path}.bak-v{n}"
+        store.rename(target, hadoop.Path(backup))
+    store.rename(hadoop.Path(f"{path}.new"), target)
+    return backup
+
+
 def write_by_sheet(df: DataFrame, name: str, position: str, path: str) -> DataFrame:
     """One folder a sheet; returns the names given. Rows are spread over the writers by a salt as well as the sheet,
     so a sheet with most of the rows is not one task's work."""
