@@ -31,8 +31,8 @@ def pythonic_to_json(c: Column) -> Column:
 
 def parse_struct(c: Column, schema: str) -> Column:
     """JSON or Python-literal text by schema; null if it is neither."""
-    first = F.from_json(c, schema)
-    return F.coalesce(F.when(parse_variant(c).isNotNull(), first), F.from_json(pythonic_to_json(c), schema))
+    literal = pythonic_to_json(c)
+    return F.coalesce(F.when(parse_variant(c).isNotNull(), F.from_json(c, schema)), F.when(parse_variant(literal).isNotNull(), F.from_json(literal, schema)))
 
 
 def group_of(c: Column) -> Column:

@@ -1,11 +1,14 @@
 """Operators, readers, writers and streams on small tables."""
 
 import pytest
+from matchloom.functions import structs as X
 from matchloom.functions import text as T
 from matchloom.functions import vectors as V
+from matchloom.functions import words as W
 from matchloom.operators import enrichment as E
 from matchloom.operators import llm_output as L
 from matchloom.operators import models as M
+from matchloom.operators import payloads as P
 from matchloom.operators import retrieval as R
 from matchloom.operators import selection as S
 from matchloom.sources import readers, writers
@@ -80,6 +83,100 @@ def test_repair_keeps_what_is_refused(spark):
     assert {(r.t, r.repaired) for r in got} == {("one", True), ("bad", False), ("fine", False)}
 
 
+def test_sheets_of_several_files_have_their_own_title_rows(spark, tmp_path):
+    for i in range(3):
+        (tmp_path / f"s{i}.csv").write_text(f"Title {i},,\nof it,,\nno,\"name, full\",\n" + "".join(f"{i}{k},n{k},x\n" for k in range(4)), encoding="utf-8")
+    d = readers.sheet(spark, str(tmp_path), header_row=2)
+    assert d.columns == ["no", "name, full", "column_2"]
+    assert sorted(r.no for r in d.collect()) == sorted(f"{i}{k}" for i in range(3) for k in range(4))
+
+
+def test_one_csv_for_a_spreadsheet(spark, tmp_path):
+    path = f"{tmp_path}/out.csv"
+    first = spark.createDataFrame([(i, f"가 {i}") for i in range(20)], "no int, `name, full` string").repartition(3)
+    writers.single_csv(first, path)
+    writers.single_csv(first.limit(5), path)
+    lines = open(path, encoding="utf-8").read().split("\n")
+    assert lines[0] == '\ufeffno,"name, full"' and len(lines) == 27 and lines[-1] == "" and not any("name" in x for x in lines[1:])
+    assert readers.partition_path("/a/", field="IT", no="3") == "/a/field=IT/no=3"
+
+
+def test_replacing_keeps_what_was_there(spark, tmp_path):
+    path = f"{tmp_path}/result"
+    assert writers.replace_with_backup(spark.range(1), path) is None and not readers.exists(spark, path)
+    assert writers.replace_with_backup(spark.range(1), path, write=True) is None
+    first = writers.replace_with_backup(spark.read.parquet(path).selectExpr("id + 5 AS id"), path, write=True)
+    second = writers.replace_with_backup(spark.range(3), path, write=True)
+    assert [spark.read.parquet(p).count() for p in (path, first, second)] == [3, 1, 1] and first != second
+    assert spark.read.parquet(second).first().id == 5
+
+
+def test_literals_with_apostrophes(spark):
+    texts = ["""{'name': "it's", 'n': None, 'ok': True}""", """{'name': 'say "hi" None', 'n': 1}""", '{"name": "json", "n": 2}', "neither", r"""{'name': 'it\'s'}"""]
+    d = spark.createDataFrame([(t,) for t in texts], "t string").select(X.parse_struct(F.col("t"), "name string, n int, ok boolean").alias("r"))
+    assert [r.r and tuple(r.r) for r in d.collect()] == [("it's", None, True), ('say "hi" None', 1, None), ("json", 2, None), None, ("it's", None, None)]
+
+
+def test_models_that_fail_lose_one_answer(spark):
+    def load():
+        def answer(prompts):
+            if "bad" in prompts:
+                raise ValueError("no answer")
+            return [p.upper() for p in prompts]
+
+        return answer
+
+    d = spark.createDataFrame([("a",), ("bad",), ("c",), (None,)], "p string").coalesce(1)
+    assert [r.answer for r in M.ask(d, F.col("p"), load).collect()] == ["A", None, "C", ""]
+    assert M.backend("none", load) is load
+    M.BACKENDS["x"] = lambda: None
+    assert M.backend(M.BACKENDS.popitem()[0], load) is load
+
+
+def test_attempts_go_up_until_one_holds(spark):
+    d = spark.createDataFrame([("[a] polite!! and long enough",), ("fine",), ("x!!",)], "t string")
+    ladder = [lambda c: F.lit("short"), lambda c: F.replace(c, F.lit("!!"), F.lit("")), lambda c: F.lit("never reached")]
+    got = L.repair_ladder(d, "t", lambda c: F.contains(c, F.lit("!!")), ladder).collect()
+    assert [(r.t, r.attempt) for r in got] == [("[a] polite and long enough", 2), ("fine", 0), ("short", 1)]
+
+
+def test_messages_with_examples(spark):
+    m = spark.range(1).select(M.few_shot(F.lit("sys"), [("q", "a")], F.lit("now")).alias("m")).first().m
+    assert [(x.role, x.content) for x in m] == [("system", "sys"), ("user", "q"), ("assistant", "a"), ("user", "now")]
+    assert spark.range(1).select(P.direction("project").alias("a"), P.direction("other").alias("b")).first() == ("project", "company")
+    assert "IT" in M.guide("IT", "project")
+
+
+# Invented texts of four kinds: each has one of another kind that fits it.
+KINDS = {
+    "company": {1: "반도체 패키지 방열 소재 제조 기업", 2: "수소 연료전지 촉매 생산 기업", 3: "스마트팜 온실 센서 기업", 4: "의료 영상 진단 소프트웨어 기업", 5: "교량 구조 안전 점검 기업"},
+    "project": {1: "반도체 패키지 방열 구조 열해석 연구", 2: "연료전지 촉매 내구성 수소 연구", 3: "온실 스마트팜 생육 센서 예측 연구", 4: "의료 영상 병변 진단 인공지능 연구", 5: "교량 안전 점검 드론 연구"},
+    "patent": {1: "상기 특징 반도체 방열 패키지 장치", 2: "상기 연료전지 촉매 제조 방법 특징", 3: "온실 센서 제어 장치", 4: "의료 영상 진단 장치", 5: "교량 점검 로봇"},
+    "demand": {1: "반도체 방열 열해석", 2: "온실 센서 예측"},
+}
+KEYWORD_REQUESTS = [("company", 1), ("company", 4), ("patent", 1), ("patent", 2), ("project", 2), ("project", 4), ("demand", 1), ("demand", 2)]
+MATCH_REQUESTS = [("company", 1, "project", 1), ("company", 3, "project", 3), ("project", 3, "company", 3), ("project", 4, "company", 4), ("company", 2, "patent", 2), ("company", 1, "patent", 1), ("demand", 1, "project", 1), ("demand", 2, "project", 3)]
+
+
+def test_requests_of_all_directions(spark):
+    """Sixteen requests: keywords of each kind of text, and matches in each direction, with what must hold of the answers."""
+    asked = spark.createDataFrame([(i, kind, KINDS[kind][n]) for i, (kind, n) in enumerate(KEYWORD_REQUESTS)], "no int, kind string, text string")
+    rule = T.noun_keywords(F.col("text"))
+    empty = lambda: lambda prompts: ['{"keywords": []}'] * len(prompts)
+    for r in M.extract_keywords(asked, "text", rule, empty, boilerplate=W.BOILERPLATE).collect():
+        low = [k.lower() for k in r.keywords]
+        assert 0 < len(low) <= 20 and len(set(low)) == len(low)
+        assert r.kind != "patent" or not {"상기", "특징"} & set(low)
+        assert r.kind != "demand" or len(low) >= 3
+    pairs = [(i, KINDS[a][n], pos, t) for i, (a, n, b, _) in enumerate(MATCH_REQUESTS) for pos, t in KINDS[b].items()]
+    scored = M.score_in_blocks(spark.createDataFrame(pairs, "no int, source string, pos int, text string"), "no", "pos", "source", "text").collect()
+    for i, (*_, best) in enumerate(MATCH_REQUESTS):
+        mine = sorted((r for r in scored if r.no == i), key=lambda r: -r.score)
+        assert len(mine) == 5 and mine[0].pos == best and all(0 <= r.score <= 100 for r in mine)
+    cut = spark.createDataFrame([('{"results": [{"id": 1, "score": 88, "reason": "ok"}, {"id": 2, "sco',)], "a string")
+    assert [tuple(r) for r in cut.select(F.inline(L.parse_scores(F.col("a")))).collect()] == [(1, 88, "ok")]
+
+
 def test_sheet_with_title_rows(spark, tmp_path):
     p = tmp_path / "demand.csv"
     p.write_text("Title,,\nof the sheet,,\nno,name,\n1,가,x\n2,나,y\n", encoding="utf-8")
