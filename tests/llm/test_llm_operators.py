@@ -3,6 +3,8 @@
 import math
 import random
 import re
+import time
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -86,6 +88,17 @@ def test_myers_is_the_edit_distance():
         assert decontamination.infix_distance(len(p), decontamination.masks(p), t) == edit_infix(p, t)
 
 
+def test_blocks_of_a_benchmark(spark, docs, rows, monkeypatch):
+    """A benchmark of many blocks finds and removes what one block does."""
+    items = [(i, t[10:120]) for i, (_, t, *_) in enumerate(rows[:12])] + [(90, None), (91, "")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = Counter(map(tuple, decontamination.leaking_pairs(docs, bench).collect()))
+    kept = Counter(map(str, decontamination.decontaminate(docs, bench).collect()))
+    monkeypatch.setattr(decontamination, "ITEM_BLOCK", 300)
+    assert Counter(map(tuple, decontamination.leaking_pairs(docs, bench).collect())) == want and len(want) >= 12
+    assert Counter(map(str, decontamination.decontaminate(docs, bench).collect())) == kept
+
+
 def test_leaks_are_those_of_brute_force(spark, docs, clashing, empty, rows):
     rng = random.Random(4)
     passages = [t for _, t, *_ in rows if t and 150 < len(t) < 700][:8]
@@ -193,6 +206,69 @@ def test_languages(docs, clashing, empty, rows):
     assert not ids & {i for i, (t, _) in known.items() if not re.search(r"[^\W\d_]", t or "")}
 
 
+def test_long_texts_are_read_part_by_part():
+    """Parts of any size give the n-grams of the whole text, so its prediction."""
+    rng = random.Random(7)
+    letters = ["a", "B", "é", "1", " ", "--", "ß", "日", "\n", "x\u0301", "o", "n"]
+
+    def grams(text, limit):
+        out = Counter()
+        for plain, _, lead in language_id.units(pa.array([text]), limit):
+            for n in language_id.ORDERS:
+                out.update((n, h) for h in language_id.ngrams(plain, n, lead)[0].tolist())
+        return out
+
+    for _ in range(100):
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 300)))
+        whole = grams(text, 10**9)
+        assert all(grams(text, limit) == whole for limit in (4, 9, 40, 200))
+    english = Counter(("the house by the river " * 50)[i : i + 3] for i in range(1000))
+    model = language_id.BitSlicedBloom(["en"], np.array([language_id.ngrams(pa.array([g], pa.large_string()), 3, np.array([0]))[0][0] for g in english], np.uint64), np.zeros(len(english), int))
+    lang, score = model.predict(pa.array(["the house by the river " * 2_000_000, "the house by the river " * 4, None]))
+    assert lang == ["en", "en", "und"] and abs(score[0] - score[1]) < 0.05
+
+
+def exact_languages(rows, per_order=language_id.PROFILE_SHARE):
+    """Profiles as exact sets of n-grams, learned from all labelled rows outside the held-out third, and shares in them."""
+    def plain(t):
+        return " " + re.sub(" +", " ", "".join(c if unicodedata.category(c)[0] in "LM" else " " for c in t.lower())).strip() + " "
+
+    counts = defaultdict(Counter)
+    for i, t, lang, *_ in rows:
+        if lang and not (i is not None and zlib.crc32(str(i).encode()) % 3 == 1) and (t or "").strip():
+            p = plain(t)
+            for n in language_id.ORDERS:
+                counts[lang, n].update(p[j : j + n] for j in range(len(p) - n + 1))
+    profile = {}
+    for key, c in counts.items():
+        c = {g: k for g, k in c.items() if k > 1}
+        profile[key] = {g for g, k in c.items() if k >= max(2, int(sum(c.values()) * per_order))}
+
+    def best(t):
+        p = plain(t)
+        grams = [(n, p[j : j + n]) for n in language_id.ORDERS for j in range(len(p) - n + 1)]
+        share = {lang: sum(g in profile[lang, n] for n, g in grams) / max(1, len(grams)) for lang in sorted({k for k, _ in counts})}
+        top = max(share, key=lambda k: (share[k], [-ord(x) for x in k]))
+        return top, share[top]
+
+    return best
+
+
+def test_languages_are_those_of_exact_sets(spark, docs, rows):
+    best = exact_languages(rows)
+    got = {r.doc_id: r for r in language_id.predict_languages(docs).collect()}
+    for i, t, *_ in rows:
+        if i is not None and t and len(t) < 5000 and len(re.findall(r"[^\W\d_]", t)) > 40:
+            lang, share = best(t)
+            assert got[i].lang_pred == lang and abs(got[i].score - share) < 0.03
+
+
+def test_dirty_labels_are_bounded(spark):
+    rows = [(i, f"some words of text number {i} and more", f"label {i}") for i in range(300)] + [(1000 + i, "the same words of english text again", "en") for i in range(60)]
+    model = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), most_languages=5)
+    assert len(model.languages) == 5 and "en" in model.languages
+
+
 def test_unlabelled_corpus_has_no_language(spark):
     d = spark.createDataFrame([(1, "some words", None)], "doc_id long, text string, lang string")
     assert [(r.lang_pred, r.score) for r in language_id.predict_languages(d).collect()] == [("und", 0.0)]
@@ -368,6 +444,71 @@ def test_extract_of_odd_pages(page):
     assert isinstance(html_text.extract(page), str)
 
 
+HARD = {
+    "open tags": "<a " * 700_000, "unmatched ends": "<span>" * 150_000 + "</b>" * 150_000, "quotes": "<a \"\"" * 300_000 + "\">x", "one quote": "<a '>" * 300_000 + '"', "beyond a table": "<b><table>" + "<i>" * 200_000 + "</b>" * 200_000,
+    "blocks after inline": "<span>" * 150_000 + "<h1></h1>" * 100_000, "items after inline": "<span>" * 150_000 + "<li>" * 150_000, "all unsure": "<p>a b</p>" * 100_000, "long name": "<p class='" + "a_" * 500_000 + "'>x", "lone": "<" * 1_000_000 + ">",
+    "comments": "<!--" * 500_000, "declarations": "<!a" * 500_000, "raw": "<script>" * 200_000, "digits": "<p>&#" + "9" * 100_000 + "; &#x" + "f" * 100_000 + "; &#0000000065;",
+}
+
+
+@pytest.mark.parametrize("name", HARD)
+def test_extract_takes_time_linear_in_broken_pages(name):
+    began = time.process_time()
+    text = html_text.extract(HARD[name])
+    assert time.process_time() - began < 10
+    assert name != "digits" or text == "\ufffd \ufffd A"
+
+
+def plain_reference(page):
+    """The text of article elements less furniture, by the library's parser: for well-formed pages with an article."""
+    from html.parser import HTMLParser
+
+    class Reader(HTMLParser):
+        out, open_, now = [], [], ""
+
+        def flush(self):
+            if t := " ".join(self.now.split()):
+                self.out = [*self.out, t]
+            self.now = ""
+
+        def handle_starttag(self, tag, attrs):
+            if tag in html_text.BLOCKS:
+                self.flush()
+            if tag not in html_text.VOID:
+                bad = tag in html_text.SKIPPED | {"nav", "footer", "aside"} or "junk" in dict(attrs).values() or any("advert" in (v or "") or "comments" in (v or "") for _, v in attrs)
+                self.open_ = [*self.open_, (tag, bad)]
+
+        def handle_endtag(self, tag):
+            if tag in html_text.BLOCKS:
+                self.flush()
+            self.open_ = self.open_[:-1]
+
+        def handle_data(self, data):
+            if any(t == "article" for t, _ in self.open_) and not any(b for _, b in self.open_):
+                self.now += data
+
+    r = Reader()
+    r.feed(page)
+    r.flush()
+    return " ".join(r.out)
+
+
+def test_extract_is_a_plain_reader_of_well_formed_articles():
+    rng = random.Random(12)
+    words_ = "the of and to in house river stone market walking morning with was for".split()
+    sentence = lambda n: " ".join(rng.choice(words_) for _ in range(n)) + "."
+    for _ in range(60):
+        parts = []
+        for _ in range(rng.randint(1, 9)):
+            kind = rng.randrange(8)
+            if kind < 4:
+                parts.append(f"<p>{sentence(rng.randint(12, 60))} <b>{sentence(3)}</b> &amp; {sentence(5)}</p>")
+            else:
+                parts.append(["<h2>" + sentence(4) + "</h2>", '<div class="advert">' + sentence(20) + "</div>", "<script>if (a < b) { c }</script>", "<ul><li>" + sentence(15) + "</li><li>" + sentence(14) + "</li></ul>"][kind - 4])
+        page = f"<html><body><nav><a href='/'>{sentence(5)}</a></nav><article><h1>{sentence(6)}</h1><p>{sentence(40)}</p>{''.join(parts)}<section id='comments'><p>{sentence(30)}</p></section></article><aside><p>{sentence(30)}</p></aside><footer>{sentence(12)}</footer></body></html>"
+        assert html_text.extract(page) == plain_reference(page)
+
+
 def test_extract_pages_keeps_rows(spark):
     rows = [(1, "u", "<article><p>One</p></article>"), (1, "u", "<article><p>One</p></article>"), (None, None, None), (2, "v", "<article>" + "<p>word and the rest</p>" * 20000 + "</article>")]
     d = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, text string")
@@ -483,6 +624,36 @@ def test_differencing_beats_first_come():
     assert all(sorted(p) == [0, 1, 2] for p in parts)
 
 
+def plain_differencing(weights, k):
+    """Karmarkar-Karp by sorted lists of sums and their members, nothing else."""
+    parts = [[(w, [i])] + [(0, [])] * (k - 1) for i, w in enumerate(weights)]
+    while len(parts) > 1:
+        parts.sort(key=lambda p: -(p[0][0] - p[-1][0]))
+        a, b = parts[0], parts[1]
+        joined = sorted(((x + y, m + n) for (x, m), (y, n) in zip(a, reversed(b), strict=True)), key=lambda e: -e[0])
+        parts = [joined, *parts[2:]]
+    return sorted(s for s, _ in parts[0])
+
+
+def test_differencing_is_that_of_plain_lists():
+    rng = random.Random(9)
+    for _ in range(40):
+        k, weights = rng.choice([2, 3, 5]), rng.sample(range(1, 100_000), rng.randint(1, 40))
+        final = sharding.difference([[w] + [0] * (k - 1) for w in weights], k)
+        sums = Counter({b: 0 for b in range(k)})
+        for w, f in zip(weights, final, strict=True):
+            sums[f[0]] += w
+        assert max(sums.values()) - min(sums.values()) == max(plain_differencing(weights, k)) - min(plain_differencing(weights, k))
+
+
+def test_a_giant_group_stays_whole_if_asked(spark):
+    d = spark.range(900).selectExpr("id as doc_id", "if(id % 2 = 0, repeat('copy ', 20), concat('text ', id)) as text")
+    got = sharding.shard_documents(d, split_giants=False).toPandas()
+    assert got[got.doc_id % 2 == 0].shard.nunique() == 1 and not got.split.any()
+    got = sharding.shard_documents(d).toPandas()
+    assert got[got.doc_id % 2 == 0].shard.nunique() > 1 and (got.split == (got.doc_id % 2 == 0)).all()
+
+
 def test_shards(spark, docs, clashing, empty, rows):
     got = sharding.shard_documents(docs, chunk_groups=10, fan_in=3).collect()
     text = {i: t for i, t, *_ in rows}
