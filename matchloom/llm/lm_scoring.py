@@ -320,3 +320,25 @@ def score_documents(docs: DataFrame, order: int = ORDER) -> DataFrame:
     columns are ignored, whatever their names; an empty table gives none.
     """
     return score_texts(docs, split_of("doc_id", 7) == 2, order)
+
+
+_TABLE = "lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END"
+_CRC = f"xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT), lambda c, b: list_reduce([xor(c, b)] || [0::BIGINT, 0, 0, 0, 0, 0, 0, 0], {_TABLE})), 4294967295::BIGINT)"
+#: The same by interpolating counts at every token, without states.
+SQL = f"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce({_CRC} % 7 = 2, false) AS held_out,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') || [chr(10)] AS words FROM documents),
+u AS (SELECT r, held_out, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM t),
+g AS (SELECT *, lag(w, 1) OVER o AS w1, lag(w, 2) OVER o AS w2 FROM u WINDOW o AS (PARTITION BY r ORDER BY i)),
+c1 AS (SELECT w, count(*) AS n FROM g WHERE NOT held_out GROUP BY 1),
+c2 AS (SELECT w1, w, count(*) AS n FROM g WHERE NOT held_out AND w1 IS NOT NULL GROUP BY 1, 2),
+c3 AS (SELECT w2, w1, w, count(*) AS n FROM g WHERE NOT held_out AND w2 IS NOT NULL GROUP BY 1, 2, 3),
+s AS (SELECT coalesce(sum(n), 0)::BIGINT AS tokens, count(*) AS words FROM c1),
+k AS (SELECT g.r, coalesce(a.n, 0) AS n1, coalesce(b.n, 0) AS n2, coalesce(c.n, 0) AS n3, coalesce(h.n, 0) AS h1, coalesce(hh.n, 0) AS h2, g.w1 IS NOT NULL AS two, g.w2 IS NOT NULL AS three
+  FROM g LEFT JOIN c1 a ON a.w = g.w LEFT JOIN c2 b ON b.w1 = g.w1 AND b.w = g.w LEFT JOIN c3 c ON c.w2 = g.w2 AND c.w1 = g.w1 AND c.w = g.w LEFT JOIN c1 h ON h.w = g.w1 LEFT JOIN c2 hh ON hh.w1 = g.w2 AND hh.w = g.w1),
+p1 AS (SELECT *, (n1 + 1)::DOUBLE / (tokens + words + 1) AS p1 FROM k, s),
+p2 AS (SELECT *, CASE WHEN two THEN (n2 + {PRIOR[0]!r}::DOUBLE * p1) / (h1 + {PRIOR[0]!r}::DOUBLE) ELSE p1 END AS p2 FROM p1),
+p3 AS (SELECT *, CASE WHEN three THEN (n3 + {PRIOR[1]!r}::DOUBLE * p2) / (h2 + {PRIOR[1]!r}::DOUBLE) ELSE p2 END AS p3 FROM p2),
+e AS (SELECT r, count(*) AS n_tokens, count(*) FILTER (n1 > 0) AS n_known, any_value(tokens) AS train_tokens, sum(log10(p1)) AS base_score, sum(log10(p3)) AS score FROM p3 GROUP BY 1)
+SELECT doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score FROM t JOIN e ON t.r = e.r
+"""

@@ -7,12 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, near_duplicates, quality
+from . import chat, lm_scoring, near_duplicates, quality
 from .common import table
 from .decontamination import leaking_pairs
 from .html_text import extract_pages
 from .language_id import predict_languages
-from .lm_scoring import score_documents
 from .mixing import mix
 from .sharding import shard_documents
 from .token_counts import count_tokens
@@ -52,7 +51,7 @@ def op7_block_rule_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_documents(table(spark, sf_dir, "documents"))
+    return lm_scoring.score_documents(table(spark, sf_dir, "documents"))
 
 
 def op9_karmarkar_karp_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,4 +74,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_karmarkar_karp_sharding": op9_karmarkar_karp_sharding,
     "op10_chosen_path_join": op10_chosen_path_join,
 }
-ORACLE_SQL: dict[str, str] = {"op1_perspective_rotation": chat.SQL, "op5_adaptive_quality": quality.SQL, "op10_chosen_path_join": near_duplicates.SQL}
+ORACLE_SQL: dict[str, str] = {"op1_perspective_rotation": chat.SQL, "op5_adaptive_quality": quality.SQL, "op8_backoff_automaton": lm_scoring.SQL, "op10_chosen_path_join": near_duplicates.SQL}

@@ -21,7 +21,7 @@ def test_rows_equal_those_of_sql(spark, name):
         con.execute(f"CREATE VIEW {os.path.basename(f)[:-8]} AS SELECT * FROM '{f}'")
     got, want = queries.QUERIES[name](spark, FOLDER).toPandas(), con.sql(queries.ORACLE_SQL[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
-    cell = lambda v: None if v is None or str(v) in ("nan", "<NA>") else float(v) if isinstance(v, numbers.Number) else str(v)
+    cell = lambda v: None if v is None or str(v) in ("nan", "<NA>") else round(float(v), 6) if isinstance(v, numbers.Number) else str(v)
     bag = lambda df: Counter(tuple(map(cell, v)) for v in df[sorted(df.columns)].values.tolist())
     assert bag(got) == bag(want)
 
