@@ -7,9 +7,14 @@ from pyspark.sql import functions as F
 
 
 def distinct_nocase(a: Column) -> Column:
-    """The first of values that are equal in lower case, in order."""
-    low = F.transform(a, F.lower)
-    return F.filter(a, lambda x, i: F.array_position(low, F.lower(x)) == i + 1)
+    """The first of values that are equal in lower case, in order.
+
+    Equal values go first, in one pass; the lists of the rest are bound once, not made anew for each value.
+    """
+    one = F.array_distinct(a)
+    lists = F.array(F.struct(one.alias("a"), F.transform(one, F.lower).alias("low")))
+    firsts = lambda p: F.filter(p["a"], lambda x, i: F.array_position(p["low"], F.lower(x)) == i + 1)
+    return F.get(F.transform(lists, firsts), F.lit(0))
 
 
 def cap(a: Column, n: int) -> Column:
