@@ -107,14 +107,15 @@ def dice_pairs(queries: DataFrame, docs: DataFrame, q_id: str, q_text: str, d_id
     return _each(in_blocks(qi, "query"), lambda mine: di.join(F.broadcast(mine), "t").groupBy("query", "doc").agg((2.0 * n / (F.max("la") + F.max("lb"))).alias("dice")))
 
 
-def cosine_scores(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", keep: tuple[str, ...] = (), on: Column | None = None) -> DataFrame:
+def cosine_scores(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", keep: tuple[str, ...] = (), on: Column | None = None, others: bool = True) -> DataFrame:
     """(query, doc, cos, keep ...): cosine of a stated query set with all other rows, a counted block of queries at a time.
 
-    on: a further condition on columns of both, those of the queries with the prefix q_.
+    on: a further condition on columns of both, those of the queries with the prefix q_. others: queries are rows of the
+    same table and do not meet themselves.
     """
     base = vectors.select(F.col(id_col).alias("doc"), V.l2_normalize(F.col(vector_col)).alias("d"), *keep)
     q = queries.select(F.col(id_col).alias("query"), V.l2_normalize(F.col(vector_col)).alias("q"), *[F.col(c).alias(f"q_{c}") for c in queries.columns if c not in (id_col, vector_col)])
-    other = F.col("query") != F.col("doc")
+    other = F.col("query") != F.col("doc") if others else F.lit(True)
     cos = F.round(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), V.dot(F.col("q"), F.col("d")))), 6).alias("cos")
     return _each(in_blocks(q, "query", VECTOR_ROWS), lambda mine: base.join(F.broadcast(mine), other if on is None else on & other).select("query", "doc", cos, *keep))
 
