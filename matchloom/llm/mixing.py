@@ -36,20 +36,40 @@ def join_sums(big: DataFrame, sums: DataFrame, keys: list[str]) -> DataFrame:
     return big.join(F.broadcast(b) if sums.count() <= SMALL_ROWS else b, on).drop(*[f"_{k}" for k in keys])
 
 
+def _weighted(sizes: DataFrame, weights: tuple[float, ...]) -> DataFrame:
+    """sizes with the weight of each source: weights in turn by code point, null last. Numbered range by range, not in one task."""
+    order = F.col("source").asc_nulls_last()
+    ranges = materialize(sizes.repartitionByRange(order).withColumn("range", F.spark_partition_id()), "mix-sources")
+    before, offsets = 0, []
+    for r in ranges.groupBy("range").agg(F.count(F.lit(1)).alias("n")).orderBy("range").collect():  # a row for each partition
+        offsets.append((r["range"], before))
+        before += r["n"]
+    first = sizes.sparkSession.createDataFrame(offsets, "range int, first long")
+    nth = F.row_number().over(Window.partitionBy("range").orderBy(order)) - 1 + F.col("first")
+    weight = F.element_at(F.array(*map(F.lit, map(float, weights))), (nth % len(weights) + 1).cast("int"))
+    return ranges.join(F.broadcast(first), "range").select("source", "source_size", weight.alias("weight"))
+
+
 def source_targets(sizes: DataFrame, weights: tuple[float, ...], share: float, most: float) -> DataFrame:
     """(source, source_size, target): `share` of all sizes dealt by weight, no source above `most` times its size.
 
-    Raising a common level lambda until sum(min(most * size, lambda * weight)) is the share gives the same targets as
-    resharing the excess by weight again and again. sizes: (source, source_size), one row a source.
+    A level is raised until sum(min(most * size, level * weight)) is the share: sources that a level fills are full, and the
+    next level deals what they leave to the others, until no more are filled. Each step is one sum over the sources, however
+    many they are; the targets are those of resharing the excess by weight again and again. sizes: (source, source_size),
+    one row a source.
     """
-    every = Window.partitionBy(F.lit(0))
-    ranked = sizes.withColumn("weight", F.element_at(F.array(*map(F.lit, map(float, weights))), (F.row_number().over(every.orderBy(F.col("source").asc_nulls_last())) - 1) % len(weights) + 1))
-    ranked = ranked.withColumn("most", F.col("source_size") * F.lit(float(most))).withColumn("full_at", F.col("most") / F.col("weight"))
-    up = every.orderBy("full_at", F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    capped, spent = F.coalesce(F.sum("most").over(up), F.lit(0.0)), F.coalesce(F.sum("weight").over(up), F.lit(0.0))
-    level = (F.sum("source_size").over(every) * F.lit(float(share)) - capped) / (F.sum("weight").over(every) - spent)
-    found = ranked.withColumn("level", level).withColumn("level", F.min(F.when(F.col("level") <= F.col("full_at"), F.struct("full_at", "level"))).over(every)["level"])
-    return found.select("source", "source_size", F.coalesce(F.least("most", F.col("level") * F.col("weight")), F.col("most")).alias("target"))
+    full_at = F.col("source_size") * float(most) / F.col("weight")
+    ranked = materialize(_weighted(sizes, weights).withColumn("full_at", full_at), "mix-weights")
+    total = ranked.agg(F.sum("source_size")).first()[0] or 0
+    level, n_full = 0.0, -1
+    while True:
+        full = F.col("full_at") <= level
+        filled, open_, n = ranked.agg(F.sum(F.when(full, F.col("source_size"))), F.sum(F.when(~full, F.col("weight"))), F.count_if(full)).first()
+        if n == n_full or not open_:
+            break
+        n_full, level = n, max(level, (total * share - (filled or 0) * most) / open_)
+    target = F.when((F.col("full_at") <= level) | F.lit(not open_), F.col("source_size") * float(most)).otherwise(F.lit(level) * F.col("weight"))
+    return ranked.select("source", "source_size", target.alias("target"))
 
 
 def _uniform(*cols: str) -> str:

@@ -407,6 +407,18 @@ def test_mix(spark, docs, clashing, empty, rows):
     assert Counter(r.doc_id for r in out.collect()) == +alone
 
 
+def test_targets_of_many_sources(spark):
+    """Caps that are reached one after another, empty sources, a null source, and far more sources than ranges."""
+    rng = random.Random(4)
+    sizes = {f"s{i:04}": rng.choice([0, 1, 5, 100, 10_000]) for i in range(700)} | {None: 50}
+    got = {r.source: r.target for r in mixing.source_targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long"), (5, 2, 1), 1.5, 2.0).collect()}
+    want = targets_by_hand(sizes, (5, 2, 1), 1.5, 2.0)
+    assert set(got) == set(want) and all(got[k] == pytest.approx(want[k], rel=1e-9, abs=1e-6) for k in want)
+    for share in (0.0, 2.0, 3.0):
+        got = {r.source: r.target for r in mixing.source_targets(spark.createDataFrame([("a", 10), ("b", 1000)], "source string, source_size long"), (5, 2, 1), share, 2.0).collect()}
+        assert sum(got.values()) == pytest.approx(min(share, 2.0) * 1010)
+
+
 def test_pivotal_keeps_expectations(spark):
     d = spark.createDataFrame([(i, "w " * 10, s) for i in range(40) for s in ("a", "b")], "doc_id long, text string, source string")
     n = Counter()
