@@ -40,11 +40,8 @@ def _weighted(sizes: DataFrame, weights: tuple[float, ...]) -> DataFrame:
     """sizes with the weight of each source: weights in turn by code point, null last. Numbered range by range, not in one task."""
     order = F.col("source").asc_nulls_last()
     ranges = materialize(sizes.repartitionByRange(order).withColumn("range", F.spark_partition_id()), "mix-sources")
-    before, offsets = 0, []
-    for r in ranges.groupBy("range").agg(F.count(F.lit(1)).alias("n")).orderBy("range").collect():  # a row for each partition
-        offsets.append((r["range"], before))
-        before += r["n"]
-    first = sizes.sparkSession.createDataFrame(offsets, "range int, first long")
+    before = Window.partitionBy(F.lit(0)).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # over a row for each range
+    first = ranges.groupBy("range").agg(F.count(F.lit(1)).alias("n")).select("range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     nth = F.row_number().over(Window.partitionBy("range").orderBy(order)) - 1 + F.col("first")
     weight = F.element_at(F.array(*map(F.lit, map(float, weights))), (nth % len(weights) + 1).cast("int"))
     return ranges.join(F.broadcast(first), "range").select("source", "source_size", weight.alias("weight"))
