@@ -9,7 +9,7 @@ from matchloom.llm.decontamination import decontaminate
 from matchloom.llm.language_id import keep_identified
 from matchloom.llm.mixing import apply_mix
 from matchloom.llm.near_duplicates import deduplicate
-from matchloom.llm.sharding import shard_documents
+from matchloom.llm.sharding import apply_shards
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,8 +33,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each document of the mix goes."""
-    return shard_documents(docs)
+    """Each document of the mix, whole, and where it goes."""
+    return apply_shards(docs)
 
 
 STAGES = [

@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 #: Text bytes that a Python worker handles at a time; bounds its memory whatever the batch size is.
 SLICE_BYTES = 4_000_000
@@ -65,6 +66,12 @@ def from_rows(d: DataFrame, docs: DataFrame) -> DataFrame:
     return d.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
+def hashable(docs: DataFrame, name: str) -> Column:
+    """A column as hash functions take it."""
+    column = F.col(f"`{name}`")
+    return F.map_entries(column) if isinstance(docs.schema[name].dataType, MapType) else column
+
+
 def filtered(docs: DataFrame, text_col: str, keep: Callable[[], Callable[[pa.RecordBatch], np.ndarray]], limit: int | None = None) -> DataFrame:
     """The rows of docs that a function of their texts keeps, with all columns.
 

@@ -7,9 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
 
-from .common import WORD_BREAK, as_rows, from_rows, materialize
+from .common import WORD_BREAK, as_rows, from_rows, hashable, materialize
 
 #: Rows of one fold, on average; a fold is the work of one task at a time.
 FOLD = 256
@@ -186,18 +185,13 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
     return join_sums(out, targets, ["source"]).select("doc_id", "size", "source", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
-def _hashable(docs: DataFrame, name: str) -> Column:
-    column = F.col(f"`{name}`")
-    return F.map_entries(column) if isinstance(docs.schema[name].dataType, MapType) else column
-
-
 def apply_mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 17, few: int = FEW, trials: int = TRIALS, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows of docs, each as often as the mix takes it (see `mix`); all columns stay, whatever their names.
 
     Rows are told apart by all their columns. Equal rows are interchangeable, so one stands for all of them and comes as
     often as they do together. Rows without a word go; null ids and sources are rows like others; an empty table stays empty.
     """
-    identity = [_hashable(docs, c) for c in docs.columns]
+    identity = [hashable(docs, c) for c in docs.columns]
     decided, _ = _decided(docs, identity, weights, share, most, seed, few, trials, id_col, text_col, source_col)
     copies = materialize(decided.filter("copies > 0").select("ref.h1", "ref.h2", "ref.repeats", "copies"), "mix-copies")
     rows = as_rows(docs, h1=F.xxhash64(*identity), h2=F.xxhash64(F.lit("second"), *identity))

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import as_rows, from_rows, hash_strings, materialize, mix64, slices, words_of
@@ -106,7 +106,7 @@ def chosen_tokens(tokens: np.ndarray, ends: np.ndarray, first: int, runs: int) -
     return pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * lists), pa.ListArray.from_arrays(pa.array(inner), pa.array(found)))
 
 
-FEATURES = "node long, doc long, size int, chosen array<array<int>>, sketch binary"
+FEATURES = "node long, check long, doc long, size int, chosen array<array<int>>, sketch binary"
 
 
 def _features(docs: DataFrame, first: int, runs: int) -> DataFrame:
@@ -114,7 +114,8 @@ def _features(docs: DataFrame, first: int, runs: int) -> DataFrame:
         for batch in slices(batches, "text"):
             tokens, ends = shingles_of(batch.column("text"))
             sketch = pa.FixedSizeBinaryArray.from_buffers(pa.binary(BINS), batch.num_rows, [None, pa.py_buffer(sketches_of(tokens, ends))]).cast(pa.binary())
-            out = pa.RecordBatch.from_arrays([batch.column("node"), batch.column("doc"), pa.array(np.diff(ends).astype(np.int32)), chosen_tokens(tokens, ends, first, runs), sketch], names=["node", "doc", "size", "chosen", "sketch"])
+            ids = [batch.column(c) for c in ("node", "check", "doc")]
+            out = pa.RecordBatch.from_arrays([*ids, pa.array(np.diff(ends).astype(np.int32)), chosen_tokens(tokens, ends, first, runs), sketch], names=["node", "check", "doc", "size", "chosen", "sketch"])
             yield out.filter(pa.array(np.diff(ends) > 0))
 
     return docs.mapInArrow(features, FEATURES)
@@ -290,8 +291,44 @@ def _verifier(similarity: float):
     return verify
 
 
+def node_of(text: Column) -> Column:
+    """The number that a text goes by."""
+    return F.xxhash64(text)
+
+
+def check_of(text: Column) -> Column:
+    """A second hash: texts are told apart by both."""
+    return F.xxhash64(F.lit("second"), text)
+
+
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.xxhash64(text_col).alias("node"), F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    text = F.col(f"`{text_col}`")
+    return docs.select(node_of(text).alias("node"), check_of(text).alias("check"), F.col(f"`{id_col}`").cast("long").alias("doc"), text.alias("text"))
+
+
+def _told_apart(rows: DataFrame, shared: DataFrame | None) -> DataFrame:
+    """rows (node, check, ...) with a number out of both hashes where different texts share the first."""
+    if shared is None:
+        return rows
+    both = rows.join(shared.withColumn("is_shared", F.lit(True)), "node", "left")
+    return both.withColumn("node", F.when(F.col("is_shared"), F.xxhash64("check", "node")).otherwise(F.col("node"))).select(rows.columns)
+
+
+def _nodes(d: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """One row a text with a word, and the numbers that different texts share (among 10^11 texts a few hundred) or None."""
+
+    def merged(rows: DataFrame) -> DataFrame:
+        first = [F.first(c).alias(c) for c in ("size", "chosen", "sketch")]
+        found = _features(rows, 0, FEATURE_ROUNDS * RUNS).groupBy("node").agg(F.min("check").alias("check"), F.max("check").alias("last_check"), F.min("doc").alias("doc"), F.count(F.lit(1)).alias("copies"), *first)
+        return materialize(found, "nodes")
+
+    nodes = merged(d)
+    several = nodes.filter("check != last_check").select("node")
+    if several.isEmpty():
+        return nodes, None
+    shared = materialize(several, "shared-nodes")
+    again = merged(_told_apart(d.join(shared, "node", "left_semi"), shared))
+    return nodes.filter("check = last_check").unionByName(again), shared
 
 
 def _candidates(d: DataFrame, nodes: DataFrame, missed: float) -> DataFrame:
@@ -321,20 +358,20 @@ def _candidates(d: DataFrame, nodes: DataFrame, missed: float) -> DataFrame:
             nodes = materialize(_features(d, first, FEATURE_ROUNDS * RUNS).groupBy("node").agg(F.first("chosen").alias("chosen"), F.first("sketch").alias("sketch")), "nodes")
 
 
-def _known(d: DataFrame, similarity: float, missed: float) -> DataFrame:
-    """(node, doc, copies, links, root) of every text with a word: its least id, links to other texts' rows, and class."""
-    features = _features(d, 0, FEATURE_ROUNDS * RUNS)
-    nodes = materialize(
-        features.groupBy("node").agg(F.min("doc").alias("doc"), F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"), F.first("chosen").alias("chosen"), F.first("sketch").alias("sketch")),
-        "nodes",
-    )
+def _known(d: DataFrame, similarity: float, missed: float) -> tuple[DataFrame, DataFrame | None]:
+    """(node, check, doc, copies, links, root) of every text with a word: its least id, links to other texts' rows, and class.
+
+    Also the numbers shared by different texts, which `_told_apart` takes.
+    """
+    nodes, shared = _nodes(d)
+    d = _told_apart(d, shared)
     parts = _candidates(d, nodes, missed)
     sizes = parts.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
-    parts = materialize(parts.join(sizes, "root").join(nodes.select("node", "doc", "copies"), "node").select("node", "doc", "copies", F.col("root").alias("comp"), "n"), "parts")
+    parts = materialize(parts.join(sizes, "root").join(nodes.select("node", "check", "doc", "copies"), "node").select("node", "check", "doc", "copies", F.col("root").alias("comp"), "n"), "parts")
     n_small = parts.filter(F.col("n") <= BLOCK).count()
     packs = max(1, -(-n_small // (BLOCK // 2)))
     key = lambda c: F.coalesce(c, F.lit(-1))
-    texts = d.withColumn("_doc", key(F.col("doc"))).join(parts.select("node", key(F.col("doc")).alias("_doc"), "copies", "comp", "n").hint("merge"), ["node", "_doc"])
+    texts = d.withColumn("_doc", key(F.col("doc"))).join(parts.select("node", "check", key(F.col("doc")).alias("_doc"), "copies", "comp", "n").hint("merge"), ["node", "check", "_doc"])
     # One join of texts for components of every size: whole components are packed into tasks, large ones dealt by blocks.
     whole = F.col("n") <= BLOCK
     dealt = _in_blocks(texts, "comp", "n").select("node", "comp", "copies", "text", F.when(whole, F.pmod(F.xxhash64("comp"), F.lit(packs))).otherwise(F.xxhash64("comp", "one", "other")).alias("task"), "block", "one", "other", whole.alias("whole"))
@@ -342,8 +379,8 @@ def _known(d: DataFrame, similarity: float, missed: float) -> DataFrame:
     across = connected_components(links.filter("not whole").select(F.col("node").alias("u"), F.col("root").alias("v")), "classes")
     linked = links.groupBy("node").agg(F.sum("links").alias("links"), F.min(F.when(F.col("whole"), F.col("root"))).alias("near_root"))
     linked = linked.join(across.withColumnRenamed("root", "far_root"), "node", "left").select("node", "links", F.coalesce("near_root", "far_root").alias("root"))
-    known = nodes.select("node", "doc", "copies").join(linked, "node", "left").select("node", "doc", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "node").alias("root"))
-    return materialize(known, "known")
+    known = nodes.select("node", "check", "doc", "copies").join(linked, "node", "left").select("node", "check", "doc", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "node").alias("root"))
+    return materialize(known, "known"), shared
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, missed: float = MISSED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -353,7 +390,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, missed: flo
     the number of other rows linked to a row, copies of its own text among them; class_id is the least id of all rows that
     links reach. Words are runs of other than space and \\x09-\\x0D; case counts.
 
-    1. Equal texts are one node (pre-aggregated, so any number of copies is one row a task).
+    1. Equal texts are one node (pre-aggregated, so any number of copies is one row a task), told apart by 128 bits of hashes.
     2. Chosen-path runs: a set goes into a bucket for each token that it samples; buckets are split again by tokens sampled
        at the next level until they are small, and then compared, where sketches drop pairs far from similar. Rounds of
        runs are repeated until one finds at most `missed` of all joins anew.
@@ -366,10 +403,10 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, missed: flo
     columns are ignored, whatever their names.
     """
     d = _rows(docs, id_col, text_col)
-    known = _known(d, similarity, missed)
+    known, shared = _known(d, similarity, missed)
     least = known.groupBy("root").agg(F.min("doc").alias("class_id"))
-    of = known.join(least, "root").select("node", "class_id", (F.col("links") + F.col("copies") - 1).alias("n_links"))
-    return d.select("node", F.col("doc").alias("doc_id")).join(of, "node", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    of = known.join(least, "root").select("node", "check", "class_id", (F.col("links") + F.col("copies") - 1).alias("n_links"))
+    return _told_apart(d.select("node", "check", F.col("doc").alias("doc_id")), shared).join(of, ["node", "check"], "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def deduplicate(docs: DataFrame, similarity: float = SIMILARITY, missed: float = MISSED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -379,14 +416,14 @@ def deduplicate(docs: DataFrame, similarity: float = SIMILARITY, missed: float =
     Rows without a word (null and empty texts among them) have no class and all stay; an empty table stays empty; texts of
     any length are taken whole.
     """
-    known = _known(_rows(docs, id_col, text_col), similarity, missed)
+    known, shared = _known(_rows(docs, id_col, text_col), similarity, missed)
     last = F.lit((1 << 63) - 1)
     first = known.withColumn("_doc", F.coalesce("doc", last)).groupBy("root").agg(F.min(F.struct("_doc", "node")).alias("first"))
     keep = first.select(F.col("first._doc").alias("id"), F.col("first.node").alias("node"))
     text = F.col(f"`{text_col}`")
-    rows = as_rows(docs, node=F.xxhash64(text), id=F.coalesce(F.col(f"`{id_col}`").cast("long"), last), has_word=F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
+    rows = as_rows(docs, node=node_of(text), check=check_of(text), id=F.coalesce(F.col(f"`{id_col}`").cast("long"), last), has_word=F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
     # equal rows of one id and text are brought down to one before they meet
-    one = rows.filter("has_word").join(keep, ["node", "id"]).groupBy("node", "id").agg(F.first("row").alias("row"))
+    one = _told_apart(rows.filter("has_word"), shared).join(keep, ["node", "id"]).groupBy("node", "id").agg(F.first("row").alias("row"))
     return from_rows(one.select("row").unionByName(rows.filter("not has_word").select("row")), docs)
 
 

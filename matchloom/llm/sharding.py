@@ -6,10 +6,10 @@ import heapq
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import as_rows, hashable, materialize
 
 #: A unit over this part of a shard's fair share is placed before all others.
 HEAVY = 256
@@ -86,6 +86,33 @@ def shard_documents(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id",
     A text of any length is one unit of its size. An empty table gives an empty result. Other columns are ignored, whatever
     their names.
     """
+    return _sharded(docs, {}, n_shards, id_col, text_col, split_giants, chunk_groups, fan_in, slot_block)
+
+
+def apply_shards(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id", text_col: str = "text", split_giants: bool = True, chunk_groups: int = 4096, fan_in: int = 1024, slot_block: int = 20_000) -> DataFrame:
+    """The rows of docs with all their columns, and beside them size, text_crc32, law, shard, slot, grown_shard and split of
+    `shard_documents`, in whose place a column of docs of the same name goes.
+
+    Places are found without the texts, which are moved once, to meet their place. Rows are told apart by all their columns;
+    equal ones are brought down to one before they meet, and come back once for each of their slots. An empty table stays
+    empty.
+    """
+    identity = [hashable(docs, c) for c in docs.columns]
+    keys = {"r1": F.xxhash64(*identity), "r2": F.xxhash64(F.lit("second"), *identity)}
+    dealt = materialize(_sharded(docs, keys, n_shards, id_col, text_col, split_giants, chunk_groups, fan_in, slot_block), "shard-dealt")
+    added = ["size", "text_crc32", "law", "shard", "slot", "grown_shard", "split"]
+    counts = materialize(dealt.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "shard-repeated")
+    rows = as_rows(docs, **keys)
+    dealt = dealt.select(*keys, *added)
+    out = rows.join(dealt.join(counts, [*keys], "left_anti"), [*keys]).select("row", *added)
+    if not counts.isEmpty():
+        one = rows.join(counts, [*keys], "left_semi").groupBy(*keys).agg(F.first("row").alias("row"))
+        out = out.unionByName(one.join(dealt.join(counts, [*keys], "left_semi"), [*keys]).select("row", *added))
+    return out.select(*[F.col("row").getField(c).alias(c) for c in docs.columns if c.lower() not in added], *added)
+
+
+def _sharded(docs: DataFrame, carried: dict[str, Column], n_shards: int, id_col: str, text_col: str, split_giants: bool, chunk_groups: int, fan_in: int, slot_block: int) -> DataFrame:
+    """`shard_documents`, with narrow columns of docs carried along; rows equal in id and text are in their order."""
     size = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + 1
     base = materialize(
         docs.select(
@@ -94,6 +121,7 @@ def shard_documents(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id",
             F.crc32(F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8")).alias("text_crc32"),
             F.xxhash64(text_col).alias("h1"),
             F.xxhash64(F.lit("second"), F.col(text_col)).alias("h2"),
+            *[v.alias(k) for k, v in carried.items()],
         ),
         "shard-base",
     )
@@ -149,12 +177,12 @@ def shard_documents(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id",
     n_blocks = max(1, -(-base.count() // (slot_block * n_shards)))
     block = F.pmod(F.xxhash64("doc_id", "h1", F.lit("slot")), F.lit(n_blocks)).alias("block")
     giant = reduce(lambda x, y: x | y, [(F.col("h1") == g.h1) & (F.col("h2") == g.h2) for g in large], F.lit(False))
-    rows = materialize(base.join(where, ["h1", "h2", "piece"]).select("doc_id", "size", "text_crc32", "shard", block, "h1", "h2", giant.alias("split")), "shard-rows")
+    rows = materialize(base.join(where, ["h1", "h2", "piece"]).select("doc_id", "size", "text_crc32", "shard", block, "h1", "h2", giant.alias("split"), *carried), "shard-rows")
     before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = rows.groupBy("shard", "block").agg(F.count(F.lit(1)).alias("n")).select("shard", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    within = F.row_number().over(Window.partitionBy("shard", "block").orderBy("doc_id", "h1", "h2"))
+    within = F.row_number().over(Window.partitionBy("shard", "block").orderBy("doc_id", "h1", "h2", *carried))
     return (
         rows.withColumn("within", within)
         .join(offsets, ["shard", "block"])
-        .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("offset") + F.col("within") - 1).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "split")
+        .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("offset") + F.col("within") - 1).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "split", *carried)
     )

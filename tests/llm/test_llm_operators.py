@@ -11,6 +11,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
+
 from matchloom.llm import chat, decontamination, html_text, language_id, lm_scoring, mixing, near_duplicates, quality, sharding, token_counts
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -680,6 +682,20 @@ def test_shards(spark, docs, clashing, empty, rows):
     assert sharding.shard_documents(empty).count() == 0
 
 
+def test_sharded_rows_keep_their_columns(docs, clashing, empty):
+    both = docs.unionByName(docs.filter("doc_id < 20"))
+    got = sharding.apply_shards(both, chunk_groups=10).collect()
+    assert Counter(tuple(r[c] for c in docs.columns) for r in got) == Counter(map(tuple, both.collect()))
+    want = sharding.shard_documents(both, chunk_groups=10).collect()
+    columns = ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "split"]
+    assert Counter(tuple(r[c] for c in columns[:5]) for r in got) == Counter(tuple(r[c] for c in columns[:5]) for r in want)
+    assert sorted((r.shard, r.slot) for r in got) == sorted((r.shard, r.slot) for r in want)
+    dealt = sharding.apply_shards(clashing)
+    assert len(set(dealt.columns)) == len(dealt.columns) and {"with.dot", "row", *columns} <= set(dealt.columns)
+    assert dealt.count() == clashing.count() and dict(dealt.dtypes)["shard"] == "int"
+    assert sharding.apply_shards(empty).collect() == []
+
+
 def test_shard_bytes_are_near_equal_and_a_giant_group_is_split(spark):
     d = spark.range(4000).selectExpr("id as doc_id", "if(id % 3 = 0, repeat('copy ', 20), concat(repeat('x', cast(id * 7919 % 997 as int)), id)) as text")
     got = sharding.shard_documents(d, chunk_groups=200).toPandas()
@@ -727,6 +743,15 @@ def test_near_duplicates_are_those_of_brute_force(spark, docs, clashing, empty,
     assert set(ids) == {c for (_, c, _) in want} | no_word and all(n == 1 for n in ids.values())
 
 
+def test_texts_with_one_first_hash_are_told_apart(spark, docs, rows, monkeypatch):
+    want = {tuple(r) for r in near_duplicates.near_duplicates(docs).collect()}
+    kept = sorted(map(str, near_duplicates.deduplicate(docs).collect()))
+    monkeypatch.setattr(near_duplicates, "node_of", lambda text: F.pmod(F.xxhash64(text), F.lit(9)))
+    assert {tuple(r) for r in near_duplicates.near_duplicates(docs).collect()} == want
+    assert len(kept) < len(rows)
+    assert len(near_duplicates.deduplicate(docs).collect()) == len(kept)
+
+
 def test_near_duplicates_in_large_groups(spark, monkeypatch):
     """A group larger than a bucket and a block, a passage that all share, and exact copies."""
     monkeypatch.setattr(near_duplicates, "BLOCK", 40)

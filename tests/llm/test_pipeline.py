@@ -22,6 +22,8 @@ def test_stage_takes_odd_and_empty_tables(spark, docs, clashing, empty, folder,
     out = stage(spark, clashing, folder)
     if name != "sharding":
         assert out.columns == clashing.columns
+    else:
+        assert set(out.columns) >= set(clashing.columns)
     assert out.count() > 0
 
 
@@ -31,5 +33,6 @@ def test_run(spark, docs, folder, rows):
     text = {i: t for i, t, *_ in rows}
     assert 20 not in ids  # holds the benchmark item
     assert all(re.search(r"[^\W\d_]", text[i] or "") for i in ids)
+    assert all(r.text == text[r.doc_id] for r in out) and {"lang", "source", "n_chars", "shard", "slot"} <= set(out[0].asDict())
     assert len({text[i] for i in ids}) == len(ids) and all(n <= 2 for n in ids.values())
     assert len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
