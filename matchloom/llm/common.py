@@ -125,13 +125,14 @@ _BREAK = np.zeros(256, bool)
 _BREAK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
-def words_of(column: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray]:
+def words_of(column: pa.Array, lower: bool = False, breaks: np.ndarray = _BREAK) -> tuple[pa.Array, np.ndarray]:
     """All words of a string column as one Arrow array, and for each row the number of words before it (rows + 1 entries).
 
-    Only ASCII bytes separate words, so the work is done on UTF-8 bytes; lower maps A-Z alone.
+    Only ASCII bytes separate words (those that breaks, a table of 256, names; else white space), so the work is done on
+    UTF-8 bytes; lower maps A-Z alone.
     """
     at, raw = text_offsets(column)
-    inside = ~_BREAK[raw]
+    inside = ~breaks[raw]
     first = np.empty(len(raw), bool)
     if len(raw):
         first[0] = inside[0]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, lm_scoring, near_duplicates, quality
+from . import chat, importance, lm_scoring, near_duplicates, quality
 from .alignment import align_documents
 from .common import table
 from .decontamination import leaking_pairs
@@ -65,6 +65,10 @@ def op10_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -91,7 +95,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_backoff_automaton": op8_backoff_automaton,
     "op9_karmarkar_karp_sharding": op9_karmarkar_karp_sharding,
     "op10_chosen_path_join": op10_chosen_path_join,
+    "op11_importance_resampling": op11_importance_resampling,
     "op12_tokenizer_alignment": op12_tokenizer_alignment,
     "op13_piece_rounds": op13_piece_rounds,
 }
-ORACLE_SQL: dict[str, str] = {"op1_perspective_rotation": chat.SQL, "op5_adaptive_quality": quality.SQL, "op8_backoff_automaton": lm_scoring.SQL, "op10_chosen_path_join": near_duplicates.SQL}
+ORACLE_SQL: dict[str, str] = {"op1_perspective_rotation": chat.SQL, "op5_adaptive_quality": quality.SQL, "op8_backoff_automaton": lm_scoring.SQL, "op10_chosen_path_join": near_duplicates.SQL, "op11_importance_resampling": importance.SQL}
