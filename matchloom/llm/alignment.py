@@ -17,7 +17,7 @@ from .sentence_pieces import Merges, load_pieces
 from .token_counts import SPACE_MARK, pretokens_of
 
 #: Text bytes of a slice; a distinct unit of a slice is tokenised and aligned once.
-SLICE = 8_000_000
+SLICE = 2_500_000
 #: Pairs with at least this share of all links are sent to every worker: half a million of them at most.
 HOT_PAIR = 1 / 500_000
 _loaded: dict[str, "ByteLevel"] = {}
