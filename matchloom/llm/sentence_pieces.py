@@ -14,7 +14,7 @@ from .common import as_rows, slices, text_offsets
 from .token_counts import SPACE_MARK, pretokens_of
 
 #: Text bytes of a slice, and ids decoded at a time; a distinct pre-token of a slice is encoded once.
-SLICE, DECODED = 8_000_000, 1_000_000
+SLICE, DECODED = 2_500_000, 500_000
 #: Rank of a pair that no piece joins.
 NEVER = np.iinfo(np.int32).max
 _loaded: dict[str, "PieceModel"] = {}
