@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import heapq
-from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -71,14 +70,13 @@ def _level(units: DataFrame, n_bins: int, fan_in: int) -> DataFrame:
     return up.groupBy("up").applyInPandas(combine, "part long, bin int, up long, up_bin int, bytes long")
 
 
-def shard_documents(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id", text_col: str = "text", split_giants: bool = True, chunk_groups: int = 4096, fan_in: int = 1024, slot_block: int = 20_000) -> DataFrame:
+def shard_documents(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id", text_col: str = "text", chunk_groups: int = 4096, fan_in: int = 1024, slot_block: int = 20_000) -> DataFrame:
     """Place every row into one of n_shards shards of near-equal bytes; rows of equal text stay together.
 
     Size is the UTF-8 bytes of the text plus 1 (null text: 1). Groups are hashed into chunks of about chunk_groups; each
     chunk is differenced by one task into n_shards partial bins, and the bins of fan_in chunks at a time are differenced
-    again up to the root, so no task sees more than a bounded number of groups. A group larger than a fair share (there
-    are fewer than n_shards of them) would defeat the balance: with split_giants it is split by id into pieces of at most
-    that share, and its rows say so (`split`); without, it stays whole and fills a shard alone.
+    again up to the root, so no task sees more than a bounded number of groups. A group is never torn apart, however large:
+    one of more than a fair share fills a shard alone, and the others share the rest as evenly as if it were not there.
     slot numbers the rows of a shard from 0 without gaps, by prefix sums over blocks of rows, in the order of a hash, then
     of id and text, so reruns agree.
 
@@ -86,11 +84,11 @@ def shard_documents(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id",
     A text of any length is one unit of its size. An empty table gives an empty result. Other columns are ignored, whatever
     their names.
     """
-    return _sharded(docs, {}, n_shards, id_col, text_col, split_giants, chunk_groups, fan_in, slot_block)
+    return _sharded(docs, {}, n_shards, id_col, text_col, chunk_groups, fan_in, slot_block)
 
 
-def apply_shards(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id", text_col: str = "text", split_giants: bool = True, chunk_groups: int = 4096, fan_in: int = 1024, slot_block: int = 20_000) -> DataFrame:
-    """The rows of docs with all their columns, and beside them size, text_crc32, law, shard, slot, grown_shard and split of
+def apply_shards(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id", text_col: str = "text", chunk_groups: int = 4096, fan_in: int = 1024, slot_block: int = 20_000) -> DataFrame:
+    """The rows of docs with all their columns, and beside them size, text_crc32, law, shard, slot and grown_shard of
     `shard_documents`, in whose place a column of docs of the same name goes.
 
     Places are found without the texts, which are moved once, to meet their place. Rows are told apart by all their columns;
@@ -99,8 +97,8 @@ def apply_shards(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id", te
     """
     identity = [hashable(docs, c) for c in docs.columns]
     keys = {"r1": F.xxhash64(*identity), "r2": F.xxhash64(F.lit("second"), *identity)}
-    dealt = materialize(_sharded(docs, keys, n_shards, id_col, text_col, split_giants, chunk_groups, fan_in, slot_block), "shard-dealt")
-    added = ["size", "text_crc32", "law", "shard", "slot", "grown_shard", "split"]
+    dealt = materialize(_sharded(docs, keys, n_shards, id_col, text_col, chunk_groups, fan_in, slot_block), "shard-dealt")
+    added = ["size", "text_crc32", "law", "shard", "slot", "grown_shard"]
     counts = materialize(dealt.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "shard-repeated")
     rows = as_rows(docs, **keys)
     dealt = dealt.select(*keys, *added)
@@ -111,7 +109,7 @@ def apply_shards(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id", te
     return out.select(*[F.col("row").getField(c).alias(c) for c in docs.columns if c.lower() not in added], *added)
 
 
-def _sharded(docs: DataFrame, carried: dict[str, Column], n_shards: int, id_col: str, text_col: str, split_giants: bool, chunk_groups: int, fan_in: int, slot_block: int) -> DataFrame:
+def _sharded(docs: DataFrame, carried: dict[str, Column], n_shards: int, id_col: str, text_col: str, chunk_groups: int, fan_in: int, slot_block: int) -> DataFrame:
     """`shard_documents`, with narrow columns of docs carried along; rows equal in id and text are in their order."""
     size = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + 1
     base = materialize(
@@ -126,32 +124,26 @@ def _sharded(docs: DataFrame, carried: dict[str, Column], n_shards: int, id_col:
         "shard-base",
     )
     share = max(1, (base.agg(F.sum("size")).first()[0] or 0) // n_shards)
-    large = base.groupBy("h1", "h2").agg(F.sum("size").alias("bytes")).filter((F.col("bytes") > share) & F.lit(split_giants)).collect()  # fewer than n_shards rows
-    piece = F.lit(0)
-    for g in large:
-        piece = F.when((F.col("h1") == g.h1) & (F.col("h2") == g.h2), F.pmod(F.xxhash64("doc_id", F.lit("piece")), F.lit(-(-g.bytes // share))).cast("int")).otherwise(piece)
-    base = base.withColumn("piece", piece)
-
-    units = materialize(base.groupBy("h1", "h2", "piece").agg(F.sum("size").alias("bytes")), "shard-units")
+    units = materialize(base.groupBy("h1", "h2").agg(F.sum("size").alias("bytes")), "shard-units")
     # Units over share / HEAVY, at most n_shards * HEAVY of them, are placed first, by one task; each chunk of others then
     # starts from those shards' sums, in proportion to its bytes, so that small units make up for uneven large ones.
     heavy = units.filter(F.col("bytes") > share // HEAVY)
     light = units.filter(F.col("bytes") <= share // HEAVY)
     n_light, light_bytes = light.agg(F.count(F.lit(1)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
     n_chunks = max(1, -(-n_light // chunk_groups))
-    chunk = F.pmod(F.xxhash64("h2", "h1", "piece"), F.lit(n_chunks)).alias("part")
+    chunk = F.pmod(F.xxhash64("h2", "h1"), F.lit(n_chunks)).alias("part")
 
     def place(start: list[int]):
         def run(rows: pd.DataFrame) -> pd.DataFrame:
-            rows = rows.sort_values(["bytes", "h1", "h2", "piece"], ascending=False, kind="stable")
+            rows = rows.sort_values(["bytes", "h1", "h2"], ascending=False, kind="stable")
             mine = int(rows["bytes"].sum())
             given = [x * mine // max(1, light_bytes) for x in start]
             final = difference([given, *([int(w)] + [0] * (n_shards - 1) for w in rows["bytes"])], n_shards)
-            return rows.assign(bin=[f[0] for f in final[1:]])[["h1", "h2", "piece", "part", "bin", "bytes"]]
+            return rows.assign(bin=[f[0] for f in final[1:]])[["h1", "h2", "part", "bin", "bytes"]]
 
         return run
 
-    out = "h1 long, h2 long, piece int, part long, bin int, bytes long"
+    out = "h1 long, h2 long, part long, bin int, bytes long"
     first = materialize(heavy.select("*", F.lit(n_chunks).cast("long").alias("part")).groupBy("part").applyInPandas(place([0] * n_shards), out), "shard-heavy")
     sums = {r["bin"]: r["bytes"] for r in first.groupBy("bin").agg(F.sum("bytes").alias("bytes")).collect()}
     start = sorted((sums.get(b, 0) for b in range(n_shards)), reverse=True)
@@ -173,16 +165,19 @@ def _sharded(docs: DataFrame, carried: dict[str, Column], n_shards: int, id_col:
             break
         level = step.groupBy(F.col("up").alias("part"), F.col("up_bin").alias("bin")).agg(F.sum("bytes").alias("bytes"))
 
-    where = placed.join(route, ["part", "bin"]).select("h1", "h2", "piece", F.col("up_bin").alias("shard"))
+    where = placed.join(route, ["part", "bin"]).select("h1", "h2", "part", F.col("up_bin").alias("shard"))
+    # Heavy units are few, and their places go to the rows wherever these are; the rows of a light one are few.
+    few = materialize(where.filter(F.col("part") == n_chunks).drop("part"), "shard-heavy-places")
+    light_rows = base.join(F.broadcast(few.select("h1", "h2")), ["h1", "h2"], "left_anti").join(where.filter(F.col("part") < n_chunks).drop("part"), ["h1", "h2"])
+    placed_rows = base.join(F.broadcast(few), ["h1", "h2"]).unionByName(light_rows)
     n_blocks = max(1, -(-base.count() // (slot_block * n_shards)))
     block = F.pmod(F.xxhash64("doc_id", "h1", F.lit("slot")), F.lit(n_blocks)).alias("block")
-    giant = reduce(lambda x, y: x | y, [(F.col("h1") == g.h1) & (F.col("h2") == g.h2) for g in large], F.lit(False))
-    rows = materialize(base.join(where, ["h1", "h2", "piece"]).select("doc_id", "size", "text_crc32", "shard", block, "h1", "h2", giant.alias("split"), *carried), "shard-rows")
+    rows = materialize(placed_rows.select("doc_id", "size", "text_crc32", "shard", block, "h1", "h2", *carried), "shard-rows")
     before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = rows.groupBy("shard", "block").agg(F.count(F.lit(1)).alias("n")).select("shard", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     within = F.row_number().over(Window.partitionBy("shard", "block").orderBy("doc_id", "h1", "h2", *carried))
     return (
         rows.withColumn("within", within)
         .join(offsets, ["shard", "block"])
-        .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("offset") + F.col("within") - 1).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "split", *carried)
+        .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("offset") + F.col("within") - 1).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), *carried)
     )
