@@ -11,12 +11,14 @@ from .common import filtered, materialize, release, slices
 
 #: Errors allowed in an item, as a share of its characters (after normalising).
 ERROR_RATE = 0.08
-#: Items of fewer characters are too short for edits: they are found as they are, between word borders.
-LEAST_ITEM = 20
 #: Characters of items that one pass takes to the workers; a larger benchmark takes more passes.
 ITEM_BLOCK = 4_000_000
 
 
+#: A run of what str.split takes for white space, as Java writes it.
+WHITE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+
+
 def normal(text: str | None) -> str:
     """Lower case, with each run of white space as one space."""
     return " ".join((text or "").lower().split())
@@ -35,13 +37,29 @@ def masks(item: str) -> dict[str, int]:
     return out
 
 
-def infix_distance(m: int, peq: dict[str, int], text: str) -> int:
-    """Least edit distance of a pattern (its length and bit masks) to any part of text: one word operation a character."""
+def inside_word(text: str, at: int) -> int:
+    """1 if a word goes on across this place of text, else 0."""
+    return int(0 < at < len(text) and text[at - 1].isalnum() and text[at].isalnum())
+
+
+def infix_distance(m: int, peq: dict[str, int], text: str, start: int = 0, end: int | None = None) -> int:
+    """Least cost of a pattern (its length and bit masks) in text[start:end]: one word operation a character.
+
+    The cost of a part of text is its edit distance to the pattern, and 1 for each of its ends that lies inside a word of
+    the whole text. The cost of beginning at a place enters the bit vectors from below, as the first row's difference.
+    """
+    end = len(text) if end is None else end
     full, high = (1 << m) - 1, 1 << (m - 1)
-    pv, mv, score, best = full, 0, m, m
-    for c in text:
-        eq = peq.get(c, 0)
+    row = inside_word(text, start)  # cost of the empty pattern here
+    pv, mv, score = full, 0, m + row
+    best = score + inside_word(text, start)
+    for at in range(start, end):
+        below = inside_word(text, at + 1)
+        step, row = below - row, below
+        eq = peq.get(text[at], 0)
         xv = eq | mv
+        if step < 0:
+            eq |= 1
         xh = (((eq & pv) + pv) ^ pv) | eq
         ph = mv | (full & ~(xh | pv))
         mh = pv & xh
@@ -49,33 +67,27 @@ def infix_distance(m: int, peq: dict[str, int], text: str) -> int:
             score += 1
         elif mh & high:
             score -= 1
-            if score < best:
-                best = score
-        ph = (ph << 1) & full
-        pv = ((mh << 1) & full) | (full & ~(xv | ph))
+        if score + below < best:
+            best = score + below
+        ph = (ph << 1) & full | (step > 0)
+        mh = (mh << 1) & full | (step < 0)
+        pv = mh | (full & ~(xv | ph))
         mv = ph & xv
     return best
 
 
-def _bordered(text: str, start: int, end: int) -> bool:
-    """No word goes on across either end of text[start:end]."""
-    return not (start and text[start - 1].isalnum() and text[start].isalnum()) and not (end < len(text) and text[end - 1].isalnum() and text[end].isalnum())
-
-
 class Matcher:
-    """Finds items in texts: an automaton of all pieces, then verification around each hit."""
+    """Finds texts of items: an automaton of all pieces, then verification around each hit."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float = ERROR_RATE, least: int = LEAST_ITEM):
+    def __init__(self, items: list[str], rate: float = ERROR_RATE):
         import ahocorasick
 
-        ids: dict[str, list[int]] = {}
-        for item_id, text in items:
-            if text:
-                ids.setdefault(text, []).append(item_id)
-        self.items = [(text, sorted(x), int(rate * len(text)) if len(text) >= least else 0, masks(text)) for text, x in sorted(ids.items())]
-        self.least = least
+        self.names: dict[str, list[str]] = {}
+        for x in sorted(set(items)):
+            self.names.setdefault(normal(x), []).append(x)
+        self.items = [(text, int(rate * len(text)), masks(text)) for text in sorted(self.names) if text]
         found: dict[str, list[tuple[int, int]]] = {}
-        for i, (text, _, errors, _) in enumerate(self.items):
+        for i, (text, errors, _) in enumerate(self.items):
             for s, e in pieces(text, errors):
                 found.setdefault(text[s:e], []).append((i, e))
         self.automaton = ahocorasick.Automaton()
@@ -84,76 +96,81 @@ class Matcher:
         if found:
             self.automaton.make_automaton()
 
-    def leaks(self, text: str | None) -> list[dict]:
+    def leaks(self, text: str | None) -> dict[str, int]:
+        """The items held, and the cost of the part of text that is nearest to each (see infix_distance)."""
         if not self.items or not text:
-            return []
+            return {}
         text = normal(text)
         starts: dict[int, set[int]] = {}
         for at, where in self.automaton.iter(text):
             for i, e in where:
                 starts.setdefault(i, set()).add(at + 1 - e)
-        out = []
+        out = {}
         for i, at in starts.items():
-            item, ids, errors, peq = self.items[i]
-            best, windows = errors + 1, []
-            if len(item) < self.least:
-                best = 0 if any(_bordered(text, s, s + len(item)) for s in at) else 1
-                at = ()
-            for s in sorted(at):  # windows that overlap are one
+            item, errors, peq = self.items[i]
+            if any(text.startswith(item, s) and not inside_word(text, s) and not inside_word(text, s + len(item)) for s in at if s >= 0):
+                out |= dict.fromkeys(self.names[item], 0)
+                continue
+            windows: list[list[int]] = []
+            for s in sorted(at) if errors else ():
                 lo, hi = s - errors, s + len(item) + errors
-                if windows and lo <= windows[-1][1] - len(item):
+                if windows and lo <= windows[-1][1] - len(item):  # windows that overlap are one
                     windows[-1][1] = hi
                 else:
                     windows.append([lo, hi])
-            for lo, hi in windows:
-                part = text[max(0, lo) : hi]
-                best = min(best, 0 if item in part else infix_distance(len(item), peq, part))
-                if not best:
-                    break
+            best = min((infix_distance(len(item), peq, text, max(0, lo), min(len(text), hi)) for lo, hi in windows), default=errors + 1)
             if best <= errors:
-                out += [{"item_id": x, "distance": best} for x in ids]
-        return sorted(out, key=lambda x: x["item_id"])
+                out |= dict.fromkeys(self.names[item], best)
+        return out
+
 
+def _normal(text):
+    """`normal` as an expression: white space is what Python's str.split takes for it."""
+    return F.btrim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), WHITE, " "))
 
-def _blocks(docs: DataFrame, benchmark: DataFrame, rate: float, item_col: str, text_col: str):
-    """Matchers of the benchmark, as functions that a task calls, block by block; a block is fetched when it is asked for."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), text.alias("text"))
-    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
+
+def _blocks(docs: DataFrame, texts: DataFrame, rate: float):
+    """Matchers of distinct texts of items, as functions that a task calls, block by block; a block is fetched when it is
+    asked for."""
+    total = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     n_blocks = max(1, -(-total // ITEM_BLOCK))
     for block in range(n_blocks):
-        mine = items.filter(F.pmod(F.xxhash64("text"), F.lit(n_blocks)) == block).toArrow().to_pylist()
-        shared = docs.sparkSession.sparkContext.broadcast([(r["item_id"], normal(r["text"])) for r in mine])
+        mine = texts.filter(F.pmod(F.xxhash64("text"), F.lit(n_blocks)) == block).toArrow().column("text").to_pylist()
+        shared = docs.sparkSession.sparkContext.broadcast(mine)
         yield block == n_blocks - 1, lambda shared=shared: Matcher(shared.value, rate)
 
 
 def leaking_pairs(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """doc_id, item_id, distance: one row for each row of docs and benchmark item found in its whole text.
 
-    An item is held if some part of the text is within rate * length edits of it, both in lower case with single spaces.
-    Items under LEAST_ITEM characters are held only where they stand without edits and between word borders.
-    Items of equal text are all reported. The benchmark is a stated query set: it is taken to the workers in blocks of at
-    most ITEM_BLOCK characters, each a pass of its own over docs, and docs are not shuffled. Null or empty texts and items
+    An item is held if some part of the text costs at most rate * length: the edits between them, both in lower case with
+    single spaces, and 1 for each end of the part that lies inside a word. The rule is the same for all lengths; items so
+    short that it allows no error are held where they stand as they are, between word borders.
+
+    The benchmark is a stated query set. Its distinct texts are taken to the workers in blocks of about ITEM_BLOCK
+    characters, each a pass of its own over docs, and docs are not shuffled; the texts found are joined to the items that
+    have them, so equal items, however many, are all reported and one of them is looked for. Null or empty texts and items
     hold nothing; an empty benchmark leaks nothing; null ids and repeated rows are answered like others; of a text of any
     length the windows around hits are compared, so time goes with its length and hits. Other columns are ignored.
     """
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), _normal(F.col(item_text_col)).alias("item")).filter("item <> ''")
     out = None
-    for last, matcher in _blocks(docs, benchmark, rate, item_col, item_text_col):
+    for last, matcher in _blocks(docs, items.select(F.col("item").alias("text")).distinct(), rate):
 
         def search(batches, matcher=matcher):
             m = matcher()
             for batch in slices(batches, "text"):
-                found = [(i, x["item_id"], x["distance"]) for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True) for x in m.leaks(t)]
+                found = [(i, item, cost) for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True) for item, cost in m.leaks(t).items()]
                 yield pa.RecordBatch.from_pylist([dict(zip(PAIRS.names, x, strict=True)) for x in found], PAIRS)
 
-        pairs = d.mapInArrow(search, "doc_id long, item_id long, distance int")
+        pairs = d.mapInArrow(search, "doc_id long, item string, distance int")
         pairs = pairs if last else materialize(pairs, "leaks")
         out = pairs if out is None else out.unionByName(pairs)
-    return out
+    return out.join(items, "item").select("doc_id", "item_id", "distance")
 
 
-PAIRS = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("distance", pa.int32())])
+PAIRS = pa.schema([("doc_id", pa.int64()), ("item", pa.string()), ("distance", pa.int32())])
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, text_col: str = "text") -> DataFrame:
@@ -163,7 +180,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RAT
     or stay by their texts. An empty table stays empty. Each block of the benchmark works on what the one before it kept.
     """
     out, written = docs, []
-    for last, matcher in _blocks(docs, benchmark, rate, "item_id", "text"):
+    texts = benchmark.select(_normal(F.col("text")).alias("text")).filter("text <> ''").distinct()
+    for last, matcher in _blocks(docs, texts, rate):
 
         def clean(matcher=matcher):
             m = matcher()
