@@ -16,7 +16,8 @@ FOLD = 256
 CLASSES = 8
 #: A size class of a source with no more rows than this goes to the root as it is.
 FEW = 8
-#: The last rows of a source are rounded so often, each time with other random numbers; the words nearest to the target win.
+#: The last rows of a source are rounded so often, each time in another order and with other random numbers, and the outcome is
+#: mended by one exchange; the words nearest to the target win.
 TRIALS = 64
 #: Probabilities nearer to 0 or 1 than this are taken as 0 or 1.
 EPS = 1e-9
@@ -76,13 +77,13 @@ def _uniform(*cols: str) -> str:
 REF = "struct<doc_id:bigint,h1:bigint,h2:bigint,repeats:bigint>"
 
 
-def _fold(salt: str) -> Column:
+def _fold(salt: str, ref: str = REF) -> Column:
     """Fold an array of (size, key, ref, whole, p) by the pivotal rule into decided rows and at most one undecided.
 
-    salt: SQL of what the random numbers depend on besides the two rows.
+    salt: SQL of what the random numbers depend on besides the two rows. ref: the type of what tells rows apart.
     """
-    item = f"struct<size:bigint,key:bigint,ref:{REF},whole:bigint,p:double>"
-    done = f"array<struct<size:bigint,ref:{REF},copies:bigint>>"
+    item = f"struct<size:bigint,key:bigint,ref:{ref},whole:bigint,p:double>"
+    done = f"array<struct<size:bigint,ref:{ref},copies:bigint>>"
     decide = lambda x, up: f"named_struct('size', {x}.size, 'ref', {x}.ref, 'copies', {x}.whole + cast({up} as bigint))"
     move = lambda x, p: f"if({p} > {EPS!r}D and {p} < {1 - EPS!r}D, named_struct('size', {x}.size, 'key', {x}.key, 'ref', {x}.ref, 'whole', {x}.whole, 'p', {p}), cast(null as {item}))"
     over = lambda x, p: f"if({p} <= {EPS!r}D or {p} >= {1 - EPS!r}D, array({decide(x, f'round({p})')}), cast(array() as {done}))"
@@ -101,6 +102,39 @@ def _fold(salt: str) -> Column:
     )
 
 
+def _exchange() -> Column:
+    """(off, down, up): of all ways to take one copy from a row rounded up, or none, and to give one to a row rounded down, or
+    none, that which comes nearest to `missing` words; the rows are named by their places, -1 for none. Needs `done` and `miss`,
+    the words that are missing after it."""
+    side = lambda copies: F.concat(F.array(F.struct(F.lit(0).cast("long").alias("size"), F.lit(-1).alias("ref"))), F.transform(F.filter("done", lambda x: x["copies"] == copies), lambda x: F.struct(x["size"].alias("size"), x["ref"].alias("ref"))))
+    best = lambda up: F.array_min(F.transform(side(0), lambda x: F.struct(F.abs(F.col("miss") - x["size"] + up["size"]).alias("off"), up["ref"].alias("down"), x["ref"].alias("up"))))
+    return F.array_min(F.transform(side(1), best))
+
+
+def _rooted(roots: DataFrame, seed: int, trials: int) -> DataFrame:
+    """(source, size, ref, copies) of the last rows of each source: (source, items, missing), one row a source.
+
+    Places stand for rows here, so that what is drawn `trials` times is numbers alone. With one trial the outcome stays as
+    it is drawn, and every row keeps its probability.
+    """
+    place = F.transform("items", lambda x, i: F.struct(x["size"].alias("size"), x["key"].alias("key"), i.alias("ref"), F.lit(0).cast("long").alias("whole"), x["p"].alias("p")))
+    fixed = F.aggregate("items", F.lit(0).cast("long"), lambda n, x: n + x["whole"] * x["size"])
+    drawn = roots.select("source", place.alias("items"), (F.col("missing") - fixed).alias("missing"), F.explode(F.sequence(F.lit(1), F.lit(trials))).alias("trial"))
+    order = F.transform("items", lambda x: F.struct(F.xxhash64(x["key"], F.lit(seed), "trial").alias("order"), x.alias("x")))
+    drawn = drawn.withColumn("items", F.transform(F.sort_array(order), lambda x: x["x"])).select("source", "missing", "trial", _fold(f"{seed}, -trial", "int").alias("r"))
+    last = F.expr(f"array(named_struct('size', r.left.size, 'ref', r.left.ref, 'copies', cast({_uniform('r.left.key', str(seed), '-trial')} < r.left.p as bigint)))")
+    drawn = drawn.withColumn("done", F.when(F.col("r.left").isNull(), F.col("r.done")).otherwise(F.concat("r.done", last)))
+    drawn = drawn.withColumn("miss", F.col("missing") - F.aggregate("done", F.lit(0).cast("long"), lambda n, x: n + x["copies"] * x["size"]))
+    drawn = drawn.withColumn("swap", _exchange() if trials > 1 else F.struct(F.abs("miss").alias("off"), F.lit(-1).alias("down"), F.lit(-1).alias("up")))
+    best = drawn.groupBy("source").agg(F.min_by(F.struct("done", "swap"), F.struct("swap.off", "trial")).alias("best"))
+    best = best.select(F.col("source").alias("_source"), F.inline("best.done"), F.col("best.swap").alias("swap"))
+    copies = F.col("copies") + F.when(F.col("ref") == F.col("swap.up"), 1).when(F.col("ref") == F.col("swap.down"), -1).otherwise(0)
+    best = best.select("_source", F.col("ref").alias("place"), copies.alias("more"))
+    rows = roots.select("source", F.posexplode("items").alias("place", "x"))
+    same = F.col("source").eqNullSafe(F.col("_source"))
+    return rows.join(best, [same, rows["place"] == best["place"]]).select("source", F.col("x.size").alias("size"), F.col("x.ref").alias("ref"), (F.col("x.whole") + F.col("more")).cast("long").alias("copies"))
+
+
 def _missing(targets: DataFrame, decided: DataFrame) -> DataFrame:
     """(source, missing): the words that a source still lacks."""
     both = targets.select("source", F.col("target").alias("words")).unionByName(decided.select("source", (-F.col("copies") * F.col("size")).cast("double").alias("words")))
@@ -147,15 +181,9 @@ def _decided(docs: DataFrame, identity: list[Column], weights, share, most, seed
         if deepest <= 1:
             break
         deepest, items = -(-deepest // FOLD), left
-    so_far = reduce(DataFrame.unionByName, decided)
-    missing = _missing(targets, so_far)
+    missing = _missing(targets, reduce(DataFrame.unionByName, decided))
     roots = left.select("source", "item").unionByName(few_items).groupBy("source").agg(in_order)
-    roots = roots.select("source", "items", F.explode(F.sequence(F.lit(1), F.lit(trials))).alias("trial")).select("source", "trial", _fold(f"{seed}, -trial").alias("r"))
-    drawn = F.expr(f"if(r.left is null, r.done, concat(r.done, array(named_struct('size', r.left.size, 'ref', r.left.ref, 'copies', r.left.whole + cast({_uniform('r.left.key', str(seed), '-trial')} < r.left.p as bigint)))))")
-    roots = join_sums(roots.select("source", "trial", drawn.alias("done")), missing, ["source"])
-    off = F.abs(F.aggregate("done", F.lit(0).cast("double"), lambda a, x: a + x["copies"] * x["size"]) - F.col("missing"))
-    best = roots.groupBy("source").agg(F.min_by("done", F.struct(off, "trial")).alias("done"))
-    decided.append(best.select("source", F.inline("done")).select("source", "size", "ref", "copies"))
+    decided.append(_rooted(materialize(join_sums(roots, missing, ["source"]), "mix-roots"), seed, trials))
     return reduce(DataFrame.unionByName, decided), targets
 
 
@@ -166,9 +194,10 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
     row gets its whole part, and the fractional parts are rounded by the pivotal method: two rows at a time, one hands
     its probability to the other at random until one of them is 0 or 1. Rows are folded in chunks of about FOLD rows of
     one source and size class; what is left of each chunk (one row at most) goes up a tree: FOLD chunks to one, then the
-    classes of a source, with those of `few` rows at most as they are (a few hundred rows), whose last row is drawn. Of
-    `trials` such draws at the root the one nearest to the source's target counts, so there nearness to the target goes
-    before the rows' own probabilities; trials=1 keeps them exactly. The copies of a size class stay within one of their
+    classes of a source, with those of `few` rows at most as they are (a few hundred rows), whose last row is drawn. At the
+    root this is done `trials` times, the rows in other orders; each outcome may be mended by taking one copy from a row and
+    giving one to another, and the one nearest to the source's target counts. So there nearness to the target goes before
+    the rows' own probabilities; trials=1 keeps them exactly. The copies of a size class stay within one of their
     expectation, and the words taken near the target. A source of any share is dealt over many chunks.
 
     Random numbers are hashes of the rows met, so reruns agree. Null text has size 0; a row of size 0 takes nothing. Null

@@ -1,8 +1,10 @@
 """Each operator against brute force on small tables with nulls, empty and long texts, repeated rows and clashing columns."""
 
 import math
+import os
 import random
 import re
+import struct
 import time
 import unicodedata
 import zlib
@@ -11,6 +13,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from matchloom.llm import chat, decontamination, html_text, language_id, lm_scoring, mixing, near_duplicates, quality, sharding, token_counts
@@ -73,20 +76,23 @@ def test_chat_of_nothing(spark):
 
 
 def edit_infix(pattern, text):
-    row = [0] * (len(text) + 1)
+    """Least edits to a part of text, and 1 for each of its ends inside a word."""
+    cost = [decontamination.inside_word(text, j) for j in range(len(text) + 1)]
+    row = list(cost)
     for i, p in enumerate(pattern, 1):
-        new = [i]
+        new = [i + cost[0]]
         for j, c in enumerate(text, 1):
             new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (p != c)))
         row = new
-    return min(row)
+    return min(x + y for x, y in zip(row, cost, strict=True))
 
 
 def test_myers_is_the_edit_distance():
     rng = random.Random(3)
-    for _ in range(300):
-        p = "".join(rng.choice("abc ") for _ in range(rng.randint(1, 90)))
-        t = "".join(rng.choice("abc ") for _ in range(rng.randint(0, 120)))
+    for k in range(400):
+        letters = "abc " if k % 2 else "a "
+        p = "".join(rng.choice(letters) for _ in range(rng.randint(1, 90)))
+        t = "".join(rng.choice(letters) for _ in range(rng.randint(0, 120)))
         assert decontamination.infix_distance(len(p), decontamination.masks(p), t) == edit_infix(p, t)
 
 
@@ -104,7 +110,7 @@ def test_blocks_of_a_benchmark(spark, docs, rows, monkeypatch):
 def test_leaks_are_those_of_brute_force(spark, docs, clashing, empty, rows):
     rng = random.Random(4)
     passages = [t for _, t, *_ in rows if t and 150 < len(t) < 700][:8]
-    items = [(i, t[20:150]) for i, t in enumerate(passages)] + [(50, passages[0][20:150]), (51, None), (52, "short"), (53, "x" * 60)]
+    items = [(i, t[20:150]) for i, t in enumerate(passages)] + [(50, passages[0][20:150]), (51, None), (52, "short"), (53, "x" * 60), (54, "stone"), (55, "of the"), (56, passages[1][21:38]), (57, passages[2][20:33]), (58, "  ")]
     edited = []
     for i, t in items[:8]:
         c = list(t)
@@ -121,7 +127,7 @@ def test_leaks_are_those_of_brute_force(spark, docs, clashing, empty, rows):
             continue
         for i, item in items:
             item = decontamination.normal(item)
-            if len(item) >= decontamination.LEAST_ITEM and (x := edit_infix(item, t)) <= int(decontamination.ERROR_RATE * len(item)):
+            if item and (x := edit_infix(item, t)) <= int(decontamination.ERROR_RATE * len(item)):
                 want[doc, i, x] += 1
     long_ids = {r[0] for r in rows if len(r[1] or "") > 5000}
     assert Counter({k: v for k, v in got.items() if k[0] not in long_ids}) == want and want
@@ -431,6 +437,99 @@ def test_pivotal_keeps_expectations(spark):
     assert total == 12 * 16 and max(n.values()) <= 11
 
 
+def spark_hash(*values):
+    """xxhash64 of Spark: of longs (plain integers) and ints (given as bytes)."""
+    h = 42
+    for v in values:
+        h = xxhash.xxh64_intdigest(v if isinstance(v, bytes) else struct.pack("<q", v), h)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def uniform(*values):
+    return ((spark_hash(*values) & (1 << 64) - 1) >> 11) * 2.0**-53
+
+
+def pivotal(items, *salt):
+    """Fold [size, key, name, p] two at a time; returns {name: 0 or 1} and the one left over, if any."""
+    left, done = None, {}
+    for x in items:
+        x = list(x)
+        if left is None:
+            left = x
+            continue
+        u, both = uniform(left[1], x[1], *salt), left[3] + x[3]
+        if both < 1:
+            stays, gone, up, p = (x, left, 0, both) if u * both < x[3] else (left, x, 0, both)
+        else:
+            stays, gone, up, p = (x, left, 1, both - 1) if u * (2 - both) < 1 - x[3] else (left, x, 1, both - 1)
+        done[gone[2]] = up
+        stays[3] = p
+        left = stays
+        if not 1e-9 < p < 1 - 1e-9:
+            done[stays[2]] = round(p)
+            left = None
+    return done, left
+
+
+@pytest.mark.parametrize("trials", [1, 64])
+def test_mix_is_the_pivotal_fold_by_hand(spark, trials):
+    """Row by row: classes folded largest first, the last rows drawn in shuffled orders, the nearest outcome mended once."""
+    rng = random.Random(21)
+    rows = [(i, " ".join(["w"] * rng.choice([3, 9, 10, 11, 40, 41, rng.randint(1, 300)])), rng.choice(["a", "b", "b", "c", None])) for i in range(400)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    seed, int_seed = 17, struct.pack("<i", 17)
+    key = {r.doc_id: (r.key, r.h1, r.h2) for r in d.selectExpr("doc_id", f"xxhash64(doc_id, text, {seed}) AS key", "xxhash64(doc_id, text, source) AS h1", "xxhash64('second', doc_id, text, source) AS h2").collect()}
+    sizes = defaultdict(int)
+    for _, t, s in rows:
+        sizes[s] += len(words(t))
+    targets, want = targets_by_hand(sizes, (5, 2, 1), 1.5, 2.0), {}
+    for s, target in targets.items():
+        rate = target / sizes[s]
+        whole = math.floor(rate + 1e-9)
+        classes = defaultdict(list)
+        for i, t, of in rows:
+            if of == s:
+                classes[math.floor(math.log2(len(words(t))) * 8)].append((len(words(t)), key[i][0], i, max(0.0, rate - whole), key[i]))
+        by_size = lambda x: (x[0], x[1], x[2], x[4][1], x[4][2], x[3])
+        copies, last = {}, []
+        for items in classes.values():
+            items.sort(key=by_size, reverse=True)
+            if rate - whole <= 1e-9:
+                copies |= {x[2]: 0 for x in items}
+            elif len(items) <= mixing.FEW:
+                last += items
+            else:
+                done, left = pivotal([x[:4] for x in items], int_seed, struct.pack("<i", 0))
+                copies |= done
+                last += [(*left, key[left[2]])] if left else []
+        size = {i: len(words(t)) for i, t, _ in rows}
+        missing = target - sum((whole + up) * size[i] for i, up in copies.items())
+        last.sort(key=by_size, reverse=True)
+        outcomes = []
+        for trial in range(1, trials + 1):
+            in_turn = sorted(enumerate(last), key=lambda e: (spark_hash(e[1][1], int_seed, struct.pack("<i", trial)), e[1][0], e[1][1], e[0]))
+            done, left = pivotal([(x[0], x[1], place, x[3]) for place, x in in_turn], int_seed, struct.pack("<i", -trial))
+            if left:
+                done[left[2]] = int(uniform(left[1], int_seed, struct.pack("<i", -trial)) < left[3])
+            miss = missing - sum((whole + up) * last[i][0] for i, up in done.items())
+            words_of = lambda i: last[i][0] if i >= 0 else 0
+            ups, downs = ([-1, *(i for i, up in done.items() if up == n and trials > 1)] for n in (1, 0))
+            swaps = [(abs(miss - words_of(y) + words_of(x)), x, y) for x in ups for y in downs]
+            outcomes.append((min(swaps), trial, done))
+        (_, down, up), _, done = min(outcomes, key=lambda e: (e[0][0], e[1]))
+        copies |= {last[i][2]: n + (i == up) - (i == down) for i, n in done.items()}
+        want |= {i: whole + n for i, n in copies.items()}
+    assert {r.doc_id: r.copies for r in mixing.mix(d, trials=trials).collect()} == want
+
+
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.01"])
+def test_small_sources_come_near_their_targets(spark, folder):
+    if not os.path.isdir(f"/root/testdata/{folder}"):
+        pytest.skip("no tables")
+    got = mixing.mix(spark.read.parquet(f"/root/testdata/{folder}/documents.parquet")).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()
+    assert all(abs(r.taken - r.target) <= 0.01 * r.target for r in got)
+
+
 # --- 7: HTML
 
 
@@ -660,12 +759,10 @@ def test_differencing_is_that_of_plain_lists():
         assert max(sums.values()) - min(sums.values()) == max(plain_differencing(weights, k)) - min(plain_differencing(weights, k))
 
 
-def test_a_giant_group_stays_whole_if_asked(spark):
-    d = spark.range(900).selectExpr("id as doc_id", "if(id % 2 = 0, repeat('copy ', 20), concat('text ', id)) as text")
-    got = sharding.shard_documents(d, split_giants=False).toPandas()
-    assert got[got.doc_id % 2 == 0].shard.nunique() == 1 and not got.split.any()
-    got = sharding.shard_documents(d).toPandas()
-    assert got[got.doc_id % 2 == 0].shard.nunique() > 1 and (got.split == (got.doc_id % 2 == 0)).all()
+def test_a_giant_group_stays_whole(spark):
+    d = spark.range(2000).selectExpr("id as doc_id", "if(id % 2 = 0, 'copy of one text', concat('text ', id)) as text")
+    for got in (sharding.shard_documents(d).toPandas(), sharding.apply_shards(d).toPandas()):
+        assert got[got.doc_id % 2 == 0].shard.nunique() == 1 and got.shard.nunique() == 16
 
 
 def test_shards(spark, docs, clashing, empty, rows):
@@ -687,7 +784,7 @@ def test_sharded_rows_keep_their_columns(docs, clashing, empty):
     got = sharding.apply_shards(both, chunk_groups=10).collect()
     assert Counter(tuple(r[c] for c in docs.columns) for r in got) == Counter(map(tuple, both.collect()))
     want = sharding.shard_documents(both, chunk_groups=10).collect()
-    columns = ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "split"]
+    columns = ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
     assert Counter(tuple(r[c] for c in columns[:5]) for r in got) == Counter(tuple(r[c] for c in columns[:5]) for r in want)
     assert sorted((r.shard, r.slot) for r in got) == sorted((r.shard, r.slot) for r in want)
     dealt = sharding.apply_shards(clashing)
@@ -696,11 +793,15 @@ def test_sharded_rows_keep_their_columns(docs, clashing, empty):
     assert sharding.apply_shards(empty).collect() == []
 
 
-def test_shard_bytes_are_near_equal_and_a_giant_group_is_split(spark):
+def test_shard_bytes_are_near_equal_beside_a_giant(spark):
     d = spark.range(4000).selectExpr("id as doc_id", "if(id % 3 = 0, repeat('copy ', 20), concat(repeat('x', cast(id * 7919 % 997 as int)), id)) as text")
     got = sharding.shard_documents(d, chunk_groups=200).toPandas()
+    giant = got[got.doc_id % 3 == 0].shard.unique()
     sums = got.groupby("shard")["size"].sum()
-    assert len(sums) == 16 and sums.max() - sums.min() <= 0.01 * sums.mean()
+    assert len(sums) == 16 and len(giant) == 1
+    assert set(got[got.shard == giant[0]].doc_id % 3) == {0}
+    rest = sums.drop(giant[0])
+    assert rest.max() - rest.min() <= 0.01 * rest.mean()
 
 
 # --- 10: near duplicates
@@ -792,10 +893,21 @@ def test_rounds_go_on_until_hardly_a_join_is_new(spark, docs, rows, monkeypatch)
     assert asked == list(range(len(asked))) and len(asked) >= 2
 
 
-def test_short_items_are_found_between_word_borders():
-    m = decontamination.Matcher([(1, "who is it?"), (2, "ann"), (3, "")])
-    assert m.leaks("Tell me: WHO  is it? Ann.") == [{"item_id": 1, "distance": 0}, {"item_id": 2, "distance": 0}]
-    assert m.leaks("annual plans of Joann, and who is in?") == []
+def test_short_items_follow_the_rule_of_all():
+    m = decontamination.Matcher(["who is it?", "ann", "", "abcdefghij klmnopq", "  Ann "])
+    assert m.leaks("Tell me: WHO  is it? Ann.") == {"who is it?": 0, "ann": 0, "  Ann ": 0}
+    assert m.leaks("annual plans of Joann, and who is in?") == {}
+    assert m.leaks("so abcdefXhij klmnopq it is") == m.leaks("so xabcdefghij klmnopq it is") == {"abcdefghij klmnopq": 1}
+    assert m.leaks("so xabcdefghij klmnopqx it is") == m.leaks("so abcdeXXhij klmnopq it is") == {}
+
+
+def test_one_item_many_times_is_one_text(spark, docs, rows, monkeypatch):
+    """Repeated and empty items are gone before blocks are cut: many blocks' worth of them are one text."""
+    text = rows[0][1][:100]
+    monkeypatch.setattr(decontamination, "ITEM_BLOCK", 150)
+    bench = spark.createDataFrame([(i, text) for i in range(300)] + [(900 + i, None) for i in range(300)] + [(2000, " ")], "item_id long, text string")
+    got = decontamination.leaking_pairs(docs, bench).collect()
+    assert len({r.item_id for r in got}) == 300 and len(got) % 300 == 0
 
 
 @pytest.mark.parametrize("text", ["Вчера вечером жители города собрались возле старой мельницы чтобы послушать рассказ мастера который много лет чинил колёса плотины лодки мосты дороги заборы крыши окна двери печи колодцы", "昨天傍晚城里的居民聚集在古老的磨坊旁边聆听一位工匠讲述他多年来修理水车堤坝船只桥梁道路屋顶门窗火炉水井的故事大家都觉得非常有趣并且久久不愿离去"])
