@@ -49,3 +49,25 @@ def merge_keywords(existing: Column, *texts: Column, fallback: Column | None = N
     if fallback is not None:
         parts.append(F.when(F.size(parts[0]) <= few, fallback).otherwise(F.array().cast("array<string>")))
     return distinct_nocase(F.concat(*parts))
+
+
+def in_turn(key: Column, values: list[str]) -> Column:
+    """One of the values, in turn by a whole number."""
+    return F.element_at(F.array(*map(F.lit, values)), (F.pmod(key, F.lit(len(values))) + 1).cast("int"))
+
+
+def bound(value: Column, body) -> Column:
+    """body of a value that is computed once, however often body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def counted(a: Column) -> Column:
+    """array<struct<term, n>> of the distinct values of an array and how often each comes, in their order: by one sort and one
+    pass over neighbours, so an array of any length takes n log n."""
+
+    def runs(s: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        return bound(starts, lambda at: F.transform(at, lambda i, k: F.struct(F.get(s, i).alias("term"), (F.coalesce(F.get(at, k + 1), F.size(s)) - i).alias("n"))))
+
+    none = F.array().cast("array<struct<term:string,n:int>>")
+    return F.when(F.size(a) > 0, bound(F.sort_array(a), runs)).otherwise(none)

@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import vectors as V
+from ..functions.arrays import counted
+from ..sources.scratch import materialize
+from .dense import Score, nearest
+from .ranges import largest
 
 #: Saturation and length normalisation of the lexical score.
 K1, B = 1.5, 0.75
@@ -29,30 +33,57 @@ def top_k(df: DataFrame, key: str, k: int, *order: Column, rank: str = "rank") -
 
 @dataclass(frozen=True)
 class Index:
-    """postings: (doc, term, tf, df, dl), all of a document's in one partition; terms: (term, df, cf) kept; stats: one row
-    (n_docs, avgdl)."""
+    """lists: (doc, terms array<struct<term, n>>), one row a document; terms: (term, df, cf) kept; lengths: (doc, dl, norm) of
+    kept terms; stats: one row (n_docs, avgdl). All are written tables."""
 
-    postings: DataFrame
+    lists: DataFrame
     terms: DataFrame
+    lengths: DataFrame
     stats: DataFrame
 
 
+def smooth_idf() -> Column:
+    return F.log((1.0 + F.col("n_docs")) / (1 + F.col("df"))) + 1
+
+
 def build_index(docs: DataFrame, id_col: str, text_col: str, least_df: int = LEAST_DF, most_terms: int = MOST_TERMS) -> Index:
     """The terms kept are those in least_df documents or more, the most frequent most_terms of them.
 
-    Token lists are dealt out by document once; term frequencies, document lengths (of kept terms) and all scores by
-    document are then found where they are. Only counts by term are shuffled besides, and the terms kept, a bounded
-    number, are broadcast. The arms of one query share this work: it is the same exchange in their plans.
-    Corpus statistics are those of `docs` as given: filter before, and they are the filtered corpus's.
+    A document is one row, so its terms are counted where it is, and written once for all that follows. Only counts by term
+    and sums by document are shuffled; the terms kept, a bounded number, are broadcast. The arms of one query read the same
+    tables. Corpus statistics are those of `docs` as given: filter before, and they are the filtered corpus's.
     """
-    lists = docs.select(F.col(id_col).alias("doc"), T.tokens(F.col(text_col)).alias("tokens")).repartition("doc")
-    tf = lists.select("doc", F.explode("tokens").alias("term")).groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf"))
-    terms = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf")).filter(F.col("df") >= least_df).orderBy(F.desc("cf"), "term").limit(most_terms)
-    kept = tf.join(F.broadcast(terms.select("term", "df")), "term")
-    length = terms.agg(F.sum("cf").alias("total"))
-    stats = docs.agg(F.count(F.lit(1)).alias("n_docs")).crossJoin(length)
+    lists = materialize(docs.select(F.col(id_col).alias("doc"), counted(T.tokens(F.col(text_col))).alias("terms")), "lists")
+    tf = lists.select("doc", F.explode("terms").alias("t")).select("doc", "t.term", F.col("t.n").cast("long").alias("tf"))
+    found = materialize(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf")).filter(F.col("df") >= least_df), "terms")
+    terms = materialize(largest(found, most_terms, "cf", "term"), "terms-kept")
+    n_docs = docs.agg(F.count(F.lit(1)).alias("n_docs"))
+    total = terms.agg(F.sum("cf").alias("total"))
     avgdl = F.coalesce(F.nullif(F.col("total") / F.col("n_docs"), F.lit(0.0)), F.lit(1.0))
-    return Index(kept.withColumn("dl", F.sum("tf").over(Window.partitionBy("doc"))), terms, stats.select("n_docs", avgdl.alias("avgdl")))
+    stats = materialize(n_docs.crossJoin(total).select("n_docs", avgdl.alias("avgdl")), "corpus")
+    weight = F.col("tf") * smooth_idf()
+    kept = tf.join(F.broadcast(terms.select("term", "df")), "term").crossJoin(F.broadcast(stats.select("n_docs")))
+    lengths = materialize(kept.groupBy("doc").agg(F.sum("tf").alias("dl"), F.sqrt(F.sum(weight * weight)).alias("norm")), "lengths")
+    return Index(lists, terms, lengths, stats)
+
+
+def query_terms(queries: DataFrame, q_id: str, q_text: str) -> DataFrame:
+    """(query, term, qtf)"""
+    return queries.select(F.col(q_id).alias("query"), F.explode(counted(T.tokens(F.col(q_text)))).alias("t")).select("query", "t.term", F.col("t.n").alias("qtf"))
+
+
+def matched(terms: DataFrame, index: Index) -> DataFrame:
+    """(doc, term, tf, df, dl, norm) of the documents' terms that any of the queries' terms is.
+
+    The queries' vocabulary meets the lists where they are; only pairs that hit move, to meet their document's length. A
+    vocabulary too large to broadcast is taken in blocks, each a pass over the lists.
+    """
+    vocabulary = materialize(index.terms.select("term", "df").join(terms.select("term").distinct(), "term", "left_semi"), "vocabulary")
+    out = []
+    for mine in in_blocks(vocabulary, "term"):
+        hits = index.lists.select("doc", F.explode("terms").alias("t")).select("doc", "t.term", F.col("t.n").cast("long").alias("tf")).join(F.broadcast(mine), "term")
+        out.append(hits)
+    return reduce(DataFrame.unionByName, out).join(index.lengths, "doc")
 
 
 def in_blocks(queries: DataFrame, key: str, most_rows: int = BLOCK_ROWS) -> list[DataFrame]:
@@ -65,36 +96,37 @@ def _each(blocks: list[DataFrame], score: Callable[[DataFrame], DataFrame]) -> D
     return reduce(DataFrame.unionByName, [score(b) for b in blocks])
 
 
-def bm25_scores(queries: DataFrame, index: Index, q_id: str, q_text: str) -> DataFrame:
+def bm25_scores(queries: DataFrame, index: Index, q_id: str, q_text: str, hits: DataFrame | None = None) -> DataFrame:
     """(query, doc, score) of all documents that share a kept term with a query.
 
-    The queries' terms meet the postings first, so weights are computed for matching ones alone; sums are by document,
-    where the postings are, so no pair is shuffled and no frequent term is a hot key. A top k after this moves k rows a
-    query out of each partition.
+    hits: what `matched` gives for these queries, where several arms use it. Pairs that hit are dealt by document, and meet
+    the queries there, so sums by query and document need no further shuffle. A top k after this moves k rows a query out of
+    each partition.
     """
-    terms = queries.select(F.col(q_id).alias("query"), F.explode(F.array_distinct(T.tokens(F.col(q_text)))).alias("term"))
+    terms = query_terms(queries, q_id, q_text).select("query", "term")
+    hits = matched(terms, index) if hits is None else hits
     idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weight = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
+    # One row of statistics: the only cross joins here are with it.
+    weighed = hits.crossJoin(F.broadcast(index.stats)).select("doc", "term", weight.alias("w"))
 
     def score(mine: DataFrame) -> DataFrame:
-        # One row of statistics: the only cross joins here are with it.
-        hits = index.postings.join(F.broadcast(mine), "term").crossJoin(F.broadcast(index.stats))
-        return hits.select("query", "doc", weight.alias("w")).groupBy("query", "doc").agg(F.sum("w").alias("score"))
+        return weighed.join(F.broadcast(mine), "term").groupBy("query", "doc").agg(F.sum("w").alias("score"))
 
     return _each(in_blocks(terms, "query"), score)
 
 
-def tfidf_cosine(queries: DataFrame, index: Index, q_id: str, q_text: str) -> DataFrame:
-    """(query, doc, score): cosine of tf-idf vectors over the terms kept, a dense arm that needs no encoder."""
-    idf = F.log((1.0 + F.col("n_docs")) / (1 + F.col("df"))) + 1
+def tfidf_cosine(queries: DataFrame, index: Index, q_id: str, q_text: str, hits: DataFrame | None = None) -> DataFrame:
+    """(query, doc, score): cosine of tf-idf vectors over the terms kept, a dense arm that needs no encoder. hits: see
+    `bm25_scores`."""
+    terms = query_terms(queries, q_id, q_text)
+    hits = matched(terms, index) if hits is None else hits
     one = F.broadcast(index.stats.select("n_docs"))
-    doc = index.postings.crossJoin(one).select("doc", "term", (F.col("tf") * idf).alias("w"))
-    doc = doc.withColumn("norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc"))))
-    terms = queries.select(F.col(q_id).alias("query"), F.explode(T.tokens(F.col(q_text))).alias("term")).groupBy("query", "term").agg(F.count(F.lit(1)).alias("qtf"))
-    q = terms.join(index.terms.select("term", "df"), "term").crossJoin(one).select("query", "term", (F.col("qtf") * idf).alias("qw"))
-    q = q.withColumn("qnorm", F.sqrt(F.sum(F.col("qw") * F.col("qw")).over(Window.partitionBy("query"))))
+    q = terms.join(index.terms.select("term", "df"), "term").crossJoin(one).select("query", "term", (F.col("qtf") * smooth_idf()).alias("qw"))
+    q = materialize(q.withColumn("qnorm", F.sqrt(F.sum(F.col("qw") * F.col("qw")).over(Window.partitionBy("query")))), "query-weights")
+    weighed = hits.crossJoin(one).select("doc", "term", (F.col("tf") * smooth_idf()).alias("w"), "norm")
     score = (F.sum(F.col("qw") * F.col("w")) / F.max(F.col("qnorm") * F.col("norm"))).alias("score")
-    return _each(in_blocks(q, "query"), lambda mine: doc.join(F.broadcast(mine), "term").groupBy("query", "doc").agg(score))
+    return _each(in_blocks(q, "query"), lambda mine: weighed.join(F.broadcast(mine), "term").groupBy("query", "doc").agg(score))
 
 
 def dice_pairs(queries: DataFrame, docs: DataFrame, q_id: str, q_text: str, d_id: str, d_text: str) -> DataFrame:
@@ -120,13 +152,12 @@ def cosine_scores(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id"
     return _each(in_blocks(q, "query", VECTOR_ROWS), lambda mine: base.join(F.broadcast(mine), other if on is None else on & other).select("query", "doc", cos, *keep))
 
 
-def cosine_top_k(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(query, doc, score, rank): exact nearest vectors of a stated query set.
+def cosine_top_k(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding", others: bool = True, score: Score | None = None, extra: tuple[str, ...] = ()) -> DataFrame:
+    """(query, doc, score, rank): exact nearest vectors of a stated query set, by matrix products (see dense.nearest).
 
-    Each partition keeps its k best of each query before the shuffle.
+    Each task hands on its k best of each query.
     """
-    scored = cosine_scores(vectors, queries.select(id_col, vector_col), id_col, vector_col).withColumnRenamed("cos", "score")
-    return top_k(scored, "query", k, F.desc("score"), F.col("doc"))
+    return top_k(nearest(vectors, queries, k, id_col, vector_col, others, score, extra), "query", k, F.desc("score"), F.col("doc"))
 
 
 def union_candidates(*arms: DataFrame) -> DataFrame:

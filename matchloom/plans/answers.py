@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import structs as X
 from ..functions import text as T
+from ..functions.arrays import in_turn
 from ..operators import llm_output as L
 from ..operators import models as M
 from ..operators import retrieval as R
@@ -14,21 +15,26 @@ from ..sources.readers import table
 from .registry import query
 from .retrieval import _ALL_DOCS, _index_sql
 
+#: Forms of scoring answers, by turn: D is an id, S a score; and the items that they hold.
 _SCORE_ANSWERS = (
-    '{"results": [{"id": 1, "score": 87.5, "reason": " good "}, {"id": 2, "score": 130, "reason": "over"}, {"id": 3, "score": -4, "reason": ""}]}',
-    'text before {"results": [{"id": 7, "score": 42, "reason": "ok"}, {"score": 3}]} and after',
-    '{"results": [{"id": 1, "score": 88, "reason": "ok"}, {"id": 2, "sco',
-    '{"results": [{"id": 1, "score": 5, "reason": "first"}, {"id": 1, "score": 6, "reason": "last"}]}',
+    '{"results": [{"id": D, "score": S.5, "reason": " good "}, {"id": 1D, "score": 130, "reason": "over"}, {"id": 2D, "score": -4, "reason": ""}]}',
+    'text before {"results": [{"id": D, "score": S, "reason": "ok"}, {"score": 3}]} and after',
+    '{"results": [{"id": D, "score": S, "reason": "ok"}, {"id": 2, "sco',
+    '{"results": [{"id": D, "score": 5, "reason": "first"}, {"id": D, "score": S, "reason": "last"}]}',
     "no answer",
-    ' [{"reason": "any order", "score": 61.5, "id": 4}, {"id": 5, "score": 200, "reason": "bare"}] ',
-    '[{"id": 6, "score": 7, "reason": "cut"}, {"id": 8, "sc',
+    ' [{"reason": "any order", "score": S.5, "id": D}, {"id": 1D, "score": 200, "reason": "bare"}] ',
+    '[{"id": D, "score": S, "reason": "cut"}, {"id": 8, "sc',
 )
 
 
-@query("""SELECT * FROM (VALUES (1, 1, 88, 'good'), (1, 2, 100, 'over'), (1, 3, 0, ''), (2, 7, 42, 'ok'), (3, 1, 88, 'ok'), (4, 1, 6, 'last'), (6, 4, 62, 'any order'), (6, 5, 100, 'bare'), (7, 6, 7, 'cut')) AS t(n, id, score, reason)""")
+@query("""WITH d AS (SELECT doc_id AS n, doc_id % 7 AS k, doc_id AS d, CAST('1' || doc_id AS BIGINT) AS d1, CAST('2' || doc_id AS BIGINT) AS d2, n_chars % 90 AS s, CAST(round_even(n_chars % 90 + 0.5::DOUBLE, 0) AS BIGINT) AS r FROM documents),
+a AS (SELECT n, unnest(CASE CAST(k AS INTEGER) WHEN 0 THEN [{'id': d, 'score': r, 'reason': 'good'}, {'id': d1, 'score': 100, 'reason': 'over'}, {'id': d2, 'score': 0, 'reason': ''}] WHEN 1 THEN [{'id': d, 'score': s, 'reason': 'ok'}] WHEN 2 THEN [{'id': d, 'score': s, 'reason': 'ok'}]
+  WHEN 3 THEN [{'id': d, 'score': s, 'reason': 'last'}] WHEN 5 THEN [{'id': d, 'score': r, 'reason': 'any order'}, {'id': d1, 'score': 100, 'reason': 'bare'}] WHEN 6 THEN [{'id': d, 'score': s, 'reason': 'cut'}] ELSE [] END) AS x FROM d)
+SELECT n, x.id AS id, x.score AS score, x.reason AS reason FROM a""")
 def parse_scores(spark: SparkSession, sf: str) -> DataFrame:
-    d = spark.createDataFrame(list(enumerate(_SCORE_ANSWERS, 1)), "n int, answer string")
-    return d.select("n", F.inline(L.parse_scores(F.col("answer"))))
+    """Scoring answers in all forms, whole, wrapped, cut and bare, with ids and scores of all documents."""
+    form = F.replace(F.replace(in_turn(F.col("doc_id"), [*_SCORE_ANSWERS]), F.lit("D"), F.col("doc_id").cast("string")), F.lit("S"), (F.col("n_chars") % 90).cast("string"))
+    return table(spark, sf, "documents").select(F.col("doc_id").alias("n"), F.inline(L.parse_scores(form)))
 
 
 @query("""SELECT conv_id, turn, CAST(least(100, round_even(length(text)::DOUBLE / 10, 0)) AS INTEGER) AS score, role AS reason FROM conversations""")
@@ -40,24 +46,26 @@ def parse_scores_table(spark: SparkSession, sf: str) -> DataFrame:
     return c.select("conv_id", "turn", F.inline(L.parse_scores(answer))).select("conv_id", "turn", "score", "reason")
 
 
-_KEYWORD_ANSWERS = ('{"keywords": ["AI", " ai ", "센서", ""]}', 'x "keywords": ["one", "two", "ONE"', '{"keywords": ["a b", "c"] broken', "none")
-
-
-@query("SELECT * FROM (VALUES (1, 'AI;센서'), (2, ''), (3, 'a b;c'), (4, '')) AS t(n, keywords)")
+@query("""SELECT doc_id, CASE CAST(doc_id % 4 AS INTEGER) WHEN 0 THEN 'AI;' || coalesce(lang, '?') WHEN 2 THEN 'a b;' || coalesce(source, '?') ELSE '' END AS keywords FROM documents""")
 def parse_keywords(spark: SparkSession, sf: str) -> DataFrame:
-    d = spark.createDataFrame(list(enumerate(_KEYWORD_ANSWERS, 1)), "n int, answer string")
-    return d.select("n", F.array_join(L.parse_keywords(F.col("answer")), ";").alias("keywords"))
+    """Keyword answers, whole, open, followed by more, and none."""
+    k, word = F.col("doc_id") % 4, lambda c: F.coalesce(c, F.lit("?"))
+    answer = F.when(k == 0, F.concat(F.lit('{"keywords": ["AI", " ai ", "'), word("lang"), F.lit('", ""]}'))).when(k == 1, 'x "keywords": ["one", "two", "ONE"')
+    answer = answer.when(k == 2, F.concat(F.lit('{"keywords": ["a b", "'), word("source"), F.lit('"] broken'))).otherwise("none")
+    return table(spark, sf, "documents").select("doc_id", F.array_join(L.parse_keywords(answer), ";").alias("keywords"))
 
 
 _SECTIONS = ("연관성", "우수성")
-_SECTION_ANSWERS = ('{"연관성": "높다.", "우수성": ["하나", "둘"]}', "[연관성] 본문 하나\n\n[우수성] 본문 둘", '{"연관성": "[대괄호 안]"}')
 
 
-@query("SELECT * FROM (VALUES (1, '높다.', '하나 둘'), (2, '본문 하나', '본문 둘'), (3, '대괄호 안', '')) AS t(n, relation, merit)")
+@query("""SELECT c_custkey, CASE CAST(c_custkey % 3 AS INTEGER) WHEN 0 THEN c_mktsegment || ' 높다.' WHEN 1 THEN '본문 ' || c_mktsegment ELSE c_name || ' 안' END AS relation, CASE CAST(c_custkey % 3 AS INTEGER) WHEN 0 THEN '하나 ' || c_name WHEN 1 THEN c_name || ' 둘' ELSE '' END AS merit FROM customer""")
 def parse_sections(spark: SparkSession, sf: str) -> DataFrame:
-    d = spark.createDataFrame(list(enumerate(_SECTION_ANSWERS, 1)), "n int, answer string")
-    found = L.parse_sections(F.col("answer"), _SECTIONS)
-    return d.select("n", F.element_at(found, _SECTIONS[0]).alias("relation"), F.element_at(found, _SECTIONS[1]).alias("merit"))
+    """Explanations as an object, with a list among its values, by headers, and with a value in brackets."""
+    k, name, segment = F.col("c_custkey") % 3, F.col("c_name"), F.col("c_mktsegment")
+    answer = F.when(k == 0, F.concat(F.lit('{"연관성": "'), segment, F.lit(' 높다.", "우수성": ["하나", "'), name, F.lit('"]}')))
+    answer = answer.when(k == 1, F.concat(F.lit("[연관성] 본문 "), segment, F.lit("\n\n[우수성] "), name, F.lit(" 둘"))).otherwise(F.concat(F.lit('{"연관성": "['), name, F.lit(' 안]"}')))
+    found = L.parse_sections(answer, _SECTIONS)
+    return table(spark, sf, "customer").select("c_custkey", F.element_at(found, _SECTIONS[0]).alias("relation"), F.element_at(found, _SECTIONS[1]).alias("merit"))
 
 
 _DETAIL = "SELECT conv_id, turn, '[A] ' || role || chr(10) || chr(10) || '[B] ' || trim(replace(replace(text, '[', ''), ']', ''), ' ' || chr(10)) AS detail FROM conversations"

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.arrays import in_turn
 from ..sources.readers import table
 from .registry import query
 
 
+
 @query("""WITH f AS (SELECT o_orderkey, (['yes', '1', 't', 'Y', 'true', 'no', '0', 'F', 'N', '?', '', 'nan'])[CAST(o_orderkey % 12 AS INTEGER) + 1] AS flag FROM orders)
 SELECT o_orderkey, flag, CASE WHEN upper(flag) IN ('Y', 'YES', '1', 'TRUE', 'T') THEN 'Y' WHEN upper(flag) IN ('N', 'NO', '0', 'FALSE', 'F') THEN 'N' ELSE '' END AS yn FROM f""")
 def yn_flag(spark: SparkSession, sf: str) -> DataFrame:
@@ -35,13 +37,14 @@ def percentile_class(spark: SparkSession, sf: str) -> DataFrame:
     return p.select("p_partkey", "p_brand", step.alias("top_percent"))
 
 
-_MONEY = (("250000000", "2.5억원"), ("25000", "2만원"), ("900", "900원"), ("35000.0", "4만원"), ("123456789012", "1234.6억원"), ("", "-"), ("미정", "미정"), ("99990000", "9,999만원"), ("1250000", "125만원"))
-
-
-@query(f"SELECT * FROM (VALUES {', '.join(map(str, _MONEY))}) AS t(won, money)")
+@query("""WITH p AS (SELECT o_orderkey, CASE CAST(o_orderkey % 5 AS INTEGER) WHEN 0 THEN CAST(round(o_totalprice * 1000) AS BIGINT) WHEN 1 THEN CAST(floor(o_totalprice) AS BIGINT) WHEN 2 THEN CAST(floor(o_totalprice / 100) AS BIGINT) END AS w, o_orderkey % 5 AS k FROM orders)
+SELECT o_orderkey, CASE k WHEN 3 THEN '-' WHEN 4 THEN '미정' ELSE CASE WHEN w >= 100000000 THEN printf('%.1f', w / 100000000.0::DOUBLE) || '억원' WHEN w >= 10000 THEN format('{:,}', CAST(round_even(w / 10000.0::DOUBLE, 0) AS BIGINT)) || '만원' ELSE format('{:,}', w) || '원' END END AS money FROM p""")
 def money_format(spark: SparkSession, sf: str) -> DataFrame:
-    d = spark.createDataFrame([(w,) for w, _ in _MONEY], "won string")
-    return d.withColumn("money", T.money_cell(F.col("won")))
+    """Amounts that arrive as text: whole, with a trailing .0, blank, and words."""
+    k, price = F.col("o_orderkey") % 5, F.col("o_totalprice")
+    whole = lambda c: c.cast("long").cast("string")
+    won = F.when(k == 0, whole(F.round(price * 1000))).when(k == 1, F.concat(whole(F.floor(price)), F.lit(".0"))).when(k == 2, whole(F.floor(price / 100))).when(k == 3, " ").otherwise("미정")
+    return table(spark, sf, "orders").select("o_orderkey", T.money_cell(won).alias("money"))
 
 
 @query("""WITH d AS (SELECT o_orderkey, CASE CAST(o_orderkey % 4 AS INTEGER) WHEN 0 THEN strftime(o_orderdate, '%Y%m%d') WHEN 1 THEN strftime(o_orderdate, '%Y%m00') WHEN 2 THEN strftime(o_orderdate, '%Y0000') ELSE 'n/a' END AS raw FROM orders)
@@ -65,40 +68,39 @@ def html_escape(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "pages").select("page_id", F.md5(T.html_escape(F.col("html"))).alias("escaped_md5"), F.regexp_extract("url", "^https?://([^/]+)", 1).alias("host"))
 
 
-_DESCRIPTIONS = (
-    ("이 과제는 2019년 3월 1일에 시작하여 2021년 12월 31일에 종료되었고, 정보통신 분야에 속한다.", "2019년 ~ 2021년", "정보통신"),
-    ("2020년 1월 1일에 시작되어 2020년 12월 31일에 종료된 이 과제는 생명과학 분야에 해당한다.", "2020년", "생명과학"),
-    ("2018년에 수행하며 기계 설계 분야에 속하는 과제.", "2018년", "기계 설계"),
-    ("연도도 없고 아무것도 없다.", None, None),
-)
+_FIELDS = ["정보통신", "생명과학", "기계 설계", "정보.통신", "과제 연구"]
 
 
-@query(f"SELECT * FROM (VALUES {', '.join(str(r).replace('None', 'NULL') for r in _DESCRIPTIONS)}) AS t(descr, period, class)")
+@query(f"""WITH d AS (SELECT o_orderkey, o_orderkey % 6 AS k, year(o_orderdate) AS y, year(o_orderdate) + o_orderkey % 3 AS z, ({_FIELDS})[CAST(o_orderkey // 6 % 5 AS INTEGER) + 1] AS field FROM orders)
+SELECT o_orderkey, CASE WHEN k = 5 THEN NULL WHEN k = 0 AND y <> z THEN y || '년 ~ ' || z || '년' ELSE y || '년' END AS period, CASE WHEN k = 5 OR field = '과제 연구' THEN NULL ELSE replace(field, '.', '·') END AS class FROM d""")
 def period_and_class(spark: SparkSession, sf: str) -> DataFrame:
-    d = spark.createDataFrame([(r[0],) for r in _DESCRIPTIONS], "descr string")
-    return d.select("descr", T.period_cell(F.col("descr")).alias("period"), T.subject_class(F.col("descr")).alias("class"))
+    """Years and field of descriptions in several phrasings; a field that names the project itself is none."""
+    o = table(spark, sf, "orders")
+    k, y, field = F.col("o_orderkey") % 6, F.year("o_orderdate").cast("string"), in_turn(F.floor(F.col("o_orderkey") / 6), _FIELDS)
+    z = (F.year("o_orderdate") + F.col("o_orderkey") % 3).cast("string")
+    descr = F.when(k == 0, F.concat(F.lit("이 과제는 "), y, F.lit("년 3월 1일에 시작하여 "), z, F.lit("년 12월 31일에 종료되었고, "), field, F.lit(" 분야에 속한다.")))
+    descr = descr.when(k == 1, F.concat(y, F.lit("년 1월 1일에 시작되어 "), y, F.lit("년 12월 31일에 종료된 이 과제는 "), field, F.lit(" 분야에 해당한다.")))
+    descr = descr.when(k == 2, F.concat(y, F.lit("년에 수행하며 "), field, F.lit(" 분야에 속하는 과제."))).when(k == 3, F.concat(y, F.lit("년 사업에서는 "), field, F.lit(" 분야의 연구를 한다.")))
+    descr = descr.when(k == 4, F.concat(y, F.lit("년의 연구는 "), field, F.lit(" 분야에서 이루어진다."))).otherwise("연도도 없고 아무것도 없다.")
+    return o.select("o_orderkey", T.period_cell(descr).alias("period"), T.subject_class(descr).alias("class"))
 
 
-_SENTENCES = (("좋은 결과입니다.이 과제는", "좋은 결과입니다. 이 과제는"), ("3.2억원", "3.2억원"), ("H.264", "H.264"), ("β-1,3", "β-1,3"), ("성장률 5%.다음", "성장률 5%. 다음"), ("끝.", "끝."), ("(참고).그리고", "(참고). 그리고"))
+_SENTENCES = {"좋은 결과입니다.이 과제는": "좋은 결과입니다. 이 과제는", "3.2억원": "3.2억원", "H.264": "H.264", "β-1,3": "β-1,3", "성장률 5%.다음": "성장률 5%. 다음", "끝.": "끝. ", "(참고).그리고": "(참고). 그리고"}
 
 
-@query(f"SELECT * FROM (VALUES {', '.join(map(str, _SENTENCES))}) AS t(raw, spaced)")
+@query(f"SELECT p_partkey, ({[*_SENTENCES.values()]})[CAST(p_partkey % 7 AS INTEGER) + 1] || p_name || '. ' || p_size || '.5' AS spaced FROM part")
 def spacing_fix(spark: SparkSession, sf: str) -> DataFrame:
-    d = spark.createDataFrame([(r,) for r, _ in _SENTENCES], "raw string")
-    return d.withColumn("spaced", T.fix_spacing(F.col("raw")))
-
-
-_ABSENT = (
-    ("우수한 과제이다. 관련 정보가 없다. 실적이 많다.", "우수한 과제이다. 실적이 많다."),
-    ("해당 내용은 생략합니다.", "해당 내용은 생략합니다."),
-    ("특허가 3건 있다.", "특허가 3건 있다."),
-)
+    raw = F.concat(in_turn(F.col("p_partkey"), [*_SENTENCES]), "p_name", F.lit(". "), F.col("p_size").cast("string"), F.lit(".5"))
+    return table(spark, sf, "part").select("p_partkey", T.fix_spacing(raw).alias("spaced"))
 
 
-@query(f"SELECT * FROM (VALUES {', '.join(map(str, _ABSENT))}) AS t(raw, scrubbed)")
+@query("""SELECT c_custkey, CASE CAST(c_custkey % 5 AS INTEGER) WHEN 0 THEN c_name || '은 우수한 기업이다. ' || c_mktsegment || ' 실적이 많다.' WHEN 1 THEN '해당 내용은 생략합니다.' WHEN 2 THEN c_name || '의 특허가 3건 있다.' WHEN 3 THEN c_mktsegment || ' 기업이 존재하지 않는다. ' || c_name || ' 자료는 제공되지 않았다.' ELSE '끝이다.' END AS scrubbed FROM customer""")
 def absence_scrub(spark: SparkSession, sf: str) -> DataFrame:
-    d = spark.createDataFrame([(r,) for r, _ in _ABSENT], "raw string")
-    return d.withColumn("scrubbed", T.scrub_absence(F.col("raw")))
+    """Sentences that tell of missing information go, unless nothing else is there."""
+    k, name, segment = F.col("c_custkey") % 5, F.col("c_name"), F.col("c_mktsegment")
+    raw = F.when(k == 0, F.concat(name, F.lit("은 우수한 기업이다. 관련 정보가 없다. "), segment, F.lit(" 실적이 많다."))).when(k == 1, "해당 내용은 생략합니다.").when(k == 2, F.concat(name, F.lit("의 특허가 3건 있다.")))
+    raw = raw.when(k == 3, F.concat(segment, F.lit(" 기업이 존재하지 않는다. "), name, F.lit(" 자료는 제공되지 않았다."))).otherwise(F.concat(name, F.lit(" 내용은 확인되지 않아요. 끝이다.")))
+    return table(spark, sf, "customer").select("c_custkey", T.scrub_absence(raw).alias("scrubbed"))
 
 
 @query(r"""WITH t AS (SELECT doc_id, split_part(text, chr(10), 1) || ' (출처: ' || source || ')' AS head FROM documents)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import arrays as A
 from ..functions import text as T
+from ..functions.arrays import in_turn
 from ..operators.llm_output import fill_keywords
 from ..sources.readers import table
 from .registry import query
@@ -41,31 +42,31 @@ def keyword_fallback(spark: SparkSession, sf: str) -> DataFrame:
     return d.select("doc_id", F.array_join(fill_keywords(F.col("have"), rule, boilerplate=("the", "that")), ";").alias("keywords"))
 
 
-_INPUTS = (
-    "반도체 제품 도매업, 반도체도매업",
-    "정밀화학공업 및 관련된 서비스",
-    "생명공학에 이용한 원료의약품의 개발하는 기술",
-    "AI 기반 5G 030301 EH030301 MP3 RS232 H264",
-    "스마트팩토리를 위한 IoT 센서 활용하여 구축",
-    "업 업체 RFID-태그 제조업",
-    "",
-)
-_NOUNS = ("반도체;반도체", "정밀화학", "생명공학;원료의약품", "AI;기반;5G;MP3;H264", "스마트팩토리;IoT;센서", "RFID;태그", "")
+_NOUNS = {
+    "반도체 제품 도매업, 반도체도매업": "반도체;반도체",
+    "정밀화학공업 및 관련된 서비스": "정밀화학",
+    "생명공학에 이용한 원료의약품의 개발하는 기술": "생명공학;원료의약품",
+    "AI 기반 5G 030301 EH030301 MP3 RS232 H264": "AI;기반;5G;MP3;H264",
+    "스마트팩토리를 위한 IoT 센서 활용하여 구축": "스마트팩토리;IoT;센서",
+    "업 업체 RFID-태그 제조업": "RFID;태그",
+}
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"({n}, '{i}', '{k}')" for n, (i, k) in enumerate(zip(_INPUTS, _NOUNS, strict=True), 1)) + ") AS t(n, input, nouns)")
+@query(f"SELECT c_custkey, ({[*_NOUNS.values()]})[CAST(c_custkey % 6 AS INTEGER) + 1] || ';' || replace(c_mktsegment, ' ', ';') || ';Customer' AS nouns FROM customer")
 def noun_normalize_ko(spark: SparkSession, sf: str) -> DataFrame:
-    rows = spark.createDataFrame(list(enumerate(_INPUTS, 1)), "n int, input string")
-    return rows.select("n", "input", F.array_join(T.noun_keywords(F.col("input")), ";").alias("nouns"))
+    """Descriptions of a business in Korean, its segment and a name with a code, as noun keywords."""
+    text = F.concat(in_turn(F.col("c_custkey"), [*_NOUNS]), F.lit(" / "), "c_mktsegment", F.lit(" 관련 "), "c_name")
+    return table(spark, sf, "customer").select("c_custkey", F.array_join(T.noun_keywords(text), ";").alias("nouns"))
 
 
-_CODES = ("030301", "2024", "EH030301", "RS232", "5G", "3D", "4K", "MP3", "H264", "AI", "IoT", "RFID", "가1234", "abc", "12a")
-
-
-@query(f"SELECT v AS token, (NOT regexp_matches(v, '[가-힣]')) AND (regexp_full_match(v, '[0-9]+') OR (regexp_full_match(v, '[A-Za-z0-9]{{5,}}') AND regexp_matches(v, '[A-Za-z]') AND regexp_matches(v, '[0-9]'))) AS code FROM (SELECT unnest({list(_CODES)}) AS v)")
+@query("""WITH t AS (SELECT p_partkey, CASE CAST(p_partkey % 7 AS INTEGER) WHEN 0 THEN p_partkey::VARCHAR WHEN 1 THEN 'EH' || lpad(p_partkey::VARCHAR, 6, '0') WHEN 2 THEN 'K' || (p_partkey % 100) WHEN 3 THEN '가' || p_partkey WHEN 4 THEN p_brand WHEN 5 THEN split_part(p_name, ' ', 1) ELSE replace(p_brand, '#', '') END AS v FROM part)
+SELECT p_partkey, v AS token, (NOT regexp_matches(v, '[가-힣]')) AND (regexp_full_match(v, '[0-9]+') OR (regexp_full_match(v, '[A-Za-z0-9]{5,}') AND regexp_matches(v, '[A-Za-z]') AND regexp_matches(v, '[0-9]'))) AS code FROM t""")
 def meaningless_code(spark: SparkSession, sf: str) -> DataFrame:
-    rows = spark.createDataFrame([(c,) for c in _CODES], "token string")
-    return rows.select("token", T.is_meaningless_code(F.col("token")).alias("code"))
+    """Numbers, brands and words of parts: which are codes that tell nothing."""
+    k, key = F.col("p_partkey") % 7, F.col("p_partkey").cast("string")
+    token = F.when(k == 0, key).when(k == 1, F.concat(F.lit("EH"), F.lpad(key, 6, "0"))).when(k == 2, F.concat(F.lit("K"), (F.col("p_partkey") % 100).cast("string"))).when(k == 3, F.concat(F.lit("가"), key))
+    token = token.when(k == 4, F.col("p_brand")).when(k == 5, F.split_part("p_name", F.lit(" "), F.lit(1))).otherwise(F.replace("p_brand", F.lit("#"), F.lit("")))
+    return table(spark, sf, "part").select("p_partkey", token.alias("token")).withColumn("code", T.is_meaningless_code(F.col("token")))
 
 
 _NOCASE = "list_filter({a}, lambda x, i: list_position(list_transform({a}, lambda y: lower(y)), lower(x)) = i)"

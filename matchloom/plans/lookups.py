@@ -9,6 +9,7 @@ from ..functions import arrays as A
 from ..functions import text as T
 from ..functions import vectors as V
 from ..functions import words as W
+from ..functions.arrays import in_turn
 from ..operators import enrichment as E
 from ..operators import selection as S
 from ..sources.readers import table
@@ -97,12 +98,16 @@ def region_relation(spark: SparkSession, sf: str) -> DataFrame:
     return j.groupBy("c_custkey").agg(F.count_if(F.col("rel") == "same").alias("n_same"), F.count_if(F.col("rel") == "similar").alias("n_similar"), F.count(F.lit(1)).alias("n"), F.bool_or(F.col("rel") == "same").alias("has_same"))
 
 
-_REGIONS = (("대전", "세종"), ("강원", "강원"), ("강원", "서울"), ("울산", "부산"), ("제주", "제주"), ("서울", "경기"), ("", "서울"), ("광주", ""))
+_REGIONS = ["서울", "경기", "인천", "충남", "대전", "세종", "전북", "광주", "경북", "울산", "부산", "강원", "제주", ""]
 
 
-@query("SELECT * FROM (VALUES ('대전', '세종', 'similar'), ('강원', '강원', 'same'), ('강원', '서울', 'none'), ('울산', '부산', 'none'), ('제주', '제주', 'same'), ('서울', '경기', 'similar'), ('', '서울', NULL), ('광주', '', NULL)) AS t(own, other, relation)")
+@query(f"""WITH g(region, grp) AS (VALUES ('서울', 1), ('경기', 1), ('인천', 1), ('충남', 2), ('대전', 2), ('세종', 2), ('전북', 3), ('광주', 3), ('경북', 4), ('부산', 4)),
+s AS (SELECT s_suppkey, ({_REGIONS})[CAST(s_suppkey % 14 AS INTEGER) + 1] AS own, ({_REGIONS})[CAST(s_nationkey * 3 % 14 AS INTEGER) + 1] AS other FROM supplier)
+SELECT s_suppkey, own, other, CASE WHEN own = '' OR other = '' THEN NULL WHEN own = other THEN 'same' WHEN a.grp = b.grp THEN 'similar' ELSE 'none' END AS relation FROM s LEFT JOIN g a ON a.region = own LEFT JOIN g b ON b.region = other""")
 def region_relation_ko(spark: SparkSession, sf: str) -> DataFrame:
-    d = spark.createDataFrame(list(_REGIONS), "own string, other string")
+    """Regions of suppliers against another one: the same, of one group of regions, or none."""
+    own, other = in_turn(F.col("s_suppkey"), _REGIONS), in_turn(F.col("s_nationkey") * 3, _REGIONS)
+    d = table(spark, sf, "supplier").select("s_suppkey", own.alias("own"), other.alias("other"))
     return d.withColumn("relation", E.region_relation(F.col("own"), F.col("other"), E.region_group(F.col("own")), E.region_group(F.col("other"))))
 
 

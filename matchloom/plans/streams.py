@@ -2,27 +2,15 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.readers import table
+from ..sources.scratch import new_folder
 from ..streaming.resume import process_once, windowed_counts
 from .registry import query
 
 
-def _folder(spark: SparkSession, name: str) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="matchloom-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def _events(spark: SparkSession, sf: str) -> DataFrame:
     path = f"{sf}/events.parquet"
     # A stream reads folders: the pattern matches the table, be it a folder of parts or one file.
@@ -38,7 +26,7 @@ def _is_file(spark: SparkSession, path: str) -> bool:
 SELECT user_id, event_type, event_id, value FROM f WHERE nth = 1""")
 def stream_resume_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Each key once, by a stream that is run twice over the same input: the second run finds nothing to do."""
-    out, checkpoint = _folder(spark, "stream-out"), _folder(spark, "stream-checkpoint")
+    out, checkpoint = new_folder(spark, "stream-out"), new_folder(spark, "stream-checkpoint")
     for _ in range(2):
         process_once(_events(spark, sf), ["user_id", "event_type"], ["ts", "event_id"], out, checkpoint).awaitTermination()
     return spark.read.parquet(out).select("user_id", "event_type", "event_id", "value")
@@ -47,7 +35,7 @@ def stream_resume_dedup(spark: SparkSession, sf: str) -> DataFrame:
 @query("""SELECT time_bucket(INTERVAL '1 hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2""")
 def stream_hourly_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Tumbling hourly counts of a stream, with a day for late events; its state is dropped after that."""
-    out, checkpoint = _folder(spark, "hours-out"), _folder(spark, "hours-checkpoint")
+    out, checkpoint = new_folder(spark, "hours-out"), new_folder(spark, "hours-checkpoint")
     events = _events(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
     counts = windowed_counts(events, "ts", "event_type", "1 hour", "1 day")
 
