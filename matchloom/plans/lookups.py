@@ -188,14 +188,13 @@ def zip_names(spark: SparkSession, sf: str) -> DataFrame:
     return pairs.select("n_nationkey", (F.col("pos") + 1).alias("pos"), F.col("col")["0"].alias("id"), F.col("col")["1"].alias("name"))
 
 
-@query("""WITH v AS (SELECT label, list_transform(embedding, lambda x: x::DOUBLE) AS e, CASE WHEN vec_id % 3 = 0 THEN 0 ELSE 1 END AS m, vec_id FROM embeddings),
-d AS (SELECT label, generate_subscripts(e, 1) AS i, unnest(e) AS x FROM v WHERE m = 1), a AS (SELECT label, i, sum(x) / (SELECT count(*) FROM v w WHERE w.label = d.label AND m = 1) AS x FROM d GROUP BY 1, 2),
-n AS (SELECT label, sqrt(sum(x * x)) AS l FROM a GROUP BY 1)
-SELECT label, round(sum(x / l), 5) AS total, round(max(x / l), 5) AS most FROM a JOIN n USING (label) GROUP BY 1""")
+@query("""WITH v AS (SELECT vec_id // 8 AS text_id, list_transform(embedding, lambda x: x::DOUBLE) AS e, vec_id % 3 <> 0 AS used FROM embeddings),
+d AS (SELECT text_id, generate_subscripts(e, 1) AS i, unnest(e) AS x FROM v WHERE used), a AS (SELECT text_id, i, avg(x) AS x FROM d GROUP BY 1, 2),
+n AS (SELECT text_id, sqrt(sum(x * x)) AS l FROM a GROUP BY 1), p AS (SELECT text_id, round(sum(x / l), 5) AS total, round(max(x / l), 5) AS most FROM a JOIN n USING (text_id) GROUP BY 1)
+SELECT text_id, coalesce(total, 0) AS total, coalesce(most, 0) AS most FROM (SELECT DISTINCT text_id FROM v) LEFT JOIN p USING (text_id)""")
 def mean_pooling(spark: SparkSession, sf: str) -> DataFrame:
-    """Masked mean of vectors, scaled to length 1. Groups of any size: sums are by dimension, pre-aggregated."""
-    v = table(spark, sf, "embeddings").filter("vec_id % 3 <> 0").select("label", F.posexplode("embedding").alias("i", "x"))
-    mean = v.groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("x"))
-    pooled = mean.groupBy("label").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("v"))
-    unit = V.l2_normalize(F.col("v"))
-    return pooled.select("label", F.round(F.aggregate(unit, F.lit(0.0), lambda a, x: a + x), 5).alias("total"), F.round(F.array_max(unit), 5).alias("most"))
+    """Texts of eight token vectors at most, with a mask: the mean of those it leaves, scaled to length 1 (0 if it leaves none)."""
+    tokens = table(spark, sf, "embeddings").groupBy(F.floor(F.col("vec_id") / 8).alias("text_id")).agg(F.sort_array(F.collect_list(F.struct("vec_id", "embedding", (F.col("vec_id") % 3 != 0).cast("int").alias("used")))).alias("t"))
+    part = lambda field: F.transform("t", lambda x: x[field])
+    pooled = tokens.select("text_id", V.mean_pool(F.transform(part("embedding"), lambda v: v.cast("array<double>")), part("used")).alias("v"))
+    return pooled.select("text_id", F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x), 5).alias("total"), F.round(F.array_max("v"), 5).alias("most"))
