@@ -17,7 +17,7 @@ from .sentence_pieces import Merges, load_pieces
 from .token_counts import SPACE_MARK, pretokens_of
 
 #: Text bytes of a slice; a distinct unit of a slice is tokenised and aligned once.
-SLICE = 2_500_000
+SLICE = 1_000_000
 #: Pairs with at least this share of all links are sent to every worker: half a million of them at most.
 HOT_PAIR = 1 / 500_000
 _loaded: dict[str, "ByteLevel"] = {}
@@ -349,8 +349,9 @@ def align_documents(docs: DataFrame, a: str, b: str, id_col: str = "doc_id", tex
 
     1. Packs are tokenised, aligned and written, with their texts' group digests.
     2. Links of units, each as often as its unit comes, are counted by pair.
-    3. Frequent pairs (at most 1 / HOT_PAIR of them) go to all workers and meet the units' links where they are; the others
-       are counted by unit and pair before they are joined, so no pair to be joined is hot. A unit's sums go back to its pack.
+    3. Packs are dealt out by their number. Frequent pairs (at most 1 / HOT_PAIR of them) go to all workers and meet the
+       units' links there; the others are counted by unit and pair before they are joined, so no pair to be joined is hot.
+       A unit's sums meet its pack, and its texts, where these are.
 
     Texts without tokens (see `align`) have zeros and an empty groups_sha256. Null ids of documents and repeated rows each
     give a row; other columns are ignored, whatever their names; an empty table gives none. a must be a tokenizers file.
@@ -362,14 +363,20 @@ def align_documents(docs: DataFrame, a: str, b: str, id_col: str = "doc_id", tex
     links = t.select(F.explode(F.arrays_zip(F.col("links").alias("pair"), times.alias("n"))).alias("x")).select("x.pair", "x.n").filter("n > 0")
     pairs = materialize(link_counts(links), "pair-counts")
     total = pairs.agg(F.sum("n")).first()[0] or 0
-    hot = pairs.filter(F.col("n") >= hot_from(total, HOT_PAIR))
+    least = hot_from(total, HOT_PAIR)
     numbers = F.when(F.size("unit_links") > 0, F.sequence(F.lit(0), F.size("unit_links") - 1)).otherwise(F.array().cast("array<int>"))
-    found = t.select("pack", F.explode(F.arrays_zip(F.col("links").alias("pair"), of_link(numbers).alias("unit"))).alias("x")).select("pack", "x.unit", "x.pair").join(F.broadcast(hot), "pair", "left")
-    rare = F.when(F.col("n").isNull(), F.col("pair"))
-    parts = materialize(found.groupBy("pack", "unit", rare.alias("pair")).agg(F.count(F.lit(1)).alias("times"), F.sum("n").alias("n"), F.sum("best").alias("best")), "link-sums")
-    rest = parts.filter("pair IS NOT NULL").select("pack", "unit", "pair", "times").join(pairs.filter(F.col("n") < hot_from(total, HOT_PAIR)), "pair", "left")
-    sums = parts.filter("pair IS NULL").select("pack", "unit", "n", "best").unionByName(rest.select("pack", "unit", (F.col("n") * F.col("times")).alias("n"), (F.col("best") * F.col("times")).alias("best")))
-    sums = sums.groupBy("pack", "unit").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("best"), F.lit(0)).alias("best"))
+    # Packs are dealt out once; sums by unit and by pack, and the packs' texts, are then found where these are.
+    dealt = t.repartition("pack")
+    found = dealt.select("pack", F.explode(F.arrays_zip(F.col("links").alias("pair"), of_link(numbers).alias("unit"))).alias("x")).select("pack", "x.unit", "x.pair")
+    hot, rare = pairs.filter(F.col("n") >= least), pairs.filter(F.col("n") < least)
+    add = [F.sum(c).alias(c) for c in ("n", "best")]
+    if rare.isEmpty():
+        sums = found.join(F.broadcast(hot), "pair").groupBy("pack", "unit").agg(*add)
+    else:
+        rest = found.join(F.broadcast(hot.select("pair")), "pair", "left_anti").groupBy("pack", "unit", "pair").agg(F.count(F.lit(1)).alias("times"))
+        rest = materialize(rest.join(rare, "pair").groupBy("pack", "unit").agg(F.sum(F.col("n") * F.col("times")).alias("n"), F.sum(F.col("best") * F.col("times")).alias("best")), "rare-sums")
+        sums = found.join(F.broadcast(hot), "pair", "left").select("pack", "unit", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("best", F.lit(0)).alias("best"))
+        sums = sums.groupBy("pack", "unit").agg(*add).unionByName(rest).groupBy("pack", "unit").agg(*add)
     sums = sums.groupBy("pack").agg(F.sort_array(F.collect_list(F.struct("unit", "n", "best"))).alias("units"))
 
     def summed(codes: Column, n: Column, best: Column) -> Column:
@@ -382,4 +389,4 @@ def align_documents(docs: DataFrame, a: str, b: str, id_col: str = "doc_id", tex
 
     units = lambda c: F.coalesce(F.col(f"units.{c}"), F.array().cast("array<bigint>"))
     out = _bound(F.col("codes"), lambda c: _bound(units("n"), lambda n: _bound(units("best"), lambda best: summed(c, n, best))))
-    return t.select("pack", "docs", "codes").join(sums, "pack", "left").select(F.explode(out).alias("d")).select("d.*")
+    return dealt.select("pack", "docs", "codes").join(sums, "pack", "left").select(F.explode(out).alias("d")).select("d.*")
