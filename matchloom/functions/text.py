@@ -73,6 +73,13 @@ def noun_keywords(c: Column, profile: str = "full") -> Column:
     return F.filter(words, lambda w: (F.length(w) >= 2) & ~_is_filler(w, full) & (~F.lower(w).rlike(verb) if full else F.lit(True)))
 
 
+def folded(c: Column) -> Column:
+    """A text as a key that is blind to case: joins, groups, windows and distinct of such a column take Straße, STRASSE and
+    strasse for one. ß becomes ss, as in case folding; the rest is decided by the collation (UNICODE_CI, the root order of
+    Unicode at its second level: ligatures are their letters, accents tell words apart)."""
+    return F.collate(F.replace(F.replace(c, F.lit("ß"), F.lit("ss")), F.lit("ẞ"), F.lit("SS")), "UNICODE_CI")
+
+
 def norm_name(c: Column) -> Column:
     """A company name without legal forms and white space, in lower case."""
     return F.lower(F.regexp_replace(F.regexp_replace(F.coalesce(c, F.lit("")), _any(W.LEGAL_FORMS), ""), r"\s+", ""))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text as T
+
 
 def first_by(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     """The first row of each key."""
@@ -13,13 +15,19 @@ def first_by(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
 
 
 def title_dedup_top_n(df: DataFrame, key: str, title: str, n: int, *order: Column) -> DataFrame:
-    """Of each key the n best rows with different titles (trimmed, any case), ranked from 1."""
-    keyed = df.withColumn("_title", F.lower(F.trim(title)))
+    """Of each key the n best rows with different titles (trimmed, any case, see text.folded), ranked from 1."""
+    keyed = df.withColumn("_title", T.folded(F.trim(title)))
     best = first_by(keyed, [key, "_title"], *order).drop("_title")
     w = Window.partitionBy(key).orderBy(*order)
     return best.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
+def spellings(df: DataFrame, column: str) -> DataFrame:
+    """(word, n, n_spellings): the words of a column that differ in case alone as one, by their first spelling in lower case."""
+    words = df.groupBy(F.col(column)).agg(F.count(F.lit(1)).alias("n"))  # as written, so that little is folded
+    return words.groupBy(T.folded(F.col(column)).alias("_key")).agg(F.min(F.lower(column)).alias("word"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_spellings")).drop("_key")
+
+
 def longest_per_key(df: DataFrame, key: str, value: str, position: str, carry: tuple[str, ...] = ()) -> DataFrame:
     """(key, value, carry ...): the longest value of each key, the first of equally long ones, with its row's other columns."""
     best = F.max_by(F.struct(value, *carry), F.struct(F.length(value), -F.col(position)))

@@ -26,9 +26,9 @@ def _named_suppliers(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""WITH s AS (SELECT s_suppkey, {_SUPPLIER_NAME} AS name FROM supplier), m AS (SELECT s_name, s_acctbal FROM supplier)
 SELECT s.s_suppkey, s.name, m.s_acctbal FROM s LEFT JOIN m ON {_NORM.format(c='s.name')} = {_NORM.format(c='m.s_name')}""")
 def name_normalize_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    """Companies found by their names without legal forms and white space."""
-    s = _named_suppliers(spark, sf).withColumn("key", T.norm_name(F.col("name"))).drop("s_name")
-    m = table(spark, sf, "supplier").select(T.norm_name(F.col("s_name")).alias("key"), "s_acctbal")
+    """Companies found by their names without legal forms and white space, blind to case."""
+    s = _named_suppliers(spark, sf).withColumn("key", T.folded(T.norm_name(F.col("name")))).drop("s_name")
+    m = table(spark, sf, "supplier").select(T.folded(T.norm_name(F.col("s_name"))).alias("key"), "s_acctbal")
     return s.join(m, "key", "left").select("s_suppkey", "name", "s_acctbal")
 
 

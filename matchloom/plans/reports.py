@@ -12,6 +12,8 @@ from ..operators import models as M
 from ..operators import report as G
 from ..operators.retrieval import top_k
 from ..sources.readers import table
+from ..sources.scratch import new_folder
+from ..sources.writers import write_checked
 from .registry import query
 
 _FIELDS = ("BUILDING", "AUTOMOBILE", "MACHINERY", "HOUSEHOLD")
@@ -57,14 +59,25 @@ def info_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return G.attribute_pairs(c, "c_custkey", values)
 
 
-@query(r"""WITH d AS (SELECT count(*) FILTER (text IS NULL OR trim(text) = '') AS a, count(*) FILTER (lang IS NULL OR lang NOT IN ('en', 'fr', 'de', 'es')) AS b, count(*) FILTER (regexp_matches(text, '[*#$%&]{3}')) AS c, count(*) FILTER (n_chars <> length(text)) AS e,
-count(*) - count(DISTINCT doc_id) AS f FROM documents) SELECT check_name AS "check", n_bad, n_bad = 0 AS passed FROM (SELECT unnest(['text_filled', 'lang_known', 'no_junk', 'chars_match']) AS check_name, unnest([a, b, c, e]) AS n_bad FROM d)""")
+_LEDGER = r"""WITH d AS (SELECT count(*) FILTER (text IS NULL OR trim(text) = '') AS a, count(*) FILTER (lang IS NULL OR lang NOT IN ('en', 'fr', 'de', 'es')) AS b, count(*) FILTER (regexp_matches(text, '[*#$%&]{3}')) AS c, count(*) FILTER (n_chars <> length(text)) AS e,
+count(*) - count(DISTINCT doc_id) AS f FROM documents) SELECT check_name AS "check", n_bad, n_bad = 0 AS passed FROM (SELECT unnest(['text_filled', 'lang_known', 'no_junk', 'chars_match']) AS check_name, unnest([a, b, c, e]) AS n_bad FROM d)"""
+
+
+@query(_LEDGER)
 def quality_ledger(spark: SparkSession, sf: str) -> DataFrame:
     t = F.col("text")
     checks = {"text_filled": F.trim(t) != "", "lang_known": F.col("lang").isin("en", "fr", "de", "es"), "no_junk": ~t.rlike("[*#$%&]{3}"), "chars_match": F.col("n_chars") == F.length(t)}
     return G.ledger(table(spark, sf, "documents"), checks)
 
 
+@query(_LEDGER)
+def observed_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """The same checks, counted while the documents are written."""
+    t = F.col("text")
+    checks = {"text_filled": F.trim(t) != "", "lang_known": F.col("lang").isin("en", "fr", "de", "es"), "no_junk": ~t.rlike("[*#$%&]{3}"), "chars_match": F.col("n_chars") == F.length(t)}
+    return write_checked(table(spark, sf, "documents"), new_folder(spark, "checked"), checks)
+
+
 @query("""WITH g AS (SELECT o_custkey, count(*) AS n, bool_or(o_orderstatus = 'F') AS any_done, bool_and(o_totalprice > 0) AS all_priced FROM orders GROUP BY 1)
 SELECT n, count(*) AS groups, count(*) FILTER (any_done) AS with_done, bool_and(all_priced) AS priced FROM g WHERE n <> 5 GROUP BY 1""")
 def cardinality_check(spark: SparkSession, sf: str) -> DataFrame:

@@ -14,7 +14,7 @@ from .registry import query
 
 
 @query("""WITH d AS (SELECT source, doc_id, split_part(text, chr(10), 1) AS title, n_chars FROM documents),
-f AS (SELECT *, row_number() OVER (PARTITION BY source, lower(trim(title)) ORDER BY n_chars DESC, doc_id) AS nth FROM d),
+f AS (SELECT *, row_number() OVER (PARTITION BY source, replace(lower(trim(title)), 'ß', 'ss') ORDER BY n_chars DESC, doc_id) AS nth FROM d),
 r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) AS rank FROM f WHERE nth = 1)
 SELECT source, doc_id, title, n_chars, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 5""")
 def title_dedup_topn(spark: SparkSession, sf: str) -> DataFrame:
@@ -22,6 +22,15 @@ def title_dedup_topn(spark: SparkSession, sf: str) -> DataFrame:
     return S.title_dedup_top_n(d, "source", "title", 5, F.desc("n_chars"), F.col("doc_id"))
 
 
+@query(r"""WITH w AS (SELECT unnest(regexp_extract_all(text, '[A-Za-zÀ-ÖØ-öø-ÿ]+')) AS w FROM documents),
+s AS (SELECT w, replace(lower(w), 'ß', 'ss') AS key, count(*) AS n FROM w GROUP BY 1, 2)
+SELECT min(lower(w)) AS word, sum(n)::BIGINT AS n, count(*) AS n_spellings FROM s GROUP BY key""")
+def nocase_words(spark: SparkSession, sf: str) -> DataFrame:
+    """All words of the documents, blind to case: ß is ss."""
+    words = table(spark, sf, "documents").select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-zÀ-ÖØ-öø-ÿ]+"), F.lit(0))).alias("w"))
+    return S.spellings(words, "w")
+
+
 @query("""SELECT md5(text) AS text_md5, min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY text""")
 def first_wins_dedup(spark: SparkSession, sf: str) -> DataFrame:
     d = table(spark, sf, "documents").groupBy("text").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))

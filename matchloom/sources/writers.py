@@ -2,49 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.selection import sheet_names, todo
-from .readers import exists
-
-
-#: Tells a spreadsheet that a file is UTF-8.
-BOM = "\ufeff"
+from ..operators.selection import sheet_names
+from .keyed_store import KeyedStore
+from .office import OneCsvSink, WorkbookSource
 
 
 def append_csv(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("header", True).csv(path)
 
 
-def single_csv(df: DataFrame, path: str, header: bool = True) -> None:
-    """One CSV file for a spreadsheet: a BOM, one header line, then the rows; later calls append rows without a header.
+def single_csv(df: DataFrame, path: str) -> None:
+    """One CSV file for a spreadsheet (see OneCsvSink): a byte order mark, one header line, then the rows; later calls add
+    rows at its end, without copying what is there."""
+    df.sparkSession.dataSource.register(OneCsvSink)
+    df.write.format("one_csv").mode("append").save(path)
 
-    For results of a size that a person reads: the parts are written by all executors and put together in the store.
-    """
-    spark = df.sparkSession
-    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop, spark.sparkContext._jsc.hadoopConfiguration()
-    target = hadoop.fs.Path(path)
-    store = target.getFileSystem(conf)
-    parts, fresh = hadoop.fs.Path(f"{path}.parts"), not store.exists(target)
-    df.write.mode("overwrite").option("header", False).csv(f"{path}.parts")
-    joined = hadoop.fs.Path(f"{path}.joined")
-    out = store.create(joined, True)
-    try:
-        if fresh:
-            names = ",".join('"' + c.replace('"', '""') + '"' if any(x in c for x in ',"\n') else c for c in df.columns)
-            out.write(bytearray((BOM + (names + "\n" if header else "")).encode()))
-        sources = [] if fresh else [target]
-        sources += sorted((f.getPath() for f in store.listStatus(parts) if f.getPath().getName().startswith("part-")), key=lambda p: p.getName())
-        for source in sources:
-            stream = store.open(source)
-            hadoop.io.IOUtils.copyBytes(stream, out, conf, False)
-            stream.close()
-    finally:
-        out.close()
-    store.delete(target, False)
-    store.rename(joined, target)
-    store.delete(parts, True)
+
+def workbook(df: DataFrame, path: str, sheet: str | None = None) -> None:
+    """One workbook with a sheet for each value of a column (see WorkbookSource)."""
+    df.sparkSession.dataSource.register(WorkbookSource)
+    writer = df.write.format("workbook").mode("overwrite")
+    (writer.option("sheet", sheet) if sheet else writer).save(path)
 
 
 def write_new(df: DataFrame, path: str, write: bool = False) -> bool:
@@ -84,8 +65,33 @@ def write_by_sheet(df: DataFrame, name: str, position: str, path: str) -> DataFr
 
 
 def append_missing(items: DataFrame, keys: list[str], path: str) -> DataFrame:
-    """Add the items whose key the keyed table lacks; a second run adds nothing. Returns the table."""
-    spark = items.sparkSession
-    fresh = todo(items, spark.read.parquet(path), keys) if exists(spark, f"{path}/*.parquet") else items
-    fresh.dropDuplicates(keys).write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+    """Add the items whose key the keyed store lacks; a second run adds nothing. Returns the store's rows."""
+    store = KeyedStore(items.sparkSession, path, keys)
+    store.insert_missing(items)
+    return store.read()
+
+
+class Ledger:
+    """Checks of a result that are counted in the pass that writes it: name to a condition that each row must hold.
+
+    Give observed(df) to the writer, then rows() has a row for each check. Nothing is read twice.
+    """
+
+    def __init__(self, checks: dict[str, Column]):
+        self.checks, self.seen = checks, Observation()
+
+    def observed(self, df: DataFrame) -> DataFrame:
+        bad = [F.count_if(~F.coalesce(ok, F.lit(False))).alias(name) for name, ok in self.checks.items()]
+        return df.observe(self.seen, F.count(F.lit(1)).alias("_rows"), *bad)
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        """(check, n_bad, passed), once the result is written."""
+        found = self.seen.get
+        return spark.createDataFrame([(name, found[name], found[name] == 0) for name in self.checks], "check string, n_bad long, passed boolean")
+
+
+def write_checked(df: DataFrame, path: str, checks: dict[str, Column]) -> DataFrame:
+    """Write a result once and return the ledger of its checks, counted on the way."""
+    ledger = Ledger(checks)
+    ledger.observed(df).write.mode("errorifexists").parquet(path)
+    return ledger.rows(df.sparkSession)

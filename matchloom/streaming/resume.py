@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.selection import first_by, todo
-from ..sources.readers import exists
+from ..sources.keyed_store import KeyedStore
 
 
 def dedup_within_watermark(stream: DataFrame, keys: list[str], time: str, delay: str) -> DataFrame:
@@ -18,16 +17,15 @@ def dedup_within_watermark(stream: DataFrame, keys: list[str], time: str, delay:
 
 
 def process_once(stream: DataFrame, keys: list[str], order: list[str], path: str, checkpoint: str, work: Callable[[DataFrame], DataFrame] = lambda d: d) -> StreamingQuery:
-    """Append work(item) for the first item of each key to the keyed table at `path`; keys already there are skipped.
+    """Add work(item) for the first item of each key to the keyed store at `path`; keys already there are skipped.
 
     Offsets are in the checkpoint and results under their key, so a restart, or a batch that is run again, does nothing twice.
+    A batch reads the store's buckets that its keys are in (see KeyedStore); `KeyedStore(spark, path, keys).read()` has the rows.
     """
 
     def batch(rows: DataFrame, _: int) -> None:
-        firsts = first_by(rows, keys, *[F.col(c) for c in order])
-        spark = rows.sparkSession
-        fresh = todo(firsts, spark.read.parquet(path), keys) if exists(spark, f"{path}/*.parquet") else firsts
-        work(fresh).write.mode("append").parquet(path)
+        if not rows.isEmpty():
+            KeyedStore(rows.sparkSession, path, keys).insert_missing(rows, *[F.col(c) for c in order], work=work)
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -1,5 +1,11 @@
 """Operators, readers, writers and streams on small tables."""
 
+import random
+import threading
+import time
+from collections import Counter
+
+import pandas as pd
 import pytest
 from matchloom.functions import structs as X
 from matchloom.functions import text as T
@@ -12,6 +18,7 @@ from matchloom.operators import payloads as P
 from matchloom.operators import retrieval as R
 from matchloom.operators import selection as S
 from matchloom.sources import readers, writers
+from matchloom.sources.keyed_store import KeyedStore
 from matchloom.streaming.resume import dedup_within_watermark, process_once
 from pyspark.sql import functions as F
 
@@ -127,17 +134,65 @@ def test_models_that_fail_lose_one_answer(spark):
         return answer
 
     d = spark.createDataFrame([("a",), ("bad",), ("c",), (None,)], "p string").coalesce(1)
-    assert [r.answer for r in M.ask(d, F.col("p"), load).collect()] == ["A", None, "C", ""]
-    assert M.backend("none", load) is load
-    M.BACKENDS["x"] = lambda: None
-    assert M.backend(M.BACKENDS.popitem()[0], load) is load
+    asked = M.ask(d, F.col("p"), load).cache()
+    assert [(r.answer, r.answer_error) for r in asked.collect()] == [("A", None), (None, "ValueError: no answer"), ("C", None), ("", None)]
+    assert [tuple(r) for r in M.failures(asked).collect()] == [("ValueError", 1)]
+    assert M.backend(None, load) is load and M.backend("", load) is load
+    with pytest.raises(ValueError, match="no back end 'unknown'"):
+        M.backend("unknown", load)
+    M.BACKENDS["x"] = other = lambda: None
+    assert M.backend("x", load) is other
+    del M.BACKENDS["x"]
+
+
+def test_calls_are_under_way_together_in_order_and_with_an_end():
+    started, ended, most = [], [], []
+    lock = threading.Lock()
+
+    def call(i, seconds):
+        with lock:
+            started.append(i)
+            most.append(len(started) - len(ended))
+        time.sleep(seconds)
+        with lock:
+            ended.append(i)
+        if i == 3:
+            raise KeyError("three")
+        return i * 10
+
+    began = time.monotonic()
+    got = list(M.in_flight([(i, 0.2 if i % 2 else 0.05) for i in range(8)], call, most=4))
+    assert got == [(i * 10, None) if i != 3 else (None, "KeyError: 'three'") for i in range(8)]
+    assert max(most) == 4 and time.monotonic() - began < 0.8 and started != ended
+    slow = list(M.in_flight([(9, 0.01), (8, 3.0), (7, 0.01)], call, most=3, time_out=0.3))
+    assert slow == [(90, None), (None, "TimeoutError"), (70, None)] and time.monotonic() - began < 3
+
+
+def test_a_model_is_asked_once_for_each_row_that_needs_it(spark):
+    """Each round asks for what the rounds before it left broken, and the text that was tested is the text kept."""
+    calls = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    def model(round_):
+        @F.pandas_udf("string")
+        def answer(texts: pd.Series) -> pd.Series:
+            calls[round_].add(len(texts))
+            return pd.Series([f"{t.replace('!!', '') if round_ or t.startswith('a') else t} {random.random()}" for t in texts])
+
+        return answer
+
+    rows = [(f"a{i}!!" if i % 3 == 0 else f"b{i}!!" if i % 3 == 1 else f"c{i}", i) for i in range(90)]
+    d = spark.createDataFrame(rows, "t string, attempts int").repartition(3)
+    got = L.repair_ladder(d, "t", lambda c: F.contains(c, F.lit("!!")), [model(0), model(1)])
+    first, again = ({(r.attempts, r.t): r.attempt for r in got.collect()} for _ in range(2))
+    assert first == again and Counter(first.values()) == {0: 30, 1: 30, 2: 30}
+    assert (calls[0].value, calls[1].value) == (60, 30)
 
 
 def test_attempts_go_up_until_one_holds(spark):
     d = spark.createDataFrame([("[a] polite!! and long enough",), ("fine",), ("x!!",)], "t string")
     ladder = [lambda c: F.lit("short"), lambda c: F.replace(c, F.lit("!!"), F.lit("")), lambda c: F.lit("never reached")]
     got = L.repair_ladder(d, "t", lambda c: F.contains(c, F.lit("!!")), ladder).collect()
-    assert [(r.t, r.attempt) for r in got] == [("[a] polite and long enough", 2), ("fine", 0), ("short", 1)]
+    assert {(r.t, r.attempt) for r in got} == {("[a] polite and long enough", 2), ("fine", 0), ("short", 1)}
 
 
 def test_messages_with_examples(spark):
@@ -224,7 +279,7 @@ def test_stream_does_each_key_once(spark, tmp_path):
     run()
     first.union(spark.sql("select 3, timestamp'2024-01-03 00:00:00', 7")).write.mode("append").parquet(source)
     run()
-    assert sorted((r.k, r.v) for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [(1, 0), (2, 5), (3, 7)]
+    assert sorted((r.k, r.v) for r in KeyedStore(spark, f"{tmp_path}/out", ["k"]).read().collect()) == [(1, 0), (2, 5), (3, 7)]
     assert dedup_within_watermark(spark.readStream.schema(schema).parquet(source), ["k"], "ts", "1 day").isStreaming
 
 
@@ -245,7 +300,7 @@ def test_model_boundary(spark, tmp_path):
         return [(7, "ok")] * len(texts)
 
     asked = M.score_in_blocks(d, "query", "pos", "source", "body", model, size=2)
-    assert {r.pos: (r.score, r.reason) for r in asked.collect()} == {1: (7, "ok"), 2: (7, "ok"), 3: (None, None)}
+    assert {r.pos: (r.score, r.reason, r.error) for r in asked.collect()} == {1: (7, "ok", None), 2: (7, "ok", None), 3: (None, None, "ValueError: no answer")}
     filled = L.with_default_answer(d.select("pos"), asked.filter("score is not null").select("pos", "score", "reason"), ["pos"])
     assert {r.pos: r.reason for r in filled.collect()}[3] == L.NO_ANSWER
     vectors = M.encode(d, "body").select("embedding").collect()
