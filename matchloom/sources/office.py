@@ -334,13 +334,14 @@ class PartsWriter(DataSourceWriter):
 
     def __init__(self, path: str, schema: StructType, overwrite: bool):
         self.path, self.fields, self.overwrite = path, schema, overwrite
-        self.folder = f"{opened(path)[1]}.parts-{uuid.uuid4().hex}"
+        store, target = opened(path)
+        self.folder = f"{target}.parts-{uuid.uuid4().hex}"
+        store.create_dir(self.folder)  # once, here: tasks that go on after an abort find no place to write to
 
     def _task_file(self) -> tuple[int, str]:
         from pyspark import TaskContext
 
         context = TaskContext.get()
-        opened(self.path)[0].create_dir(self.folder)
         return context.partitionId(), f"{self.folder}/{context.partitionId():06}-{context.attemptNumber()}"
 
     def _assemble(self, messages: list[Parts], store: fs.FileSystem, target: str) -> None:
