@@ -120,6 +120,7 @@ def _rooted(roots: DataFrame, seed: int, trials: int) -> DataFrame:
     place = F.transform("items", lambda x, i: F.struct(x["size"].alias("size"), x["key"].alias("key"), i.alias("ref"), F.lit(0).cast("long").alias("whole"), x["p"].alias("p")))
     fixed = F.aggregate("items", F.lit(0).cast("long"), lambda n, x: n + x["whole"] * x["size"])
     drawn = roots.select("source", place.alias("items"), (F.col("missing") - fixed).alias("missing"), F.explode(F.sequence(F.lit(1), F.lit(trials))).alias("trial"))
+    drawn = drawn.repartition(min(10_000, max(trials, roots.count())), "source", "trial")  # few rows, much to try with each
     order = F.transform("items", lambda x: F.struct(F.xxhash64(x["key"], F.lit(seed), "trial").alias("order"), x.alias("x")))
     drawn = drawn.withColumn("items", F.transform(F.sort_array(order), lambda x: x["x"])).select("source", "missing", "trial", _fold(f"{seed}, -trial", "int").alias("r"))
     last = F.expr(f"array(named_struct('size', r.left.size, 'ref', r.left.ref, 'copies', cast({_uniform('r.left.key', str(seed), '-trial')} < r.left.p as bigint)))")
