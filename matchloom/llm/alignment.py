@@ -1,23 +1,29 @@
-"""Alignment of two tokenizers' tokens over the same bytes: Python tokenises, Spark's array functions do all the rest."""
+"""Alignment of two tokenizers' tokens over the same bytes: Python tokenises, Spark's array functions align."""
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_rows, materialize, slices, text_offsets
-from .lexicon import hot_from
+from .common import as_rows, materialize, release, slices, text_offsets
+from .lexicon import count_entries, hot_from
 from .sentence_pieces import Merges, load_pieces
 from .token_counts import SPACE_MARK, pretokens_of
 
-#: Text bytes of a slice; a distinct unit of a slice is tokenised and aligned once.
-SLICE = 1_000_000
+#: Text bytes that are tokenised at a time, and those of a pack of texts whose units are looked up together.
+SLICE, PACK_BYTES = 1_000_000, 2_500_000
+#: Units that are sent to every worker, the most frequent ones. Texts whose groups are put together at a time.
+MOST_UNITS, DIGESTED = 600_000, 500
+#: What is known of a unit: sums over its tokens, groups and links, and the groups as text.
+FACTS = ["n_a", "n_b", "n_groups", "n_best", "count_sum", "groups"]
 #: Pairs with at least this share of all links are sent to every worker: half a million of them at most.
 HOT_PAIR = 1 / 500_000
 _loaded: dict[str, "ByteLevel"] = {}
@@ -202,42 +208,92 @@ def tokenize(docs: DataFrame, a: str, b: str, text_col: str = "text") -> DataFra
 
 
 TOKENS = ["a_ids", "a_ends", "b_ids", "b_ends"]
-PACK = "docs array<struct<doc_id:bigint,n_a:bigint,n_b:bigint,begin:int,end:int>>, codes array<int>, unit_n array<int>, unit_ends array<int>, unit_a array<int>, unit_b array<int>, a_ids array<int>, a_ends array<int>, b_ids array<int>, b_ends array<int>"
+PACK = "ids array<bigint>, upto array<int>, codes binary, rare array<string>"
+RESULT = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string"
 
 
-def tokenize_packs(docs: DataFrame, a: str, b: str) -> DataFrame:
-    """Texts of (doc_id, text) in packs of SLICE bytes: the tokens of a pack's distinct units, one unit after the other, and
-    each text as codes (numbers of units) from begin to end.
+def alignable(texts: pa.Array) -> pa.Array:
+    """Texts, empty where they are null or hold the space mark, which reads back as a space."""
+    texts = texts.fill_null("").cast(pa.large_string())
+    return pc.if_else(pc.match_substring(texts, SPACE_MARK), pa.scalar("", texts.type), texts)
 
-    Units are those of a byte-level a; tokens of neither side reach over their borders, so what holds of a unit's tokens
-    holds wherever the unit stands. unit_n: how often each comes; unit_ends, unit_a, unit_b: bytes and tokens up to its end.
+
+def count_units(docs: DataFrame, a: str) -> DataFrame:
+    """(entry, n): how often each unit comes in all texts that have tokens."""
+
+    def units(batch):
+        for part in slices(iter([batch]), "text", PACK_BYTES):
+            yield load(a).split(alignable(part.column("text")))[0]
+
+    return count_entries(docs, "text", units)
+
+
+def tokenize_units(counts: DataFrame, a: str, b: str) -> DataFrame:
+    """(entry, n) with TOKENS. Units are those of a byte-level a; tokens of neither side reach over their borders, so what
+    holds of a unit's tokens holds wherever the unit stands."""
+
+    def run(batches):
+        for batch in slices(batches, "entry", SLICE):
+            inner = pc.utf8_slice_codeunits(batch.column("entry").cast(pa.large_string()), 1)  # each unit begins with a space
+            found, good = both_tokens(load(a), load(b), inner)
+            if not good.all():
+                raise ValueError(f"tokens of {a} or {b} do not give {inner[int(np.argmin(good))].as_py()[:80]!r} back")
+            yield pa.RecordBatch.from_arrays([batch.column("entry"), batch.column("n"), *[_lists(x, upto) for ids, ends, upto in found for x in (ids, ends)]], names=["entry", "n", *TOKENS])
+
+    return counts.mapInArrow(run, counts.select("entry", "n", *[F.lit(None).cast("array<int>").alias(c) for c in TOKENS]).schema)
+
+
+def code_packs(docs: DataFrame, a: str, names: Broadcast) -> DataFrame:
+    """Texts of (doc_id, text) in packs of PACK_BYTES: the codes of their units, each text's up to its place in upto.
+
+    A code is a place among the frequent units (names), or, from their number on, one in the pack's list of rare ones;
+    codes are 32-bit numbers, compressed, as they are written and shuffled once.
     """
 
     def run(batches):
-        one, other = load(a), load(b)
-        for batch in slices(batches, "text", SLICE):
-            units, bounds = one.split(batch.column("text").fill_null("").cast(pa.large_string()))
+        known = names.value
+        for batch in slices(batches, "text", PACK_BYTES):
+            units, bounds = load(a).split(alignable(batch.column("text")))
             coded = units.dictionary_encode()
-            code = coded.indices.to_numpy(zero_copy_only=False)
-            inner = pc.utf8_slice_codeunits(coded.dictionary, 1)  # each unit begins with a space
-            (a_ids, a_ends, a_upto), (b_ids, b_ends, b_upto) = both_tokens(one, other, inner)[0]
-            usable = np.diff(a_upto) > 0
-            wrong = np.append(0, np.cumsum(~usable[code]))[bounds]
-            good = wrong[1:] == wrong[:-1]
-            kept = code[np.repeat(good, np.diff(bounds))]
-            begin = np.append(0, np.cumsum(np.where(good, np.diff(bounds), 0)))
-            counts = [np.append(0, np.cumsum(np.diff(upto)[kept]))[begin] for upto in (a_upto, b_upto)]
-            size = np.zeros(len(usable), np.int64)
-            size[usable] = a_ends[a_upto[1:][usable] - 1]
-            before = np.cumsum(size) - size
-            texts = pa.StructArray.from_arrays([batch.column("doc_id"), *[pa.array(np.diff(c)) for c in counts], pa.array(begin[:-1].astype(np.int32)), pa.array(begin[1:].astype(np.int32))], names=["doc_id", "n_a", "n_b", "begin", "end"])
-            arrays = [(np.cumsum(usable) - 1)[kept], np.bincount(kept, minlength=len(usable))[usable], (before + size)[usable], a_upto[1:][usable], b_upto[1:][usable]]
-            arrays += [a_ids, a_ends + np.repeat(before, np.diff(a_upto)), b_ids, b_ends + np.repeat(before, np.diff(b_upto))]
-            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), texts), *[_lists(x, np.array([0, len(x)])) for x in arrays]], names=["docs", "codes", "unit_n", "unit_ends", "unit_a", "unit_b", *TOKENS])
+            place = pc.index_in(coded.dictionary, value_set=known)
+            rare = pc.is_null(place).to_numpy(zero_copy_only=False)
+            code_of = np.where(rare, len(known) + np.cumsum(rare) - 1, place.fill_null(0).to_numpy(zero_copy_only=False))
+            codes = code_of[coded.indices.to_numpy(zero_copy_only=False)].astype(np.int32)
+            packed = pa.array([pa.compress(codes, codec="zstd", asbytes=True)], pa.binary())
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (batch.column("doc_id"), pa.array(bounds[1:], pa.int32()), coded.dictionary.filter(pa.array(rare)).cast(pa.string()))]
+            yield pa.RecordBatch.from_arrays([*lists[:2], packed, lists[2]], names=["ids", "upto", "codes", "rare"])
 
     return docs.mapInArrow(run, PACK)
 
 
+def put_together(packs: DataFrame, rare: DataFrame, facts: Broadcast) -> DataFrame:
+    """RESULT of each text of packs: sums over its units, and the digest of their groups, one unit's after the other.
+
+    facts: FACTS of the frequent units; rare: (pack, place, FACTS) of the packs' rare units, by their places in the lists.
+    """
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        right, known, pack = right.sort_by("place"), facts.value, left.combine_chunks()
+        ids, upto = (pack.column(c).combine_chunks().flatten() for c in ("ids", "upto"))
+        bounds = np.append(0, upto.to_numpy()).astype(np.int64)
+        code = np.frombuffer(pa.decompress(pack.column("codes")[0].as_buffer(), 4 * int(bounds[-1]), "zstd"), np.int32)
+        sums = {}
+        for c in FACTS[:-1]:
+            of = np.append(known.column(c).to_numpy(), right.column(c).to_numpy())
+            sums[c] = np.diff(np.append(0, np.cumsum(of[code], dtype=np.int64))[bounds])
+        texts = pa.concat_arrays([t.column("groups").combine_chunks().cast(pa.large_binary()) for t in (known, right)])
+        digests = []
+        for first in range(0, len(ids), DIGESTED):
+            at = bounds[first : first + DIGESTED + 1]
+            taken = texts.take(pa.array(code[at[0] : at[-1]]))
+            joined = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(at - at[0]), taken), pa.scalar(b";", texts.type))
+            digests += [hashlib.sha256(x).hexdigest() if x else "" for x in joined.to_pylist()]
+        links = sums["n_a"] + sums["n_b"] - sums["n_groups"]
+        return pa.table([ids, *[pa.array(x) for x in (sums["n_a"], sums["n_b"], sums["n_groups"], links, sums["n_best"], sums["count_sum"])], pa.array(digests, pa.string())], names=[f.split()[0] for f in RESULT.split(", ")])
+
+    return packs.groupBy("pack").cogroup(rare.groupBy("pack")).applyInArrow(run, RESULT)
+
+
 def _bound(value: Column, body) -> Column:
     """body of a value that is computed once."""
     return F.transform(F.array(value), body)[0]
@@ -318,75 +374,59 @@ def link_counts(links: DataFrame) -> DataFrame:
     return counts.withColumn("b", b).join(most, "b").select("pair", "n", (F.col("n") == F.col("most")).cast("long").alias("best"))
 
 
-def _align_packs(packs: DataFrame) -> DataFrame:
-    """docs (with n_groups and groups_sha256), codes, unit_n, unit_links and links of packs."""
-    t = _aligned(packs).withColumn("cut", _ranks(F.col("unit_ends"), F.col("a_only")))  # ends of a alone before each unit's end
-    t = t.withColumn("unit_groups", F.zip_with("unit_a", "cut", lambda n, k: n - k))  # groups up to a unit's end
-    t = t.withColumn("unit_upto", _bound(F.col("unit_groups"), lambda g: F.transform(F.zip_with("unit_a", "unit_b", lambda x, y: x + y), lambda n, u: n - F.get(g, u))))
-    steps = lambda upto: _bound(F.col(upto), lambda x: F.transform(x, lambda n, u: n - F.coalesce(F.get(x, u - 1), F.lit(0))))
-    text = _bound(F.col("groups"), lambda g: _bound(F.col("unit_groups"), lambda upto: F.transform(upto, lambda n, u: F.array_join(F.slice(g, F.coalesce(F.get(upto, u - 1), F.lit(0)) + 1, n - F.coalesce(F.get(upto, u - 1), F.lit(0))), ";"))))
-    t = t.withColumns({"unit_text": text, "unit_size": steps("unit_groups"), "unit_links": steps("unit_upto")})
+def unit_sums(units: DataFrame) -> DataFrame:
+    """(unit, count_sum, n_best) of units with n and links: sums over a unit's links of their counts, and of those that are best.
 
-    def told(codes: Column, unit_text: Column, unit_size: Column) -> Column:
-        def one(d: Column) -> Column:
-            mine = F.slice(codes, d["begin"] + 1, d["end"] - d["begin"])
-            groups = F.aggregate(mine, F.lit(0).cast("long"), lambda n, c: n + F.get(unit_size, c))
-            whole = F.array_join(F.transform(mine, lambda c: F.get(unit_text, c)), ";")
-            return F.struct(*[d[c].alias(c) for c in ("doc_id", "n_a", "n_b", "begin", "end")], groups.alias("n_groups"), F.when(d["begin"] == d["end"], "").otherwise(F.sha2(whole, 256)).alias("groups_sha256"))
+    Frequent pairs (at most 1 / HOT_PAIR of them) go to all workers, the others are joined; a pair is in no more units than
+    it has links, so none that is joined is hot.
+    """
+    links = units.select("n", F.explode("links").alias("pair"))
+    pairs = materialize(link_counts(links), "pair-counts")
+    least = hot_from(pairs.agg(F.sum("n")).first()[0] or 0, HOT_PAIR)
+    found = units.select("unit", F.explode("links").alias("pair"))
+    hot, rare = pairs.filter(F.col("n") >= least), pairs.filter(F.col("n") < least)
+    sums = lambda rows: rows.groupBy("unit").agg(F.sum("n").alias("n"), F.sum("best").alias("best"))
+    out = found.join(F.broadcast(hot), "pair").select("unit", "n", "best")
+    if not rare.isEmpty():
+        out = out.unionByName(found.join(F.broadcast(hot.select("pair")), "pair", "left_anti").join(rare, "pair").select("unit", "n", "best"))
+    return sums(out).select("unit", F.col("n").alias("count_sum"), F.col("best").alias("n_best"))
 
-        return F.transform("docs", one)
 
-    docs = _bound(F.col("codes"), lambda c: _bound(F.col("unit_text"), lambda x: _bound(F.col("unit_size"), lambda n: told(c, x, n))))
-    return t.select(F.monotonically_increasing_id().alias("pack"), docs.alias("docs"), "codes", "unit_n", "unit_links", "links")
+def frequent_from(units: DataFrame) -> int:
+    """Units that come more often than this are at most MOST_UNITS, but for a ten-thousandth of all units."""
+    n = units.count()
+    return 0 if n <= MOST_UNITS else units.agg(F.percentile_approx("n", 1 - MOST_UNITS / n)).first()[0]
 
 
 def align_documents(docs: DataFrame, a: str, b: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 of each row's tokens by two tokenizers.
 
-    See `align` for groups and links; here texts go in packs of a few megabytes, and the tokens of a pack's distinct units
-    (words, mostly) are aligned once. An id pair's count is the number of links that hold it in all of docs; n_best counts
-    the links whose count is the largest of their b id, count_sum adds up the counts of all links.
+    See `align` for groups and links; here each distinct unit (words, mostly) of all texts is tokenised and aligned once. An
+    id pair's count is the number of links that hold it in all of docs; n_best counts the links whose count is the largest
+    of their b id, count_sum adds up the counts of all links.
 
-    1. Packs are tokenised, aligned and written, with their texts' group digests.
-    2. Links of units, each as often as its unit comes, are counted by pair.
-    3. Packs are dealt out by their number. Frequent pairs (at most 1 / HOT_PAIR of them) go to all workers and meet the
-       units' links there; the others are counted by unit and pair before they are joined, so no pair to be joined is hot.
-       A unit's sums meet its pack, and its texts, where these are.
+    1. Units are counted, by worker first. Each is tokenised, aligned and written with its groups and links.
+    2. Links of units, each as often as its unit comes, are counted by pair, and the counts added up by unit.
+    3. Texts are written as codes of units, in packs of a few megabytes. What is known of frequent units (MOST_UNITS) goes to
+       all workers; a pack asks for each of its other units once, and gets the answers where its codes go. No unit is asked
+       for by more than all packs.
 
     Texts without tokens (see `align`) have zeros and an empty groups_sha256. Null ids of documents and repeated rows each
     give a row; other columns are ignored, whatever their names; an empty table gives none. a must be a tokenizers file.
     """
+    spark = docs.sparkSession
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    t = materialize(_align_packs(tokenize_packs(d, a, b)), "packs")
-    of_link = lambda values: F.flatten(F.zip_with(values, "unit_links", F.array_repeat))
-    times = of_link(F.col("unit_n"))
-    links = t.select(F.explode(F.arrays_zip(F.col("links").alias("pair"), times.alias("n"))).alias("x")).select("x.pair", "x.n").filter("n > 0")
-    pairs = materialize(link_counts(links), "pair-counts")
-    total = pairs.agg(F.sum("n")).first()[0] or 0
-    least = hot_from(total, HOT_PAIR)
-    numbers = F.when(F.size("unit_links") > 0, F.sequence(F.lit(0), F.size("unit_links") - 1)).otherwise(F.array().cast("array<int>"))
-    # Packs are dealt out once; sums by unit and by pack, and the packs' texts, are then found where these are.
-    dealt = t.repartition("pack")
-    found = dealt.select("pack", F.explode(F.arrays_zip(F.col("links").alias("pair"), of_link(numbers).alias("unit"))).alias("x")).select("pack", "x.unit", "x.pair")
-    hot, rare = pairs.filter(F.col("n") >= least), pairs.filter(F.col("n") < least)
-    add = [F.sum(c).alias(c) for c in ("n", "best")]
-    if rare.isEmpty():
-        sums = found.join(F.broadcast(hot), "pair").groupBy("pack", "unit").agg(*add)
-    else:
-        rest = found.join(F.broadcast(hot.select("pair")), "pair", "left_anti").groupBy("pack", "unit", "pair").agg(F.count(F.lit(1)).alias("times"))
-        rest = materialize(rest.join(rare, "pair").groupBy("pack", "unit").agg(F.sum(F.col("n") * F.col("times")).alias("n"), F.sum(F.col("best") * F.col("times")).alias("best")), "rare-sums")
-        sums = found.join(F.broadcast(hot), "pair", "left").select("pack", "unit", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("best", F.lit(0)).alias("best"))
-        sums = sums.groupBy("pack", "unit").agg(*add).unionByName(rest).groupBy("pack", "unit").agg(*add)
-    sums = sums.groupBy("pack").agg(F.sort_array(F.collect_list(F.struct("unit", "n", "best"))).alias("units"))
-
-    def summed(codes: Column, n: Column, best: Column) -> Column:
-        def one(d: Column) -> Column:
-            mine = F.slice(codes, d["begin"] + 1, d["end"] - d["begin"])
-            add = lambda of: F.aggregate(mine, F.lit(0).cast("long"), lambda x, c: x + F.get(of, c))
-            return F.struct(d["doc_id"].alias("doc_id"), d["n_a"].alias("n_a"), d["n_b"].alias("n_b"), d["n_groups"].alias("n_groups"), (d["n_a"] + d["n_b"] - d["n_groups"]).alias("n_links"), add(best).alias("n_best"), add(n).alias("count_sum"), d["groups_sha256"].alias("groups_sha256"))
-
-        return F.transform("docs", one)
-
-    units = lambda c: F.coalesce(F.col(f"units.{c}"), F.array().cast("array<bigint>"))
-    out = _bound(F.col("codes"), lambda c: _bound(units("n"), lambda n: _bound(units("best"), lambda best: summed(c, n, best))))
-    return dealt.select("pack", "docs", "codes").join(sums, "pack", "left").select(F.explode(out).alias("d")).select("d.*")
+    aligned = _aligned(tokenize_units(count_units(d, a), a, b))
+    sizes = [F.size(x).cast("long").alias(c) for x, c in (("a_ids", "n_a"), ("b_ids", "n_b"), ("groups", "n_groups"))]
+    units = materialize(aligned.select(F.monotonically_increasing_id().alias("unit"), "entry", "n", *sizes, F.array_join("groups", ";").alias("groups"), "links"), "units")
+    known = materialize(units.drop("links").join(unit_sums(units), "unit").select("entry", "n", *FACTS), "known-units")
+    release(spark, units)
+    least = frequent_from(known)
+    frequent = known.filter(F.col("n") > least).toArrow().sort_by([("n", "descending")])
+    names = spark.sparkContext.broadcast(frequent["entry"].cast(pa.large_string()).combine_chunks())
+    facts = spark.sparkContext.broadcast(frequent.select(FACTS).combine_chunks())
+    packs = materialize(code_packs(d, a, names).select(F.monotonically_increasing_id().alias("pack"), "*"), "packs")
+    asked = packs.select("pack", F.posexplode("rare").alias("place", "entry"))
+    rare = materialize(asked.join(known.filter(F.col("n") <= least), "entry").select("pack", "place", *FACTS), "rare-units")
+    release(spark, known)
+    return put_together(packs.drop("rare"), rare, facts)

@@ -164,6 +164,25 @@ def test_alignment(spark, docs, clashing, empty, rows, texts, library, monkeypat
     assert none and all(tuple(r)[1:] == (0, 0, 0, 0, 0, 0, "") for r in none)
 
 
+def test_a_unit_of_many_parts_is_aligned_once(spark, monkeypatch):
+    keep, written = alignment.materialize, []
+
+    def counted(df, name):
+        out = keep(df, name)
+        if "links" in out.columns:
+            written.append(out.agg(F.sum(F.size("links"))).first()[0])
+        return out
+
+    monkeypatch.setattr(alignment, "materialize", counted)
+    monkeypatch.setattr(alignment, "MOST_UNITS", 5, raising=False)  # most units are asked for by packs
+    texts = spark.range(0, 8, 1, 8).select(F.col("id").alias("doc_id"), F.lit("the river, the stone and thermodynamics: été 1,234 of the morning " * 20).alias("text"))
+    one, *none = alignment.align_documents(texts.filter("doc_id = 0"), OTHER, MODEL).collect()
+    got = sorted(map(tuple, alignment.align_documents(texts, OTHER, MODEL).collect()))
+    assert not none and one.n_links
+    assert got == [(i, one.n_a, one.n_b, one.n_groups, one.n_links, one.n_best, 8 * one.count_sum, one.groups_sha256) for i in range(8)]
+    assert written[0] == written[1]
+
+
 # --- 11: resampling
 
 
